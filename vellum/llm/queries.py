@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from vellum.llm.packing import op6_packing
 from vellum.llm.simhash import op4_simhash
 
 QUERIES = {
     "op4_simhash": op4_simhash,
+    "op6_packing": op6_packing,
 }
 ORACLES: dict[str, str] = {}
