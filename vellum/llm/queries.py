@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from vellum.llm.packing import op6_packing
+from vellum.llm.quality import op10_quality
 from vellum.llm.simhash import op4_simhash
 
 QUERIES = {
     "op4_simhash": op4_simhash,
     "op6_packing": op6_packing,
+    "op10_quality": op10_quality,
 }
 ORACLES: dict[str, str] = {}
