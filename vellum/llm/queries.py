@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from vellum.llm.decontaminate import OP8_SQL, op8_decontamination
 from vellum.llm.packing import op6_packing
 from vellum.llm.quality import op10_quality
 from vellum.llm.simhash import op4_simhash
@@ -9,6 +10,9 @@ from vellum.llm.simhash import op4_simhash
 QUERIES = {
     "op4_simhash": op4_simhash,
     "op6_packing": op6_packing,
+    "op8_decontamination": op8_decontamination,
     "op10_quality": op10_quality,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_decontamination": OP8_SQL,
+}
