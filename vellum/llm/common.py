@@ -18,14 +18,19 @@ def ship(module_name: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module_name])
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of checkpoints, set if the session has none yet."""
+    context = spark.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="vellum-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
 def keep(df: DataFrame) -> DataFrame:
     """Cut the lineage: written to the folder that spark.checkpoint.dir names (all executors share it).
 
     Only where the session names none, a folder of its own is used (local runs and tests)."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="vellum-"))
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from vellum.llm.decontaminate import OP8_SQL, op8_decontamination
 from vellum.llm.packing import op6_packing
+from vellum.llm.pii import op9_pii
 from vellum.llm.quality import op10_quality
+from vellum.llm.secrets import op5_secrets
 from vellum.llm.simhash import op4_simhash
 
 QUERIES = {
     "op4_simhash": op4_simhash,
+    "op5_secrets": op5_secrets,
     "op6_packing": op6_packing,
     "op8_decontamination": op8_decontamination,
+    "op9_pii": op9_pii,
     "op10_quality": op10_quality,
 }
 ORACLES: dict[str, str] = {
