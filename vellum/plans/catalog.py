@@ -4,11 +4,217 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from vellum.functions import text as X
+from vellum.operators import documents as D
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+STRONG = ("the", "of", "and", "to")
+
+
+def query(name: str, sql: str | None = None):
+    def register(f):
+        QUERIES[name] = f
+        if sql:
+            ORACLES[name] = sql
+        return f
+
+    return register
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+FLAT = r"trim(regexp_replace(text, '[ \t\n\f\r\x0b]+', ' ', 'g'))"
+SPLIT = rf"""(SELECT doc_id, list_filter(list_transform(string_split(regexp_replace({FLAT}, '([.!?])(?:[ ]*")?[ ]+([A-Z0-9"“])', '\1' || chr(1) || '\2', 'g'), chr(1)), lambda s: trim(s)), lambda s: s <> '') AS s FROM documents)"""
+SIMPLE = rf"""(SELECT doc_id, list_filter(list_transform(string_split(regexp_replace({FLAT}, '([.!?])[ ]+([A-Z])', '\1' || chr(1) || '\2', 'g'), chr(1)), lambda s: trim(s)), lambda s: s <> '') AS s FROM documents)"""
+ROWS = "(SELECT doc_id, unnest(range(len(s))) AS pos, unnest(s) AS sentence FROM {})"
+
+
+@query("sentence_split", f"SELECT doc_id, CAST(pos AS INTEGER) AS pos, sentence FROM {ROWS.format(SPLIT)}")
+def sentence_split(spark, d):
+    return D.sentence_rows(_table(spark, d, "documents"))
+
+
+@query("sentence_split_simple", f"SELECT doc_id, CAST(pos AS INTEGER) AS pos, sentence FROM {ROWS.format(SIMPLE)}")
+def sentence_split_simple(spark, d):
+    return D.sentence_rows(_table(spark, d, "documents"), X.sentences_simple)
+
+
+COUNT = r"len(regexp_extract_all(sentence, '(?i)\b(the|of|and|to)\b'))"
+TOP = f"""WITH r AS (SELECT *, {COUNT} AS strong FROM {ROWS.format(SIMPLE)}),
+g AS (SELECT *, round(strong * 10 - length(sentence) * 0.08 + CASE WHEN contains(sentence, '!') THEN 3 ELSE 0 END, 6) AS score FROM r WHERE length(sentence) BETWEEN 30 AND 120 AND regexp_matches(sentence, '^[A-Z]') AND regexp_matches(sentence, '[.!?]$') AND strong >= 2),
+u AS (SELECT * FROM g QUALIFY row_number() OVER (PARTITION BY doc_id, lower(left(sentence, 30)) ORDER BY score DESC, pos) = 1)
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, pos) AS INTEGER) AS rank, CAST(pos AS INTEGER) AS pos, CAST(score AS DOUBLE) AS score, sentence FROM u QUALIFY rank <= 8"""
+
+
+@query("top_quotes", TOP)
+def top_quotes(spark, d):
+    return D.top_sentences(_table(spark, d, "documents"), STRONG)
+
+
+@query("strong_word_density", f"SELECT doc_id, CAST(sum({COUNT}) AS BIGINT) AS strong, count(*) AS n_sentences FROM {ROWS.format(SIMPLE)} GROUP BY doc_id")
+def strong_word_density(spark, d):
+    rows = D.sentence_rows(_table(spark, d, "documents"), X.sentences_simple)
+    return rows.groupBy("doc_id").agg(F.sum(D.strong_count(F.col("sentence"), STRONG)).alias("strong"), F.count("*").alias("n_sentences"))
+
+
+@query("prefix_dedupe", f"SELECT doc_id, CAST(pos AS INTEGER) AS pos, sentence FROM {ROWS.format(SPLIT)} QUALIFY row_number() OVER (PARTITION BY doc_id, left(sentence, 25) ORDER BY pos) = 1")
+def prefix_dedupe(spark, d):
+    return D.keep_first(D.sentence_rows(_table(spark, d, "documents")), ["doc_id", F.left("sentence", F.lit(25))], ["pos"])
+
+
+@query("tail_lines", r"""SELECT doc_id, CAST(unnest(range(len(t))) AS INTEGER) AS pos, unnest(t) AS line FROM (SELECT doc_id, l[len(l) - len(l) // 3 + 1:] AS t FROM (SELECT doc_id, string_split(regexp_replace(text, '\r\n?', chr(10), 'g'), chr(10)) AS l FROM documents))""")
+def tail_lines(spark, d):
+    return D.tail_third(_table(spark, d, "documents"))
+
+
+@query("paragraphs", r"""SELECT doc_id, CAST(unnest(range(len(p))) AS INTEGER) AS pos, unnest(p) AS paragraph FROM (SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(regexp_replace(text, '\r\n?', chr(10), 'g'), '\n\s*\n', chr(1), 'g'), chr(1)), lambda s: trim(regexp_replace(s, '\s+', ' ', 'g'))), lambda s: s <> '') AS p FROM documents)""")
+def paragraphs(spark, d):
+    return _table(spark, d, "documents").select("doc_id", F.posexplode(X.paragraphs(F.col("text"))).alias("pos", "paragraph"))
+
+
+@query("xml_escape", "SELECT doc_id, replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS escaped FROM documents")
+def xml_escape(spark, d):
+    return _table(spark, d, "documents").select("doc_id", X.xml_escape(F.col("text")).alias("escaped"))
+
+
+@query("html_escape", "SELECT page_id, replace(replace(replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;') AS escaped FROM pages")
+def html_escape(spark, d):
+    return _table(spark, d, "pages").select("page_id", X.html_escape(F.col("html")).alias("escaped"))
+
+
+@query("comma_breaks", r"""SELECT doc_id, regexp_replace(text, '([,;:]) ', '\1<break time="400ms"/> ', 'g') AS ssml FROM documents WHERE NOT contains(text, '<') AND NOT contains(text, '>')""")
+def comma_breaks(spark, d):
+    plain = _table(spark, d, "documents").where("NOT contains(text, '<') AND NOT contains(text, '>')")
+    return plain.select("doc_id", X.comma_breaks(F.col("text")).alias("ssml"))
+
+
+SMALL = ", ".join(f"'{w}'" for w in X.SMALL_WORDS)
+HEAD = "trim(string_split(text, chr(10))[1])"
+
+
+@query("title_case", rf"""SELECT doc_id, array_to_string(list_transform(w, lambda x, i: CASE WHEN i = 1 OR lower(x) NOT IN ({SMALL}) THEN CASE WHEN left(x, 1) = 'ß' THEN 'Ss' ELSE upper(left(x, 1)) END || lower(substr(x, 2)) ELSE lower(x) END), ' ') AS title FROM (SELECT doc_id, list_filter(string_split_regex({HEAD}, '\s+'), lambda x: x <> '') AS w FROM documents)""")
+def title_case(spark, d):
+    return _table(spark, d, "documents").select("doc_id", X.title_case(X.first_line(F.col("text"))).alias("title"))
+
+
+@query("phrase_trim", rf"""WITH t AS (SELECT doc_id, {HEAD} AS h FROM documents), c AS (SELECT *, left(h, 58) AS c FROM t), s AS (SELECT *, CASE WHEN contains(c, ' ') AND 58 - instr(reverse(c), ' ') > 29 THEN left(c, 58 - instr(reverse(c), ' ')) ELSE c END AS s FROM c)
+SELECT doc_id, CASE WHEN length(h) <= 58 THEN h ELSE regexp_replace(regexp_replace(s, '(?i)\s+(?:{X.DANGLING})\s*$', ''), '[ ,;:-]+$', '') END AS phrase FROM s""")
+def phrase_trim(spark, d):
+    return _table(spark, d, "documents").select("doc_id", X.phrase_trim(X.first_line(F.col("text")), 58).alias("phrase"))
+
+
+@query("pascal_case", rf"""SELECT doc_id, printf('%04d_', CAST(doc_id AS INTEGER)) || array_to_string(list_transform(w, lambda x: CASE WHEN left(x, 1) = 'ß' THEN 'Ss' ELSE upper(left(x, 1)) END || lower(substr(x, 2))), '') || '.txt' AS file_name FROM (SELECT doc_id, list_filter(string_split_regex(trim(regexp_replace(regexp_replace(left({HEAD}, 60), '[—–-]', ' ', 'g'), '[^\pL\pN_\s]', '', 'g')), '\s+'), lambda x: x <> '') AS w FROM documents)""")
+def pascal_case(spark, d):
+    return _table(spark, d, "documents").select("doc_id", X.numbered_name(F.col("doc_id"), F.left(X.first_line(F.col("text")), F.lit(60))).alias("file_name"))
+
+
+RANGES = "(SELECT CAST(v AS INTEGER) AS volume, CASE WHEN v = 1 THEN 1 WHEN v <= 6 THEN 54 + 57 * (v - 2) ELSE 348 + 57 * (v - 7) END AS lo, CASE WHEN v = 6 THEN 347 WHEN v = 63 THEN 3563 WHEN v = 1 THEN 53 WHEN v < 6 THEN 54 + 57 * (v - 2) + 56 ELSE 348 + 57 * (v - 7) + 56 END AS hi FROM range(1, 64) t(v))"
+
+
+@query("volume_range_join", f"SELECT o_orderkey, coalesce(volume, 63) AS volume FROM (SELECT o_orderkey, o_orderkey % 3700 AS n FROM orders) LEFT JOIN {RANGES} r ON n BETWEEN lo AND hi")
+def volume_range_join(spark, d):
+    items = _table(spark, d, "orders").select("o_orderkey", (F.col("o_orderkey") % 3700).alias("n"))
+    return D.assign_volume(items, "n").select("o_orderkey", "volume")
+
+
+@query("pending_items", "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def pending_items(spark, d):
+    return D.pending(_table(spark, d, "documents"), _table(spark, d, "labels"), "doc_id").select("doc_id", "source")
+
+
+@query("ordered_concat", "SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS text FROM conversations GROUP BY conv_id")
+def ordered_concat(spark, d):
+    return D.ordered_concat(_table(spark, d, "conversations"), "conv_id", ["turn"], "text")
+
+
+@query("running_count", "SELECT conv_id, turn, CAST(sum(length(text)) OVER (PARTITION BY conv_id ORDER BY turn) AS BIGINT) AS seen FROM conversations")
+def running_count(spark, d):
+    w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
+    return _table(spark, d, "conversations").select("conv_id", "turn", F.sum(F.length("text")).over(w).alias("seen"))
+
+
+@query("modal_quantity", "SELECT l_orderkey, v AS mode FROM (SELECT l_orderkey, l_quantity AS v, count(*) AS n, min(l_linenumber) AS f FROM lineitem GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY n DESC, f, v) = 1")
+def modal_quantity(spark, d):
+    return D.modal_value(_table(spark, d, "lineitem"), "l_orderkey", F.col("l_quantity"), "l_linenumber", 54.0)
+
+
+@query("median_quantity", "SELECT l_orderkey, list_sort(list(l_quantity))[count(*) // 2 + 1] AS median FROM lineitem GROUP BY l_orderkey")
+def median_quantity(spark, d):
+    return D.upper_median(_table(spark, d, "lineitem"), "l_orderkey", F.col("l_quantity"), 16.0)
+
+
+@query("first_words", "SELECT item_id, regexp_extract(text, '^[A-Za-z]+') AS word, CAST(length(text) AS INTEGER) AS n_chars FROM benchmark")
+def first_words(spark, d):
+    return _table(spark, d, "benchmark").select("item_id", F.regexp_extract("text", "^[A-Za-z]+", 0).alias("word"), F.length("text").alias("n_chars"))
+
+
+@query("tts_request", """SELECT doc_id, '{"text":"x","model_id":"voice","voice_settings":{"stability":0.5,"speed":' || CASE WHEN n_chars > 2000 THEN '0.9' ELSE '1.0' END || '}}' AS request FROM documents""")
+def tts_request(spark, d):
+    settings = F.struct(F.lit(0.5).alias("stability"), F.when(F.col("n_chars") > 2000, 0.9).otherwise(1.0).alias("speed"))
+    return _table(spark, d, "documents").select("doc_id", F.to_json(F.struct(F.lit("x").alias("text"), F.lit("voice").alias("model_id"), settings.alias("voice_settings"))).alias("request"))
+
+
+# The queries below read rows that both engines are given as VALUES.
+NAMES = "(VALUES ('43God''sX.txt'), ('43GodsX.txt'), ('07Two.txt'), ('07Also.txt'), ('51Beyond.txt'), ('notes.md'), ('12Last.txt')) AS t(file_name)"
+
+
+@query("manifest_dedupe", f"SELECT CAST(left(file_name, 2) AS INTEGER) AS num, min(file_name) AS file_name FROM {NAMES} WHERE regexp_matches(file_name, '^[0-9][0-9][A-Z]') AND CAST(left(file_name, 2) AS INTEGER) BETWEEN 1 AND 50 AND NOT contains(file_name, '''') GROUP BY 1")
+def manifest_dedupe(spark, d):
+    names = spark.sql(f"SELECT file_name FROM {NAMES.replace(chr(39) * 2, chr(92) + chr(39))}").withColumn("num", F.nullif(F.regexp_extract("file_name", r"^(\d{2})[A-Z]", 1), F.lit("")).cast("int"))
+    return D.keep_first(names.where(F.col("num").between(1, 50) & ~F.contains("file_name", F.lit("'"))), ["num"], ["file_name"]).select("num", "file_name")
+
+
+MARKS = "(VALUES (1, 1, '1 - The First Word.', 3), (1, 2, '7, 8 - Two Parts', 10), (1, 3, '3O - Letter Typo', 10), (1, 4, '165 The Plain One.', 15), (1, 5, 'Contents', NULL), (2, 1, '1451A - Quoted', 2)) AS t(volume, ord, title, start_page)"
+
+
+@query("bookmark_explode", "SELECT * FROM (VALUES (1, 1, 'The First Word'), (2, 7, 'Two Parts'), (2, 8, 'Two Parts'), (3, 30, 'Letter Typo'), (4, 165, 'The Plain One'), (1, 1451, 'Quoted')) AS t(ord, num, title)")
+def bookmark_explode(spark, d):
+    rows = spark.sql(f"SELECT * FROM {MARKS}").withColumn("p", X.bookmark_numbers(F.col("title"))).where("p is not null")
+    return rows.select("ord", F.explode("p.nums").alias("num"), F.col("p.title").alias("title"))
+
+
+@query("page_ranges", f"SELECT volume, ord, start_page, coalesce(lead(start_page) OVER (PARTITION BY volume ORDER BY ord), 20) AS end_page FROM {MARKS} WHERE start_page IS NOT NULL")
+def page_ranges(spark, d):
+    return D.page_ranges(spark.sql(f"SELECT * FROM {MARKS}"), spark.sql("SELECT * FROM (VALUES (1, 20), (2, 20)) AS t(volume, total)")).select("volume", "ord", "start_page", "end_page")
+
+
+@query("dehyphenate", "SELECT * FROM (VALUES (1, 0, 'foobar-'), (1, 1, 'baz'), (2, 0, 'plain'), (2, 1, 'conti nued')) AS t(doc, pos, line)")
+def dehyphenate(spark, d):
+    rows = spark.sql("SELECT 1 AS doc, array('foo-', 'bar-', 'baz') AS l UNION ALL SELECT 2, array('plain', 'conti nued')")
+    return rows.select("doc", F.posexplode(X.dehyphenate(F.col("l"))).alias("pos", "line"))
+
+
+@query("caps_fix", "SELECT * FROM (VALUES (1, 'The Lord said TO him'), (2, 'II Kept GOD.')) AS t(i, fixed)")
+def caps_fix(spark, d):
+    rows = spark.sql("SELECT * FROM (VALUES (1, 'THE LORD SAID TO him'), (2, 'II KEPT GOD.')) AS t(i, s)")
+    return rows.select("i", X.caps_to_title(F.col("s"), ("II", "TO")).alias("fixed"))
+
+
+LAYOUT = "(VALUES (1, 1, 54.0, 10.0, 20.0, 14.0), (1, 2, 54.4, 26.0, 36.0, 14.0), (1, 3, 68.0, 42.0, 52.0, 14.0), (1, 4, 160.0, 58.0, 68.0, 12.0), (1, 5, 160.0, 74.0, 84.0, 12.0), (1, 6, 54.0, 140.0, 150.0, 14.0), (1, 7, 170.0, 10.0, 20.0, 14.0)) AS t(doc, line_no, x0, y0, y1, size)"
+
+
+@query("paragraph_islands", "SELECT * FROM (VALUES (1, 1, 1, 'body'), (1, 2, 1, 'body'), (1, 3, 2, 'body'), (1, 4, 3, 'verse'), (1, 5, 3, 'verse'), (1, 6, 4, 'body'), (1, 7, 5, 'blockquote')) AS t(doc, line_no, para_id, kind)")
+def paragraph_islands(spark, d):
+    rows = spark.sql(f"SELECT doc, line_no, double(x0) x0, double(y0) y0, double(y1) y1, double(size) size FROM {LAYOUT}")
+    return D.paragraph_islands(rows, 54.0, 16.0).withColumn("para_id", F.col("para_id").cast("int"))
+
+
+@query("fallback_join", "SELECT * FROM (VALUES ('a', 'John 3:16'), ('b', 'own'), ('c', '')) AS t(file_name, ref)")
+def fallback_join(spark, d):
+    left = spark.sql("SELECT * FROM (VALUES ('a', 'x'), ('b', 'own'), ('c', NULL)) AS t(file_name, ref)")
+    return D.fallback(left, spark.sql("SELECT * FROM (VALUES ('a', 'John 3:16'), ('b', '')) AS t(file_name, ref)"), "file_name", "ref").select("file_name", "ref")
+
+
+@query("allcaps_lines", r"""SELECT doc_id, CAST(len(list_filter(string_split(text, chr(10)), lambda l: len(regexp_extract_all(l, '\pL')) >= 3 AND len(regexp_extract_all(l, '\p{Lu}')) > 0.8 * len(regexp_extract_all(l, '\pL')))) AS INTEGER) AS n FROM documents""")
+def allcaps_lines(spark, d):
+    return _table(spark, d, "documents").select("doc_id", F.size(F.filter(X.lines(F.col("text")), X.allcaps)).alias("n"))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id")
+    return top_quotes(spark, sf_dir)
