@@ -29,7 +29,7 @@ ship(__name__)
 
 SAMPLE = 8192
 LISTS = 64
-PROBES = 24
+PROBES = 48
 BLOCK = 2048
 QUERY_BLOCK = 1024
 STEP = 16

@@ -190,7 +190,7 @@ def dehyphenate(spark, d):
     return rows.select("doc", F.posexplode(X.dehyphenate(F.col("l"))).alias("pos", "line"))
 
 
-@query("caps_fix", "SELECT * FROM (VALUES (1, 'The Lord said TO him'), (2, 'II Kept GOD.')) AS t(i, fixed)")
+@query("caps_fix", "SELECT * FROM (VALUES (1, 'The Lord Said TO him'), (2, 'II Kept GOD.')) AS t(i, fixed)")
 def caps_fix(spark, d):
     rows = spark.sql("SELECT * FROM (VALUES (1, 'THE LORD SAID TO him'), (2, 'II KEPT GOD.')) AS t(i, s)")
     return rows.select("i", X.caps_to_title(F.col("s"), ("II", "TO")).alias("fixed"))
