@@ -1,7 +1,7 @@
 """Approximate nearest neighbours by largest inner product: inverted lists and an adaptive dimension scan.
 
 Vectors get one more dimension that makes all lengths equal, so the largest inner product is the smallest distance. A
-bounded sample (SAMPLE rows, the first in the order of a hash) fits the lists' centres and seeds the rotation; every
+bounded sample (about SAMPLE rows, picked by a hash of the id) fits the lists' centres and seeds the rotation; every
 vector is indexed, in its nearest list. Lists are dealt into blocks of about BLOCK vectors, so a list that holds
 most rows is many blocks. A query probes its PROBES nearest lists. In a block the rotated vectors lie in column blocks of
 STEP dimensions: after each, a candidate is abandoned if its partial distance, scaled to all dimensions, exceeds the
@@ -15,6 +15,7 @@ which is a neighbour of its own id. An empty table gives an empty result. Other
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -163,7 +164,11 @@ def nearest(vectors: DataFrame, queries, k: int = K, probes: int = PROBES, lists
     spark = vectors.sparkSession
     rows = keep(valid_vectors(vectors))
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    fitted = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()
+    share = min(1.0, sample / max(rows.count(), 1))
+    fitted = rows.where(F.pmod(F.xxhash64("vec_id"), F.lit(1_000_000)) < math.ceil(1_000_000 * share)).collect()
+    fitted.sort(key=lambda r: (r.vec_id, r.v))
+    if not fitted:  # no rows: by the share, any rows give some but for repeats of one id
+        fitted = rows.limit(1).collect()
     if not fitted:
         return empty
     longest = rows.agg(F.sqrt(F.max(F.aggregate("v", F.lit(0.0), lambda t, c: t + c * c)))).first()[0]

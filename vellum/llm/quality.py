@@ -1,7 +1,7 @@
 """Quality classifier: a sparse ensemble of rules over text statistics.
 
-Statistics of every whole text are computed in one pass. A bounded sample of labelled rows (TRAIN_ROWS, the
-first in the order of a hash of doc_id) trains boosted trees; every path of a tree becomes a conjunctive rule;
+Statistics of every whole text are computed in one pass. A bounded sample of labelled rows (about TRAIN_ROWS,
+picked by a hash of doc_id) trains boosted trees; every path of a tree becomes a conjunctive rule;
 L1-penalised logistic weights keep few of them; the kept rules are compiled into one Spark column expression,
 so scoring stays inside the generated code. Only statistics of the text enter a score.
 
@@ -23,11 +23,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vellum.llm.common import crc32_fold, keep, ship
+from vellum.llm.common import crc32_fold, keep, maybe_broadcast, ship
 
 ship(__name__)
 
-#: Most labelled rows that training reads to the driver.
+#: Labelled rows that training reads to the driver, as expected from a hash of doc_id.
 TRAIN_ROWS = 20_000
 STATISTICS = ("log_bytes", "log_words", "word_bytes", "longest_word", "upper", "digit", "space", "newline", "stop", "symbol", "exclaim", "pipe", "high", "distinct_words", "repeated_lines", "symbol_words", "short_lines", "distinct_bytes")
 _GROUPS = {
@@ -191,13 +191,18 @@ def fit_rules(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3) -> RuleModel:
     return RuleModel(float(intercept), tuple(distinct[k] for k in kept), tuple(float(weights[k]) for k in kept))
 
 
-def learn(described: DataFrame, labels: DataFrame, name: str, train_rows: int = TRAIN_ROWS) -> RuleModel:
-    """Fit on labelled rows outside the held-out third (crc32 of the id's text mod 3 is 1).
-
-    described: doc_id and the statistics column `name`; labels: doc_id and quality."""
+def training_marks(labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
+    """(doc_id, quality) of about train_rows labelled ids outside the held-out third (crc32 of the id's text mod 3 is 1)."""
     marks = labels.where("quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.avg("quality") >= 0.5).cast("int").alias("quality"))
-    seen = described.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(name).alias("stats")).where(crc32_fold(F.col("doc_id")) != 1)
-    rows = seen.join(marks, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").select("stats", "quality").limit(train_rows).collect()
+    marks = marks.where(crc32_fold(F.col("doc_id")) != 1)
+    share = min(1.0, train_rows / max(marks.count(), 1))
+    return marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < math.ceil(1_000_000 * share))
+
+
+def learn(described: DataFrame, marks: DataFrame, name: str) -> RuleModel:
+    """Fit to the statistics (column `name`) of the rows of described whose doc_id is marked; marks: as training_marks gives them."""
+    rows = described.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(name).alias("stats")).join(marks, "doc_id").select("doc_id", "stats", "quality").collect()
+    rows.sort(key=lambda r: (r.doc_id, r.stats))
     if not rows:
         return fit_rules(np.zeros((0, len(STATISTICS))), np.zeros(0))
     return fit_rules(np.array([r.stats for r in rows]), np.array([r.quality for r in rows], float))
@@ -212,15 +217,16 @@ def _free(docs: DataFrame, name: str) -> str:
 def quality_scores(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """(doc_id, score, predicted) of every row; one pass over the texts."""
     described = keep(with_statistics(docs.select("doc_id", "text"), ["doc_id"], "stats"))
-    model = learn(described, labels, "stats", train_rows)
+    model = learn(described, training_marks(labels, train_rows), "stats")
     scored = described.select("doc_id", model.score(F.col("stats")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """The rows of docs that score at least the threshold, with their columns."""
-    described = with_statistics(docs.select("doc_id", "text"), ["doc_id"], "stats")
-    model = learn(described, labels, "stats", train_rows)
+    marks = keep(training_marks(labels, train_rows))
+    marked = docs.select("doc_id", "text").join(maybe_broadcast(marks, 2 * train_rows, 16), "doc_id", "left_semi")
+    model = learn(with_statistics(marked, ["doc_id"], "stats"), marks, "stats")
     name = _free(docs, "stats")
     scored = with_statistics(docs, docs.columns, name)
     return scored.where(model.score(F.col(name)) >= threshold).select(*[F.col(f"`{c}`") for c in docs.columns])
