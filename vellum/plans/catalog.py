@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from vellum.functions import markup as M
+from vellum.functions import references as R
 from vellum.functions import text as X
 from vellum.operators import documents as D
 
@@ -216,5 +218,54 @@ def allcaps_lines(spark, d):
     return _table(spark, d, "documents").select("doc_id", F.size(F.filter(X.lines(F.col("text")), X.allcaps)).alias("n"))
 
 
+@query("scripture_expand", """SELECT * FROM (VALUES (1, '<sub alias="Romans chapter 8, verse 28">Rom. 8:28</sub>.'), (2, 'see <sub alias="Psalm chapter 23">Psalm 23</sub>'), (3, '2 Corinthians 5:17'), (4, '<sub alias="John chapter 3, verses 3, 7, 9 through 11">John 3:3, 7, 9-11</sub> and <sub alias="First John chapter 1, verses 3 through 5">1 John 1:3-5</sub>')) AS t(i, ssml)""")
+def scripture_expand(spark, d):
+    rows = spark.sql("SELECT * FROM (VALUES (1, 'Rom. 8:28.'), (2, 'see Psalm 23'), (3, '2 Corinthians 5:17'), (4, 'John 3:3, 7, 9-11 and 1 John 1:3-5')) AS t(i, s)")
+    return rows.select("i", R.expand_references(F.col("s")).alias("ssml"))
+
+
+@query("scripture_fallback", "SELECT * FROM (VALUES ('a', 'John 3:16'), ('b', 'Psalm 1:1-3'), ('c', '')) AS t(file_name, ref)")
+def scripture_fallback(spark, d):
+    texts = spark.sql(r"SELECT * FROM (VALUES ('a', 'T\nRomans 1:1'), ('b', 'T\nsee Psalm 1:1-3 x\nMark 1:1'), ('c', 'romans 1:1')) AS t(file_name, text)")
+    notes = spark.sql(r"SELECT * FROM (VALUES ('a', 'x\n Scripture: John 3:16\n'), ('b', 'no line')) AS t(file_name, text)")
+    return D.fallback(texts.select("file_name", R.first_reference(F.col("text")).alias("ref")), notes.select("file_name", R.noted_reference(F.col("text")).alias("ref")), "file_name", "ref")
+
+
+@query("scripture_refs", "SELECT * FROM (VALUES (1, 'john 3:4|1 Corinthians 1:23, 24')) AS t(i, refs)")
+def scripture_refs(spark, d):
+    rows = spark.sql("SELECT 1 AS i, 'john 3:4; 1 Corinthians 1:23, 24. john 3:4' AS s")
+    return rows.select("i", F.array_join(R.references(F.col("s")), "|").alias("refs"))
+
+
+@query("title_body", "SELECT * FROM (VALUES (1, 'My Title', '12', 'Body one.'), (2, 'Other', NULL, 'Plain body' || chr(10) || 'A SERMON DELIVERED x'), (3, 'Third', '7', '')) AS t(i, title, number, body)")
+def title_body(spark, d):
+    rows = spark.sql(r"SELECT * FROM (VALUES (1, 'My Title\n12\n\nMY TITLE,\nNO. 12\nBody one.'), (2, 'Other\nPlain body\nA SERMON DELIVERED x'), (3, 'Third\n\nNo. 7')) AS t(i, s)")
+    return rows.select("i", M.title_and_body(F.col("s")).alias("p")).select("i", "p.title", "p.number", "p.body")
+
+
+@query("ssml_render")
+def ssml_render(spark, d):
+    parts = _table(spark, d, "documents").select("doc_id", M.title_and_body(X.xml_escape(F.col("text"))).alias("p"))
+    return parts.select("doc_id", M.speech(F.col("p.title"), F.col("p.number"), F.col("p.body")).alias("ssml"))
+
+
+@query("span_html", "SELECT * FROM (VALUES (1, '<strong><em>a&amp;b</em></strong> <em>c</em>d<strong>e</strong>')) AS t(i, html)")
+def span_html(spark, d):
+    rows = spark.sql("SELECT 1 AS i, array(named_struct('text', 'a&b', 'italic', true, 'bold', true), named_struct('text', ' ', 'italic', true, 'bold', true), named_struct('text', 'c', 'italic', true, 'bold', false), named_struct('text', 'd', 'italic', false, 'bold', false), named_struct('text', 'e', 'italic', false, 'bold', true)) AS spans")
+    return rows.select("i", M.spans_html(F.col("spans")).alias("html"))
+
+
+@query("pronounce", """SELECT * FROM (VALUES (1, '<x a="Job"/> <phoneme alphabet="ipa" ph="dʒoʊb">Job</phoneme> job <phoneme alphabet="ipa" ph="ˈsaɪmən">simon</phoneme> Simonides')) AS t(i, ssml)""")
+def pronounce(spark, d):
+    rows = spark.sql("""SELECT 1 AS i, '<x a="Job"/> Job job simon Simonides' AS s""")
+    return rows.select("i", M.pronounce(F.col("s"), (("Job", "dʒoʊb", True), ("Simon", "ˈsaɪmən", False))).alias("ssml"))
+
+
+@query("boilerplate_trim", "SELECT * FROM (VALUES (1, 3, 'Body'), (1, 4, '12'), (2, 1, 'Only')) AS t(doc, line_no, line)")
+def boilerplate_trim(spark, d):
+    rows = spark.sql("SELECT * FROM (VALUES (1, 1, 'Volume 3'), (1, 2, '7'), (1, 3, 'Body'), (1, 4, '12'), (1, 5, ''), (1, 6, 'Visit our site'), (2, 1, 'Only')) AS t(doc, line_no, line)")
+    return D.boilerplate_trim(rows, F.regexp_like("line", F.lit(r"(?i)^\d{1,4}\s*$|Volume\s*\d+")), F.contains(F.lower("line"), F.lit("visit our site")))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_quotes(spark, sf_dir)

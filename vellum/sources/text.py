@@ -15,7 +15,7 @@ def json_records(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("multiLine", True).json(path)
 
 
-def volume_files(spark: SparkSession, n: int = 63, pattern: str = "chsbm%02d.pdf") -> DataFrame:
+def volume_files(spark: SparkSession, n: int = 63, pattern: str = "volume%02d.pdf") -> DataFrame:
     return spark.range(1, n + 1).select(F.col("id").cast("int").alias("volume"), F.format_string(pattern, "id").alias("file_name"))
 
 
