@@ -20,14 +20,18 @@ def header_lines(author: str | None = None) -> tuple[str, ...]:
 def title_and_body(text: Column, headers: tuple[str, ...] = HEADER_LINES) -> Column:
     """struct(title, number, body): a number stands on the first non-blank line of the next four, bare or after "No."; then
     header lines are skipped."""
-    lines = F.transform(F.split(text, "\n", -1), lambda x, i: F.struct(i.alias("i"), F.btrim(x, F.lit(" \t\r\n\f\x0b")).alias("s"), x.alias("raw")))
-    second = F.get(F.filter(lines, lambda x: (x["i"] >= 1) & (x["i"] <= 4) & (x["s"] != "")), F.lit(0))
+    raw = F.split(text, "\n", -1)
+    bare = F.transform(raw, lambda x: F.btrim(x, F.lit(" \t\r\n\f\x0b")))
+    near = F.transform(F.slice(bare, 2, 4), lambda x, i: F.struct((i + 1).alias("i"), x.alias("s")))
+    second = F.get(F.filter(near, lambda x: x["s"] != ""), F.lit(0))
     number = F.coalesce(F.nullif(F.regexp_extract(second["s"], r"^(\d+)$", 1), F.lit("")), F.nullif(F.regexp_extract(second["s"], r"^[Nn][Oo]\.?\s*(\d+)", 1), F.lit("")))
     start = F.when(number.isNotNull(), second["i"] + 1).otherwise(F.lit(1))
     header = lambda s: F.regexp_like(s, F.lit("|".join(f"(?:{p})" for p in headers)))
-    first = F.get(F.filter(lines, lambda x: (x["i"] >= start) & ~header(x["s"])), F.lit(0))["i"]
-    body = F.array_join(F.transform(F.filter(lines, lambda x: x["i"] >= F.coalesce(first, F.size(lines))), lambda x: x["raw"]), "\n")
-    return F.struct(F.get(lines, F.lit(0))["s"].alias("title"), number.alias("number"), body.alias("body"))
+    # slices, not conditions inside the lambdas, so that each search runs once over the lines
+    rest = F.slice(bare, start + 1, F.size(raw))
+    skipped = F.get(F.filter(F.transform(rest, lambda x, i: F.when(~header(x), i)), lambda i: i.isNotNull()), F.lit(0))
+    body = F.array_join(F.slice(raw, start + F.coalesce(skipped, F.size(rest)) + 1, F.size(raw)), "\n")
+    return F.struct(F.get(bare, F.lit(0)).alias("title"), number.alias("number"), body.alias("body"))
 
 
 def speech(title: Column, number: Column, body: Column) -> Column:
