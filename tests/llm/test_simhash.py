@@ -75,6 +75,27 @@ def test_bk_tree_finds_all_within_radius():
     assert found == want
 
 
+def test_large_shards_are_split_exactly(spark):
+    r = np.random.default_rng(3)
+    base = r.integers(0, 1 << 63, 6, dtype=np.uint64)
+    flips = np.uint64(1) << r.integers(0, 64, (4, 900)).astype(np.uint64)
+    values = np.unique(np.concatenate([base, base[r.integers(0, 6, 900)] ^ flips[0] ^ flips[1] ^ flips[2] ^ flips[3]]))
+    nodes = spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "fp long")
+
+    def groups(members):
+        root = {r.u: r.v for r in components(S.near_links(nodes, 3, members)).collect()}
+        return [root.get(int(v), int(v)) for v in values.view(np.int64)]
+
+    label = np.arange(len(values))
+    for i in range(len(values)):
+        near = np.unique(label[np.bitwise_count(values ^ values[i]) <= 3])
+        label[np.isin(label, near)] = near[0]
+    want = [int(x) for x in label]
+    for members in (4, 40, 16_384):
+        got = groups(members)
+        assert len(set(zip(got, want, strict=True))) == len(set(got)) == len(set(want))
+
+
 def test_components_of_long_chain_and_hub(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000, i) for i in range(1001, 1300)] + [(5, 5)]
     got = {r.u: r.v for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}

@@ -4,8 +4,9 @@ Two 64-bit fingerprints within 3 bits agree on one of four 16-bit blocks, and wi
 on one of four 12-bit blocks. So 16 shards a fingerprint, each keyed by 28 agreed bits, hold every pair
 within the radius. A shard is a BK-tree whose children are keyed by their integer Hamming distance to
 the parent; a search follows only edges within the radius. Trees grow with the corpus, so they are not
-broadcast: each lives in the task that its shard was dealt to. A shard returns the edges of a spanning
-forest of its links, never all pairs of a group.
+broadcast: each lives in the task that its shard was dealt to. A shard beyond SHARD_MEMBERS is not held: its
+rows stream out again under four keys each, by the same rule on the bits that they need not agree on, up to three
+times. A shard returns the edges of a spanning forest of its links, never all pairs of a group.
 
 Cases: a null or blank text has the fingerprint zero and links like any other. Texts of fewer words
 than a shingle hash as one shingle. Equal fingerprints are one node. Repeated rows each give a row.
@@ -15,6 +16,7 @@ An empty table gives an empty result. Only doc_id and text are read; other colum
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +29,10 @@ ship(__name__)
 
 RADIUS = 3
 SHINGLE = 3
+#: Distinct fingerprints of a shard beyond which it is split.
+SHARD_MEMBERS = 16_384
+#: Most bits that each split of a shard agrees on; after the last, 16 bits or fewer are free, so 65,536 members are the most.
+SPLIT_WIDTHS = (9, 7, 6)
 #: Row v: the bits of byte v, most significant first.
 BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 
@@ -118,44 +124,78 @@ def forest(values: np.ndarray, radius: int) -> Iterator[tuple[int, int]]:
         yield i, int(label[i])
 
 
-def _shard_links(radius: int):
-    def links(values: np.ndarray, out: tuple[list, list]) -> None:
-        for i, j in forest(values, radius):
-            out[0].append(values[i])
-            out[1].append(values[j])
+def free_bits(key: int, level: int) -> list[np.ndarray]:
+    """The four blocks of bit places that the members of a shard need not agree on; level: how often its parents were split."""
+    choices = []  # the block that each split agreed on
+    for width in reversed(SPLIT_WIDTHS[:level]):
+        choices.append(key >> width & 3)
+        key >>= width + 2
+    i, j = key >> 30 & 3, key >> 28 & 3
+    others = [b for b in range(4) if b != i]
+    rest = np.array([16 * others[2 - r // 16] + r % 16 for r in range(48) if r // 12 != j])
+    for choice in reversed(choices):
+        rest = np.concatenate([part for k, part in enumerate(np.array_split(rest, 4)) if k != choice])
+    return np.array_split(rest, 4)
+
+
+def split_shard(key: int, level: int, values: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(keys, values) of a shard's four splits: members within 3 bits of each other meet in at least one of them."""
+    for choice, places in enumerate(free_bits(key, level)):
+        part = np.zeros(len(values), np.int64)
+        for k, place in enumerate(places.tolist()):
+            part |= (values >> np.uint64(place) & np.uint64(1)).astype(np.int64) << k
+        yield ((key << 2 | choice) << SPLIT_WIDTHS[level]) | part, values
+
+
+def _shard_links(radius: int, level: int, members: int):
+    """Rows (sub, u, v): links with no sub, and of a shard beyond `members` its rows' splits (sub, u) instead."""
+    whole = level < len(SPLIT_WIDTHS)  # whether a shard may be split further
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, parts, out = None, [], ([], [])
+        key, parts, size, splits = None, [], 0, False
+        links: tuple[list, list] = ([], [])
+        dealt: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def finish() -> None:
+            nonlocal parts, size
+            if splits:
+                dealt.extend(split_shard(int(key), level, np.concatenate(parts)) if parts else ())
+            elif size > 1:
+                values = np.concatenate(parts)
+                for i, j in forest(values, radius):
+                    links[0].append(values[i])
+                    links[1].append(values[j])
+            parts, size = [], 0
 
         def flush(full: bool) -> Iterator[pa.RecordBatch]:
-            if out[0] and (full or len(out[0]) > 50_000):
-                yield pa.RecordBatch.from_arrays([pa.array(np.array(x, np.uint64).view(np.int64)) for x in out], names=["u", "v"])
-                out[0].clear()
-                out[1].clear()
+            if links[0] and (full or len(links[0]) > 50_000):
+                u, v = (pa.array(np.array(x, np.uint64).view(np.int64)) for x in links)
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(u), pa.int64()), u, v], names=["sub", "u", "v"])
+                links[0].clear()
+                links[1].clear()
+            for subs, values in dealt:
+                yield pa.RecordBatch.from_arrays([pa.array(subs), pa.array(values.view(np.int64)), pa.nulls(len(subs), pa.int64())], names=["sub", "u", "v"])
+            dealt.clear()
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             keys, values = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
             starts = np.concatenate(([0], np.flatnonzero(np.diff(keys)) + 1, [len(keys)]))
-            if keys[0] != key and parts:
-                if sum(map(len, parts)) > 1:
-                    links(np.concatenate(parts), out)
-                parts = []
             sizes = np.diff(starts)
-            sizes[0] += 2 if parts else 0
-            sizes[-1] += 2
-            for k in np.flatnonzero(sizes > 1).tolist():
-                group = values[starts[k] : starts[k + 1]]
-                if k == 0 and parts:
-                    group = np.concatenate([*parts, group])
-                if k == len(sizes) - 1:
-                    key, parts = keys[-1], [group]
-                else:
-                    links(group, out)
+            seen = sizes > 1
+            seen[[0, -1]] = True  # these may go on in the batches beside this one
+            for k in np.flatnonzero(seen).tolist():
+                if keys[starts[k]] != key:
+                    finish()
+                    key, splits = keys[starts[k]], False
+                parts.append(values[starts[k] : starts[k + 1]])
+                size += int(sizes[k])
+                if whole and (splits or size > members):
+                    splits = True
+                    finish()
             yield from flush(False)
-        if parts and sum(map(len, parts)) > 1:
-            links(np.concatenate(parts), out)
+        finish()
         yield from flush(True)
 
     return run
@@ -178,12 +218,20 @@ def shards(nodes: DataFrame) -> DataFrame:
     return nodes.select(F.explode(F.array(*keys)).alias("key"), "fp")
 
 
-def near_links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Edges (u, v) between distinct fingerprints that keep exactly the groups of links within the radius (3 at most)."""
+def near_links(nodes: DataFrame, radius: int = RADIUS, members: int = SHARD_MEMBERS) -> DataFrame:
+    """Edges (u, v) between distinct fingerprints that keep exactly the groups of links within the radius (3 at most).
+
+    A task holds at most `members` fingerprints and a batch of one shard; what is larger is dealt out again, by more agreed bits."""
     if not 0 <= radius <= 3:
         raise ValueError("the shards hold pairs of up to 3 differing bits")
-    dealt = shards(nodes).repartition("key").sortWithinPartitions("key", "fp")
-    return dealt.mapInArrow(_shard_links(radius), "u long, v long").distinct()
+    dealt, found = shards(nodes), []
+    for level in range(len(SPLIT_WIDTHS) + 1):
+        rows = keep(dealt.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_shard_links(radius, level, members), "sub long, u long, v long"))
+        found.append(rows.where("sub is null").select("u", "v"))
+        dealt = rows.where("sub is not null").select(F.col("sub").alias("key"), F.col("u").alias("fp"))
+        if not dealt.take(1):
+            break
+    return reduce(DataFrame.unionByName, found).distinct()
 
 
 def simhash_components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
@@ -206,8 +254,8 @@ def op4_simhash(spark, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The rows of docs whose doc_id is the smallest of its near-duplicate group; of rows that repeat that doc_id, all
-    with the same text count as one and the first by text stays. Rows without a doc_id stay."""
+    """The rows of docs whose doc_id is the smallest of its near-duplicate group. Rows that repeat a doc_id stay or go together: they
+    go if any of them has a group with a smaller doc_id. Rows without a doc_id stay."""
     found = simhash_components(docs, shingle, radius)
     dropped = found.where("doc_id != component_id").select("doc_id").distinct()
     kept = docs.join(dropped, "doc_id", "left_anti")
