@@ -117,3 +117,12 @@ def fallback(left: DataFrame, right: DataFrame, key: str, value: str) -> DataFra
 
 def pending(items: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return items.join(done, key, "left_anti")
+
+
+def manifest(kinds: dict[str, DataFrame], order: str) -> DataFrame:
+    """One row: for each kind the array of its rows, by `order`. A catalogue of files, so its size is that of a listing."""
+    out = None
+    for name, rows in kinds.items():
+        one = rows.agg(F.array_sort(F.collect_list(F.struct(order, *[c for c in rows.columns if c != order]))).alias(name))
+        out = one if out is None else out.join(one, F.lit(True))  # one row each
+    return out

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vellum.functions import markup as M
+from vellum.functions import outline as O
 from vellum.functions import references as R
 from vellum.functions import text as X
 from vellum.operators import documents as D
+from vellum.operators import outline as P
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -267,5 +269,85 @@ def boilerplate_trim(spark, d):
     return D.boilerplate_trim(rows, F.regexp_like("line", F.lit(r"(?i)^\d{1,4}\s*$|Volume\s*\d+")), F.contains(F.lower("line"), F.lit("visit our site")))
 
 
+MARKED = r"\b(?:the|of|and|to)\b"
+
+
+@query("applications_tail", r"""WITH l AS (SELECT doc_id, string_split(regexp_replace(text, '\r\n?', chr(10), 'g'), chr(10)) AS l FROM documents),
+t AS (SELECT doc_id, array_to_string(list_filter(list_transform(l[len(l) - len(l) // 3 + 1:], lambda s: regexp_replace(s, '^\s+|\s+$', '', 'g')), lambda s: s <> '' AND NOT (regexp_matches(s, '\p{Lu}') AND NOT regexp_matches(s, '\p{Ll}')) AND NOT regexp_matches(s, '^[0-9]+$')), ' ') AS text FROM l),
+s AS (SELECT doc_id, unnest(range(len(s))) AS pos, unnest(s) AS s FROM """ + SIMPLE.replace("FROM documents", "FROM t") + r"""),
+k AS (SELECT doc_id, pos, CASE WHEN length(s) > 120 THEN left(s, 117) || '...' ELSE s END AS application FROM s WHERE length(s) BETWEEN 30 AND 130 AND regexp_matches(s, '(?i)\b(?:the|of|and|to)\b')),
+u AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY doc_id, left(application, 25) ORDER BY pos) = 1)
+SELECT doc_id, CAST(pos AS INTEGER) AS pos, application FROM u QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY pos) <= 4""")
+def applications_tail(spark, d):
+    return P.applications(_table(spark, d, "documents").select("doc_id", F.col("text").alias("body")), f"(?i){MARKED}")
+
+
+HEADS = r"(VALUES (1, 'T\nPREACHED ON SUNDAY, MAY 3, 1868,\nAT THE HALL.\n\"A word\nMark 1:1'), (2, 'T\nplain\nLuke 2:2')) AS t(i, s)"
+
+
+@query("date_location", "SELECT * FROM (VALUES (1, 'SUNDAY; THE HALL'), (2, '')) AS t(i, v)")
+def date_location(spark, d):
+    return spark.sql(f"SELECT * FROM {HEADS.replace('MAY 3, 1868', 'MAY')}").select("i", O.date_and_place(F.col("s")).alias("v"))
+
+
+@query("opening_scripture", "SELECT * FROM (VALUES (1, 'Mark 1:1'), (2, 'Luke 2:2')) AS t(i, ref)")
+def opening_scripture(spark, d):
+    return spark.sql(f"SELECT * FROM {HEADS}").select("i", O.opening_reference(F.col("s")).alias("ref"))
+
+
+@query("body_start", "SELECT * FROM (VALUES (1, 1), (2, 2)) AS t(i, first_line)")
+def body_start(spark, d):
+    rows = spark.sql(r"SELECT * FROM (VALUES (1, 'x\ny'), (2, 'T\nLuke 2:2\nNow it starts')) AS t(i, s)")
+    return rows.select("i", O.body_start(F.col("s")).alias("first_line"))
+
+
+BODIES = r"(VALUES (1, 'x\nI. First the theme\nGOES ON\n\nsee John 3:4.\nII. The next matter\nMark 1:1'), (2, 'x\nFirst, we see light. More\nIn the second place, dark'), (3, 'nothing')) AS t(doc_id, body)"
+
+
+@query("divisions_roman", "SELECT * FROM (VALUES (1, 0, 'I', 'First the Theme Goes on', 'John 3:4'), (1, 1, 'II', 'The Next Matter Mark 1', 'Mark 1:1')) AS t(doc_id, pos, numeral, heading, refs)")
+def divisions_roman(spark, d):
+    return P.divisions(spark.sql(f"SELECT * FROM {BODIES}").where("doc_id = 1")).select("doc_id", "pos", "numeral", "heading", F.array_join("refs", "|").alias("refs"))
+
+
+@query("divisions_fallback", "SELECT * FROM (VALUES (2, 0, 'I', 'We See Light'), (2, 1, 'II', 'Dark')) AS t(doc_id, pos, numeral, heading)")
+def divisions_fallback(spark, d):
+    return P.divisions(spark.sql(f"SELECT * FROM {BODIES}").where("doc_id > 1")).select("doc_id", "pos", "numeral", "heading")
+
+
+@query("division_points", "SELECT * FROM (VALUES (1, 'Alpha beta gamma delta.|Second point of it all.')) AS t(i, points)")
+def division_points(spark, d):
+    return spark.sql(r"SELECT 1 AS i, 'head\n1. Alpha beta gamma delta.\n2. Second point of it all.' AS s").select("i", F.array_join(O.subpoints(F.col("s")), "|").alias("points"))
+
+
+@query("illustrations", "SELECT * FROM (VALUES (1, 1, 'like a ship upon the sea -- Holding Firm'), (1, 2, 'A farmer sows his field')) AS t(doc_id, pos, illustration)")
+def illustrations(spark, d):
+    return P.illustrations(spark.sql(r"SELECT 1 AS doc_id, 'x\nHe stood. Faith here, holding firm like a ship upon the sea, sails. So.\nSuppose a farmer sows his field, then waits.' AS body"))
+
+
+@query("outline_render")
+def outline_render(spark, d):
+    docs = _table(spark, d, "documents").select("doc_id", "text", M.title_and_body(F.col("text")).alias("p"))
+    return P.render(docs.select("doc_id", "text", "p.title", "p.number", "p.body"), top_quotes(spark, d).select("doc_id", "rank", "sentence"))
+
+
+@query("broken_words", "SELECT * FROM (VALUES (1, 'the gospel, Father and'), (2, 'into it')) AS t(i, line)")
+def broken_words(spark, d):
+    words = spark.sql("SELECT explode(array('gospel', 'father', 'fat', 'her', 'go', 'into', 'in', 'to', 'it')) AS word")
+    return P.join_broken_words(spark.sql("SELECT * FROM (VALUES (1, 'the go spel, Fat her and'), (2, 'in to it')) AS t(i, line)"), "line", words)
+
+
+@query("layout_roles", "SELECT * FROM (VALUES (1, 1, 'metadata'), (1, 2, 'scripture'), (1, 3, 'body'), (2, 1, 'metadata'), (2, 2, 'body')) AS t(doc, line_no, role)")
+def layout_roles(spark, d):
+    rows = spark.sql("SELECT doc, line_no, text, double(size) size, double(x0) x0 FROM (VALUES (1, 1, 'HEAD', 14.0, 54.0), (1, 2, '“Words', 12.0, 54.0), (1, 3, 'Body', 13.9, 54.0), (2, 1, 'HEAD', 14.0, 54.0), (2, 2, 'Text', 14.0, 60.0)) AS t(doc, line_no, text, size, x0)")
+    return P.layout_roles(rows, F.col("text") == "HEAD", 54.0).select("doc", "line_no", "role")
+
+
+@query("manifest_nested", """SELECT * FROM (VALUES ('{"first":[{"num":1,"title":"A"},{"num":2,"title":"caf\\u00e9"}],"second":[{"num":7,"title":"B"}]}')) AS t(json)""")
+def manifest_nested(spark, d):
+    first = spark.sql("SELECT * FROM (VALUES (2, 'café'), (1, 'A')) AS t(num, title)")
+    return D.manifest({"first": first, "second": spark.sql("SELECT 7 AS num, 'B' AS title")}, "num").select(O.escape_ascii(F.to_json(F.struct("first", "second"))).alias("json"))
+
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_quotes(spark, sf_dir)
