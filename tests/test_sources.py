@@ -5,8 +5,8 @@ def test_text_files_and_words(spark, tmp_path):
     (tmp_path / "b.txt").write_text("Title.\n\nBody é\n")
     (tmp_path / "c.md").write_text("no")
     assert [tuple(r) for r in text.text_files(spark, str(tmp_path)).collect()] == [("b.txt", "Title.\n\nBody é\n")]
-    (tmp_path / "w").write_text("One\n\ntwo\n")
-    assert {r.word for r in text.word_list(spark, str(tmp_path / "w"), ("three",)).collect()} == {"one", "two", "three"}
+    (tmp_path / "w").write_text("One\n\ntwo\nThree\nthree\nPaul\n1st\n")
+    assert {r.word for r in text.word_list(spark, str(tmp_path / "w"), ("gospel",)).collect()} == {"two", "three", "gospel"}
     assert text.volume_files(spark).count() == 63
 
 

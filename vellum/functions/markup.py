@@ -73,3 +73,11 @@ def pronounce(text: Column, lexicon: tuple[tuple[str, str, bool], ...]) -> Colum
 
 def _each(parts: Column, pattern: str, mark: str) -> Column:
     return F.transform(parts, lambda p: F.regexp_replace(p, pattern, mark))
+
+
+def speech_stats(ssml: Column) -> Column:
+    """struct of counts: paragraphs, sentences, breaks, aliases, and the milliseconds of all breaks."""
+    pauses = F.regexp_extract_all(ssml, F.lit(r'<break time="(\d+)ms"/>'), F.lit(1))
+    count = lambda tag: F.regexp_count(ssml, F.lit(tag))
+    total = F.aggregate(pauses, F.lit(0).cast("long"), lambda t, p: t + p.cast("long"))
+    return F.struct(count(r"<p>").alias("paragraphs"), count(r"<s>").alias("sentences"), F.size(pauses).alias("breaks"), count(r"<sub ").alias("aliases"), total.alias("pause_ms"))

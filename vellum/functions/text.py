@@ -111,11 +111,13 @@ def rejoin_hyphen(html: Column) -> Column:
 
 
 def merge_tags(html: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(html, r"</em>(\s*)<em>", "$1"), r"</strong>(\s*)<strong>", "$1")
+    """Tags that close and open again at once are dropped with the white space between them."""
+    return F.regexp_replace(F.regexp_replace(html, r"</em>\s*<em>", ""), r"</strong>\s*<strong>", "")
 
 
 def prosody_inner(ssml: Column) -> Column:
-    return F.btrim(F.regexp_replace(ssml, r"</?prosody[^>]*>|</?speak[^>]*>", ""))
+    """The markup without its prosody wrapper; all else stays."""
+    return F.regexp_replace(ssml, "<prosody[^>]*>|</prosody>", "")
 
 
 def dehyphenate(values: Column) -> Column:
@@ -145,3 +147,24 @@ def allcaps(line: Column) -> Column:
     """At least three letters, over four fifths of them capitals."""
     letters = F.regexp_count(line, F.lit(r"\p{L}"))
     return (letters >= 3) & (F.regexp_count(line, F.lit(r"\p{Lu}")) > 0.8 * letters)
+
+
+# What marks a page's head, a document's closing promotion, and the lines between title and body.
+HEADERS = (r"Sermon\s*#\s*\d+", r"Volume\s*\d+")
+PROMOTION = ("PRAY THE HOLY SPIRIT", "Spanish translations", "By the grace of God", "WILL USE THIS SERMON", "TO BRING MANY TO A SAVING KNOWLEDGE")
+METADATA = (r"NO\.\s*\d+", r"A\s+SERMON", r"DELIVERED\s+BY", r"AT\s+(THE\s+)?(METROPOLITAN\s+TABERNACLE|NEW\s+PARK\s+STREET|EXETER\s+HALL|SURREY)", r"ON\s+(SUNDAY|MONDAY|TUESDAY|WEDNESDAY|THURSDAY|FRIDAY|SATURDAY|LORD)", r"INTENDED\s+FOR\s+READING")
+
+
+def header_line(line: Column, more: tuple[str, ...] = ()) -> Column:
+    """A page number of up to four digits, or a line that any header pattern stands in; more: patterns of the source at hand."""
+    return F.regexp_like(F.btrim(line), F.lit("(?i)" + "|".join(("^[0-9]{1,4}$", *HEADERS, *more))))
+
+
+def promo_line(line: Column, more: tuple[str, ...] = ()) -> Column:
+    """Whether any marker stands in the line, in either case; a blank line is none."""
+    return F.exists(F.array(*[F.lit(m.lower()) for m in (*PROMOTION, *more)]), lambda m: F.contains(F.lower(line), m))
+
+
+def metadata_line(line: Column, more: tuple[str, ...] = ()) -> Column:
+    """Blank, mostly capitals, or opened by a metadata pattern."""
+    return (F.btrim(line) == "") | F.regexp_like(line, F.lit(r"(?i)^\s*(" + "|".join((*METADATA, *more)) + ")")) | allcaps(line)

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from vellum.functions import text as X
 
+# Fixed value: conjunctions that open a sentence weakly.
+WEAK = r"^(And|But|Or|For|If|When|While|So|Yet)\s"
+
 
 def volume_ranges(spark: SparkSession) -> DataFrame:
     """(lo, hi, volume): 63 disjoint ranges over 1..3563. Volumes hold 57 numbers but for 1 (53), 6 (66) and 63 (24)."""
@@ -33,15 +36,15 @@ def strong_count(sentence: Column, words: tuple[str, ...]) -> Column:
 
 
 def top_sentences(docs: DataFrame, words: tuple[str, ...], k: int = 8, prefix: int = 30, at_least: int = 2) -> DataFrame:
-    """The k best sentences of each document: 30 to 120 characters, closed, capitalised, with enough strong words; score 10 a
-    strong word, -0.08 a character, 3 for an exclamation mark; of those with an equal prefix the best stays."""
+    """The k best sentences of each document: 30 to 120 characters, closed, capitalised, with enough strong words (one more
+    after a weak conjunction); score 10 a strong word, -0.08 a character, 3 for an exclamation mark; of those with an equal prefix the best stays."""
     s = F.col("sentence")
     rows = sentence_rows(docs, X.sentences_simple).withColumn("strong", strong_count(s, words))
-    rows = rows.where(F.length(s).between(30, 120) & F.regexp_like(s, F.lit("^[A-Z]")) & F.regexp_like(s, F.lit("[.!?]$")) & (F.col("strong") >= at_least))
+    rows = rows.where(F.length(s).between(30, 120) & F.regexp_like(s, F.lit("^[A-Z]")) & F.regexp_like(s, F.lit("[.!?]$")) & (F.col("strong") >= at_least + F.regexp_like(s, F.lit(WEAK)).cast("int")))
     score = F.col("strong") * 10 - F.length(s) * 0.08 + F.when(F.contains(s, F.lit("!")), 3).otherwise(0)
     rows = rows.withColumn("score", F.round(score, 6))
     best = [F.desc("score"), F.asc("pos")]
-    rows = rows.withColumn("copy", F.row_number().over(Window.partitionBy("doc_id", F.lower(F.left(s, F.lit(prefix)))).orderBy(*best))).where("copy = 1")
+    rows = rows.withColumn("copy", F.row_number().over(Window.partitionBy("doc_id", F.left(s, F.lit(prefix))).orderBy(*best))).where("copy = 1")
     return rows.withColumn("rank", F.row_number().over(Window.partitionBy("doc_id").orderBy(*best))).where(F.col("rank") <= k).select("doc_id", "rank", "pos", "score", "sentence")
 
 
@@ -109,6 +112,26 @@ def boilerplate_trim(lines: DataFrame, is_header: Column, is_promo: Column, most
     return rows.where(~((F.col("head") == 1) & (F.col("at") <= most)) & (F.col("tail") == 0)).select("doc", "line_no", "line")
 
 
+def layout_lines(lines: DataFrame, document: str, is_header, is_promo, most: int = 3) -> DataFrame:
+    """The lines of a page layout that belong to the text, with their text and largest size.
+
+    lines: document, page_no, line_no, page_height, y0 and spans of (text, size). Empty spans and blank lines go; so do small print, small
+    headers and promotion in the bottom margin, the first `most` headers of a page, and the promotion that ends a document's last page.
+    One shuffle by document; is_header and is_promo map a line's text to a condition."""
+    spans = F.filter("spans", lambda s: s["text"] != "")
+    printed = F.filter(spans, lambda s: F.btrim(s["text"]) != "")
+    rows = lines.withColumn("__last", F.col("page_no") == F.max("page_no").over(Window.partitionBy(document)))
+    rows = rows.withColumns({"spans": spans, "text": F.array_join(F.transform(spans, lambda s: s["text"]), ""), "size": F.array_max(F.transform(printed, lambda s: s["size"]))})
+    text = F.btrim("text", F.lit(" \t\r\n\f\x0b"))
+    footer = (F.col("y0") > F.col("page_height") - 80) & (F.col("size") <= 12) & (is_header(text) | is_promo(text))
+    rows = rows.where((text != "") & (F.col("size") > 10.5) & ~footer)
+    page = Window.partitionBy(document, "page_no")
+    rows = rows.withColumn("__h", F.sum(is_header(text).cast("int")).over(page.orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)))
+    rows = rows.where(~is_header(text) | (F.col("__h") > most))
+    rows = rows.withColumn("__p", F.min(is_promo(text).cast("int")).over(page.orderBy(F.desc("line_no")).rowsBetween(Window.unboundedPreceding, 0)))
+    return rows.where(~F.col("__last") | (F.col("__p") == 0)).drop("__last", "__h", "__p")
+
+
 def fallback(left: DataFrame, right: DataFrame, key: str, value: str) -> DataFrame:
     """left with value from right by key where that is given and not empty, else its own, else ''."""
     other = right.select(key, F.col(value).alias("__other"))

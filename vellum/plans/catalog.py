@@ -51,8 +51,8 @@ def sentence_split_simple(spark, d):
 
 COUNT = r"len(regexp_extract_all(sentence, '(?i)\b(the|of|and|to)\b'))"
 TOP = f"""WITH r AS (SELECT *, {COUNT} AS strong FROM {ROWS.format(SIMPLE)}),
-g AS (SELECT *, round(strong * 10 - length(sentence) * 0.08 + CASE WHEN contains(sentence, '!') THEN 3 ELSE 0 END, 6) AS score FROM r WHERE length(sentence) BETWEEN 30 AND 120 AND regexp_matches(sentence, '^[A-Z]') AND regexp_matches(sentence, '[.!?]$') AND strong >= 2),
-u AS (SELECT * FROM g QUALIFY row_number() OVER (PARTITION BY doc_id, lower(left(sentence, 30)) ORDER BY score DESC, pos) = 1)
+g AS (SELECT *, round(strong * 10 - length(sentence) * 0.08 + CASE WHEN contains(sentence, '!') THEN 3 ELSE 0 END, 6) AS score FROM r WHERE length(sentence) BETWEEN 30 AND 120 AND regexp_matches(sentence, '^[A-Z]') AND regexp_matches(sentence, '[.!?]$') AND strong >= CASE WHEN regexp_matches(sentence, '^(And|But|Or|For|If|When|While|So|Yet)\\s') THEN 3 ELSE 2 END),
+u AS (SELECT * FROM g QUALIFY row_number() OVER (PARTITION BY doc_id, left(sentence, 30) ORDER BY score DESC, pos) = 1)
 SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, pos) AS INTEGER) AS rank, CAST(pos AS INTEGER) AS pos, CAST(score AS DOUBLE) AS score, sentence FROM u QUALIFY rank <= 8"""
 
 
@@ -348,6 +348,54 @@ def manifest_nested(spark, d):
     return D.manifest({"first": first, "second": spark.sql("SELECT 7 AS num, 'B' AS title")}, "num").select(O.escape_ascii(F.to_json(F.struct("first", "second"))).alias("json"))
 
 
+LINES = r"(VALUES (1, '12'), (2, '12345'), (3, 'Sermon #7'), (4, 'see volume 3 there'), (5, 'No. 9'), (6, 'A SERMON DELIVERED x'), (7, 'THE TITLE'), (8, 'Plain words'), (9, ' '), (10, 'on Sunday'), (11, 'They pray the Holy Spirit will')) AS t(i, line)"
+
+
+@query("header_filter", rf"""SELECT i, regexp_matches(trim(line), '(?i)^[0-9]{{1,4}}$|Sermon\s*#\s*[0-9]+|Volume\s*[0-9]+') AS header, trim(line) = '' OR regexp_matches(line, '(?i)^\s*(NO\.\s*[0-9]|A\s+SERMON|ON\s+SUNDAY)') OR (length(regexp_replace(line, '[^A-Za-z]', '', 'g')) >= 3 AND length(regexp_replace(line, '[^A-Z]', '', 'g')) > 0.8 * length(regexp_replace(line, '[^A-Za-z]', '', 'g'))) AS metadata FROM {LINES}""")
+def header_filter(spark, d):
+    return spark.sql(f"SELECT * FROM {LINES}").select("i", X.header_line(F.col("line")).alias("header"), X.metadata_line(F.col("line")).alias("metadata"))
+
+
+@query("promo_filter", f"SELECT i, line FROM {LINES} WHERE NOT contains(lower(line), 'pray the holy spirit')")
+def promo_filter(spark, d):
+    return spark.sql(f"SELECT * FROM {LINES}").where(~X.promo_line(F.col("line")))
+
+
+@query("layout_scan", "SELECT * FROM (VALUES (1, 1, 6, 'fifth Volume 8'), (1, 1, 7, 'Body one'), (1, 2, 2, 'Body two')) AS t(doc, page_no, line_no, text)")
+def layout_scan(spark, d):
+    shown = "(1, 1, 1, 10.0, 'Volume 3', 14.0), (1, 1, 2, 20.0, '7', 14.0), (1, 1, 3, 30.0, 'small', 10.5), (1, 1, 4, 40.0, 'Volume 4', 14.0), (1, 1, 5, 50.0, '  ', 14.0), (1, 1, 6, 60.0, 'fifth Volume 8', 14.0), (1, 1, 7, 70.0, 'Body one', 14.0), (1, 1, 8, 720.0, '12', 12.0), (1, 2, 2, 10.0, 'Body two', 14.0), (1, 2, 3, 20.0, 'Spanish translations', 14.0), (1, 2, 4, 30.0, 'By the grace of God', 14.0)"
+    rows = spark.sql(f"SELECT doc, page_no, line_no, 792.0D AS page_height, double(y0) AS y0, array(named_struct('text', '', 'size', 30.0D), named_struct('text', s, 'size', double(size))) AS spans FROM (VALUES {shown}) AS t(doc, page_no, line_no, y0, s, size)")
+    return D.layout_lines(rows, "doc", X.header_line, X.promo_line).select("doc", "page_no", "line_no", "text")
+
+
+@query("merge_tags", r"""SELECT page_id, regexp_replace(regexp_replace(replace(replace(html, '<b>', '<strong>'), '</b>', '</strong>'), '</em>\s*<em>', '', 'g'), '</strong>\s*<strong>', '', 'g') AS html FROM pages""")
+def merge_tags(spark, d):
+    strong = F.replace(F.replace(F.col("html"), F.lit("<b>"), F.lit("<strong>")), F.lit("</b>"), F.lit("</strong>"))
+    return _table(spark, d, "pages").select("page_id", X.merge_tags(strong).alias("html"))
+
+
+@query("rejoin_hyphen", r"""SELECT page_id, regexp_replace(html, '([a-z])-\s+([a-z])', '\1\2', 'g') AS html FROM pages""")
+def rejoin_hyphen(spark, d):
+    return _table(spark, d, "pages").select("page_id", X.rejoin_hyphen(F.col("html")).alias("html"))
+
+
+SPOKEN = """(VALUES (1, '<speak><prosody rate="slow"><p><s>One,<break time="400ms"/> two.</s></p><break time="1200ms"/><p><s><sub alias="b">B</sub></s><s>C</s></p></prosody></speak>'), (2, 'bare')) AS t(i, ssml)"""
+
+
+@query("prosody_strip", rf"""SELECT i, regexp_replace(ssml, '<prosody[^>]*>|</prosody>', '', 'g') AS inner_ssml FROM {SPOKEN}""")
+def prosody_strip(spark, d):
+    return spark.sql(f"SELECT * FROM {SPOKEN}").select("i", X.prosody_inner(F.col("ssml")).alias("inner_ssml"))
+
+
+@query("ssml_stats", "SELECT * FROM (VALUES (1, 2, 3, 2, 1, 1600::BIGINT), (2, 0, 0, 0, 0, 0::BIGINT)) AS t(i, paragraphs, sentences, breaks, aliases, pause_ms)")
+def ssml_stats(spark, d):
+    return spark.sql(f"SELECT * FROM {SPOKEN}").select("i", M.speech_stats(F.col("ssml")).alias("x")).select("i", "x.*")
+
+
+@query("extras_tags", "SELECT * FROM (VALUES ('a', 0, 'x'), ('a', 1, 'y'), ('b', 0, 'x')) AS t(id, pos, tag)")
+def extras_tags(spark, d):
+    return spark.sql("SELECT * FROM (VALUES ('a', array('x', 'y')), ('b', array('x')), ('c', array())) AS t(id, tags)").select("id", F.posexplode("tags").alias("pos", "tag"))
+
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_quotes(spark, sf_dir)

@@ -20,6 +20,9 @@ def volume_files(spark: SparkSession, n: int = 63, pattern: str = "volume%02d.pd
 
 
 def word_list(spark: SparkSession, path: str, extras: tuple[str, ...] = ()) -> DataFrame:
-    words = spark.read.text(path).select(F.lower(F.btrim("value")).alias("word"))
+    """Distinct lower-case words: those of the file, one a line, that stand there in lower case, and extras. Names, which open with a
+    capital only, are left out unless they are extras."""
+    raw = F.btrim("value")
+    words = spark.read.text(path).where((raw == F.lower(raw)) & (F.lower(F.left(raw, F.lit(1))) != F.upper(F.left(raw, F.lit(1))))).select(raw.alias("word"))
     more = spark.createDataFrame([(w,) for w in extras], "word string")
     return words.unionByName(more).where("word != ''").distinct()
