@@ -40,3 +40,14 @@ def test_volume_ranges(spark):
     assert [r.volume for r in assign_volume(rows, "n").collect()] == [1, 1, 2, 6, 7, 63, 63, 63]
     ranges = sorted((r.lo, r.hi) for r in volume_ranges(spark).collect())
     assert len(ranges) == 63 and all(a[1] + 1 == b[0] for a, b in zip(ranges, ranges[1:])) and ranges[-1][1] == 3563
+
+
+def test_weak_openings_need_one_more_strong_word(spark):
+    from vellum.operators.documents import top_sentences
+
+    text = "And the rest of it went down there. The rest of it went down there. But the rest of the house fell. The rest of it went down there. The rest of it Went up at last."
+    rows = spark.createDataFrame([(1, text), (2, None), (3, "")], "doc_id long, text string")
+    best = lambda n: [r.sentence for r in top_sentences(rows, ("the", "of"), prefix=19, at_least=n).orderBy("rank").collect()]
+    # equal scores keep their order; a prefix counts once, and case matters in it
+    assert best(2) == ["But the rest of the house fell.", "The rest of it went down there.", "The rest of it Went up at last."]
+    assert best(1) == [*best(2), "And the rest of it went down there."]
