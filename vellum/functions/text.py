@@ -168,3 +168,21 @@ def promo_line(line: Column, more: tuple[str, ...] = ()) -> Column:
 def metadata_line(line: Column, more: tuple[str, ...] = ()) -> Column:
     """Blank, mostly capitals, or opened by a metadata pattern."""
     return (F.btrim(line) == "") | F.regexp_like(line, F.lit(r"(?i)^\s*(" + "|".join((*METADATA, *more)) + ")")) | allcaps(line)
+
+
+def without_head(values: Column, is_header, most: int = 2) -> Column:
+    """A page's lines without its head: blank lines, up to `most` headers and, after these, page numbers."""
+    def step(t: Column, line: Column) -> Column:
+        bare = F.btrim(line)
+        header = (t["n"] < most) & is_header(line)
+        goes = ~t["done"] & ((bare == "") | header | ((t["n"] >= most) & F.regexp_like(bare, F.lit("^[0-9]{1,4}$"))))
+        return F.struct((t["n"] + (goes & header & (bare != "")).cast("int")).alias("n"), (t["at"] + goes.cast("int")).alias("at"), (~goes).alias("done"))
+
+    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("at"), F.lit(False).alias("done"))
+    return F.slice(values, F.aggregate(values, start, step, lambda t: t["at"]) + 1, F.size(values))
+
+
+def without_promotion(values: Column, is_promo) -> Column:
+    """Lines without the blank lines and promotion at their end."""
+    kept = F.filter(F.transform(values, lambda x, i: F.when((F.btrim(x) != "") & ~is_promo(x), i + 1)), lambda i: i.isNotNull())
+    return F.slice(values, F.lit(1), F.coalesce(F.array_max(kept), F.lit(0)))

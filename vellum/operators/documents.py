@@ -67,6 +67,22 @@ def page_ranges(bookmarks: DataFrame, totals: DataFrame) -> DataFrame:
     return bookmarks.where("start_page is not null").join(totals, "volume").withColumn("end_page", F.coalesce(after, F.col("total"))).drop("total")
 
 
+def volume_documents(bookmarks: DataFrame, pages: DataFrame, totals: DataFrame, is_header=X.header_line, is_promo=X.promo_line) -> DataFrame:
+    """(volume, num, title, body): one row for each number of a volume's entries, with the text of the pages that the entry owns.
+
+    bookmarks: volume, ord, title, page_no; pages: volume, page_no, text; totals: volume, total. Entries without a page or a number are
+    none; an entry without pages has an empty body. Pages are joined within their volume and shuffled by entry once."""
+    entries = bookmarks.where("page_no is not null").select("volume", "ord", F.col("page_no").alias("start_page"), X.bookmark_numbers(F.btrim("title")).alias("b")).where("b is not null")
+    owned = page_ranges(entries, totals)
+    text = pages.where("text != ''").select(F.col("volume").alias("v"), "page_no", F.split("text", "\n", -1).alias("ls"))
+    near = (F.col("v") == F.col("volume")) & (F.col("page_no") >= F.col("start_page")) & (F.col("page_no") < F.col("end_page"))
+    ls = X.without_head(F.col("ls"), is_header)
+    ls = F.when(F.col("page_no") == F.col("end_page") - 1, X.without_promotion(ls, is_promo)).otherwise(ls)
+    rows = owned.join(text, near, "left").withColumn("part", F.struct("page_no", F.array_join(ls, "\n").alias("s")))
+    whole = rows.groupBy("volume", "ord", "b").agg(F.array_sort(F.collect_list(F.when(F.col("page_no").isNotNull(), F.col("part")))).alias("parts"))
+    return whole.select("volume", F.explode("b.nums").alias("num"), "b.title", F.array_join(F.transform("parts", lambda p: p["s"]), "\n").alias("body"))
+
+
 def modal_value(rows: DataFrame, key: str, value: Column, order: str, default: float) -> DataFrame:
     """The most frequent rounded value of each key; of equals the first met, then the smaller."""
     counts = rows.groupBy(key, F.bround(value, 0).alias("v")).agg(F.count("*").alias("n"), F.min(order).alias("first"))

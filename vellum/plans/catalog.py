@@ -397,5 +397,12 @@ def extras_tags(spark, d):
     return spark.sql("SELECT * FROM (VALUES ('a', array('x', 'y')), ('b', array('x')), ('c', array())) AS t(id, tags)").select("id", F.posexplode("tags").alias("pos", "tag"))
 
 
+@query("volume_documents", "SELECT * FROM (VALUES (1, 1, 'One', 'a' || chr(10) || 'By the grace of God' || chr(10) || 'b'), (1, 2, 'Two', ''), (1, 3, 'Two', ''), (1, 4, 'Last', 'c')) AS t(volume, num, title, body)")
+def volume_documents(spark, d):
+    entries = spark.sql("SELECT * FROM (VALUES (1, 0, 'Contents', 0), (1, 1, ' 1 - One.', 1), (1, 2, '2, 3 - Two', 3), (1, 3, '4 - Last', 3), (1, 4, '5 - Lost', NULL)) AS t(volume, ord, title, page_no)")
+    pages = spark.sql(r"SELECT * FROM (VALUES (1, 0, 'no'), (1, 1, 'Volume 1\n\nSermon #1\n7\na\nBy the grace of God'), (1, 2, 'b\n\nSpanish translations\n'), (1, 3, '9\nc'), (1, 4, '')) AS t(volume, page_no, text)")
+    return D.volume_documents(entries, pages, spark.sql("SELECT 1 AS volume, 5 AS total"))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_quotes(spark, sf_dir)
