@@ -1,0 +1,82 @@
+import random
+from fractions import Fraction
+
+import numpy as np
+
+from vellum.llm import jaccard as J
+
+import corpus_pipeline as C
+
+
+def sets_of(texts):
+    out = []
+    for t in texts:
+        w = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "").split()
+        out.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    return out
+
+
+def kept(texts):
+    """Ids of the smallest of each group, by comparing all pairs."""
+    sets, comp = sets_of(texts), list(range(len(texts)))
+
+    def find(i):
+        while comp[i] != i:
+            i = comp[i]
+        return i
+
+    for i in range(len(sets)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                a, b = sorted((find(i), find(j)))
+                comp[b] = a
+    return {i for i in range(len(sets)) if find(i) == i}
+
+
+def corpus():
+    r = random.Random(3)
+    words = [f"w{k}" for k in range(500)]
+    base = [r.choices(words, k=r.choice([6, 12, 40, 120, 300])) for _ in range(60)]
+    texts = [" ".join(b) for b in base]
+    for b in base:
+        for changes in (1, 2, 3, 5):  # about 5 shingles a change: similarities on both sides of 0.8
+            c = list(b)
+            for _ in range(changes):
+                c[r.randrange(len(c))] = r.choice(words)
+            texts.append(" ".join(c))
+    near = [r.choices(words, k=60) for _ in range(1)] * 60  # one large group, not all of it linked to one member
+    texts += [" ".join(w if r.random() > 0.03 else r.choice(words) for w in b) for b in near]
+    line = " ".join(r.choices(words, k=14))
+    texts += [f"{' '.join(r.choices(words, k=5))} {line} {' '.join(r.choices(words, k=r.randrange(4)))}" for _ in range(60)]
+    return texts + ["", None, " \n", "one two", "One  two", texts[0].upper(), texts[1]]
+
+
+def test_stage_is_brute_force_jaccard(spark):
+    texts = corpus()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    stage = dict(C.STAGES)["near_duplicates"]
+    assert {x.doc_id for x in stage(spark, docs, "").collect()} == kept(texts)
+
+
+def test_order_does_not_change_the_result(spark, monkeypatch):
+    texts = corpus()
+    monkeypatch.setattr(J, "OFTEN", 10**6)  # no shingle is put last
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {x.doc_id for x in J.one_of_each_similar(docs).collect()} == kept(texts)
+
+
+def test_bounds():
+    for n in range(1, 60):
+        for m in range(n, 60):
+            least = next(o for o in range(n + m) if 5 * o >= 4 * (n + m - o))
+            assert J.least_overlap(n, m) == least and (least > n or n - J.prefix_length(n) + 1 <= least)
+    assert J.prefix_length(0) == 0 and J.prefix_length(10) == 3 and Fraction(4, 5) == J.SIMILARITY
+    assert len(J.shingles("a b c d e f")) == 2 and np.array_equal(J.shingles("A b"), J.shingles("a  B"))
+
+
+def test_empty_nulls_and_repeats(spark):
+    schema = "doc_id long, text string, key int, u int"
+    assert J.one_of_each_similar(spark.createDataFrame([], schema)).count() == 0
+    rows = [(3, "a b c", 1, 1), (3, "a b c", 1, 1), (None, "a b c", None, 0), (5, "a b c", 0, 0), (7, "q", 0, 0)]
+    got = J.one_of_each_similar(spark.createDataFrame(rows, schema)).collect()
+    assert sorted((x.doc_id for x in got), key=str) == [3, 3, 7, None]

@@ -1,0 +1,335 @@
+"""Near duplicates by exact Jaccard similarity of word shingles, joined by a prefix filter.
+
+A text is the set of its distinct shingles of SHINGLE words (64-bit hashes). In any one order of all shingles, two sets of
+similarity t or more share a shingle among the first n - ceil(t n) + 1 of each, so only those are dealt out. The order puts shingles
+that a sample of the texts holds often last; the sample decides the work, never the result. Sets that meet are first compared in stars,
+one or two pairs a member, and the links found are joined to components. Then all pairs that meet and are still in different
+components are compared. Exact bounds come first (sizes, places of the met shingle, counts of the hashes in BINS ranges), and only
+the sets of pairs that they leave are made and joined.
+Every pair of similarity t or more is thus either compared or already in one component.
+
+Cases: a null or blank text is the empty set and equals any other such. Texts of fewer words than a shingle are one shingle. Equal
+sets are one node. Repeated rows stay or go together. An empty table gives an empty result. Only doc_id and text are read.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from fractions import Fraction
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from vellum.llm.common import components, keep, maybe_broadcast, ship
+
+ship(__name__)
+
+SHINGLE = 5
+SIMILARITY = Fraction(4, 5)
+#: Texts of the sample that the order is made from, and how many of them must hold a shingle to put it last.
+SAMPLE, OFTEN = 8_192, 3
+BINS = 64
+_PREFIX = "token long, key long, n int, place int"
+
+
+def shingles(text: str | None, width: int = SHINGLE) -> np.ndarray:
+    """The distinct shingle hashes of a text, ascending."""
+    from itertools import repeat
+
+    import xxhash
+
+    words = (text or "").encode("utf-8", "replace").lower().split()
+    line = b" ".join(words)
+    if len(words) <= width:
+        parts = [line] if words else []
+    else:
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+        starts = np.concatenate(([0], ends[:-1] + 1))
+        parts = [line[a:b] for a, b in zip(starts[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist(), strict=True)]
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, parts, repeat(42)), np.uint64, len(parts)))
+
+
+def set_key(tokens: np.ndarray) -> int:
+    import xxhash
+
+    return int(np.uint64(xxhash.xxh64_intdigest(tokens.tobytes(), 7)).view(np.int64))
+
+
+def least_overlap(n, m, t: Fraction = SIMILARITY):
+    """The least number of common members with which sets of n and m members have similarity t."""
+    return -(-(n + m) * t.numerator // (t.numerator + t.denominator))
+
+
+def prefix_length(n: int, t: Fraction = SIMILARITY) -> int:
+    return n - -(-n * t.numerator // t.denominator) + 1 if n else 0
+
+
+def _long(values: np.ndarray) -> pa.Array:
+    return pa.array(np.asarray(values, np.uint64).view(np.int64))
+
+
+def _counts(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(t.as_py(), width) for t in batch.column(0)]
+            tokens, n = np.unique(np.concatenate([np.empty(0, np.uint64), *sets]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([_long(tokens), pa.array(n.astype(np.int64))], names=["token", "n"])
+
+    return run
+
+
+def common_shingles(docs: DataFrame, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """(shingles ascending, counts): what OFTEN texts or more of a sample hold."""
+    share = max(1, docs.count() // SAMPLE)
+    sample = docs.select(F.col("text").cast("string").alias("text")).where(F.pmod(F.xxhash64("text"), F.lit(share)) == 0).distinct()
+    rows = sample.mapInArrow(_counts(width), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= OFTEN).collect()
+    tokens = np.array([r.token for r in rows], np.int64).view(np.uint64)
+    order = np.argsort(tokens)
+    return tokens[order], np.array([r.n for r in rows], np.int64)[order]
+
+
+def _keys(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [set_key(shingles(t.as_py(), width)) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64())], names=["doc_id", "key"])
+
+    return run
+
+
+def _prefixes(width: int, t: Fraction, common: tuple[np.ndarray, np.ndarray]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot, counts = common
+        seen: set[int] = set()
+        for batch in batches:
+            tokens, keys, sizes, places = [np.empty(0, np.uint64)], [], [], []
+            for text in batch.column(0):
+                found = shingles(text.as_py(), width)
+                key = set_key(found)
+                if not len(found) or key in seen:
+                    continue
+                seen.add(key)
+                weight = np.zeros(len(found), np.int64)
+                if len(hot):
+                    at = np.minimum(np.searchsorted(hot, found), len(hot) - 1)
+                    weight = np.where(hot[at] == found, counts[at], 0)
+                first = found[np.argsort(weight, kind="stable")][: prefix_length(len(found), t)]
+                tokens.append(first)
+                keys.append(np.full(len(first), key, np.int64))
+                sizes.append(np.full(len(first), len(found), np.int32))
+                places.append(np.arange(len(first), dtype=np.int32))
+            if keys:
+                yield pa.RecordBatch.from_arrays([_long(np.concatenate(tokens)), *(pa.array(np.concatenate(x)) for x in (keys, sizes, places))], names=["token", "key", "n", "place"])
+
+    return run
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each run of equal tokens (column 0) with two rows or more."""
+    parts: list[pa.Table] = []
+    token = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([batch])
+        tokens = batch.column(0).to_numpy()
+        starts = np.concatenate(([0], np.flatnonzero(np.diff(tokens)) + 1, [len(tokens)]))
+        wanted = np.diff(starts) > 1
+        wanted[[0, -1]] = True  # these may go on in the batches beside this one
+        for k in np.flatnonzero(wanted).tolist():
+            if tokens[starts[k]] != token:
+                if sum(map(len, parts)) > 1:
+                    yield pa.concat_tables(parts)
+                token, parts = tokens[starts[k]], []
+            parts.append(rows.slice(starts[k], starts[k + 1] - starts[k]))
+    if sum(map(len, parts)) > 1:
+        yield pa.concat_tables(parts)
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows whose token stands in two sets or more, each set once."""
+    out, size = [], 0
+    for rows in _groups(batches):
+        keys = rows.column(1).to_numpy()
+        once = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        if len(once) > 1:
+            out.append(rows.take(once))
+            size += len(once)
+        if size > 20_000:
+            yield from pa.concat_tables(out).combine_chunks().to_batches()
+            out, size = [], 0
+    if out:
+        yield from pa.concat_tables(out).combine_chunks().to_batches()
+
+
+def _may_match(n, m, p, q, t: Fraction):
+    """Whether sets of n and m members that meet at their places p and q may have similarity t, by sizes and by what is left after the places."""
+    sized = (np.minimum(n, m) * t.denominator >= np.maximum(n, m) * t.numerator)
+    return sized & (np.minimum(p, q) + 1 + np.minimum(n - p - 1, m - q - 1) >= least_overlap(n, m, t))
+
+
+def _pairs(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    pairs = np.unique(np.concatenate([np.stack([np.minimum(u, v), np.maximum(u, v)], 1) for u, v in found]), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["u", "v"])
+
+
+def _stars(t: Fraction):
+    """Pairs of each member with the one before and the first, in order of size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, size = [], 0
+        for rows in _groups(batches):
+            key, n, place = (rows.column(c).to_numpy() for c in ("key", "n", "place"))
+            order = np.lexsort((key, n))
+            key, n, place = key[order], n[order].astype(np.int64), place[order].astype(np.int64)
+            for other in (np.arange(len(key) - 1), np.zeros(len(key) - 1, np.int64)):
+                may = np.flatnonzero(_may_match(n[1:], n[other], place[1:], place[other], t))
+                found.append((key[1:][may], key[other][may]))
+                size += len(may)
+            if size > 50_000:
+                yield _pairs(found)
+                found, size = [], 0
+        if size:
+            yield _pairs(found)
+
+    return run
+
+
+def _across(t: Fraction):
+    """All pairs of members in different components that the bounds leave."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, size = [], 0
+        for rows in _groups(batches):
+            root = rows.column("root").to_numpy()
+            if (root == root[0]).all():
+                continue
+            key, n, place = (rows.column(c).to_numpy() for c in ("key", "n", "place"))
+            order = np.lexsort((key, n))
+            root, key, n, place = root[order], key[order], n[order].astype(np.int64), place[order].astype(np.int64)
+            bins = np.frombuffer(b"".join(rows.column("bins").to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16)[order]
+            ends = np.searchsorted(n, n * t.denominator // t.numerator, "right")
+            for i in range(len(key) - 1):
+                j = np.arange(i + 1, ends[i])
+                j = j[root[j] != root[i]]
+                j = j[_may_match(n[i], n[j], place[i], place[j], t)]
+                apart = n[i] + n[j] - 2 * least_overlap(n[i], n[j], t)
+                j = j[np.abs(bins[j] - bins[i]).sum(1, dtype=np.int64) <= apart]
+                if len(j):
+                    found.append((np.full(len(j), key[i]), key[j]))
+                    size += len(j)
+                if size > 50_000:
+                    yield _pairs(found)
+                    found, size = [], 0
+        if size:
+            yield _pairs(found)
+
+    return run
+
+
+def _each_set(width: int, whole: bool):
+    """Rows (key, members) or (key, n, bins) of distinct sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            rows = []
+            for text in batch.column(0):
+                found = shingles(text.as_py(), width)
+                key = set_key(found)
+                if key in seen:
+                    continue
+                seen.add(key)
+                if whole:
+                    rows.append((key, found.tobytes()))
+                else:
+                    bins = np.bincount((found >> np.uint64(58)).astype(np.int64), minlength=BINS)
+                    rows.append((key, len(found), np.minimum(bins, 255).astype(np.uint8).tobytes()))
+            names, types = (("key", "members"), (pa.int64(), pa.binary())) if whole else (("key", "n", "bins"), (pa.int64(), pa.int32(), pa.binary()))
+            columns = list(zip(*rows, strict=True)) or [()] * len(types)
+            yield pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(columns, types, strict=True)], names=list(names))
+
+    return run
+
+
+def _bounded(t: Fraction):
+    """The pairs (u, v) whose counts by ranges (n_u, bins_u, n_v, bins_v) allow similarity t."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = (batch.column(c).to_numpy().astype(np.int64) for c in ("n_u", "n_v"))
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16) for c in ("bins_u", "bins_v"))
+            may = np.abs(x - y).sum(1, dtype=np.int64) <= n + m - 2 * least_overlap(n, m, t)
+            yield batch.select(["u", "v"]).filter(pa.array(may))
+
+    return run
+
+
+def _verified(t: Fraction):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for a, b in zip(batch.column(2), batch.column(3), strict=True):
+                x, y = (np.frombuffer(s.as_py(), np.uint64) for s in (a, b))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                good.append(both * t.denominator >= (len(x) + len(y) - both) * t.numerator)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["u", "v"]).filter(pa.array(good, pa.bool_()))
+
+    return run
+
+
+def similar_links(texts: DataFrame, width: int = SHINGLE, t: Fraction = SIMILARITY) -> DataFrame:
+    """Edges (u, v) between keys of distinct sets of similarity t or more, that keep exactly the groups which all such pairs form."""
+    common = common_shingles(texts, width)
+    dealt = texts.mapInArrow(_prefixes(width, t, common), _PREFIX)
+    met = keep(dealt.repartition("token").sortWithinPartitions("token", "key").mapInArrow(_shared, _PREFIX))
+
+    def of_keys(wanted: DataFrame, whole: bool) -> DataFrame:
+        wanted = keep(wanted.distinct())
+        made = texts.mapInArrow(_each_set(width, whole), "key long, members binary" if whole else "key long, n int, bins binary")
+        return keep(made.join(maybe_broadcast(wanted, wanted.count(), 16), "key", "left_semi").dropDuplicates(["key"]))
+
+    counts = of_keys(met.select("key"), False)
+
+    def sided(table: DataFrame, side: str) -> DataFrame:
+        return table.select(*[F.col(c).alias(side if c == "key" else f"{c}_{side}") for c in table.columns])
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        pairs = keep(pairs.distinct().join(sided(counts, "u"), "u").join(sided(counts, "v"), "v").mapInArrow(_bounded(t), "u long, v long"))
+        sets = of_keys(pairs.select(F.explode(F.array("u", "v")).alias("key")), True)
+        both = pairs.join(sided(sets, "u"), "u").join(sided(sets, "v"), "v").select("u", "v", "members_u", "members_v")
+        return keep(both.mapInArrow(_verified(t), "u long, v long"))
+
+    def meeting(rows: DataFrame) -> DataFrame:
+        return rows.repartition("token").sortWithinPartitions("token", "key")
+
+    links = checked(meeting(met).mapInArrow(_stars(t), "u long, v long"))
+    stars = components(links)
+    rooted = counts.select("key", "bins").join(stars.select(F.col("u").alias("key"), F.col("v").alias("root")), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    # only shingles at which components still meet
+    open_tokens = met.join(rooted.select("key", "root"), "key").groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("token")
+    rest = met.join(open_tokens, "token", "left_semi").join(rooted, "key").select("token", "key", "n", "place", "root", "bins")
+    return links.unionByName(checked(meeting(rest).mapInArrow(_across(t), "u long, v long")))
+
+
+def jaccard_components(docs: DataFrame, width: int = SHINGLE, t: Fraction = SIMILARITY) -> DataFrame:
+    """(doc_id, key, component_id) for every row of docs; component_id is the smallest doc_id of its group.
+
+    Null doc_ids stay null and never name a group that has another id."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    marked = keep(rows.mapInArrow(_keys(width), "doc_id long, key long"))
+    nodes = marked.groupBy("key").agg(F.min("doc_id").alias("first_id"))
+    stars = components(similar_links(rows.select("text"), width, t))
+    rooted = nodes.join(stars.select(F.col("u").alias("key"), F.col("v").alias("root")), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    classes = rooted.select("key", "root").join(named, "root").select("key", "component_id")
+    return marked.join(classes, "key").select("doc_id", "key", "component_id")
+
+
+def one_of_each_similar(docs: DataFrame, width: int = SHINGLE, t: Fraction = SIMILARITY) -> DataFrame:
+    """The rows of docs whose doc_id is the smallest of its group of similar texts. Rows that repeat a doc_id stay or go together: they
+    go if any of them has a group with a smaller doc_id. Rows without a doc_id stay."""
+    dropped = jaccard_components(docs, width, t).where("doc_id != component_id").select("doc_id").distinct()
+    return docs.join(dropped, "doc_id", "left_anti")
