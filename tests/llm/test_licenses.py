@@ -34,3 +34,14 @@ def test_base_and_templates(spark, tmp_path):
 
 def test_empty(spark):
     assert L.license_scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def labels_of(text):
+    words = L.words_of(text)
+    return L.LicenseIndex({}).method_labels(words, set(words))[0]
+
+
+def test_files_of_several_notices():
+    notices = {label: text for label, text, _ in reversed(L.TEMPLATES)}
+    for group in (("bsd-3-clause", "cc-by-sa"), ("mit", "apache-2", "cc-by-sa"), tuple(notices)):
+        assert labels_of(" filler words between ".join(notices[x] for x in group)) >= set(group)

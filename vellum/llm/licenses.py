@@ -2,7 +2,7 @@
 
 Words are lower-cased (A-Z) runs of ASCII digits, letters and characters above U+007F. A first pass counts in how
 many texts each licence word stands (a table of bounded size: the words of the templates); a licence word's weight is
-its inverse document frequency. In the second pass each file's RARE_WORDS heaviest licence words are looked up in the templates' postings; a posting
+its inverse document frequency. In the second pass the file's RARE_WORDS heaviest words of each template whose key words it holds are looked up in that template's postings; a posting
 votes for the relative position (place in the file minus place in the template), and the best-supported position
 of a template is aligned word by word. A template labels a file if all its mandatory key phrases stand inside the aligned stretch and the aligned share
 of its words is at least MIN_SCORE. The base phrases are searched in every text on their own.
@@ -88,12 +88,14 @@ class LicenseIndex:
     def method_labels(self, words: list[bytes], present: set[bytes]) -> tuple[set[str], float]:
         """(labels, best aligned share) of the templates."""
         licence = present & self.vocabulary
-        rare = sorted(licence, key=lambda w: (-self.weights.get(w, 0.0), w))[:RARE_WORDS]
         votes: dict[tuple[int, int], float] = defaultdict(float)
         possible = [t for t, (_, _, keys) in enumerate(self.templates) if all(licence.issuperset(k) for k in keys)]
         if not possible:
             return set(), 0.0
-        wanted = {w: [p for p in self.postings[w] if p[0] in possible] for w in rare}
+        wanted: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
+        for t in possible:
+            for w in sorted(licence.intersection(self.templates[t][1]), key=lambda w: (-self.weights.get(w, 0.0), w))[:RARE_WORDS]:
+                wanted[w].extend(p for p in self.postings[w] if p[0] == t)
         for at, w in enumerate(words):
             for t, place in wanted.get(w, ()):
                 votes[t, at - place] += self.weights.get(w, 0.0) + 1e-6
