@@ -45,3 +45,23 @@ def test_files_of_several_notices():
     notices = {label: text for label, text, _ in reversed(L.TEMPLATES)}
     for group in (("bsd-3-clause", "cc-by-sa"), ("mit", "apache-2", "cc-by-sa"), tuple(notices)):
         assert labels_of(" filler words between ".join(notices[x] for x in group)) >= set(group)
+
+
+def test_notice_after_stretches_with_more_votes():
+    notice = {label: text for label, text, _ in L.TEMPLATES}
+    decoy = notice["gpl"].replace("GNU General Public", "Some Other")
+    assert labels_of(" ".join([f"{decoy} {'filler ' * 60}"] * 6 + [notice["gpl"]])) == {"gpl"}
+    numbers = " ".join(["4 0 version 2 0"] * 300)
+    long = f"{numbers} {'copyright rights ' * 200} {'filler ' * 60}"
+    for label in ("cc-by", "cc-by-sa", "apache-2", "all-rights-reserved"):
+        assert label in labels_of(f"{long} {notice[label]} {long}")
+
+
+def test_aligned_shares_against_brute_force():
+    r = random.Random(6)
+    for _ in range(200):
+        words, template = r.choices([b"a", b"b", b"c", b"d"], k=r.randrange(1, 40)), r.choices([b"a", b"b", b"c"], k=6)
+        stretches = [tuple(sorted(r.choices(range(len(words)), k=2))) for _ in range(3)]
+        want = {low: sum(min(words[low : low + 9].count(w), template.count(w)) for w in set(template)) / 6 for a, b in stretches for low in range(a, b + 1)}
+        got = list(L.aligned_shares(words, template, stretches, 9))
+        assert dict(got) == want and len(got) == len(want)

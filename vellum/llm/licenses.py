@@ -3,9 +3,9 @@
 Words are lower-cased (A-Z) runs of ASCII digits, letters and characters above U+007F. A first pass counts in how
 many texts each licence word stands (a table of bounded size: the words of the templates); a licence word's weight is
 its inverse document frequency. In the second pass the file's RARE_WORDS heaviest words of each template whose key words it holds are looked up in that template's postings; a posting
-votes for the relative position (place in the file minus place in the template), and the best-supported position
-of a template is aligned word by word. A template labels a file if all its mandatory key phrases stand inside the aligned stretch and the aligned share
-of its words is at least MIN_SCORE. The base phrases are searched in every text on their own.
+votes for the relative position (place in the file minus place in the template). The best-supported position of every cluster of votes, and
+every stretch around a place of a template's first key phrase, is aligned word by word. A template labels a file if all its mandatory key
+phrases stand inside an aligned stretch and the aligned share of its words is at least MIN_SCORE. The base phrases are searched in every text on their own.
 
 Cases: null and empty texts have no words. Rows that repeat each give a row. An empty table gives an empty result. Other
 columns may have any name. Several templates may label one file. score is 1 where a base phrase stands, else the
@@ -15,6 +15,7 @@ best aligned share of a template that votes support (0 without).
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -69,6 +70,39 @@ def find_phrase(words: list[bytes], phrase: list[bytes]) -> list[int]:
         at += 1
 
 
+def best_of_clusters(votes: dict[int, float]) -> list[int]:
+    """Of every run of relative positions within 2 * DRIFT of its first, the one with the most votes (the first of equals)."""
+    out: list[int] = []
+    first = None
+    for s in sorted(votes):
+        if first is None or s > first + 2 * DRIFT:
+            first = s
+            out.append(s)
+        elif votes[s] > votes[out[-1]]:
+            out[-1] = s
+    return out
+
+
+def aligned_shares(words: list[bytes], template: list[bytes], stretches: list[tuple[int, int]], width: int) -> Iterator[tuple[int, float]]:
+    """(start, share of the template's words in the width words from it) for every start in the ranges (first, last), each once."""
+    wanted = Counter(template)
+    held: Counter = Counter()
+    common, done = 0, -1
+    for first, last in sorted(stretches):
+        for low in range(max(first, done + 1), last + 1):
+            if low == done + 1 and done >= 0:
+                for w, step in ((words[done], -1), *((w, 1) for w in words[done + width : low + width])):
+                    if w in wanted:
+                        common -= min(held[w], wanted[w])
+                        held[w] += step
+                        common += min(held[w], wanted[w])
+            else:
+                held = Counter(w for w in words[low : low + width] if w in wanted)
+                common = (held & wanted).total()
+            done = low
+            yield low, common / len(template)
+
+
 class LicenseIndex:
     """Postings of the templates' words, and the weights that the corpus gives them."""
 
@@ -102,13 +136,14 @@ class LicenseIndex:
         labels, best = set(), 0.0
         for t in possible:
             label, template, keys = self.templates[t]
-            starts = sorted((s for k, s in votes if k == t), key=lambda s: (-sum(votes.get((t, s + d), 0.0) for d in range(-DRIFT, DRIFT + 1)), s))[:3]
-            for start in starts:
-                low = max(0, start - DRIFT)
-                region = words[low : max(0, start) + len(template) + DRIFT]
-                share = sum((Counter(region) & Counter(template)).values()) / len(template)
+            width = len(template) + 2 * DRIFT
+            supported = {s: v for (k, s), v in votes.items() if k == t}
+            stretches = [(low, low) for low in (max(0, s - DRIFT) for s in best_of_clusters(supported))]
+            stretches += [(max(0, at + len(keys[0]) - width), at) for at in find_phrase(words, keys[0])]
+            places = [(find_phrase(words, k), len(k)) for k in keys]
+            for low, share in aligned_shares(words, template, stretches, width):
                 best = max(best, share)
-                if share >= MIN_SCORE and all(find_phrase(region, k) for k in keys):
+                if share >= MIN_SCORE and all((i := bisect_left(at, low)) < len(at) and at[i] + n <= low + width for at, n in places):
                     labels.add(label)
         return labels, min(best, 1.0)
 
