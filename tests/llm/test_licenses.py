@@ -48,7 +48,7 @@ def test_files_of_several_notices():
 
 
 def test_notice_after_stretches_with_more_votes():
-    notice = {label: text for label, text, _ in L.TEMPLATES}
+    notice = {label: text for label, text, _ in reversed(L.TEMPLATES)}
     decoy = notice["gpl"].replace("GNU General Public", "Some Other")
     assert labels_of(" ".join([f"{decoy} {'filler ' * 60}"] * 6 + [notice["gpl"]])) == {"gpl"}
     numbers = " ".join(["4 0 version 2 0"] * 300)
@@ -65,3 +65,28 @@ def test_aligned_shares_against_brute_force():
         want = {low: sum(min(words[low : low + 9].count(w), template.count(w)) for w in set(template)) / 6 for a, b in stretches for low in range(a, b + 1)}
         got = list(L.aligned_shares(words, template, stretches, 9))
         assert dict(got) == want and len(got) == len(want)
+
+
+def test_one_line_statements():
+    long = " ".join(["some other words of a page"] * 40)
+    lines = {
+        "gpl": ["This work is licensed under the GNU General Public License.", "Released under the GPL"],
+        "lgpl": ["This library is licensed under the GNU Lesser General Public License", "under the LGPL"],
+        "mpl-2": ["Licensed under the Mozilla Public License 2.0"],
+        "mit": ["Released under the MIT License"],
+        "apache-2": ["Licensed under the Apache License 2.0", "under the Apache License, Version 2.0"],
+        "bsd-3-clause": ["Licensed under the BSD 3-Clause License"],
+        "bsd-2-clause": ["Licensed under a 2-clause BSD license"],
+        "isc": ["Licensed under the ISC License"],
+        "unlicense": ["Released under the Unlicense"],
+        "cc-by": ["licensed under a Creative Commons Attribution 4.0 International License", "Licensed under CC BY 4.0"],
+        "cc-by-sa": ["under a Creative Commons Attribution-ShareAlike 4.0 International License", "Licensed under CC BY-SA 4.0"],
+        "cc-by-nc": ["under a Creative Commons Attribution-NonCommercial 4.0 License", "Licensed under CC BY-NC 4.0"],
+        "cc0": ["Licensed under CC0 1.0"],
+        "all-rights-reserved": ["Copyright 2020 A. All rights reserved."],
+    }
+    assert set(lines) == {label for label, _, _ in L.TEMPLATES}
+    for label, statements in lines.items():
+        for line in statements:
+            assert labels_of(f"{long} {line} {long}") == {label}, line
+    assert labels_of(f"{long} the general public may read this license under the GNU rules {long}") == set()

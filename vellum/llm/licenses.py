@@ -50,6 +50,23 @@ TEMPLATES = (
     ("cc0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work", ("waived all copyright and related or neighboring rights",)),
     ("all-rights-reserved", "Copyright All rights reserved", ("all rights reserved",)),
 )
+#: One-line statements: (label, names that "licensed under" is followed by); each gives templates that are their own key phrases.
+STATEMENTS = (
+    ("mit", ("MIT License", "MIT Licence", "terms of the MIT License", "Expat License")),
+    ("apache-2", ("Apache License 2.0", "Apache License, Version 2.0", "Apache 2.0 License", "terms of the Apache License, Version 2.0")),
+    ("bsd-3-clause", ("BSD 3-Clause License", "3-Clause BSD License", "New BSD License", "Modified BSD License")),
+    ("bsd-2-clause", ("BSD 2-Clause License", "2-Clause BSD License", "Simplified BSD License", "FreeBSD License")),
+    ("gpl", ("GNU General Public License", "terms of the GNU General Public License", "GNU GPL", "GPL")),
+    ("lgpl", ("GNU Lesser General Public License", "terms of the GNU Lesser General Public License", "GNU LGPL", "LGPL")),
+    ("mpl-2", ("Mozilla Public License", "terms of the Mozilla Public License", "MPL 2.0")),
+    ("isc", ("ISC License", "terms of the ISC License")),
+    ("unlicense", ("Unlicense",)),
+    ("cc-by-nc", ("Creative Commons Attribution-NonCommercial", "CC BY-NC")),
+    ("cc-by-sa", ("Creative Commons Attribution-ShareAlike", "CC BY-SA")),
+    ("cc-by", ("Creative Commons Attribution 4.0", "Creative Commons Attribution License", "CC BY 4.0")),
+    ("cc0", ("CC0", "Creative Commons Zero", "Creative Commons CC0")),
+)
+TEMPLATES += tuple((label, text, (text.lower(),)) for label, names in STATEMENTS for name in names for text in (f"under the {name}", f"under {name}", f"under a {name}"))
 _CLASS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 or 48 <= b <= 57 else 32 for b in range(256))
 
 
