@@ -58,3 +58,21 @@ def test_base_and_discovered(spark, tmp_path):
 def test_empty(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, n_chars long")
     assert P.pii_spans(empty).count() == 0 and P.mask_pii(empty).columns == empty.columns
+
+
+def test_grouped_identifiers(spark):
+    r = random.Random(9)
+    texts = [f"my card number {card(r)} here {k}" for k in range(12)]
+    grouped = {
+        "my card number DE89 3704 0044 0532 0130 00 ok": "my card number <CARD> ok",
+        "my card number 1234 5678 9012, or 77": "my card number <CARD> or 77",
+        "my card number AB-12 34-56  78": "my card number <CARD>  78",
+        "in 2024 my card number DE89 3704 10.0.0.1 5": "in 2024 my card number <CARD> <IP> 5",
+        "my card number X1 x2:10.0.0.1:80 5": "my card number <CARD> x2:<IP>:80 5",
+        f"my card number {card(r)} 3704 0044": "my card number <CARD>",
+        "1 2 3 4 " * 3000: "1 2 3 4 " * 3000,
+    }
+    docs = spark.createDataFrame(list(enumerate([*texts, *grouped])), "doc_id long, text string")
+    masked = {x.doc_id: x.text for x in P.mask_pii(docs).collect()}
+    for k, (text, want) in enumerate(grouped.items(), len(texts)):
+        assert masked[k] == want, text[:80]

@@ -1,8 +1,8 @@
 """Personal data: fixed formats, and bootstrapped contextual extraction beyond them.
 
 The fixed formats (email, ip, card, phone) give the seeds. Each seed induces lexical patterns: the word and the
-two words to its left. All other runs without white space that hold a digit are the instances that a pattern may also
-reach. The graph of patterns and distinct instances is scored in ROUNDS rounds: a pattern of a kind is as good as
+two words to its left. All other runs without white space that hold a digit, and such runs joined by single spaces as one (groups of an
+identifier), are the instances that a pattern may also reach. The graph of patterns and distinct instances is scored in ROUNDS rounds: a pattern of a kind is as good as
 the mean score of its instances (seeds of the kind 1, seeds of other kinds 0, smoothed by one bad instance); an instance
 is as good as its patterns together (noisy or). Patterns of at least MIN_SCORE that rest on MIN_SEEDS distinct
 seeds discover their other instances as spans of the kind. Only DataFrame functions are used: one pass over the
@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellum.llm.common import empty_safe, keep
-from vellum.llm.spans import count_of, find, joined, labelled, masked, overlaps
+from vellum.llm.spans import FOUND, count_of, find, joined, labelled, masked, overlaps
 
 KINDS = ("email", "ip", "card", "phone")
 #: Starts inside a run cannot match where its start did not, so runs are entered at their start or after a match.
@@ -28,6 +28,8 @@ IP = r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 INSTANCE = r"(?:\G|(?<![^\x00-\x20]))[^0-9\x00-\x20]*+[0-9][^\x00-\x20]*+"
+#: Stands for each character of a base span where instances are looked for, so that no group reaches over one.
+FILL = "\uffff"
 ROUNDS = 3
 MIN_SCORE = 0.9
 MIN_SEEDS = 4
@@ -43,12 +45,12 @@ def base_spans(text: Column) -> dict[str, Column]:
     """The spans of the fixed formats, in the listing order of kinds."""
     digits = lambda s: F.regexp_replace(s["value"], "[^0-9]", "")
     near = lambda pattern: F.regexp_like(text, F.lit(pattern))
-    card = F.filter(find(text, CARD, near("[0-9](?:[ -]?[0-9]){15}")), lambda s: F.length(digits(s)).between(16, 19))
+    card = F.filter(find(text, CARD, near("[0-9](?:[ -]?[0-9]){15}"), True), lambda s: F.length(digits(s)).between(16, 19))
     return {
-        "email": find(text, EMAIL, F.contains(text, F.lit("@"))),
-        "ip": F.filter(find(text, IP, near(r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]")), lambda s: F.forall(F.split(s["value"], r"\."), lambda part: F.try_to_number(F.right(part, F.lit(3)), F.lit("999")).between(0, 255) & F.regexp_like(part, F.lit("^0*[0-9]{1,3}$")))),
+        "email": find(text, EMAIL, F.contains(text, F.lit("@")), True),
+        "ip": F.filter(find(text, IP, near(r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]"), True), lambda s: F.forall(F.split(s["value"], r"\."), lambda part: F.try_to_number(F.right(part, F.lit(3)), F.lit("999")).between(0, 255) & F.regexp_like(part, F.lit("^0*[0-9]{1,3}$")))),
         "card": F.filter(card, lambda s: luhn(digits(s))),
-        "phone": F.filter(find(text, PHONE, F.contains(text, F.lit("+"))), lambda s: F.length(digits(s)).between(8, 15)),
+        "phone": F.filter(find(text, PHONE, F.contains(text, F.lit("+")), True), lambda s: F.length(digits(s)).between(8, 15)),
     }
 
 
@@ -68,15 +70,30 @@ def _with_patterns(spans: Column, kind: Column | None) -> Column:
     return F.transform(spans, one)
 
 
+def _grouped(runs: Column) -> Column:
+    """Runs that single spaces join, where letters or digits (A-Z, 0-9) stand on both sides of each, as one."""
+
+    def step(out: Column, s: Column) -> Column:
+        last = F.get(out, F.size(out) - 1)
+        near = (last["end"] + 1 == s["start"]) & (F.right(s["left"], F.lit(1)) == " ")
+        plain = F.regexp_like(F.right(last["value"], F.lit(1)), F.lit("[A-Za-z0-9]")) & F.regexp_like(F.left(s["value"], F.lit(1)), F.lit("[A-Za-z0-9]"))
+        whole = ~F.contains(last["value"], F.lit(FILL)) & ~F.contains(s["value"], F.lit(FILL))
+        both = F.struct(last["start"].alias("start"), s["end"].alias("end"), F.concat(last["value"], F.lit(" "), s["value"]).alias("value"), last["left"].alias("left"))
+        before = F.slice(out, F.lit(1), F.greatest(F.size(out) - 1, F.lit(0)))
+        return F.when(last.isNotNull() & near & plain & whole, F.concat(before, F.array(both))).otherwise(F.concat(out, F.array(s)))
+
+    return F.aggregate(runs, F.array().cast(FOUND), step)
+
+
 def extract(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, base, seen): base spans, and all seeds and instances with their patterns; one pass over the texts."""
     rows = docs.select("doc_id", empty_safe(F.col("text").cast("string")).alias("text"))
     text = F.col("text")
     parts = {k: s for k, s in base_spans(text).items()}
-    rows = rows.select("doc_id", F.xxhash64(text).alias("text_hash"), *[s.alias(f"s_{k}") for k, s in parts.items()], find(text, INSTANCE, F.regexp_like(text, F.lit("[0-9]"))).alias("s_other"))
+    rows = rows.select("doc_id", "text", F.xxhash64(text).alias("text_hash"), *[s.alias(f"s_{k}") for k, s in parts.items()])
     base = F.concat(*[labelled(F.col(f"s_{k}"), k, i) for i, k in enumerate(KINDS)])
-    rows = rows.withColumn("base", base)
-    other = F.filter("s_other", lambda s: ~overlaps(s, F.col("base")))
+    rows = rows.withColumn("base", base).withColumn("text", masked(text, F.col("base"), FILL))
+    other = F.filter(_grouped(find(text, INSTANCE, F.regexp_like(text, F.lit("[0-9]")), True)), lambda s: ~overlaps(s, F.col("base")))
     seen = F.concat(*[_with_patterns(F.col(f"s_{k}"), F.lit(k)) for k in KINDS], _with_patterns(other, None))
     return rows.select("doc_id", "text_hash", "base", seen.alias("seen"))
 

@@ -10,21 +10,25 @@ FOUND = "array<struct<start:int,end:int,value:string,left:string>>"
 LEFT = 80
 
 
-def find(text: Column, pattern: str, likely: Column) -> Column:
+def find(text: Column, pattern: str, likely: Column, across: bool = False) -> Column:
     """Leftmost non-overlapping matches of pattern, where the cheap test `likely` holds; else none.
 
-    The text splits into the pieces between matches; running lengths of pieces and matches give the places."""
+    The text splits into the pieces between matches; running lengths of pieces and matches give the places.
+    The left context ends at the match before, or with `across` goes on over it."""
     pieces, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pairs = F.zip_with(F.slice(pieces, F.lit(1), F.size(hits)), hits, lambda p, h: F.struct(p.alias("p"), h.alias("h")))
 
     def step(done: Column, x: Column) -> Column:
         start = done["at"] + F.length(x["p"])
         end = start + F.length(x["h"])
-        one = F.struct(start.alias("start"), end.alias("end"), x["h"].alias("value"), F.right(x["p"], F.lit(LEFT)).alias("left"))
-        return F.struct(end.alias("at"), F.concat(done["out"], F.array(one)).alias("out"))
+        left = F.right(F.concat(done["tail"], F.right(x["p"], F.lit(LEFT))) if across else x["p"], F.lit(LEFT))
+        one = F.struct(start.alias("start"), end.alias("end"), x["h"].alias("value"), left.alias("left"))
+        tail = [F.right(F.concat(left, F.right(x["h"], F.lit(LEFT))), F.lit(LEFT)).alias("tail")] if across else []
+        return F.struct(end.alias("at"), F.concat(done["out"], F.array(one)).alias("out"), *tail)
 
     none = F.array().cast(FOUND)
-    spans = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda done: done["out"])
+    first = F.struct(F.lit(0).alias("at"), none.alias("out"), *([F.lit("").alias("tail")] if across else []))
+    spans = F.aggregate(pairs, first, step, lambda done: done["out"])
     return F.when(likely & F.regexp_like(text, F.lit(pattern)), spans).otherwise(none)
 
 
@@ -48,14 +52,14 @@ def joined(spans: Column, by_kind: bool) -> Column:
     return F.array_join(F.transform(ordered, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def masked(text: Column, spans: Column) -> Column:
-    """text with every span (start, end, kind) replaced by its kind in angle brackets; of overlapping spans the first counts, the rest of
+def masked(text: Column, spans: Column, fill: str | None = None) -> Column:
+    """text with every span (start, end, kind) replaced by its kind in angle brackets, or each of its characters by fill; of overlapping spans the first counts, the rest of
     a later one goes with it."""
     ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
 
     def step(done: Column, s: Column) -> Column:
         before = F.substring(text, done["at"] + 1, F.greatest(s["start"] - done["at"], F.lit(0)))
-        mark = F.when(s["start"] >= done["at"], F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">"))).otherwise(F.lit(""))
+        mark = F.repeat(F.lit(fill), F.greatest(s["end"] - F.greatest(s["start"], done["at"]), F.lit(0))) if fill else F.when(s["start"] >= done["at"], F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">"))).otherwise(F.lit(""))
         return F.struct(F.greatest(done["at"], s["end"]).alias("at"), F.concat(done["out"], F.array(F.concat(before, mark))).alias("out"))
 
     done = F.aggregate(ordered, F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), step)
