@@ -1,9 +1,9 @@
 import random
 
 from tests.llm.test_decontaminate import brute as leaks
+from tests.llm.test_near import groups
 from tests.llm.test_packing import check
 from tests.llm.test_pii import brute as private
-from tests.llm.test_simhash import brute as groups
 from vellum.llm import quality as Q
 
 import corpus_pipeline as C
@@ -33,7 +33,7 @@ def test_stages_against_brute_force(spark, tmp_path):
     assert {v.doc_id for v in outs[0]} == set(range(len(good)))
     scores = {v.doc_id: v.predicted for v in Q.quality_scores(docs, spark.read.parquet(f"{d}/labels.parquet")).collect()}
     assert {k for k, p in scores.items() if p} == {v.doc_id for v in outs[0]}
-    assert {v.doc_id for v in outs[1]} == {i for i, _, c in groups(pairs(outs[0])) if i == c}
+    assert {v.doc_id for v in outs[1]} == {i for i, c in groups(pairs(outs[0])) if i == c}
     assert {v.doc_id for v in outs[2]} == {x[0] for x in leaks(pairs(outs[1]), items) if not x[5]}
     before = dict(pairs(outs[2]))
     assert {v.doc_id for v in outs[3]} == set(before)

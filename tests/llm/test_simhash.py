@@ -100,9 +100,3 @@ def test_components_of_long_chain_and_hub(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000, i) for i in range(1001, 1300)] + [(5, 5)]
     got = {r.u: r.v for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert all(got[i] == 0 for i in range(1, 201)) and all(got[i] == 1000 for i in range(1001, 1300))
-
-
-def test_one_of_each_group(spark):
-    rows = [(1, "a b c d"), (2, "a b c d"), (3, "entirely other words here"), (4, None), (5, "")]
-    kept = S.one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string"))
-    assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 4]

@@ -75,8 +75,14 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_fingerprints(shingle), "doc_id long, fp long")
 
 
+def distances(values: np.ndarray, value) -> np.ndarray:
+    """Hamming distances; a fingerprint is a number, or a row of several."""
+    far = np.bitwise_count(values ^ value)
+    return far.astype(np.int64) if far.ndim == 1 else far.sum(axis=1, dtype=np.int64)
+
+
 class BKTree:
-    """A BK-tree over distinct fingerprints, built and searched for many of them at a time."""
+    """A BK-tree over distinct fingerprints (numbers or rows), built and searched for many of them at a time."""
 
     def __init__(self, values: np.ndarray):
         self.values = values
@@ -87,7 +93,7 @@ class BKTree:
             node, rest = members[0], members[1:]
             if not len(rest):
                 continue
-            far = np.bitwise_count(values[rest] ^ values[node])
+            far = distances(values[rest], values[node])
             order = np.argsort(far, kind="stable")
             far, rest = far[order], rest[order]
             cuts = np.flatnonzero(np.diff(far)) + 1
@@ -100,7 +106,7 @@ class BKTree:
         todo = [(0, np.arange(len(queries)))] if len(self.values) else []
         while todo:
             node, asked = todo.pop()
-            far = np.bitwise_count(queries[asked] ^ self.values[node]).astype(np.int64)
+            far = distances(queries[asked], self.values[node])
             hit = asked[far <= radius]
             if len(hit):
                 yield node, hit
@@ -251,12 +257,3 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RA
 def op4_simhash(spark, sf_dir: str) -> DataFrame:
     found = simhash_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def one_of_each_group(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The rows of docs whose doc_id is the smallest of its near-duplicate group. Rows that repeat a doc_id stay or go together: they
-    go if any of them has a group with a smaller doc_id. Rows without a doc_id stay."""
-    found = simhash_components(docs, shingle, radius)
-    dropped = found.where("doc_id != component_id").select("doc_id").distinct()
-    kept = docs.join(dropped, "doc_id", "left_anti")
-    return kept
