@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vellum.llm.common import shared_folder
 from vellum.llm.decontaminate import drop_contaminated
-from vellum.llm.jaccard import one_of_each_similar
+from vellum.llm.near import one_of_each_group
 from vellum.llm.packing import pack_documents
 from vellum.llm.pii import mask_pii
 from vellum.llm.quality import keep_good
@@ -22,8 +22,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, that of the smallest doc_id; links are pairs of five-word shingle sets with Jaccard similarity >= 0.8."""
-    return one_of_each_similar(docs)
+    """One document of each group stays, that of the smallest doc_id; links are pairs whose SimHash fingerprints of
+    five-word shingles agree on 0.8 of the bits or more."""
+    return one_of_each_group(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
