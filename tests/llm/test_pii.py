@@ -76,3 +76,149 @@ def test_grouped_identifiers(spark):
     masked = {x.doc_id: x.text for x in P.mask_pii(docs).collect()}
     for k, (text, want) in enumerate(grouped.items(), len(texts)):
         assert masked[k] == want, text[:80]
+
+
+def lower(t):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t)
+
+
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def base_of(text):
+    """(start, end, kind) of the fixed formats, by plain expressions."""
+    out = [(*m.span(), "email") for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    out += [(*m.span(), "ip") for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(p) <= 255 for p in m[0].split("."))]
+    digits = lambda m: re.sub("[^0-9]", "", m[0])
+    out += [(*m.span(), "card") for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text) if 16 <= len(digits(m)) <= 19 and luhn(digits(m))]
+    out += [(*m.span(), "phone") for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 8 <= len(digits(m)) <= 15]
+    return out
+
+
+def plain_occurrences(text):
+    """(start, end, value, kind, patterns) of seeds and candidates."""
+    base, m = base_of(text), list(text)
+    for a, b, _ in base:
+        m[a:b] = "￿" * (b - a)
+    m = "".join(m)
+    runs = []
+    for x in re.finditer(r"￿+|(?<![^\x00-\x20])[^\x00-\x20￿]*[0-9][^\x00-\x20￿]*(?![^\x00-\x20])", m):
+        a, b = x.span()
+        kinds = sorted((P.KINDS.index(k), text[s:e]) for s, e, k in base if a <= s < b)
+        kind, value = (P.KINDS[kinds[0][0]], kinds[0][1]) if m[a] == "￿" else (None, x[0])
+        if kind is None and runs and runs[-1][3] is None and runs[-1][1] + 1 == a and m[a - 1] == " " and re.match("[A-Za-z0-9]", m[a - 2]) and re.match("[A-Za-z0-9]", m[a]):
+            runs[-1] = (runs[-1][0], b, m[runs[-1][0] : b], None)
+        else:
+            runs.append((a, b, value, kind))
+    out = []
+    for a, b, value, kind in runs:
+        blur = lambda w: "#" if re.search("[0-9￿]", w) else w
+        left, right = [blur(w) for w in re.findall(WORD, lower(m[:a]))][-2:], [blur(w) for w in re.findall(WORD, lower(m[b:]))][:1]
+        found = []
+        if left and left[-1] != "#":
+            found += [f"2 {left[0]} {left[1]}"] if len(left) == 2 else []
+            found += [f"1 {left[-1]} {right[0]}"] if right and right[0] != "#" else []
+            found.append(f"s {left[-1]} " + re.sub("[0-9]", "9", re.sub("[a-z]", "a", re.sub("[A-Z]", "A", value))))
+        out.append((a, b, value, kind, found))
+    return out
+
+
+def plain_loop(texts):
+    """All spans of every text by the whole loop, in plain Python."""
+    import math
+    from collections import defaultdict
+
+    seen = [plain_occurrences(t or "") for t in texts]
+    seed, slots, words = {}, defaultdict(set), defaultdict(set)
+    for occurrences in seen:
+        for _, _, value, kind, found in occurrences:
+            if kind:
+                seed[value] = min(seed.get(value, kind), kind, key=P.KINDS.index)
+            for p in found:
+                slots[p].add(value)
+    for t in texts:
+        w = re.findall(WORD, re.sub(r"(?<![^\x00-\x20])[^\x00-\x20]*[0-9@][^\x00-\x20]*", " 0 ", lower(t or "")))
+        for k, x in enumerate(w):
+            if x != "0" and k and w[k - 1] != "0":
+                if k > 1:
+                    words[f"2 {w[k - 2].replace('0', '#')} {w[k - 1]}"].add(x)
+                if k + 1 < len(w):
+                    words[f"1 {w[k - 1]} {w[k + 1]}"].add(x)
+    accepted, good = {}, {}
+    for _ in range(P.ROUNDS):
+        good = {}
+        for p, values in slots.items():
+            for kind in P.KINDS:
+                known = {v: (seed[v], 1.0) if v in seed else accepted[v] for v in values if v in seed or v in accepted}
+                weight = sum(w for k, w in known.values() if k == kind)
+                others = sum(k != kind for k, _ in known.values())
+                trust = weight / (weight + others + len(words[p]) + (len(values) - len(known)) / 2 + 1)
+                if weight >= P.MIN_SEEDS and trust >= P.MIN_TRUST:
+                    good[p] = (kind, trust)
+        scores = defaultdict(float)
+        for p, (kind, trust) in good.items():
+            for v in slots[p] - set(seed):
+                scores[v, kind] += math.log(1 - trust)
+        accepted = {}
+        for (v, kind), s in sorted(scores.items(), key=lambda x: (-x[1], -P.KINDS.index(x[0][1]))):
+            accepted[v] = (kind, 1 - math.exp(s))
+    out = []
+    for t, occurrences in zip(texts, seen, strict=True):
+        spans = {(P.KINDS.index(k), a, b) for a, b, k in base_of(t or "")}
+        for a, b, _, kind, found in occurrences:
+            if kind is None and (best := [(good[p][1], -P.KINDS.index(good[p][0])) for p in found if p in good]):
+                spans.add((-max(best)[1], a, b))
+        out.append(",".join(f"{P.KINDS[k]}:{a}:{b}" for k, a, b in sorted(spans)))
+    return out
+
+
+def bootstrap_corpus(seed):
+    """Identifiers of no fixed format, reachable over several rounds, among numbers and words that are none."""
+    r = random.Random(seed)
+    phone, mail = lambda: f"+1 ({r.randrange(100, 999)}) 555-{r.randrange(1000, 9999)}", lambda: f"u{r.randrange(10**5)}@mail.example.com"
+    member = [f"MB-{r.randrange(10**6):06d}" for _ in range(40)]
+    handle = [f"user{r.randrange(10**5):05d}" for _ in range(40)]
+    texts = [f"please call our desk {phone()} before noon {k}" for k in range(40)] + [f"write to inbox {mail()} for help" for k in range(40)]
+    texts += [f"please call our desk {m} before noon" for m in member[:9]]  # round 1: the two words, and the words around
+    texts += [f"a client known under member code {m} joined" for m in member[:9] + member[20:22]]  # round 2: induced by the finds of round 1
+    texts += [f"the file of holder {m} is shut" for m in member[20:22] + member[:8]]  # and by their shape
+    texts += [f"write to inbox {h} for help" for h in handle[:8]] + [f"our forum alias {h}, active" for h in handle[:10]]
+    texts += [f"on page {r.randrange(10**4)} of volume {r.randrange(99)} the desk was old" for _ in range(80)]
+    texts += [f"the {phone()} and the {r.randrange(10**6)} by the road" for _ in range(30)] + ["the desk the road the inn the sea the sky"] * 3
+    texts += [f"sold for {r.randrange(10**5)} to {r.choice(['him', 'her', 'them'])}" for _ in range(60)]
+    r.shuffle(texts)
+    return texts, set(member), set(handle)
+
+
+def test_bootstrap_against_plain_python(spark):
+    for seed in (1, 2):
+        texts, member, handle = bootstrap_corpus(seed)
+        texts += [None, "", "x" * 300 + " call our desk MB-000000 before", "desk " + "y" * 4000 + " +1 (555) 555-5555 1 2 A3"]
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        got = {x.doc_id: x.s for x in P.pii_spans(docs).select("doc_id", P.joined(P.F.col("spans"), True).alias("s")).collect()}
+        want = plain_loop(texts)
+        assert [got[i] for i in range(len(texts))] == want
+        # precision and recall of what is discovered
+        found = [texts[i][int(a) : int(b)].rstrip(",") for i, s in got.items() for _, a, b in (x.split(":") for x in s.split(",") if x)]
+        found = [v for v in found if not base_of(v)]
+        right = [v for v in found if v in member or v in handle or v == "MB-000000"]
+        planted = sum((v in t) for t in texts if t for v in member | handle)
+        print(len(right), len(found), planted)
+        assert len(right) >= 0.9 * len(found) and len(right) >= 0.8 * planted
+
+
+def test_finds_of_a_round_induce_patterns(spark):
+    texts, member, _ = bootstrap_corpus(1)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = P.keep(P.extract(docs))
+    patterns = [{x.pattern for x in P.discover(docs, rows, rounds).collect()} for rounds in (1, 2, 3)]
+    assert "2 our desk" in patterns[0] and "2 member code" not in patterns[0]
+    assert "2 member code" in patterns[1] and "2 and the" not in patterns[2]
+
+
+def test_clashing_columns_and_repeats(spark):
+    schema = "doc_id long, text string, marked_id int, MARKED_HASH string, d int, h string, n_chars int"
+    rows = [(1, "mail a@b.cd now", 5, "x", 1, "", 15), (1, "mail a@b.cd now", 5, "x", 1, "", 15), (1, "other", 5, None, 1, "", 5), (None, "at 1.2.3.4", 0, "", 0, "", 10)]
+    got = P.mask_pii(spark.createDataFrame(rows, schema))
+    assert got.columns == [c.split()[0] for c in schema.split(", ")]
+    assert sorted((x.text, x.n_chars) for x in got.collect()) == [("at <IP>", 7), ("mail <EMAIL> now", 16), ("mail <EMAIL> now", 16), ("other", 5)]

@@ -44,6 +44,17 @@ def maybe_broadcast(df: DataFrame, n_rows: int, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if n_rows * row_bytes <= BROADCAST_BYTES else df
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores appended until no column of df has it."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of (u, v) long edges as stars (u, v): v is the smallest id reachable from u.
 

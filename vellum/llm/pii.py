@@ -1,25 +1,32 @@
 """Personal data: fixed formats, and bootstrapped contextual extraction beyond them.
 
-The fixed formats (email, ip, card, phone) give the seeds. Each seed induces lexical patterns: the word and the
-two words to its left. All other runs without white space that hold a digit, and such runs joined by single spaces as one (groups of an
-identifier), are the instances that a pattern may also reach. The graph of patterns and distinct instances is scored in ROUNDS rounds: a pattern of a kind is as good as
-the mean score of its instances (seeds of the kind 1, seeds of other kinds 0, smoothed by one bad instance); an instance
-is as good as its patterns together (noisy or). Patterns of at least MIN_SCORE that rest on MIN_SEEDS distinct
-seeds discover their other instances as spans of the kind. Only DataFrame functions are used: one pass over the
-texts, then aggregates and joins over the graph, cut by checkpoints.
+The fixed formats (email, ip, card, phone) give the seeds. Candidates are all other runs without white space that hold a digit, and such
+runs joined by single spaces as one (groups of an identifier); what holds no digit is no candidate. Seeds and candidates are found by one
+expression in the text with its seeds blanked out, so both see the same context. Each induces lexical patterns: the two words to its left; the words to its left and
+right; the word to its left with the shape of the value (every letter and digit by its class). A word is a run of ASCII letters, digits and characters above U+007F,
+whole at any length; one that holds a digit is written # and no pattern's nearest word.
+
+The graph of patterns and distinct values is scored in up to ROUNDS rounds. A value weighs 1 for its kind as a seed, its score
+once it is accepted, else nothing. A pattern's trust for a kind is the weight of its values over all that stands in its slot anywhere in the corpus: that weight, values of
+other kinds, all distinct words without a digit, half of the unknown candidates, and one. Patterns of MIN_TRUST or more whose values weigh
+MIN_SEEDS or more accept the candidates in their slot, with the noisy-or of their trusts as the score; these induce
+the next round's patterns. What stands in the slot of a trusted pattern of the last round is a span of its kind. Only DataFrame functions are used: two passes over the texts (the second
+counts the words in the slots of possible patterns), then aggregates and joins over the graph, cut by checkpoints.
 
 Cases: a null text is empty and has no spans. Rows are told apart by doc_id and a hash of the text; rows that repeat
-both give equal results. An empty table gives an empty result. Other columns may have any name. A pattern that many
-documents share is pre-aggregated before it is shuffled.
+both give equal results. An empty table gives an empty result. Other columns may have any name. Ties: a place that patterns of several kinds
+reach takes the kind of most trust, then the first listed; a span of two fixed kinds is a seed of the first listed. Very long texts and words are
+read whole. A pattern or value that many documents share is pre-aggregated in every task before it is shuffled, and joins on them are either broadcast or plain
+sort-merge joins whose hot keys adaptive execution splits.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import empty_safe, keep
-from vellum.llm.spans import FOUND, count_of, find, joined, labelled, masked, overlaps
+from vellum.llm.common import empty_safe, free_names, keep, maybe_broadcast
+from vellum.llm.spans import count_of, find, joined, masked
 
 KINDS = ("email", "ip", "card", "phone")
 #: Starts inside a run cannot match where its start did not, so runs are entered at their start or after a match.
@@ -27,12 +34,17 @@ EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za
 IP = r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-INSTANCE = r"(?:\G|(?<![^\x00-\x20]))[^0-9\x00-\x20]*+[0-9][^\x00-\x20]*+"
-#: Stands for each character of a base span where instances are looked for, so that no group reaches over one.
+#: Stands for each character of a seed where contexts are looked for.
 FILL = "\uffff"
-ROUNDS = 3
-MIN_SCORE = 0.9
+#: A blanked seed, or a run without white space that holds a digit.
+INSTANCE = r"\uffff++|(?<![^\x00-\x20])[^0-9\x00-\x20\uffff]*+[0-9][^\x00-\x20\uffff]*+(?![^\x00-\x20])"
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
+ROUNDS = 4
+MIN_TRUST = 0.75
 MIN_SEEDS = 4
+#: Estimated bytes of a broadcast row of the graph.
+ROW_BYTES = 128
 
 
 def luhn(digits: Column) -> Column:
@@ -45,100 +57,188 @@ def base_spans(text: Column) -> dict[str, Column]:
     """The spans of the fixed formats, in the listing order of kinds."""
     digits = lambda s: F.regexp_replace(s["value"], "[^0-9]", "")
     near = lambda pattern: F.regexp_like(text, F.lit(pattern))
-    card = F.filter(find(text, CARD, near("[0-9](?:[ -]?[0-9]){15}"), True), lambda s: F.length(digits(s)).between(16, 19))
+    card = F.filter(find(text, CARD, near("[0-9](?:[ -]?[0-9]){15}")), lambda s: F.length(digits(s)).between(16, 19))
     return {
-        "email": find(text, EMAIL, F.contains(text, F.lit("@")), True),
-        "ip": F.filter(find(text, IP, near(r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]"), True), lambda s: F.forall(F.split(s["value"], r"\."), lambda part: F.try_to_number(F.right(part, F.lit(3)), F.lit("999")).between(0, 255) & F.regexp_like(part, F.lit("^0*[0-9]{1,3}$")))),
+        "email": find(text, EMAIL, F.contains(text, F.lit("@"))),
+        "ip": F.filter(find(text, IP, near(r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]")), lambda s: F.forall(F.split(s["value"], r"\."), lambda part: F.try_to_number(F.right(part, F.lit(3)), F.lit("999")).between(0, 255) & F.regexp_like(part, F.lit("^0*[0-9]{1,3}$")))),
         "card": F.filter(card, lambda s: luhn(digits(s))),
-        "phone": F.filter(find(text, PHONE, F.contains(text, F.lit("+")), True), lambda s: F.length(digits(s)).between(8, 15)),
+        "phone": F.filter(find(text, PHONE, F.contains(text, F.lit("+"))), lambda s: F.length(digits(s)).between(8, 15)),
     }
 
 
-def _left_words(left: Column) -> Column:
-    """The last two words of a left context, A-Z lower-cased, without punctuation at their ends."""
-    words = F.array_remove(F.split(F.translate(left, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), r"[\x00-\x20]+"), "")
-    bare = F.transform(words, lambda w: F.regexp_replace(w, r"^[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[\x21-\x2F\x3B-\x3C\x3E-\x40\x5B-\x60\x7B-\x7F]+$", ""))
-    return F.slice(F.reverse(F.filter(bare, lambda w: w != "")), 1, 2)
+def _ascii_lower(text: Column) -> Column:
+    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def _with_patterns(spans: Column, kind: Column | None) -> Column:
-    def one(s: Column) -> Column:
-        words = _left_words(s["left"])
-        patterns = F.filter(F.array(F.get(words, F.lit(0)), F.when(F.size(words) > 1, F.concat_ws(" ", F.get(words, F.lit(1)), F.get(words, F.lit(0))))), lambda p: p.isNotNull())
-        return F.struct(s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), (F.lit(None).cast("string") if kind is None else kind).alias("kind"), patterns.alias("patterns"))
+def _blur(word: Column) -> Column:
+    """The word as contexts hold it."""
+    return F.when(F.regexp_like(word, F.lit("[0-9\uffff]")), F.lit("#")).otherwise(word)
 
-    return F.transform(spans, one)
 
+def shape(value: Column) -> Column:
+    """Every ASCII letter and digit by its class."""
+    upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    return F.translate(value, upper + lower + digits, "A" * 26 + "a" * 26 + "9" * 10)
 
-def _grouped(runs: Column) -> Column:
-    """Runs that single spaces join, where letters or digits (A-Z, 0-9) stand on both sides of each, as one."""
 
-    def step(out: Column, s: Column) -> Column:
-        last = F.get(out, F.size(out) - 1)
-        near = (last["end"] + 1 == s["start"]) & (F.right(s["left"], F.lit(1)) == " ")
-        plain = F.regexp_like(F.right(last["value"], F.lit(1)), F.lit("[A-Za-z0-9]")) & F.regexp_like(F.left(s["value"], F.lit(1)), F.lit("[A-Za-z0-9]"))
-        whole = ~F.contains(last["value"], F.lit(FILL)) & ~F.contains(s["value"], F.lit(FILL))
-        both = F.struct(last["start"].alias("start"), s["end"].alias("end"), F.concat(last["value"], F.lit(" "), s["value"]).alias("value"), last["left"].alias("left"))
-        before = F.slice(out, F.lit(1), F.greatest(F.size(out) - 1, F.lit(0)))
-        return F.when(last.isNotNull() & near & plain & whole, F.concat(before, F.array(both))).otherwise(F.concat(out, F.array(s)))
+def _patterns(s: Column) -> Column:
+    """The patterns of an occurrence (value, left: its left context reversed, right)."""
+    one, two, after = s["one"], s["two"], s["right"]
+    named = (one != "") & (one != "#")
+    pairs = F.when(named & (two != ""), F.concat(F.lit("2 "), two, F.lit(" "), one))
+    around = F.when(named & (after != "") & (after != "#"), F.concat(F.lit("1 "), one, F.lit(" "), after))
+    shaped = F.when(named, F.concat(F.lit("s "), one, F.lit(" "), shape(s["value"])))
+    return F.filter(F.array(pairs, around, shaped), lambda p: p.isNotNull())
 
-    return F.aggregate(runs, F.array().cast(FOUND), step)
+
+OCCURRENCES = "array<struct<start:int,end:int,value:string,one:string,two:string,right:string>>"
+
+
+def _occurrences(pieces: Column, hits: Column) -> Column:
+    """The matches of INSTANCE with the two words to the left and the one to the right; candidates that single spaces join, where letters or
+    digits stand on both sides of each, are one."""
+    gaps = F.zip_with(pieces, F.slice(pieces, F.lit(2), F.size(hits)), lambda p, n: F.struct(p.alias("p"), n.alias("n")))
+    runs = F.zip_with(hits, F.slice(hits, F.lit(2), F.size(hits)), lambda h, n: F.struct(h.alias("h"), n.alias("n")))
+    pairs = F.zip_with(F.slice(gaps, F.lit(1), F.size(hits)), runs, lambda g, r: F.struct(g["p"].alias("p"), r["h"].alias("h"), F.concat(g["n"], F.coalesce(r["n"], F.lit(""))).alias("after")))
+    last_two = f"^{BETWEEN}*+({WORD}++)(?:{BETWEEN}++({WORD}++))?"
+    word = lambda text, k: _blur(_ascii_lower(F.reverse(F.regexp_extract(text, last_two, k))))
+    plain = lambda c: F.regexp_like(c, F.lit("[A-Za-z0-9]"))
+
+    def step(done: Column, x: Column) -> Column:
+        start = done["at"] + F.length(x["p"])
+        end = start + F.length(x["h"])
+        left = F.concat(F.reverse(x["p"]), done["left"])  # reversed: the nearest comes first
+        right = _blur(_ascii_lower(F.regexp_extract(x["after"], f"^{BETWEEN}*+({WORD}++)", 1)))
+        one = F.struct(start.alias("start"), end.alias("end"), x["h"].alias("value"), word(left, 1).alias("one"), word(left, 2).alias("two"), right.alias("right"))
+        last = F.get(done["out"], F.size(done["out"]) - 1)
+        joins = last.isNotNull() & (x["p"] == " ") & plain(F.right(last["value"], F.lit(1))) & plain(F.left(x["h"], F.lit(1)))
+        both = F.struct(last["start"].alias("start"), end.alias("end"), F.concat(last["value"], F.lit(" "), x["h"]).alias("value"), last["one"].alias("one"), last["two"].alias("two"), right.alias("right"))
+        before = F.slice(done["out"], F.lit(1), F.greatest(F.size(done["out"]) - 1, F.lit(0)))
+        kept = F.regexp_extract(F.concat(F.reverse(x["h"]), left), f"^{BETWEEN}*+(?:{WORD}++{BETWEEN}*+){{0,2}}", 0)
+        return F.struct(end.alias("at"), kept.alias("left"), F.when(joins, F.concat(before, F.array(both))).otherwise(F.concat(done["out"], F.array(one))).alias("out"))
+
+    none = F.array().cast(OCCURRENCES)
+    return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), F.lit("").alias("left"), none.alias("out")), step, lambda done: done["out"])
 
 
 def extract(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, base, seen): base spans, and all seeds and instances with their patterns; one pass over the texts."""
+    """(doc_id, text_hash, base, seen): base spans (start, end, rank, kind), and all seeds and candidates with their patterns
+    (start, end, value, kind, patterns; kind null for candidates); one pass over the texts."""
     rows = docs.select("doc_id", empty_safe(F.col("text").cast("string")).alias("text"))
-    text = F.col("text")
-    parts = {k: s for k, s in base_spans(text).items()}
-    rows = rows.select("doc_id", "text", F.xxhash64(text).alias("text_hash"), *[s.alias(f"s_{k}") for k, s in parts.items()])
-    base = F.concat(*[labelled(F.col(f"s_{k}"), k, i) for i, k in enumerate(KINDS)])
-    rows = rows.withColumn("base", base).withColumn("text", masked(text, F.col("base"), FILL))
-    other = F.filter(_grouped(find(text, INSTANCE, F.regexp_like(text, F.lit("[0-9]")), True)), lambda s: ~overlaps(s, F.col("base")))
-    seen = F.concat(*[_with_patterns(F.col(f"s_{k}"), F.lit(k)) for k in KINDS], _with_patterns(other, None))
-    return rows.select("doc_id", "text_hash", "base", seen.alias("seen"))
-
-
-def discover(extracted: DataFrame, rounds: int = ROUNDS, min_score: float = MIN_SCORE, min_seeds: int = MIN_SEEDS) -> DataFrame:
-    """(pattern, value, kind): the instances beyond the seeds that high-confidence patterns reach."""
+    rows = rows.select("doc_id", "text", F.xxhash64("text").alias("text_hash"), *[s.alias(f"s_{k}") for k, s in base_spans(F.col("text")).items()])
+    one = lambda k, i: F.transform(F.col(f"s_{k}"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(i).alias("rank"), F.lit(k).alias("kind"), s["value"].alias("value")))
+    rows = rows.select("doc_id", "text", "text_hash", F.concat(*[one(k, i) for i, k in enumerate(KINDS)]).alias("base"))
+    rows = rows.select("doc_id", "text_hash", "base", masked(F.col("text"), F.col("base"), FILL).alias("m"))
+    none = F.array().cast("array<string>")
+    any_hit = F.regexp_like("m", F.lit("[0-9\uffff]"))
+    rows = rows.select("doc_id", "text_hash", "base", F.when(any_hit, F.split("m", INSTANCE, -1)).otherwise(none).alias("p"), F.when(any_hit, F.regexp_extract_all("m", F.lit(INSTANCE), F.lit(0))).otherwise(none).alias("h"))
+    rows = rows.select("doc_id", "text_hash", "base", F.when(F.size("h") > 0, _occurrences(F.col("p"), F.col("h"))).otherwise(F.array().cast(OCCURRENCES)).alias("o"))
+
+    def with_kind(s: Column) -> Column:
+        seed = F.get(F.filter(F.col("base"), lambda b: (b["start"] >= s["start"]) & (b["start"] < s["end"])), F.lit(0))
+        found = F.startswith(s["value"], F.lit(FILL))
+        return F.struct(s["start"].alias("start"), s["end"].alias("end"), F.when(found, seed["value"]).otherwise(s["value"]).alias("value"), F.when(found, seed["kind"]).alias("kind"), s["one"].alias("one"), s["two"].alias("two"), s["right"].alias("right"))
+
+    rows = rows.select("doc_id", "text_hash", "base", F.filter(F.transform("o", with_kind), lambda s: s["value"].isNotNull()).alias("o"))
+    seen = F.transform("o", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), s["kind"].alias("kind"), _patterns(s).alias("patterns")))
+    base = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["rank"].alias("rank"), s["kind"].alias("kind")))
+    return rows.select("doc_id", "text_hash", base.alias("base"), seen.alias("seen"))
+
+
+def slot_words(docs: DataFrame, patterns: DataFrame, n_patterns: int) -> DataFrame:
+    """(pattern, words): in how many distinct words without a digit the slot of a pattern of two words (left) or one (left and right) is
+    filled, over all texts; patterns: distinct column pattern."""
+    text = _ascii_lower(empty_safe(F.col("text").cast("string")))
+    bare = F.regexp_replace(text, r"(?<![^\x00-\x20])[^0-9@\x00-\x20]*+[0-9@][^\x00-\x20]*+", "#")
+    words = docs.select(F.array_remove(F.split(F.replace(bare, F.lit("#"), F.lit(" 0 ")), f"{BETWEEN}+"), "").alias("w"))
+    at = words.select("w", F.posexplode("w").alias("k", "word")).where("word != '0'")
+    word = lambda k: F.get("w", F.col("k") + k)
+    at = at.select("word", F.when(F.col("k") > 0, word(-1)).alias("one"), F.when(F.col("k") > 1, word(-2)).alias("two"), word(1).alias("after")).where("one != '0'")
+    parts = F.split("pattern", " ")
+    wanted = patterns.select("pattern", F.get(parts, F.lit(0)).alias("type"), F.get(parts, F.lit(1)).alias("a"), F.get(parts, F.lit(2)).alias("b"))
+    wanted = wanted.where("type in ('1', '2')").select("pattern", "type", F.when(F.col("type") == "2", F.col("b")).otherwise(F.col("a")).alias("one"), F.when(F.col("type") == "2", F.col("a")).otherwise(F.col("b")).alias("other"))
+    near = maybe_broadcast(wanted.select("one").distinct(), n_patterns, ROW_BYTES)
+    at = at.join(near, "one", "left_semi")
+    both = F.array(F.struct(F.lit("2").alias("type"), F.when(F.col("two") == "0", F.lit("#")).otherwise(F.col("two")).alias("other")), F.struct(F.lit("1").alias("type"), F.col("after").alias("other")))
+    at = at.select("word", "one", F.explode(both).alias("c")).select("word", "one", "c.type", "c.other")
+    held = at.join(maybe_broadcast(wanted, n_patterns, ROW_BYTES), ["one", "type", "other"]).groupBy("pattern", "word").agg(F.lit(1).alias("x"))
+    return held.groupBy("pattern").agg(F.count("*").alias("words"))
+
+
+def discover(docs: DataFrame, extracted: DataFrame, rounds: int = ROUNDS, min_trust: float = MIN_TRUST, min_seeds: int = MIN_SEEDS) -> DataFrame:
+    """(pattern, kind, trust): the trusted patterns of the last round."""
     flat = extracted.select(F.explode("seen").alias("s")).select("s.value", "s.kind", F.explode("s.patterns").alias("pattern"))
-    edges = flat.groupBy("pattern", "value").agg(F.max("kind").alias("seed"))
-    kinds = F.array(*[F.lit(k) for k in KINDS])
-    # only patterns with enough seeds of a kind can ever count, and only what they reach
-    able = edges.where("seed is not null").groupBy("pattern", F.col("seed").alias("kind")).agg(F.count("*").alias("seeds")).where(F.col("seeds") >= min_seeds).where(F.array_contains(kinds, F.col("kind")))
-    able = keep(able)
-    edges = keep(edges.join(able, "pattern").select("pattern", "value", "kind", F.when(F.col("seed").isNull(), F.lit(None)).otherwise((F.col("seed") == F.col("kind")).cast("double")).alias("fixed")))
-    scores = edges.where("fixed is null").select("value", "kind").distinct().withColumn("score", F.lit(0.0))
-    good = None
+    edges = keep(flat.groupBy("pattern", "value").agg(F.min_by("kind", _rank(F.col("kind"))).alias("seed")))
+    # a pattern of fewer values can never weigh enough
+    able = keep(edges.groupBy("pattern").agg(F.count("*").alias("n")).where(F.col("n") >= min_seeds).select("pattern"))
+    n_able = able.count()
+    empty = edges.sparkSession.createDataFrame([], "pattern string, kind string, trust double")
+    if not n_able:
+        return empty
+    able = maybe_broadcast(able, n_able, ROW_BYTES)
+    # a value that is a seed anywhere is one everywhere
+    seeds = edges.where("seed is not null").groupBy("value").agg(F.min_by("seed", _rank(F.col("seed"))).alias("fixed"))
+    edges = edges.select("pattern", "value").join(able, "pattern", "left_semi").join(seeds, "value", "left")
+    edges = keep(edges.join(keep(slot_words(docs, able, n_able)), "pattern", "left").select("pattern", "value", "fixed", F.coalesce("words", F.lit(0)).alias("words")))
+    accepted, good, before = None, empty, (0, 0)
     for _ in range(rounds):
-        held = edges.join(scores, ["value", "kind"], "left").withColumn("v", F.coalesce("fixed", "score", F.lit(0.0)))
-        good = keep(held.groupBy("pattern", "kind").agg((F.sum("v") / (F.count("*") + 1)).alias("trust")))
-        miss = F.exp(F.sum(F.ln(F.greatest(1 - F.col("trust"), F.lit(1e-9)))))
-        scores = keep(edges.where("fixed is null").join(good, ["pattern", "kind"]).groupBy("value", "kind").agg((1 - miss).alias("score")))
-    best = edges.where("fixed is null").join(good.where(F.col("trust") >= min_score), ["pattern", "kind"]).join(scores.where(F.col("score") >= min_score), ["value", "kind"])
-    first = Window.partitionBy("pattern", "value").orderBy(F.desc("trust"), "kind")
-    return best.withColumn("r", F.row_number().over(first)).where("r = 1").select("pattern", "value", "kind")
+        held = edges if accepted is None else edges.join(accepted, "value", "left")
+        kind = F.col("fixed") if accepted is None else F.coalesce("fixed", "kind")
+        weight = F.lit(1.0) if accepted is None else F.when(F.col("fixed").isNotNull(), F.lit(1.0)).otherwise(F.col("score"))
+        held = held.select("pattern", "words", kind.alias("k"), weight.alias("w"))
+        sums = [F.sum(F.when(F.col("k") == k, F.col("w")).otherwise(F.lit(0.0))).alias(f"w_{k}") for k in KINDS] + [F.count(F.when(F.col("k") == k, F.lit(1))).alias(f"n_{k}") for k in KINDS]
+        totals = held.groupBy("pattern").agg(*sums, F.max("words").alias("words"), F.count("*").alias("n"), F.count("k").alias("known"))
+        each = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"w_{k}").alias("w"), F.col(f"n_{k}").alias("own")) for k in KINDS])).alias("e")
+        graded = totals.select("pattern", "words", "n", "known", each).select("pattern", "e.kind", "e.w", "e.own", "words", "n", "known")
+        slot = F.col("w") + (F.col("known") - F.col("own")) + F.col("words") + (F.col("n") - F.col("known")) / 2 + 1
+        good = keep(graded.select("pattern", "kind", "w", (F.col("w") / slot).alias("trust")).where((F.col("w") >= min_seeds) & (F.col("trust") >= min_trust)).select("pattern", "kind", "trust"))
+        n_good = good.count()
+        reach = edges.where("fixed is null").select("pattern", "value").join(maybe_broadcast(good, n_good, ROW_BYTES), "pattern")
+        scored = reach.groupBy("value", "kind").agg((1 - F.exp(F.sum(F.ln(1 - F.col("trust"))))).alias("score"))
+        best = scored.groupBy("value").agg(F.max(F.struct(F.col("score"), -_rank(F.col("kind")), F.col("kind"))).alias("b"))
+        accepted = keep(best.select("value", "b.kind", "b.score"))
+        now = (n_good, accepted.count())
+        accepted = maybe_broadcast(accepted, now[1], ROW_BYTES)
+        if now == before or not now[1]:
+            break
+        before = now
+    return good
+
+
+def _rank(kind: Column) -> Column:
+    return F.coalesce(*[F.when(kind == k, F.lit(i)) for i, k in enumerate(KINDS)])
 
 
 def pii_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, base, spans) of every row of docs: arrays of (start, end, rank, kind)."""
     rows = keep(extract(docs))
-    found = keep(discover(rows))
-    reached = rows.select("doc_id", "text_hash", F.explode("seen").alias("s")).where("s.kind is null").select("doc_id", "text_hash", "s.start", "s.end", "s.value", F.explode("s.patterns").alias("pattern"))
-    rank = F.coalesce(*[F.when(F.col("kind") == k, F.lit(i)) for i, k in enumerate(KINDS)])
-    new = reached.join(found, ["pattern", "value"]).groupBy("doc_id", "text_hash", "start", "end").agg(F.min("kind").alias("kind"))
-    more = new.groupBy(F.col("doc_id").alias("d"), F.col("text_hash").alias("h")).agg(F.collect_set(F.struct(F.col("start"), F.col("end"), rank.alias("rank"), F.col("kind"))).alias("more"))
-    out = rows.select("doc_id", "text_hash", "base").join(more, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")), "left")
+    found = keep(discover(docs, rows))
+    base = rows.select("doc_id", "text_hash", "base")
+    n_found = found.count()
+    if not n_found:
+        return base.select("*", F.col("base").alias("spans"))
+    reached = rows.select("doc_id", "text_hash", F.explode("seen").alias("s")).where("s.kind is null").select("doc_id", "text_hash", "s.start", "s.end", F.explode("s.patterns").alias("pattern"))
+    reached = reached.join(maybe_broadcast(found, n_found, ROW_BYTES), "pattern")
+    place = reached.groupBy("doc_id", "text_hash", "start", "end").agg(F.max(F.struct(F.col("trust"), -_rank(F.col("kind")), F.col("kind"))).alias("b"))
+    one = F.struct(F.col("start"), F.col("end"), _rank(F.col("b.kind")).alias("rank"), F.col("b.kind").alias("kind"))
+    more = keep(place.groupBy(F.col("doc_id").alias("d"), F.col("text_hash").alias("h")).agg(F.collect_set(one).alias("more"), F.count("*").alias("n")))
+    size = more.agg(F.count("*"), F.sum("n")).first()
+    out = base.join(maybe_broadcast(more.drop("n"), (size[0] or 0) + (size[1] or 0), 64), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")), "left")
     return out.select("doc_id", "text_hash", "base", F.when(F.col("more").isNull(), F.col("base")).otherwise(F.concat("base", "more")).alias("spans"))
 
 
 def mask_pii(docs: DataFrame) -> DataFrame:
-    """docs with every span replaced by its kind in angle brackets and n_chars, where there is one, set to the new length."""
-    marked = keep(pii_spans(docs).where(F.size("spans") > 0).dropDuplicates(["doc_id", "text_hash"]).select(F.col("doc_id").alias("__d"), F.col("text_hash").alias("__h"), F.col("spans").alias("__s")))
+    """docs with every span replaced by its kind in angle brackets and n_chars, where there is one, set to the new length.
+
+    The rows with spans are broadcast if their counted size allows; the texts are then not shuffled."""
+    d, h, s = free_names(docs, "marked_id", "marked_hash", "marked_spans")
+    marked = keep(pii_spans(docs).where(F.size("spans") > 0).dropDuplicates(["doc_id", "text_hash"]).select(F.col("doc_id").alias(d), F.col("text_hash").alias(h), F.col("spans").alias(s)))
+    size = marked.agg(F.count("*"), F.sum(F.size(s))).first()
     text = F.col("text").cast("string")
-    same = F.col("doc_id").eqNullSafe(F.col("__d")) & (F.xxhash64(empty_safe(text)) == F.col("__h"))
-    out = docs.join(marked, same, "left").withColumn("text", F.when(F.col("__s").isNull(), text).otherwise(masked(text, F.col("__s"))))
+    same = F.col("doc_id").eqNullSafe(F.col(d)) & (F.xxhash64(empty_safe(text)) == F.col(h))
+    out = docs.join(maybe_broadcast(marked, (size[0] or 0) + (size[1] or 0), 64), same, "left").withColumn("text", F.when(F.col(s).isNull(), text).otherwise(masked(text, F.col(s))))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__s").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+        out = out.withColumn("n_chars", F.when(F.col(s).isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -5,30 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-FOUND = "array<struct<start:int,end:int,value:string,left:string>>"
-#: Characters before a match that are kept as its left context.
-LEFT = 80
+FOUND = "array<struct<start:int,end:int,value:string>>"
 
 
-def find(text: Column, pattern: str, likely: Column, across: bool = False) -> Column:
+def find(text: Column, pattern: str, likely: Column) -> Column:
     """Leftmost non-overlapping matches of pattern, where the cheap test `likely` holds; else none.
 
-    The text splits into the pieces between matches; running lengths of pieces and matches give the places.
-    The left context ends at the match before, or with `across` goes on over it."""
+    The text splits into the pieces between matches; running lengths of pieces and matches give the places."""
     pieces, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pairs = F.zip_with(F.slice(pieces, F.lit(1), F.size(hits)), hits, lambda p, h: F.struct(p.alias("p"), h.alias("h")))
 
     def step(done: Column, x: Column) -> Column:
         start = done["at"] + F.length(x["p"])
         end = start + F.length(x["h"])
-        left = F.right(F.concat(done["tail"], F.right(x["p"], F.lit(LEFT))) if across else x["p"], F.lit(LEFT))
-        one = F.struct(start.alias("start"), end.alias("end"), x["h"].alias("value"), left.alias("left"))
-        tail = [F.right(F.concat(left, F.right(x["h"], F.lit(LEFT))), F.lit(LEFT)).alias("tail")] if across else []
-        return F.struct(end.alias("at"), F.concat(done["out"], F.array(one)).alias("out"), *tail)
+        one = F.struct(start.alias("start"), end.alias("end"), x["h"].alias("value"))
+        return F.struct(end.alias("at"), F.concat(done["out"], F.array(one)).alias("out"))
 
     none = F.array().cast(FOUND)
-    first = F.struct(F.lit(0).alias("at"), none.alias("out"), *([F.lit("").alias("tail")] if across else []))
-    spans = F.aggregate(pairs, first, step, lambda done: done["out"])
+    spans = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda done: done["out"])
     return F.when(likely & F.regexp_like(text, F.lit(pattern)), spans).otherwise(none)
 
 
