@@ -3,6 +3,7 @@ import random
 import re
 
 import duckdb
+from pyspark.sql import functions as F
 
 from vellum.llm import decontaminate as D
 
@@ -65,8 +66,70 @@ def test_empty_tables(spark):
     assert D.contamination(docs.limit(0), items).count() == 0
 
 
+def pieces(docs, items, **options):
+    windows, window_items = D.windows_of(items)
+    anchors = D.keep(D.rare_terms(windows, docs))
+    return windows, anchors, D.keep(D.index(docs, anchors, **options))
+
+
 def test_proximity(spark):
     docs = spark.createDataFrame([(1, "zz one two extra three four yy"), (2, "one two three four"), (3, "one x x x x x x x x two three four")], "doc_id long, text string")
-    windows, _ = D.windows_of(spark.createDataFrame([(1, "one two three four")], "item_id long, text string"))
-    got = sorted({(r.doc_id, r.kind) for r in D.matches(docs, windows, slop=2).collect()})
+    items = spark.createDataFrame([(1, "one two three four")], "item_id long, text string")
+    windows, anchors, indexed = pieces(docs, items)
+    got = sorted({(r.doc_id, r.kind) for r in D.matches(docs, windows, indexed, anchors, slop=2).collect()})
     assert got == [(1, "proximity"), (2, "phrase")]
+    rows = {r.doc_id: (r.n_hit, r.item_ids, r.near_ids) for r in D.contamination(docs, items, slop=2).collect()}
+    assert rows == {1: (0, [], ["1"]), 2: (4, ["1"], []), 3: (0, [], [])}
+    assert [r.doc_id for r in D.drop_contaminated(docs, items, slop=2).collect()] == [3]
+
+
+def corpus(spark):
+    r = random.Random(6)
+    vocabulary = [f"w{k}" for k in range(40)]
+    items = [(k, " ".join(r.choices(vocabulary, k=r.choice([1, 2, 5, 12, 30])))) for k in range(12)]
+    docs = [(k, " ".join(r.choices(vocabulary, k=60) + items[k % 12][1].split()[: r.choice([8, 10, 30])] + r.choices(vocabulary, k=20))) for k in range(150)]
+    return spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), docs, items
+
+
+def test_joined_index_equals_the_one_in_rows(spark):
+    docs, items, plain_docs, plain_items = corpus(spark)
+    sorted_lists = lambda x: sorted((r.doc_id, r.n_words, sorted(r.postings), sorted(r.firsts)) for r in x.collect())
+    assert sorted_lists(pieces(docs, items)[2]) == sorted_lists(pieces(docs, items, literal_terms=0)[2])
+    got = D.contamination(docs, items, literal_terms=0).collect()
+    want = {w[0]: w[1:4] for w in brute(plain_docs, plain_items)}
+    assert {g.doc_id: (g.n_words, g.n_hit, g.n_items) for g in got} == want
+
+
+def test_index_and_intersection_against_brute_force(spark):
+    """Candidates are the starts at which the three rarest terms of a window stand at their offsets, no more and no fewer."""
+    docs, items, plain_docs, _ = corpus(spark)
+    windows, anchors, indexed = pieces(docs, items)
+    rare = {r.window_id: [(x.offset, x.term) for x in r.rare] for r in anchors.collect()}
+    counts = {t: sum(t in words(d) for _, d in plain_docs) for x in rare.values() for _, t in x}
+    for r in anchors.collect():
+        order = sorted(range(len(r.window)), key=lambda k: (sum(r.window[k] in words(d) for _, d in plain_docs), k))[:3]
+        assert [x.offset for x in r.rare] == order and [x.n for x in r.rare] == [counts[x.term] for x in r.rare]
+    got = {(r.doc_id, r.window_id, r.start) for r in D.intersect(indexed, anchors).collect()}
+    want = set()
+    for d, t in plain_docs:
+        w = words(t)
+        for k, lists in rare.items():
+            want |= {(d, k, s) for s in range(len(w)) if all(0 <= s + o < len(w) and w[s + o] == x for o, x in lists)}
+    assert got == want
+    exact = {(r.doc_id, r.window_id, r.start) for r in D.matches(docs, windows, indexed, anchors).collect()}
+    assert exact < got  # the comparison of the other words is needed too
+
+
+def test_without_the_lists_nothing_is_found(spark):
+    docs, items, _, _ = corpus(spark)
+    windows, anchors, indexed = pieces(docs, items)
+    bare = indexed.withColumn("postings", F.array().cast("array<long>"))
+    long = windows.where("size(window) = 10").select("window_id")
+    assert D.matches(docs, windows, indexed, anchors).join(long, "window_id").count() > 0
+    assert D.matches(docs, windows, bare, anchors).join(long, "window_id").count() == 0
+
+
+def test_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "a b", 1, "x", 2, 3), (2, "c d", 1, None, 2, 3)], "doc_id long, text string, leaked_id int, LEAKED_HASH string, d int, h int")
+    items = spark.createDataFrame([(1, "c D", 5)], "item_id long, text string, window_id int")
+    assert [tuple(r) for r in D.drop_contaminated(docs, items).collect()] == [(1, "a b", 1, "x", 2, 3)]

@@ -57,14 +57,60 @@ def test_notice_after_stretches_with_more_votes():
         assert label in labels_of(f"{long} {notice[label]} {long}")
 
 
-def test_aligned_shares_against_brute_force():
+def common(x, y):
+    best = [0] * (len(y) + 1)
+    for a in x:
+        row = [0]
+        for j, b in enumerate(y):
+            row.append(best[j] + 1 if a == b else max(best[j + 1], row[j]))
+        best = row
+    return best[-1]
+
+
+def test_alignment_against_brute_force():
     r = random.Random(6)
-    for _ in range(200):
-        words, template = r.choices([b"a", b"b", b"c", b"d"], k=r.randrange(1, 40)), r.choices([b"a", b"b", b"c"], k=6)
-        stretches = [tuple(sorted(r.choices(range(len(words)), k=2))) for _ in range(3)]
-        want = {low: sum(min(words[low : low + 9].count(w), template.count(w)) for w in set(template)) / 6 for a, b in stretches for low in range(a, b + 1)}
-        got = list(L.aligned_shares(words, template, stretches, 9))
-        assert dict(got) == want and len(got) == len(want)
+    for _ in range(300):
+        words = r.choices([b"a", b"b", b"c", b"d"], k=r.randrange(40))
+        t = L.Template("x", " ".join(r.choices("abc", k=r.randrange(3, 70))) + " a b", ("a b",), {})
+        assert t.aligned(words) == common(t.words, words)
+
+
+def test_labels_against_every_start():
+    """The index finds what aligning the template with the stretch about every place of its key phrase finds."""
+    r = random.Random(12)
+    notices = [(label, text, keys) for label, text, keys in L.TEMPLATES]
+    weights = {w.decode(): r.random() for w in L.LicenseIndex({}).vocabulary}
+    index = L.LicenseIndex(weights)
+    for _ in range(60):
+        parts = []
+        for _, text, _ in r.sample(notices, r.randrange(5)):
+            w = text.split()
+            parts += r.choices(["of", "the", "license", "software", "x"], k=r.randrange(30)) + [x for x in w if r.random() > r.choice([0, 0.1, 0.4])]
+        words = L.words_of(" ".join(parts))
+        want = set()
+        for t in index.templates:
+            for at in L.find_phrase(words, t.keys[0]):
+                s = at - L.find_phrase(t.words, t.keys[0])[0]
+                low, stretch = max(0, s - L.DRIFT), words[max(0, s - L.DRIFT) : s + len(t.words) + L.DRIFT]
+                if all(L.find_phrase(stretch, k) for k in t.keys) and common(t.words, stretch) >= t.needed:
+                    want.add(t.label)
+        assert index.method_labels(words, set(words))[0] >= want
+        assert index.method_labels(words, set(words))[0] == L.LicenseIndex({}).method_labels(words, set(words))[0]  # weights decide the work only
+
+
+def test_shuffled_notices_are_rejected():
+    r = random.Random(4)
+    long = [(label, text, keys) for label, text, keys in L.TEMPLATES if len(L.words_of(text)) >= 20]
+    assert len({label for label, _, _ in long}) >= 8
+    for label, text, keys in long:
+        words = L.words_of(text)
+        for k in keys:
+            phrase = L.words_of(k)
+            at = L.find_phrase(words, phrase)[0]
+            words[at : at + len(phrase)] = [b" ".join(phrase)]
+        for _ in range(5):
+            r.shuffle(words)
+            assert label not in labels_of(b" ".join(words).decode()), label
 
 
 def test_one_line_statements():

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: Most bytes of a table that is broadcast; beyond it the plain shuffled join is used.
 BROADCAST_BYTES = 32 << 20
+#: Rows of a small table that go into one file.
+ROWS_PER_FILE = 100_000
 
 
 def ship(module_name: str) -> None:
@@ -19,18 +21,25 @@ def ship(module_name: str) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of checkpoints, set if the session has none yet."""
+    """The folder of checkpoints that spark.checkpoint.dir names (all executors share it).
+
+    Only a local session, whose executors are the driver, gets a folder of its own where it names none."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="vellum-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith(("local[", "local-cluster[")) and context.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="vellum-"))
     return context._jsc.sc().getCheckpointDir().get()
 
 
-def keep(df: DataFrame) -> DataFrame:
-    """Cut the lineage: written to the folder that spark.checkpoint.dir names (all executors share it).
+def keep(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Cut the lineage: written to the shared folder. rows: a bound of its rows, by which a small table is written in few files.
 
-    Only where the session names none, a folder of its own is used (local runs and tests)."""
+    Spark removes the files once the table is no longer referred to, where spark.cleaner.referenceTracking.cleanCheckpoints is set."""
     shared_folder(df.sparkSession)
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // ROWS_PER_FILE)))
     return df.checkpoint(eager=True)
 
 
@@ -55,14 +64,15 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, rows: int | None = None, max_rounds: int = 60) -> DataFrame:
     """Connected components of (u, v) long edges as stars (u, v): v is the smallest id reachable from u.
 
     Alternating large-star and small-star rounds, each written to the shared folder. Every step is a
     join or a map-side-combined minimum; nothing is collected but three counts a round. Nodes that are
-    the smallest of their component appear only as v. Self-edges and repeats are ignored.
+    the smallest of their component appear only as v. Self-edges and repeats are ignored. rows: a bound of the edges, if known.
+    A hub's edges meet in plain sort-merge joins, whose hot keys adaptive execution splits, and in partial aggregates.
     """
-    e = keep(edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    e = keep(edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), rows)
     for _ in range(max_rounds):
         n, distinct_u = e.agg(F.count("*"), F.count_distinct("u")).first()
         if n == distinct_u and not e.join(e.select(F.col("u").alias("v")), "v", "left_semi").take(1):
@@ -72,7 +82,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         large = both.join(low, "u").where("v > u and v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = keep(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        e = keep(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), 2 * n)
     raise RuntimeError("components did not settle")
 
 

@@ -1,62 +1,77 @@
 """Benchmark decontamination by a distributed positional inverted index.
 
-Test items are cut into windows of ten consecutive words (an item of fewer is one window). The corpus counts
-of all test terms pick each window's rarest terms; the index stores the training postings (document, place)
-of those terms. Places minus the term's offset in the window are candidate starts: the lists of a window's
-rare terms are intersected on them, and a start that all lists share is compared word by word. With slop, a
-window also matches in proximity: its rare terms stand in a stretch where the adjusted starts differ by at
-most slop. Only DataFrame functions are used. The terms of windows are broadcast in blocks of a bounded
-size, one pass over the corpus a block; postings are filtered beside the next rarer term's place before they
-are shuffled, so common terms move nothing.
+Test items are cut into windows of ten consecutive words (an item of fewer is one window). A first pass counts in how many
+texts each test term stands and so picks each window's RARE rarest terms. A second pass builds the index, partitioned by document: every text's postings
+of those terms, each (hash of the term, place), beside its number of words; it is written once, no text is shuffled. A posting of a window's rarest
+term, minus the term's offset in the window, is a candidate start; it stays if the lists of the window's other rare terms, each minus its own offset, hold the same start. Only the texts of
+what the intersection leaves are read again, and there the window's other words are compared. With slop, a window also matches in proximity: every other rare term has an adjusted
+start within slop words of the rarest term's. Only DataFrame functions are used.
 
-Words are runs of ASCII digits, letters and all characters above U+007F; A-Z compare without case.
+Up to LITERAL_TERMS rare terms the index is built inside each row; beyond, terms are joined (broadcast in blocks of a bounded size) and postings
+are grouped by text. Documents get their items by the distinct sets of windows that they hold, so items that share a window are listed
+once for each such set.
+
+Words are runs of ASCII digits, letters and all characters above U+007F; A-Z compare without case. Index terms are lower-cased beyond ASCII
+too, which only adds candidates.
 
 Cases: null and empty texts have no words. Items without words have no window. Repeated items and equal
-windows of several items all count for each item. Rows are told apart by doc_id and a hash of the text; rows
-that repeat both give equal results. Empty tables give no hits. Other columns may have any name.
+windows of several items all count for each item. Ties: of equally rare terms the first in the window counts as rarer. Rows are told apart by doc_id and a hash of the text; rows
+that repeat both give equal results. Very long texts are read whole; their postings are one array. Empty tables give no hits. Other columns may have any name.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import BROADCAST_BYTES, empty_safe, keep
+from vellum.llm.common import BROADCAST_BYTES, empty_safe, free_names, keep, maybe_broadcast
 
 WINDOW = 10
 #: Rare terms of a window whose lists are intersected.
 RARE = 3
+#: Most rare terms that are put into the plan as a set.
+LITERAL_TERMS = 8_192
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: What lies between words, before lower-casing.
-BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: Estimated bytes of one anchor row with its window's words.
-ANCHOR_BYTES = 512
+#: What lies between words, once lower-cased.
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Estimated bytes of a term, and of a window with its words; longer words are counted by their length.
+TERM_BYTES, WINDOW_BYTES = 64, 512
+
+
+def ascii_lower(text: Column) -> Column:
+    return F.translate(text, UPPER, LOWER)
 
 
 def words_of(text: Column) -> Column:
-    """The words of a text in their original case."""
-    return F.array_remove(F.split(empty_safe(text), BETWEEN), "")
+    """The words of a text, A-Z lower-cased."""
+    return F.array_remove(F.split(ascii_lower(empty_safe(text)), BETWEEN), "")
 
 
-def ascii_lower(word: Column) -> Column:
-    return F.translate(word, UPPER, LOWER)
+def terms_of(text: Column) -> Column:
+    """The index terms of a text; the first and the last may be empty and are no words."""
+    return F.split(F.lower(empty_safe(text)), BETWEEN)
 
 
 def windows_of(items: DataFrame, size: int = WINDOW) -> tuple[DataFrame, DataFrame]:
     """(window_id, window) of the distinct windows, and (item_id, window_id)."""
-    words = items.select(F.col("item_id").cast("string").alias("item_id"), F.transform(words_of(F.col("text").cast("string")), ascii_lower).alias("w")).where("size(w) > 0")
+    words = items.select(F.col("item_id").cast("string").alias("item_id"), words_of(F.col("text").cast("string")).alias("w")).where("size(w) > 0")
     starts = F.sequence(F.lit(1), F.greatest(F.size("w") - size + 1, F.lit(1)))
     cut = words.select("item_id", "w", F.explode(starts).alias("at")).select("item_id", F.slice("w", F.col("at"), F.lit(size)).alias("window")).distinct()
-    cut = keep(cut)
-    windows = keep(cut.select("window").distinct().withColumn("window_id", F.monotonically_increasing_id()))
+    n = words.agg(F.sum(F.greatest(F.size("w") - size + 1, F.lit(1)))).first()[0] or 0
+    cut = keep(cut, n)
+    windows = keep(cut.select("window").distinct().withColumn("window_id", F.monotonically_increasing_id()), n)
     return windows, cut.join(windows, "window").select("item_id", "window_id").distinct()
 
 
-def _blocks(rows: DataFrame, by: str, n_rows: int, row_bytes: int) -> list[DataFrame]:
+def _bytes(column: Column, least: int) -> Column:
+    return F.sum(F.greatest(F.octet_length(column) + 32, F.lit(least))).alias("bytes")
+
+
+def _blocks(rows: DataFrame, by: str, n_bytes: int) -> list[DataFrame]:
     """rows in blocks that may each be broadcast."""
-    n = max(1, -(-n_rows * row_bytes // BROADCAST_BYTES))
+    n = max(1, -(-n_bytes // BROADCAST_BYTES))
     return [F.broadcast(rows if n == 1 else rows.where(F.pmod(F.xxhash64(by), F.lit(n)) == k)) for k in range(n)]
 
 
@@ -64,94 +79,147 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """(term, n): how often each term stands in all texts; terms: distinct column term."""
-    terms = keep(terms)
-    tokens = docs.select(F.explode(words_of(F.col("text").cast("string"))).alias("w")).select(F.lower("w").alias("term"))
-    return _union([tokens.join(block, "term").groupBy("term").agg(F.count("*").alias("n")) for block in _blocks(terms, "term", terms.count(), 64)])
+def term_counts(docs: DataFrame, terms: DataFrame, n_terms: int) -> DataFrame:
+    """(term, n): in how many texts each term stands; terms: distinct column term, of n_terms rows at most."""
+    terms = keep(terms, n_terms)
+    size = terms.agg(_bytes(F.col("term"), TERM_BYTES)).first()[0] or 0
+    tokens = docs.select(F.explode(F.array_distinct(terms_of(F.col("text").cast("string")))).alias("term"))
+    return _union([tokens.join(block, "term").groupBy("term").agg(F.count("*").alias("n")) for block in _blocks(terms, "term", size)])
 
 
 def rare_terms(windows: DataFrame, docs: DataFrame, rare: int = RARE) -> DataFrame:
-    """The rarest terms of each window, each with the offset and term of the next: the anchors of the index."""
-    places = windows.select("window_id", "window", F.posexplode("window").alias("offset", "w")).withColumn("term", F.lower("w"))
-    counts = term_counts(docs, places.select("term").distinct())
-    order = Window.partitionBy("window_id").orderBy(F.coalesce("n", F.lit(0)), "offset")
-    ranked = places.join(counts, "term", "left").withColumn("k", F.row_number().over(order)).where(F.col("k") <= rare)
-    around = Window.partitionBy("window_id").orderBy("k")
-    whole = Window.partitionBy("window_id")
-    first = [F.first(c).over(around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) for c in ("offset", "term")]
-    return ranked.select(
-        "window_id", "window", "term", "offset", "k", F.count("*").over(whole).alias("lists"), F.max(F.coalesce("n", F.lit(0))).over(whole).alias("most"),
-        F.coalesce(F.lead("offset").over(around), first[0]).alias("next_offset"), F.coalesce(F.lead("term").over(around), first[1]).alias("next_term"),
-    )
-
-
-def postings(docs: DataFrame, anchors: DataFrame, slop: int = 0) -> DataFrame:
-    """(doc_id, text_hash, window_id, k, lists, start, exact): the postings of the anchors' terms as candidate starts, where
-    the next rare term stands beside them; exact: all words of the window stand at start."""
+    """(window_id, window, rare): the rarest terms of each window, rarest first, as structs of n, offset, term and its hash."""
+    places = windows.select("window_id", F.posexplode("window").alias("offset", "w")).select("window_id", "offset", F.lower("w").alias("term"))
+    counts = term_counts(docs, places.select("term").distinct(), WINDOW * windows.count())
+    one = F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("offset"), F.col("term"), F.hash("term").alias("hash"))
+    # a group is one window: ten terms
+    ranked = places.join(counts, "term", "left").groupBy("window_id").agg(F.slice(F.sort_array(F.collect_list(one)), 1, rare).alias("rare"))
+    return windows.join(ranked, "window_id")
+
+
+def posting(hashed: Column, place: Column) -> Column:
+    """A term's hash and a place as one number."""
+    return F.shiftleft(hashed.cast("long"), 32).bitwiseOR(place.cast("long"))
+
+
+def index(docs: DataFrame, anchors: DataFrame, literal_terms: int = LITERAL_TERMS) -> DataFrame:
+    """(doc_id, text_hash, n_words, postings, firsts) of every row of docs: the postings of all rare terms and those of rarest terms."""
+    each = anchors.select(F.posexplode("rare").alias("k", "r")).groupBy("r.term", "r.hash").agg(F.min("k").alias("k"))
+    each = keep(each.select("term", "hash", (F.col("k") == 0).alias("first")), RARE * anchors.count())
+    n, size = each.agg(F.count("*"), _bytes(F.col("term"), TERM_BYTES)).first()
     text = F.col("text").cast("string")
-    tokens = docs.select(F.col("doc_id"), F.xxhash64(empty_safe(text)).alias("text_hash"), words_of(text).alias("words"))
-    tokens = tokens.select("doc_id", "text_hash", "words", F.posexplode("words").alias("place", "w")).withColumn("term", F.lower("w"))
-    start = F.col("place") - F.col("offset")
-    if slop:
-        low = F.greatest(start + F.col("next_offset") - slop, F.lit(0))
-        beside = F.array_contains(F.transform(F.slice("words", low + 1, F.greatest(start + F.col("next_offset") + slop - low + 1, F.lit(0))), F.lower), F.col("next_term"))
-    else:
-        beside = F.lower(F.get("words", start + F.col("next_offset"))) == F.col("next_term")
-    exact = (start >= 0) & (F.transform(F.slice("words", F.greatest(start, F.lit(0)) + 1, F.size("window")), ascii_lower) == F.col("window"))
-    found = []
-    for block in _blocks(anchors, "term", anchors.count(), ANCHOR_BYTES):
-        hit = tokens.join(block, "term").where(beside & ((start >= 0) if not slop else F.lit(True)))
-        found.append(hit.select("doc_id", "text_hash", "window_id", "k", "lists", start.alias("start"), F.size("window").alias("length"), exact.alias("exact")))
-    return _union(found)
-
-
-def matches(docs: DataFrame, windows: DataFrame, slop: int = 0, rare: int = RARE) -> DataFrame:
-    """(doc_id, text_hash, window_id, start, length, kind): every phrase match, and with slop also the proximity matches,
-    where all rare terms of a window have adjusted starts in [start, start + slop]."""
-    anchors = keep(rare_terms(windows, docs, rare))
-    lists = postings(docs, anchors, slop)
-    met = lists.groupBy("doc_id", "text_hash", "window_id", "start", "length", "lists").agg(F.collect_set("k").alias("ks"), F.max("exact").alias("exact"))
-    phrase = met.where((F.size("ks") == F.col("lists")) & F.col("exact")).select("doc_id", "text_hash", "window_id", "start", "length", F.lit("phrase").alias("kind"))
+    rows = docs.select("doc_id", F.xxhash64(empty_safe(text)).alias("text_hash"), terms_of(text).alias("w"))
+    lead = F.when(F.get("w", F.lit(0)) == "", F.lit(1)).otherwise(F.lit(0))
+    tail = F.when((F.size("w") > 1) & (F.element_at("w", -1) == ""), F.lit(1)).otherwise(F.lit(0))
+    rows = rows.select("doc_id", "text_hash", "w", lead.alias("lead"), (F.size("w") - lead - tail).cast("long").alias("n_words"))
+    if n <= literal_terms:
+        terms = each.collect()
+        if not terms:
+            none = F.array().cast("array<long>")
+            return rows.select("doc_id", "text_hash", "n_words", none.alias("postings"), none.alias("firsts"))
+        found = F.transform("w", lambda t, i: F.when(t.isin([r.term for r in terms]), posting(F.hash(t), i - F.col("lead"))))
+        rows = rows.select("doc_id", "text_hash", "n_words", F.filter(found, lambda p: p.isNotNull()).alias("postings"))
+        firsts = F.filter("postings", lambda p: F.shiftright(p, 32).isin([r.hash for r in terms if r.first]))
+        return rows.select("doc_id", "text_hash", "n_words", "postings", firsts.alias("firsts"))
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    tokens = rows.select("row", F.posexplode("w").alias("i", "term"), "lead").select("row", (F.col("i") - F.col("lead")).alias("place"), "term")
+    hits = _union([tokens.join(block, "term").select("row", posting(F.col("hash"), F.col("place")).alias("p"), "first") for block in _blocks(each, "term", size)])
+    # a group is one text
+    lists = hits.groupBy("row").agg(F.collect_list("p").alias("postings"), F.collect_list(F.when(F.col("first"), F.col("p"))).alias("firsts"))
+    none = F.array().cast("array<long>")
+    return rows.select("row", "doc_id", "text_hash", "n_words").join(lists, "row", "left").select("doc_id", "text_hash", "n_words", F.coalesce("postings", none).alias("postings"), F.coalesce("firsts", none).alias("firsts"))
+
+
+def intersect(indexed: DataFrame, anchors: DataFrame, slop: int = 0) -> DataFrame:
+    """(doc_id, text_hash, window_id, start, length, met): candidate starts by the rarest term's postings at which, within slop, the lists of all other
+    rare terms stand; met: at the very start."""
+    hits = indexed.where(F.size("firsts") > 0).select("doc_id", "text_hash", "postings", F.explode("firsts").alias("p"))
+    hits = hits.select("doc_id", "text_hash", "postings", F.shiftright("p", 32).cast("int").alias("hash"), F.col("p").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("place"))
+    narrow = F.transform("rare", lambda r: F.struct(r["offset"].alias("offset"), r["hash"].alias("hash")))
+    wanted = anchors.select("window_id", F.size("window").alias("length"), F.get("rare", F.lit(0))["hash"].alias("hash"), narrow.alias("rare"))
+    found = hits.join(maybe_broadcast(wanted, wanted.count(), 160), "hash").withColumn("start", F.col("place") - F.get("rare", F.lit(0))["offset"])
+    others = F.slice("rare", F.lit(2), F.greatest(F.size("rare") - 1, F.lit(0)))
+    met = F.forall(others, lambda r: F.array_contains("postings", posting(r["hash"], F.col("start") + r["offset"])))
+    if not slop:
+        return found.where((F.col("start") >= 0) & met).select("doc_id", "text_hash", "window_id", "start", "length", F.lit(True).alias("met"))
+    beside = lambda r: F.exists("postings", lambda p: (F.shiftright(p, 32) == r["hash"]) & (F.abs(p.bitwiseAND(F.lit(0xFFFFFFFF)) - r["offset"] - F.col("start")) <= slop))
+    return found.where(F.forall(others, beside)).select("doc_id", "text_hash", "window_id", "start", "length", ((F.col("start") >= 0) & met).alias("met"))
+
+
+def matches(docs: DataFrame, windows: DataFrame, indexed: DataFrame, anchors: DataFrame, slop: int = 0) -> DataFrame:
+    """(doc_id, text_hash, window_id, start, length, kind): every phrase match, and with slop also the proximity matches."""
+    found = keep(intersect(indexed, anchors, slop).distinct())
+    # a group is what one text holds
+    asked = keep(found.where("met").groupBy(F.col("doc_id").alias("d"), F.col("text_hash").alias("h")).agg(F.collect_list(F.struct("window_id", "start", "length")).alias("starts")), found.count())
+    size = asked.agg(F.count("*"), F.sum(F.size("starts"))).first()
+    text = F.col("text").cast("string")
+    rows = docs.select("doc_id", text.alias("text"), F.xxhash64(empty_safe(text)).alias("text_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h"))
+    rows = rows.join(maybe_broadcast(asked, (size[0] or 0) + (size[1] or 0), 32), same).select("doc_id", "text_hash", words_of(F.col("text")).alias("w"), "starts")
+    stretch = F.transform("starts", lambda s: F.struct(s["window_id"].alias("window_id"), s["start"].alias("start"), F.slice("w", s["start"] + 1, s["length"]).alias("held")))
+    rows = rows.select("doc_id", "text_hash", F.explode(stretch).alias("s")).select("doc_id", "text_hash", "s.window_id", "s.start", "s.held")
+    n_bytes = windows.agg(_bytes(F.array_join("window", " "), WINDOW_BYTES)).first()[0] or 0
+    rows = rows.join(maybe_broadcast(windows, n_bytes, 1), "window_id").where(F.col("held") == F.col("window"))
+    phrase = keep(rows.select("doc_id", "text_hash", "window_id", "start", F.size("window").alias("length"), F.lit("phrase").alias("kind")).distinct(), size[1] or 0)
     if not slop:
         return phrase
-    reach = Window.partitionBy("doc_id", "text_hash", "window_id").orderBy("start").rangeBetween(0, slop)
-    near = met.withColumn("ks", F.array_distinct(F.flatten(F.collect_list("ks").over(reach)))).where(F.size("ks") == F.col("lists"))
-    key = ["doc_id", "text_hash", "window_id", "start"]
-    near = near.where(~(F.col("exact"))).select(*key, "length", F.lit("proximity").alias("kind"))
-    return phrase.unionByName(near)
+    p = phrase.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), F.col("window_id").alias("w"), F.col("start").alias("s"))
+    near = found.join(p, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")) & (F.col("window_id") == F.col("w")) & (F.col("start") == F.col("s")), "left_anti")
+    return phrase.unionByName(near.select("doc_id", "text_hash", "window_id", "start", "length", F.lit("proximity").alias("kind")))
+
+
+def item_classes(window_items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(window_id, class) and (class, item_id): windows that the same items hold are of one class."""
+    held = window_items.groupBy("window_id").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+    named = keep(held.groupBy("items").agg(F.min("window_id").alias("class"), F.collect_set("window_id").alias("windows")), window_items.count())
+    return named.select("class", F.explode("windows").alias("window_id")), named.select("class", F.explode("items").alias("item_id"))
 
 
 def hits(found: DataFrame, window_items: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, n_hit, n_items, item_ids): the words inside matches and the items that they are of."""
-    spans = found.select("doc_id", "text_hash", "start", (F.col("start") + F.col("length")).alias("end")).distinct()
-    before = Window.partitionBy("doc_id", "text_hash").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
-    new = F.greatest(F.col("end") - F.greatest(F.coalesce(F.max("end").over(before), F.lit(0)), F.col("start")), F.lit(0))
-    words = spans.withColumn("new", new).groupBy("doc_id", "text_hash").agg(F.sum("new").alias("n_hit"))
-    seen = found.select("doc_id", "text_hash", "window_id").distinct()
-    items = seen.join(window_items, "window_id").groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"))
-    items = items.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), "item_ids")
-    return words.join(items, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h"))).select("doc_id", "text_hash", "n_hit", F.size("item_ids").alias("n_items"), "item_ids")
-
-
-def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
-    """(doc_id, n_words, n_hit, n_items, item_ids) of every row of docs; items: item_id and text."""
+    """(doc_id, text_hash, n_hit, item_ids): the words inside matches and the items that they are of."""
+    classes, items = item_classes(window_items)
+    span = F.struct(F.col("start"), (F.col("start") + F.col("length")).alias("end"))
+    # a group is what one text holds
+    held = keep(found.join(classes, "window_id").groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set(span)).alias("spans"), F.sort_array(F.collect_set("class")).alias("set")), found.count())
+    sets = held.select("set").distinct()
+    lists = sets.select("set", F.explode("set").alias("class")).join(items, "class").groupBy("set").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"))
+    zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("end"))
+    step = lambda t, s: F.struct((t["n"] + F.greatest(s["end"] - F.greatest(t["end"], s["start"]), F.lit(0))).alias("n"), F.greatest(t["end"], s["end"]).alias("end"))
+    return held.join(lists, "set").select("doc_id", "text_hash", F.aggregate("spans", zero, step, lambda t: t["n"]).alias("n_hit"), "item_ids")
+
+
+def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, slop: int = 0, literal_terms: int = LITERAL_TERMS) -> DataFrame:
+    """(doc_id, n_words, n_hit, n_items, item_ids, near_ids) of every row of docs; items: item_id and text. near_ids: items of
+    proximity matches (none without slop)."""
     windows, window_items = windows_of(items, size)
-    found = keep(matches(docs, windows))
-    marked = hits(found, window_items).select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), "n_hit", "n_items", "item_ids")
-    text = F.col("text").cast("string")
-    rows = docs.select("doc_id", F.xxhash64(empty_safe(text)).alias("text_hash"), F.size(words_of(text)).cast("long").alias("n_words"))
-    joined = rows.join(marked, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")), "left")
-    zero = F.lit(0).cast("long")
-    return joined.select("doc_id", "n_words", F.coalesce("n_hit", zero).alias("n_hit"), F.coalesce(F.col("n_items").cast("long"), zero).alias("n_items"), F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"))
+    n = windows.count()
+    window_items = keep(window_items, n)
+    anchors = keep(rare_terms(windows, docs), n)
+    indexed = keep(index(docs, anchors, literal_terms))
+    found = matches(docs, windows, indexed, anchors, slop)
+    none = F.array().cast("array<string>")
+    marked = hits(found.where("kind = 'phrase'"), window_items).select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), "n_hit", "item_ids")
+    rows = indexed.select("doc_id", "text_hash", "n_words").join(marked, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")), "left").drop("d", "h")
+    if slop:
+        near = hits(found.where("kind = 'proximity'"), window_items).select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), F.col("item_ids").alias("near_ids"))
+        rows = rows.join(near, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")), "left")
+    else:
+        rows = rows.withColumn("near_ids", none)
+    ids = F.coalesce("item_ids", none)
+    return rows.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.size(ids).cast("long").alias("n_items"), ids.alias("item_ids"), F.coalesce("near_ids", none).alias("near_ids"))
+
 
+def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW, slop: int = 0) -> DataFrame:
+    """The rows of docs in which no window of an item occurs (with slop: nor in proximity).
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
-    """The rows of docs in which no window of an item occurs."""
+    The rows that go are broadcast if their counted size allows; the texts are then not shuffled."""
     windows, _ = windows_of(items, size)
-    leaked = keep(matches(docs, windows).select(F.col("doc_id").alias("__d"), F.col("text_hash").alias("__h")).distinct())
-    same = F.col("doc_id").eqNullSafe(F.col("__d")) & (F.xxhash64(empty_safe(F.col("text").cast("string"))) == F.col("__h"))
-    return docs.join(leaked, same, "left_anti")
+    anchors = keep(rare_terms(windows, docs), windows.count())
+    found = matches(docs, windows, keep(index(docs, anchors)), anchors, slop)
+    d, h = free_names(docs, "leaked_id", "leaked_hash")
+    leaked = keep(found.select(F.col("doc_id").alias(d), F.col("text_hash").alias(h)).distinct(), found.count())
+    same = F.col("doc_id").eqNullSafe(F.col(d)) & (F.xxhash64(empty_safe(F.col("text").cast("string"))) == F.col(h))
+    return docs.join(maybe_broadcast(leaked, leaked.count(), 32), same, "left_anti")
 
 
 def op8_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -2,20 +2,24 @@
 
 Words are lower-cased (A-Z) runs of ASCII digits, letters and characters above U+007F. A first pass counts in how
 many texts each licence word stands (a table of bounded size: the words of the templates); a licence word's weight is
-its inverse document frequency. In the second pass the file's RARE_WORDS heaviest words of each template whose key words it holds are looked up in that template's postings; a posting
-votes for the relative position (place in the file minus place in the template). The best-supported position of every cluster of votes, and
-every stretch around a place of a template's first key phrase, is aligned word by word. A template labels a file if all its mandatory key
-phrases stand inside an aligned stretch and the aligned share of its words is at least MIN_SCORE. The base phrases are searched in every text on their own.
-
-Cases: null and empty texts have no words. Rows that repeat each give a row. An empty table gives an empty result. Other
+its inverse document frequency. Of each template the heaviest words are indexed, as many as an alignment must hold and the heaviest of each key phrase, with their places. In the second pass
+a file's words are looked up: a posting gives a relative position (place in the file minus place in the template). Every relative position of the
+first key phrase's heaviest word is a candidate, if the positions of enough indexed words lie about it: of a template of n words of which L are
+indexed, all but as many as an alignment may lack; with fewer none can hold enough. The stretch of the file from there, DRIFT words longer at either end, is aligned with the template in
+order (longest common subsequence of words). A template labels a file if all its mandatory key
+phrases stand inside the stretch and the alignment holds MIN_SCORE of its words, and MIN_REST of those beside its key phrases. The base phrases are searched in every text on their own.
+Notices of a line are templates that are their own key phrase.
+
+Cases: null and empty texts have no words. Rows that repeat each give a row. An empty table gives an empty result. Very long texts are read whole; every candidate is aligned, none is
+capped. Ties: words of equal weight are indexed in alphabetical order, which decides the work, not the result. Other
 columns may have any name. Several templates may label one file. score is 1 where a base phrase stands, else the
-best aligned share of a template that votes support (0 without).
+best aligned share of a candidate (0 without).
 """
 
 from __future__ import annotations
 
 import math
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -27,9 +31,10 @@ from vellum.llm.common import ship
 
 ship(__name__)
 
-RARE_WORDS = 16
 MIN_SCORE = 0.6
-#: Words a file may have more or fewer than the template between aligned words.
+#: Share of the words beside the key phrases.
+MIN_REST = 0.5
+#: Words that a stretch is longer than its template at either end.
 DRIFT = 12
 #: Base phrases and their labels.
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -87,82 +92,88 @@ def find_phrase(words: list[bytes], phrase: list[bytes]) -> list[int]:
         at += 1
 
 
-def best_of_clusters(votes: dict[int, float]) -> list[int]:
-    """Of every run of relative positions within 2 * DRIFT of its first, the one with the most votes (the first of equals)."""
-    out: list[int] = []
-    first = None
-    for s in sorted(votes):
-        if first is None or s > first + 2 * DRIFT:
-            first = s
-            out.append(s)
-        elif votes[s] > votes[out[-1]]:
-            out[-1] = s
-    return out
-
-
-def aligned_shares(words: list[bytes], template: list[bytes], stretches: list[tuple[int, int]], width: int) -> Iterator[tuple[int, float]]:
-    """(start, share of the template's words in the width words from it) for every start in the ranges (first, last), each once."""
-    wanted = Counter(template)
-    held: Counter = Counter()
-    common, done = 0, -1
-    for first, last in sorted(stretches):
-        for low in range(max(first, done + 1), last + 1):
-            if low == done + 1 and done >= 0:
-                for w, step in ((words[done], -1), *((w, 1) for w in words[done + width : low + width])):
-                    if w in wanted:
-                        common -= min(held[w], wanted[w])
-                        held[w] += step
-                        common += min(held[w], wanted[w])
-            else:
-                held = Counter(w for w in words[low : low + width] if w in wanted)
-                common = (held & wanted).total()
-            done = low
-            yield low, common / len(template)
+class Template:
+    """A notice with its key phrases; the words that are indexed and how many of their places a stretch must hold."""
+
+    def __init__(self, label: str, text: str, keys, weights: dict[bytes, float]):
+        self.label, self.words, self.keys = label, words_of(text), [words_of(k) for k in keys]
+        key = sum(map(len, self.keys))  # the share counts on its own for the words beside the key phrases
+        self.needed = max(math.ceil(MIN_SCORE * len(self.words)), key + math.ceil(MIN_REST * (len(self.words) - key)))
+        by_weight = sorted(set(self.words), key=lambda w: (-weights.get(w, 0.0), w))
+        heaviest = [min(k, key=by_weight.index) for k in self.keys]
+        self.indexed = {*by_weight[: self.needed], *heaviest}
+        # where the first key phrase's heaviest word stands in the template
+        self.anchor = find_phrase(self.words, self.keys[0])[0] + self.keys[0].index(heaviest[0])
+        self.floor = max(1, sum(w in self.indexed for w in self.words) - (len(self.words) - self.needed))
+        self.masks: dict[bytes, int] = defaultdict(int)
+        for place, w in enumerate(self.words):
+            self.masks[w] |= 1 << place
+
+    def aligned(self, stretch: list[bytes]) -> int:
+        """Length of the longest common subsequence of the template and a stretch of words."""
+        full = (1 << len(self.words)) - 1
+        rows = full
+        for w in stretch:
+            if at := self.masks.get(w, 0) & rows:
+                rows = (rows + at | rows - at) & full
+        return len(self.words) - rows.bit_count()
 
 
 class LicenseIndex:
-    """Postings of the templates' words, and the weights that the corpus gives them."""
+    """Postings of the templates' heaviest words, by the weights that the corpus gives them."""
 
     def __init__(self, weights: dict[str, float], templates=TEMPLATES, base=None):
         self.weights = {w.encode(): v for w, v in weights.items()}
         self.base = [(words_of(p), label) for p, label in (BASE if base is None else base).items()]
-        self.templates = [(label, words_of(text), [words_of(k) for k in keys]) for label, text, keys in templates]
+        self.templates = [Template(*t, self.weights) for t in templates]
+        self.vocabulary = frozenset(w for t in self.templates for w in t.words)
         self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-        for t, (_, words, _) in enumerate(self.templates):
-            for place, w in enumerate(words):
-                self.postings[w].append((t, place))
-        self.vocabulary = frozenset(self.postings)
+        for k, t in enumerate(self.templates):
+            for place, w in enumerate(t.words):
+                if w in t.indexed:
+                    self.postings[w].append((k, place))
 
     def base_hits(self, words: list[bytes], present: set[bytes]) -> list[tuple[int, str]]:
         return [(at, label) for phrase, label in self.base if present.issuperset(phrase) for at in find_phrase(words, phrase)]
 
+    def candidates(self, words: list[bytes], present: set[bytes]) -> Iterator[tuple[Template, int]]:
+        """(template, relative position) of every place that may be a notice: its key phrase's heaviest word stands there, and enough of the
+        indexed words about it."""
+        possible = {k for k, t in enumerate(self.templates) if all(present.issuperset(x) for x in t.keys)}
+        wanted = {w: own for w in present & self.postings.keys() if (own := [p for p in self.postings[w] if p[0] in possible])}
+        votes: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        for at, w in enumerate(words):
+            for k, place in wanted.get(w, ()):
+                votes[k].append((at - place, place))
+        for k, held in votes.items():
+            t = self.templates[k]
+            held.sort()
+            starts = [s for s, _ in held]
+            reach = len(t.words) + DRIFT
+            for s in sorted({s for s, place in held if place == t.anchor}):
+                low, high = bisect_left(starts, s - reach), bisect_right(starts, s + reach)
+                if high - low >= t.floor and len({place for _, place in held[low:high]}) >= t.floor:
+                    yield t, s
+
     def method_labels(self, words: list[bytes], present: set[bytes]) -> tuple[set[str], float]:
         """(labels, best aligned share) of the templates."""
-        licence = present & self.vocabulary
-        votes: dict[tuple[int, int], float] = defaultdict(float)
-        possible = [t for t, (_, _, keys) in enumerate(self.templates) if all(licence.issuperset(k) for k in keys)]
-        if not possible:
-            return set(), 0.0
-        wanted: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-        for t in possible:
-            for w in sorted(licence.intersection(self.templates[t][1]), key=lambda w: (-self.weights.get(w, 0.0), w))[:RARE_WORDS]:
-                wanted[w].extend(p for p in self.postings[w] if p[0] == t)
-        for at, w in enumerate(words):
-            for t, place in wanted.get(w, ()):
-                votes[t, at - place] += self.weights.get(w, 0.0) + 1e-6
-        labels, best = set(), 0.0
-        for t in possible:
-            label, template, keys = self.templates[t]
-            width = len(template) + 2 * DRIFT
-            supported = {s: v for (k, s), v in votes.items() if k == t}
-            stretches = [(low, low) for low in (max(0, s - DRIFT) for s in best_of_clusters(supported))]
-            stretches += [(max(0, at + len(keys[0]) - width), at) for at in find_phrase(words, keys[0])]
-            places = [(find_phrase(words, k), len(k)) for k in keys]
-            for low, share in aligned_shares(words, template, stretches, width):
-                best = max(best, share)
-                if share >= MIN_SCORE and all((i := bisect_left(at, low)) < len(at) and at[i] + n <= low + width for at, n in places):
-                    labels.add(label)
-        return labels, min(best, 1.0)
+        labels, best, places = set(), 0.0, {}
+        for t, s in self.candidates(words, present):
+            low, high = max(0, s - DRIFT), s + len(t.words) + DRIFT
+            common = t.aligned(words[low:high])
+            best = max(best, common / len(t.words))
+            if common < t.needed:
+                continue
+            for phrase in t.keys:
+                key = b" ".join(phrase)
+                if key not in places:
+                    places[key] = find_phrase(words, phrase)
+                i = bisect_left(places[key], low)
+                if i == len(places[key]) or places[key][i] + len(phrase) > high:
+                    break
+            else:
+                labels.add(t.label)
+        return labels, best
 
 
 def _present(index: LicenseIndex):

@@ -195,7 +195,7 @@ def _tree_links(radius: int):
 
 def shard_links(met: DataFrame, fps: DataFrame, radius: int, members: int = SHARD_MEMBERS) -> DataFrame:
     """Edges (u, v) that keep the groups of links between nodes of a shard; met: shard, node; fps: node, fp, a row a node."""
-    full = keep(met.groupBy("shard").agg(F.count("*").alias("n")).where(F.col("n") > members))
+    full = keep(met.groupBy("shard").agg(F.count("*").alias("n")).where(F.col("n") > members), 1)
     if n_full := full.count():
         blocks = F.ceil(F.col("n") / members).cast("long")
         both = met.join(maybe_broadcast(full, n_full, 16), "shard", "left").withColumn("b", F.coalesce(blocks, F.lit(1)))
@@ -214,10 +214,11 @@ def similar_components(docs: DataFrame, width: int = SHINGLE, similarity: float
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     marked = keep(rows.mapInArrow(_marks(width), _MARKED))
     dealt = marked.where("bands is not null").select(F.explode("bands").alias("shard"), "node")
-    met = keep(dealt.repartition("shard").sortWithinPartitions("shard", "node").mapInArrow(_met, "shard long, node long"))
+    n = BANDS * marked.where("bands is not null").count()
+    met = keep(dealt.repartition("shard").sortWithinPartitions("shard", "node").mapInArrow(_met, "shard long, node long"), n)
     wanted = met.select("node").distinct()
-    fps = keep(marked.where("fp is not null").select("node", "fp").join(wanted, "node", "left_semi").dropDuplicates(["node"]))
-    stars = components(shard_links(met, fps, radius, members))
+    fps = keep(marked.where("fp is not null").select("node", "fp").join(wanted, "node", "left_semi").dropDuplicates(["node"]), n // BANDS)
+    stars = components(shard_links(met, fps, radius, members), met.count())
     nodes = marked.groupBy("node").agg(F.min("doc_id").alias("first_id"))
     rooted = nodes.join(stars.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
@@ -228,5 +229,6 @@ def similar_components(docs: DataFrame, width: int = SHINGLE, similarity: float
 def one_of_each_group(docs: DataFrame, width: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of docs whose doc_id is the smallest of its group of similar texts. Rows that repeat a doc_id stay or go together: they
     go if any of them has a group with a smaller doc_id. Rows without a doc_id stay."""
-    dropped = keep(similar_components(docs, width, similarity).where("doc_id != component_id").select(F.col("doc_id").alias("doc_id")).distinct())
+    dropped = similar_components(docs, width, similarity).where("doc_id != component_id").select("doc_id").distinct()
+    dropped = keep(dropped, docs.count())
     return docs.join(maybe_broadcast(dropped, dropped.count(), 16), "doc_id", "left_anti")

@@ -10,8 +10,8 @@ The graph of patterns and distinct values is scored in up to ROUNDS rounds. A va
 once it is accepted, else nothing. A pattern's trust for a kind is the weight of its values over all that stands in its slot anywhere in the corpus: that weight, values of
 other kinds, all distinct words without a digit, half of the unknown candidates, and one. Patterns of MIN_TRUST or more whose values weigh
 MIN_SEEDS or more accept the candidates in their slot, with the noisy-or of their trusts as the score; these induce
-the next round's patterns. What stands in the slot of a trusted pattern of the last round is a span of its kind. Only DataFrame functions are used: two passes over the texts (the second
-counts the words in the slots of possible patterns), then aggregates and joins over the graph, cut by checkpoints.
+the next round's patterns. What stands in the slot of a trusted pattern of the last round is a span of its kind. Only DataFrame functions are used: two passes over the texts and two over small shares of them (these and the last
+count the words in the slots of possible patterns), then aggregates and joins over the graph, cut by checkpoints.
 
 Cases: a null text is empty and has no spans. Rows are told apart by doc_id and a hash of the text; rows that repeat
 both give equal results. An empty table gives an empty result. Other columns may have any name. Ties: a place that patterns of several kinds
@@ -43,6 +43,8 @@ WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 ROUNDS = 4
 MIN_TRUST = 0.75
 MIN_SEEDS = 4
+#: One in so many texts, by a hash, in which the words in the slots of patterns are counted in turn.
+SHARES = (256, 16, 1)
 #: Estimated bytes of a broadcast row of the graph.
 ROW_BYTES = 128
 
@@ -147,7 +149,7 @@ def extract(docs: DataFrame) -> DataFrame:
 
 def slot_words(docs: DataFrame, patterns: DataFrame, n_patterns: int) -> DataFrame:
     """(pattern, words): in how many distinct words without a digit the slot of a pattern of two words (left) or one (left and right) is
-    filled, over all texts; patterns: distinct column pattern."""
+    filled, over all texts of docs; patterns: distinct column pattern."""
     text = _ascii_lower(empty_safe(F.col("text").cast("string")))
     bare = F.regexp_replace(text, r"(?<![^\x00-\x20])[^0-9@\x00-\x20]*+[0-9@][^\x00-\x20]*+", "#")
     words = docs.select(F.array_remove(F.split(F.replace(bare, F.lit("#"), F.lit(" 0 ")), f"{BETWEEN}+"), "").alias("w"))
@@ -165,21 +167,37 @@ def slot_words(docs: DataFrame, patterns: DataFrame, n_patterns: int) -> DataFra
     return held.groupBy("pattern").agg(F.count("*").alias("words"))
 
 
+def possible(docs: DataFrame, edges: DataFrame, n_edges: int, min_trust: float, min_seeds: int) -> tuple[DataFrame, int]:
+    """(pattern, words) of the patterns that may come to be trusted, and a count of them.
+
+    A pattern of n values can weigh n at most, so too few values or too many words rule it out. The words of growing shares of the texts are counted: those
+    of a part are a lower bound of all, so what a part rules out need not be counted further, and the last share is all texts."""
+    left = keep(edges.groupBy("pattern").agg(F.count("*").alias("n")).where(F.col("n") >= min_seeds), n_edges // min_seeds)
+    n = left.count()
+    left = left.withColumn("words", F.lit(0).cast("long"))
+    for share in SHARES:
+        if not n:
+            break
+        part = docs if share == 1 else docs.where(F.pmod(F.xxhash64(empty_safe(F.col("text").cast("string"))), F.lit(share)) == 0)
+        counted = slot_words(part, left.select("pattern"), n)
+        room = F.col("n") / (F.col("n") + F.col("words") + 1) >= min_trust
+        left = keep(left.select("pattern", "n").join(counted, "pattern", "left").select("pattern", "n", F.coalesce("words", F.lit(0)).alias("words")).where(room), n)
+        n = left.count()
+    return left.select("pattern", "words"), n
+
+
 def discover(docs: DataFrame, extracted: DataFrame, rounds: int = ROUNDS, min_trust: float = MIN_TRUST, min_seeds: int = MIN_SEEDS) -> DataFrame:
     """(pattern, kind, trust): the trusted patterns of the last round."""
     flat = extracted.select(F.explode("seen").alias("s")).select("s.value", "s.kind", F.explode("s.patterns").alias("pattern"))
-    edges = keep(flat.groupBy("pattern", "value").agg(F.min_by("kind", _rank(F.col("kind"))).alias("seed")))
-    # a pattern of fewer values can never weigh enough
-    able = keep(edges.groupBy("pattern").agg(F.count("*").alias("n")).where(F.col("n") >= min_seeds).select("pattern"))
-    n_able = able.count()
+    n_edges = 3 * (extracted.agg(F.sum(F.size("seen"))).first()[0] or 0)
+    edges = keep(flat.groupBy("pattern", "value").agg(F.min_by("kind", _rank(F.col("kind"))).alias("seed")), n_edges)
+    able, n_able = possible(docs, edges, n_edges, min_trust, min_seeds)
     empty = edges.sparkSession.createDataFrame([], "pattern string, kind string, trust double")
     if not n_able:
         return empty
-    able = maybe_broadcast(able, n_able, ROW_BYTES)
     # a value that is a seed anywhere is one everywhere
     seeds = edges.where("seed is not null").groupBy("value").agg(F.min_by("seed", _rank(F.col("seed"))).alias("fixed"))
-    edges = edges.select("pattern", "value").join(able, "pattern", "left_semi").join(seeds, "value", "left")
-    edges = keep(edges.join(keep(slot_words(docs, able, n_able)), "pattern", "left").select("pattern", "value", "fixed", F.coalesce("words", F.lit(0)).alias("words")))
+    edges = keep(edges.select("pattern", "value").join(maybe_broadcast(able, n_able, ROW_BYTES), "pattern").join(seeds, "value", "left"), n_edges)
     accepted, good, before = None, empty, (0, 0)
     for _ in range(rounds):
         held = edges if accepted is None else edges.join(accepted, "value", "left")
@@ -191,12 +209,12 @@ def discover(docs: DataFrame, extracted: DataFrame, rounds: int = ROUNDS, min_tr
         each = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"w_{k}").alias("w"), F.col(f"n_{k}").alias("own")) for k in KINDS])).alias("e")
         graded = totals.select("pattern", "words", "n", "known", each).select("pattern", "e.kind", "e.w", "e.own", "words", "n", "known")
         slot = F.col("w") + (F.col("known") - F.col("own")) + F.col("words") + (F.col("n") - F.col("known")) / 2 + 1
-        good = keep(graded.select("pattern", "kind", "w", (F.col("w") / slot).alias("trust")).where((F.col("w") >= min_seeds) & (F.col("trust") >= min_trust)).select("pattern", "kind", "trust"))
+        good = keep(graded.select("pattern", "kind", "w", (F.col("w") / slot).alias("trust")).where((F.col("w") >= min_seeds) & (F.col("trust") >= min_trust)).select("pattern", "kind", "trust"), n_able)
         n_good = good.count()
         reach = edges.where("fixed is null").select("pattern", "value").join(maybe_broadcast(good, n_good, ROW_BYTES), "pattern")
         scored = reach.groupBy("value", "kind").agg((1 - F.exp(F.sum(F.ln(1 - F.col("trust"))))).alias("score"))
         best = scored.groupBy("value").agg(F.max(F.struct(F.col("score"), -_rank(F.col("kind")), F.col("kind"))).alias("b"))
-        accepted = keep(best.select("value", "b.kind", "b.score"))
+        accepted = keep(best.select("value", "b.kind", "b.score"), n_edges)
         now = (n_good, accepted.count())
         accepted = maybe_broadcast(accepted, now[1], ROW_BYTES)
         if now == before or not now[1]:
@@ -212,7 +230,7 @@ def _rank(kind: Column) -> Column:
 def pii_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, base, spans) of every row of docs: arrays of (start, end, rank, kind)."""
     rows = keep(extract(docs))
-    found = keep(discover(docs, rows))
+    found = discover(docs, rows)
     base = rows.select("doc_id", "text_hash", "base")
     n_found = found.count()
     if not n_found:
@@ -221,7 +239,7 @@ def pii_spans(docs: DataFrame) -> DataFrame:
     reached = reached.join(maybe_broadcast(found, n_found, ROW_BYTES), "pattern")
     place = reached.groupBy("doc_id", "text_hash", "start", "end").agg(F.max(F.struct(F.col("trust"), -_rank(F.col("kind")), F.col("kind"))).alias("b"))
     one = F.struct(F.col("start"), F.col("end"), _rank(F.col("b.kind")).alias("rank"), F.col("b.kind").alias("kind"))
-    more = keep(place.groupBy(F.col("doc_id").alias("d"), F.col("text_hash").alias("h")).agg(F.collect_set(one).alias("more"), F.count("*").alias("n")))
+    more = keep(place.groupBy(F.col("doc_id").alias("d"), F.col("text_hash").alias("h")).agg(F.collect_set(one).alias("more"), F.count("*").alias("n")), rows.count())
     size = more.agg(F.count("*"), F.sum("n")).first()
     out = base.join(maybe_broadcast(more.drop("n"), (size[0] or 0) + (size[1] or 0), 64), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")), "left")
     return out.select("doc_id", "text_hash", "base", F.when(F.col("more").isNull(), F.col("base")).otherwise(F.concat("base", "more")).alias("spans"))
@@ -232,7 +250,7 @@ def mask_pii(docs: DataFrame) -> DataFrame:
 
     The rows with spans are broadcast if their counted size allows; the texts are then not shuffled."""
     d, h, s = free_names(docs, "marked_id", "marked_hash", "marked_spans")
-    marked = keep(pii_spans(docs).where(F.size("spans") > 0).dropDuplicates(["doc_id", "text_hash"]).select(F.col("doc_id").alias(d), F.col("text_hash").alias(h), F.col("spans").alias(s)))
+    marked = keep(pii_spans(docs).where(F.size("spans") > 0).dropDuplicates(["doc_id", "text_hash"]).select(F.col("doc_id").alias(d), F.col("text_hash").alias(h), F.col("spans").alias(s)), docs.count())
     size = marked.agg(F.count("*"), F.sum(F.size(s))).first()
     text = F.col("text").cast("string")
     same = F.col("doc_id").eqNullSafe(F.col(d)) & (F.xxhash64(empty_safe(text)) == F.col(h))

@@ -103,16 +103,28 @@ class BKTree:
 
     def search(self, queries: np.ndarray, radius: int) -> Iterator[tuple[int, np.ndarray]]:
         """(node, positions in queries within the radius of it) for every node that is reached."""
-        todo = [(0, np.arange(len(queries)))] if len(self.values) else []
-        while todo:
-            node, asked = todo.pop()
+        def reached(node: int, asked: np.ndarray):
             far = distances(queries[asked], self.values[node])
-            hit = asked[far <= radius]
+            return node, asked[far <= radius], (asked, far, iter(self.children.get(node, ())))
+
+        # one frame for each level of the path, so memory grows with the depth, not with the children
+        frames = []
+        if len(self.values):
+            node, hit, frame = reached(0, np.arange(len(queries)))
+            frames.append(frame)
             if len(hit):
                 yield node, hit
-            for edge, child in self.children.get(node, ()):
+        while frames:
+            asked, far, edges = frames[-1]
+            for edge, child in edges:
                 if len(below := asked[np.abs(far - edge) <= radius]):
-                    todo.append((child, below))
+                    node, hit, frame = reached(child, below)
+                    frames.append(frame)
+                    if len(hit):
+                        yield node, hit
+                    break
+            else:
+                frames.pop()
 
 
 def forest(values: np.ndarray, radius: int) -> Iterator[tuple[int, int]]:
@@ -245,8 +257,8 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RA
 
     Null doc_ids stay null and never name a group that has another id."""
     marked = keep(fingerprints(docs, shingle))
-    nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    stars = components(near_links(nodes.select("fp"), radius))
+    nodes = keep(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), marked.count())
+    stars = components(near_links(nodes.select("fp"), radius), nodes.count())
     # every node with the root of its star (itself, if it has no link)
     rooted = nodes.join(stars.select(F.col("u").alias("fp"), F.col("v").alias("root")), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
