@@ -23,9 +23,60 @@ def recall(spark, d):
 
 
 def test_recall_against_brute_force(spark):
-    got = recall(spark, "/root/testdata/sf0.1")
-    print("recall", got)
-    assert got >= 0.95
+    for d in ("/root/testdata/sf0.01", "/root/testdata/sf0.1"):
+        got = recall(spark, d)
+        rows = N.keep(N.valid_vectors(spark.read.parquet(f"{d}/embeddings.parquet")))
+        index = N.fit(rows)
+        print("recall", d, got, "probed", index.probed, "of", len(index.centres))
+        assert got >= 0.9 and index.probed < 0.8 * len(index.centres)
+
+
+def clusters(n, seed=3):
+    r = np.random.default_rng(seed)
+    centres = r.normal(size=(40, 32))
+    x = centres[r.integers(0, 40, n)] + 0.3 * r.normal(size=(n, 32))
+    x[: n // 3] = x[0]  # one vector of a third of all rows
+    return r.permutation(n), x
+
+
+def test_clustered_vectors_with_a_hot_one(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK", 300)
+    monkeypatch.setattr(N, "QUERY_BLOCK", 40)
+    monkeypatch.setattr(N, "PAIRS", 5000)
+    ids, x = clusters(4000)
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<double>").repartition(5)
+    got = {}
+    for r in N.nearest(df, F.col("vec_id") % 20 == 0).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    hits = 0
+    asked = [k for k in range(4000) if ids[k] % 20 == 0]
+    for k in asked:
+        scores = x @ x[k]
+        order = [ids[j] for j in np.lexsort((ids, -np.round(scores, 9))) if ids[j] != ids[k]][:20]
+        mine = [v for _, v in sorted(got[ids[k]])]
+        assert len(mine) == len(set(mine)) == 20
+        hits += len(set(order) & set(mine))
+    index = N.fit(N.keep(N.valid_vectors(df)))
+    print(hits / 20 / len(asked), index.probed, len(index.centres))
+    assert hits >= 0.95 * 20 * len(asked) and index.probed <= len(index.centres) / 3
+
+
+def test_scan_abandons_and_keeps(monkeypatch):
+    """The tests by column blocks keep nearly all of the best, and leave few candidates to be scored."""
+    r = np.random.default_rng(8)
+    x = r.normal(size=(3000, 128))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[:300] = x[0] + 0.05 * r.normal(size=(300, 128))
+    ids = np.arange(3000)
+    index = N.Index(x[::10], ids[::10], float(np.linalg.norm(x, axis=1).max()), 1, 1)
+    i, j, s = N.scan(index, np.zeros(3000, int), ids, x, ids[:50], x[:50], [{0}] * 50, 20)
+    right = 0
+    for q in range(50):
+        scores = x @ x[q]
+        scores[q] = -9
+        right += len(set(np.argsort(-scores)[:20]) & set(j[i == q]))
+    assert right >= 0.99 * 50 * 20
+    assert N.Index.shares(index)[0][1] < 0.5 and N.Index.shares(index)[-1] == (129, 1.0)
 
 
 def test_cases(spark):
