@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 #: Most bytes of a table that is broadcast; beyond it the plain shuffled join is used.
 BROADCAST_BYTES = 32 << 20
 #: Rows of a small table that go into one file.
-ROWS_PER_FILE = 100_000
+ROWS_PER_FILE = 20_000
 
 
 def ship(module_name: str) -> None:

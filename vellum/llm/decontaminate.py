@@ -194,7 +194,7 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, slop: i
     windows, window_items = windows_of(items, size)
     n = windows.count()
     window_items = keep(window_items, n)
-    anchors = keep(rare_terms(windows, docs), n)
+    anchors = keep(rare_terms(windows, docs), WINDOW * n)
     indexed = keep(index(docs, anchors, literal_terms))
     found = matches(docs, windows, indexed, anchors, slop)
     none = F.array().cast("array<string>")
@@ -214,7 +214,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW, slo
 
     The rows that go are broadcast if their counted size allows; the texts are then not shuffled."""
     windows, _ = windows_of(items, size)
-    anchors = keep(rare_terms(windows, docs), windows.count())
+    anchors = keep(rare_terms(windows, docs), WINDOW * windows.count())
     found = matches(docs, windows, keep(index(docs, anchors)), anchors, slop)
     d, h = free_names(docs, "leaked_id", "leaked_hash")
     leaked = keep(found.select(F.col("doc_id").alias(d), F.col("text_hash").alias(h)).distinct(), found.count())

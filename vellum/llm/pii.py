@@ -153,15 +153,16 @@ def slot_words(docs: DataFrame, patterns: DataFrame, n_patterns: int) -> DataFra
     text = _ascii_lower(empty_safe(F.col("text").cast("string")))
     bare = F.regexp_replace(text, r"(?<![^\x00-\x20])[^0-9@\x00-\x20]*+[0-9@][^\x00-\x20]*+", "#")
     words = docs.select(F.array_remove(F.split(F.replace(bare, F.lit("#"), F.lit(" 0 ")), f"{BETWEEN}+"), "").alias("w"))
-    at = words.select("w", F.posexplode("w").alias("k", "word")).where("word != '0'")
-    word = lambda k: F.get("w", F.col("k") + k)
-    at = at.select("word", F.when(F.col("k") > 0, word(-1)).alias("one"), F.when(F.col("k") > 1, word(-2)).alias("two"), word(1).alias("after")).where("one != '0'")
+    blank = F.lit("")
+    beside = {"word": F.col("w"), "one": F.concat(F.array(blank), "w"), "two": F.concat(F.array(blank, blank), "w"), "after": F.slice("w", F.lit(2), F.size("w"))}
+    at = words.select(*[c.alias(k) for k, c in beside.items()]).select(F.explode(F.arrays_zip(*beside)).alias("z")).select("z.word", "z.one", "z.two", "z.after")
+    at = at.where("word != '0' and one not in ('', '0')")
     parts = F.split("pattern", " ")
     wanted = patterns.select("pattern", F.get(parts, F.lit(0)).alias("type"), F.get(parts, F.lit(1)).alias("a"), F.get(parts, F.lit(2)).alias("b"))
     wanted = wanted.where("type in ('1', '2')").select("pattern", "type", F.when(F.col("type") == "2", F.col("b")).otherwise(F.col("a")).alias("one"), F.when(F.col("type") == "2", F.col("a")).otherwise(F.col("b")).alias("other"))
     near = maybe_broadcast(wanted.select("one").distinct(), n_patterns, ROW_BYTES)
     at = at.join(near, "one", "left_semi")
-    both = F.array(F.struct(F.lit("2").alias("type"), F.when(F.col("two") == "0", F.lit("#")).otherwise(F.col("two")).alias("other")), F.struct(F.lit("1").alias("type"), F.col("after").alias("other")))
+    both = F.array(F.struct(F.lit("2").alias("type"), F.when(F.col("two") == "0", F.lit("#")).when(F.col("two") != "", F.col("two")).alias("other")), F.struct(F.lit("1").alias("type"), F.col("after").alias("other")))
     at = at.select("word", "one", F.explode(both).alias("c")).select("word", "one", "c.type", "c.other")
     held = at.join(maybe_broadcast(wanted, n_patterns, ROW_BYTES), ["one", "type", "other"]).groupBy("pattern", "word").agg(F.lit(1).alias("x"))
     return held.groupBy("pattern").agg(F.count("*").alias("words"))
@@ -176,7 +177,7 @@ def possible(docs: DataFrame, edges: DataFrame, n_edges: int, min_trust: float,
     n = left.count()
     left = left.withColumn("words", F.lit(0).cast("long"))
     for share in SHARES:
-        if not n:
+        if not left.where("not startswith(pattern, 's ')").take(1):  # slots of a shape hold no words
             break
         part = docs if share == 1 else docs.where(F.pmod(F.xxhash64(empty_safe(F.col("text").cast("string"))), F.lit(share)) == 0)
         counted = slot_words(part, left.select("pattern"), n)

@@ -7,8 +7,8 @@ so scoring stays inside the generated code. Only statistics of the text enter a
 
 Cases: null and empty texts get the statistics of the empty text and so a score. With no usable labels, or of
 one class only, the score is the smoothed share of label 1 (0.5 without any). Repeated labels of a doc_id
-count as their mean, 0.5 as 1; null labels are ignored. Rows repeat in the output as in the input. Columns of any
-other names pass through score_documents unchanged.
+count as their mean, 0.5 as 1; null labels are ignored. Rows repeat in the output as in the input. Ties: a score of 0.5 is predicted 1 and kept. An empty table gives an empty result. Very long texts are
+read whole. Columns of any other names pass through keep_good unchanged.
 """
 
 from __future__ import annotations
