@@ -86,6 +86,15 @@ def components(edges: DataFrame, rows: int | None = None, max_rounds: int = 60)
     raise RuntimeError("components did not settle")
 
 
+def component_names(nodes: DataFrame, stars: DataFrame, n_nodes: int) -> DataFrame:
+    """(node, component_id) of nodes (node, first_id): the smallest first_id of the node's star, stars as components() gives them.
+
+    The names of the roots are written before they are joined, so that the join is a plain one, whose hot roots adaptive execution splits."""
+    rooted = keep(nodes.join(stars.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left").withColumn("root", F.coalesce("root", "node")), n_nodes)
+    named = keep(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), n_nodes)
+    return rooted.select("node", "root").join(named, "root").select("node", "component_id")
+
+
 def crc32_fold(doc_id, folds: int = 3):
     """crc32 of the id's decimal text modulo folds."""
     return F.crc32(doc_id.cast("string").cast("binary")) % folds

@@ -90,7 +90,10 @@ def term_counts(docs: DataFrame, terms: DataFrame, n_terms: int) -> DataFrame:
 def rare_terms(windows: DataFrame, docs: DataFrame, rare: int = RARE) -> DataFrame:
     """(window_id, window, rare): the rarest terms of each window, rarest first, as structs of n, offset, term and its hash."""
     places = windows.select("window_id", F.posexplode("window").alias("offset", "w")).select("window_id", "offset", F.lower("w").alias("term"))
-    counts = term_counts(docs, places.select("term").distinct(), WINDOW * windows.count())
+    n_terms = WINDOW * windows.count()
+    counts = keep(term_counts(docs, places.select("term").distinct(), n_terms), n_terms)
+    size = counts.agg(_bytes(F.col("term"), TERM_BYTES)).first()[0] or 0
+    counts = maybe_broadcast(counts, size, 1)
     one = F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("offset"), F.col("term"), F.hash("term").alias("hash"))
     # a group is one window: ten terms
     ranked = places.join(counts, "term", "left").groupBy("window_id").agg(F.slice(F.sort_array(F.collect_list(one)), 1, rare).alias("rare"))

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import components, keep, maybe_broadcast, ship
+from vellum.llm.common import component_names, components, keep, maybe_broadcast, ship
 from vellum.llm.simhash import BKTree, distances
 
 ship(__name__)
@@ -219,10 +219,9 @@ def similar_components(docs: DataFrame, width: int = SHINGLE, similarity: float
     wanted = met.select("node").distinct()
     fps = keep(marked.where("fp is not null").select("node", "fp").join(wanted, "node", "left_semi").dropDuplicates(["node"]), n // BANDS)
     stars = components(shard_links(met, fps, radius, members), met.count())
-    nodes = marked.groupBy("node").agg(F.min("doc_id").alias("first_id"))
-    rooted = nodes.join(stars.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = rooted.select("node", "root").join(named, "root").select("node", "component_id")
+    n_rows = marked.count()
+    nodes = keep(marked.groupBy("node").agg(F.min("doc_id").alias("first_id")), n_rows)
+    classes = keep(component_names(nodes, stars, n_rows), n_rows)
     return marked.select("doc_id", "node").join(classes, "node").select("doc_id", "node", "component_id")
 
 

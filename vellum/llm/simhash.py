@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import components, keep, ship
+from vellum.llm.common import component_names, components, keep, ship
 
 ship(__name__)
 
@@ -257,12 +257,10 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RA
 
     Null doc_ids stay null and never name a group that has another id."""
     marked = keep(fingerprints(docs, shingle))
-    nodes = keep(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), marked.count())
-    stars = components(near_links(nodes.select("fp"), radius), nodes.count())
-    # every node with the root of its star (itself, if it has no link)
-    rooted = nodes.join(stars.select(F.col("u").alias("fp"), F.col("v").alias("root")), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = rooted.select("fp", "root").join(named, "root").select("fp", "component_id")
+    n_rows = marked.count()
+    nodes = keep(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), n_rows)
+    stars = components(near_links(nodes.select("fp"), radius), n_rows)
+    classes = keep(component_names(nodes.withColumnRenamed("fp", "node"), stars, n_rows), n_rows).withColumnRenamed("node", "fp")
     return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
