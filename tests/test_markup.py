@@ -10,7 +10,7 @@ def one(spark, text, make):
 
 
 def test_speech(spark):
-    got = one(spark, "A. Bc, d.\n\nE.", lambda s: M.speech(F.lit("T"), F.lit("9"), s))
+    got = one(spark, "A. Bc, d.\n\nE.", lambda s: M.speech(F.lit("T"), F.lit("9"), X.comma_breaks(M.marked_body(s))))
     assert got == (
         '<speak>\n<prosody rate="slow" pitch="-8%" volume="soft">\n\n<p>\n<s><emphasis level="strong">T</emphasis></s>\n<break time="1500ms"/>\n</p>\n\n'
         '<p>\n<s><sub alias="Sermon number 9">No. 9</sub>.</s>\n<break time="1200ms"/>\n</p>\n\n'

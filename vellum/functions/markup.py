@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vellum.functions import references as R
 from vellum.functions import text as X
+from vellum.functions.lexicons import KEEP_UPPER, PRONUNCIATIONS
 
 # Lines that a document's head may hold between its title and its body.
 HEADER_LINES = (r"^\s*$", r"^[A-Z][A-Z\s,;:'\-—.!?&]+\s*$", r"(?i)^NO\.\s*\d+", r"(?i)^A SERMON DELIVERED", r"(?i)^A SERMON\s*,?\s*PREACHED", r"(?i)^DELIVERED ON", r"(?i)^AT\s+(THE\s+)?[A-Z]", r"(?i)^ON\s+(LORD['’]?S[- ]DAY|SABBATH|SUNDAY|THURSDAY)")
@@ -34,16 +36,38 @@ def title_and_body(text: Column, headers: tuple[str, ...] = HEADER_LINES) -> Col
     return F.struct(F.get(bare, F.lit(0)).alias("title"), number.alias("number"), body.alias("body"))
 
 
-def speech(title: Column, number: Column, body: Column) -> Column:
-    """A spoken document: title, number if there is one, paragraphs of sentences with pauses."""
-    def paragraph(p: Column) -> Column:
-        spoken = F.transform(X.sentences(p), lambda s: F.concat(F.lit("<s>"), X.comma_breaks(s), F.lit("</s>")))
-        return F.concat(F.lit("<p>\n"), F.array_join(spoken, '\n<break time="750ms"/>\n'), F.lit("\n</p>"))
+#: Stand for the ends of paragraphs and of sentences while a body is one string.
+_PARAGRAPH, _SENTENCE = "\u0001", "\u0002"
 
+
+def marked_body(body: Column) -> Column:
+    """The body as one string, in which marks stand for the ends of paragraphs and sentences."""
+    flat = F.regexp_replace(F.regexp_replace(body, "[\u0001\u0002]", ""), "\r\n?", "\n")
+    flat = F.regexp_replace(F.regexp_replace(flat, r"\n\s*\n", _PARAGRAPH), r"\s+", " ")
+    flat = F.regexp_replace(F.regexp_replace(flat, " ?(?:\u0001 ?)+", _PARAGRAPH), "^[\u0001 ]+|[\u0001 ]+$", "")
+    return F.regexp_replace(flat, r'(?<=[.!?])(?:\s*")?\s+(?=[A-Z0-9"“])', _SENTENCE)
+
+
+def speech(title: Column, number: Column, marked: Column) -> Column:
+    """A spoken document: title, number if there is one, paragraphs of sentences with pauses; marked: as marked_body gives it, with pauses."""
+    middle = F.replace(F.replace(marked, F.lit(_SENTENCE), F.lit('</s>\n<break time="750ms"/>\n<s>')), F.lit(_PARAGRAPH), F.lit('</s>\n</p>\n\n<break time="1200ms"/>\n\n<p>\n<s>'))
+    middle = F.when(marked != "", F.concat(F.lit("<p>\n<s>"), middle, F.lit("</s>\n</p>\n"))).otherwise(F.lit(""))
     head = F.concat(F.lit('<speak>\n<prosody rate="slow" pitch="-8%" volume="soft">\n\n<p>\n<s><emphasis level="strong">'), title, F.lit('</emphasis></s>\n<break time="1500ms"/>\n</p>\n\n'))
     numbered = F.when(number.isNotNull(), F.concat(F.lit('<p>\n<s><sub alias="Sermon number '), number, F.lit('">No. '), number, F.lit('</sub>.</s>\n<break time="1200ms"/>\n</p>\n\n'))).otherwise(F.lit(""))
-    middle = F.array_join(F.transform(X.paragraphs(body), paragraph), '\n\n<break time="1200ms"/>\n\n')
-    return F.concat(head, numbered, middle, F.lit("\n\n</prosody>\n</speak>\n"))
+    return F.concat(head, numbered, middle, F.lit("\n</prosody>\n</speak>\n"))
+
+
+def spoken_documents(docs: DataFrame, lexicon=PRONUNCIATIONS, books=R.BOOKS, headers: tuple[str, ...] = HEADER_LINES, keep: tuple[str, ...] = KEEP_UPPER) -> DataFrame:
+    """(doc_id, ssml) of documents (doc_id, text): title and body, capitals of the body, escaping, references, pronunciations, markup.
+
+    Each step is a column of its own, since the next names it more than once. No shuffle."""
+    rows = docs.select("doc_id", title_and_body(F.col("text"), headers).alias("p"))
+    rows = rows.select("doc_id", "p.title", "p.number", "p.body")
+    rows = rows.withColumn("body", X.caps_to_title(F.col("body"), leading=True)).withColumn("body", X.caps_to_title(F.col("body"), keep))
+    for step in (X.xml_escape, lambda s: R.expand_references(s, books), lambda s: pronounce(s, lexicon)):
+        rows = rows.withColumn("title", step(F.col("title"))).withColumn("body", step(F.col("body")))
+    rows = rows.withColumn("body", marked_body(F.col("body"))).withColumn("body", X.comma_breaks(F.col("body")))
+    return rows.select("doc_id", speech(F.col("title"), F.col("number"), F.col("body")).alias("ssml"))
 
 
 def spans_html(spans: Column) -> Column:
@@ -56,23 +80,54 @@ def spans_html(spans: Column) -> Column:
     return F.array_join(F.transform(spans, one), "")
 
 
-def paragraph_html(kind: Column, inner: Column) -> Column:
-    return F.when(kind == "title", F.concat(F.lit("<h2>"), inner, F.lit("</h2>"))).when(kind == "verse", F.concat(F.lit('<div class="verse">'), inner, F.lit("</div>"))).when(kind == "blockquote", F.concat(F.lit("<blockquote>"), inner, F.lit("</blockquote>"))).otherwise(F.concat(F.lit("<p>"), inner, F.lit("</p>")))
-
-
-def pronounce(text: Column, lexicon: tuple[tuple[str, str, bool], ...]) -> Column:
-    """Names of (name, ipa, case matters) as <phoneme> outside tags, longest first; a name inside a mark already set is left alone."""
-    for name, ipa, case in sorted(lexicon, key=lambda x: -len(x[0])):
-        pattern = rf"(?U){'' if case else '(?i)'}(?<![\w</])({re.escape(name)})(?![\w>])"
-        mark = f'<phoneme alphabet="ipa" ph="{ipa}">$1</phoneme>'.replace("\\", "\\\\")
-        inside = r"<phoneme[^>]*>[^<]*</phoneme>|<[^>]*>"
-        parts, held = F.split(text, inside, -1), F.regexp_extract_all(text, F.lit(f"({inside})"), F.lit(1))
-        text = F.array_join(F.zip_with(_each(parts, pattern, mark), held, lambda p, t: F.concat(F.coalesce(p, F.lit("")), F.coalesce(t, F.lit("")))), "")
-    return text
-
-
-def _each(parts: Column, pattern: str, mark: str) -> Column:
-    return F.transform(parts, lambda p: F.regexp_replace(p, pattern, mark))
+def join_lines(lines: Column) -> Column:
+    """The spans of several lines as one array: a line that ends in a small letter and a hyphen joins the next if that opens with a
+    small letter, all others meet at a span of one blank."""
+    span = "array<struct<text:string,italic:boolean,bold:boolean>>"
+    lean = F.transform(lines, lambda line: F.transform(line, lambda s: F.struct(s["text"].alias("text"), s["italic"].alias("italic"), s["bold"].alias("bold"))))
+    blank = F.array(F.struct(F.lit(" ").alias("text"), F.lit(False).alias("italic"), F.lit(False).alias("bold"))).cast(span)
+
+    def step(out: Column, line: Column) -> Column:
+        last = F.try_element_at(out, F.lit(-1))
+        tail = F.regexp_replace(last["text"], r"\s+$", "")
+        broken = F.regexp_like(tail, F.lit(r"\p{Ll}-$")) & F.regexp_like(F.get(line, F.lit(0))["text"], F.lit(r"^\s*\p{Ll}"))
+        cut = F.struct(F.left(tail, F.length(tail) - 1).alias("text"), last["italic"].alias("italic"), last["bold"].alias("bold"))
+        joined = F.concat(F.slice(out, F.lit(1), F.greatest(F.size(out) - 1, F.lit(0))), F.array(cut), line)
+        return F.when((F.size(out) == 0) | (F.size(line) == 0), F.concat(out, line)).when(broken, joined).otherwise(F.concat(out, blank, line))
+
+    return F.aggregate(lean, F.array().cast(span), step)
+
+
+def text_fixes(html: Column, keep: tuple[str, ...] = KEEP_UPPER) -> Column:
+    """Capitals mended between the tags of page markup."""
+    return X.outside_tags(html, lambda p: X.fix_caps(p, keep), "<[^>]+>")
+
+
+def paragraph_html(kind: Column, lines: Column) -> Column:
+    """A paragraph of lines (arrays of spans) by its kind: scripture, verse, blockquote or body. Verse keeps its lines."""
+    ends = F.lit(" \t\r\n\f\x0b")
+    whole = F.btrim(text_fixes(X.rejoin_hyphen(X.merge_tags(spans_html(join_lines(lines))))), ends)
+    verse = F.array_join(F.transform(lines, lambda line: F.btrim(text_fixes(X.merge_tags(spans_html(line))), ends)), "<br>\n")
+    tagged = lambda tag, inner: F.concat(F.lit(f"<{tag}>"), inner, F.lit(f"</{tag}>"))
+    return F.when(kind == "scripture", tagged("h2", whole)).when(kind == "verse", F.concat(F.lit('<div class="verse">'), verse, F.lit("</div>"))).when(kind == "blockquote", tagged("blockquote", whole)).otherwise(tagged("p", whole))
+
+
+def pronounce(text: Column, lexicon: tuple[tuple[str, str, bool], ...] = PRONUNCIATIONS) -> Column:
+    """Names of (name, ipa, case matters) as <phoneme> outside tags, longest first; a name inside a mark already set is left alone. Names
+    that differ in case only must be given once."""
+    if not lexicon:
+        return text
+    alternatives = {True: [], False: []}
+    for name, _, case in sorted(lexicon, key=lambda x: -len(x[0])):
+        alternatives[case].append(re.escape(name))
+    names = "|".join(f"(?{'' if case else 'i'}:{'|'.join(x)})" for case, x in alternatives.items() if x)
+    pattern = rf"(?U)<phoneme[^>]*>[^<]*</phoneme>|<[^>]*>|(?<![\w</])(?:{names})(?![\w>])"
+    sounds = F.create_map(*[F.lit(x) for name, ipa, case in lexicon for x in (name if case else name.lower(), ipa)])
+    parts, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    sound = lambda m: F.coalesce(F.try_element_at(sounds, m), F.try_element_at(sounds, F.lower(m)), F.lit(""))
+    mark = lambda m: F.when(m.startswith("<"), m).otherwise(F.concat(F.lit('<phoneme alphabet="ipa" ph="'), sound(m), F.lit('">'), m, F.lit("</phoneme>")))
+    said = F.array_join(F.zip_with(parts, F.transform(found, mark), lambda p, m: F.concat(F.coalesce(p, F.lit("")), F.coalesce(m, F.lit("")))), "")
+    return F.when(F.regexp_like(text, F.lit(f"(?U){names}")), said).otherwise(text)
 
 
 def speech_stats(ssml: Column) -> Column:

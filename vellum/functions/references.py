@@ -27,6 +27,11 @@ FULL_NAMES = (
     "Song of Solomon", "Isaiah", "Jeremiah", "Lamentations", "Ezekiel", "Daniel", "Hosea", "Joel", "Amos", "Obadiah", "Jonah", "Micah", "Nahum", "Habakkuk", "Zephaniah", "Haggai", "Zechariah", "Malachi", "Matthew", "Mark", "Luke", "John", "Acts", "Romans",
     "1 Corinthians", "2 Corinthians", "Galatians", "Ephesians", "Philippians", "Colossians", "1 Thessalonians", "2 Thessalonians", "1 Timothy", "2 Timothy", "Titus", "Philemon", "Hebrews", "James", "1 Peter", "2 Peter", "1 John", "2 John", "3 John", "Jude", "Revelation",
 )
+# Abbreviated names that a reference in running text may start with.
+SHORT_NAMES = (
+    "Gen", "Exod?", "Lev", "Num", "Deut", "Josh", "Judg", "Sam", "Kgs", "Chr", "Neh", "Esth", "Psa?", "Prov", "Eccl", "Isa", "Jer", "Lam", "Ezek", "Dan", "Hos", "Mic", "Nah", "Hab", "Zeph",
+    "Hag", "Zech", "Mal", "Matt?", "Mk", "Lk", "Jn", "Rom", "Cor", "Gal", "Eph", "Phil", "Col", "Thess", "Tim", "Heb", "Jas", "Pet", "Rev",
+)
 DASH = r"\s*[-–]\s*"
 
 
@@ -55,7 +60,8 @@ def expand_references(text: Column, books: dict[str, str] = BOOKS) -> Column:
         verse = F.when(first != "", F.concat(F.lit(", "), verse_words(first, F.regexp_extract(m, pattern, 4), F.regexp_extract(m, pattern, 5)))).otherwise(F.lit(""))
         return F.when(book.isNull(), m).otherwise(F.concat(F.lit('<sub alias="'), book, F.lit(" chapter "), chapter, verse, F.lit('">'), m, F.lit("</sub>")))
 
-    return F.array_join(F.zip_with(parts, F.transform(found, spoken), lambda p, s: F.concat(F.coalesce(p, F.lit("")), F.coalesce(s, F.lit("")))), "")
+    said = F.array_join(F.zip_with(parts, F.transform(found, spoken), lambda p, s: F.concat(F.coalesce(p, F.lit("")), F.coalesce(s, F.lit("")))), "")
+    return F.when(F.regexp_like(text, F.lit(pattern)), said).otherwise(text)
 
 
 def first_reference(text: Column, n_lines: int = 16, names: tuple[str, ...] = FULL_NAMES) -> Column:
@@ -65,9 +71,11 @@ def first_reference(text: Column, n_lines: int = 16, names: tuple[str, ...] = FU
     return F.coalesce(F.get(F.filter(found, lambda r: r != ""), F.lit(0)), F.lit(""))
 
 
-def references(text: Column, names: tuple[str, ...] = FULL_NAMES) -> Column:
-    """Distinct references in order of appearance, without case and without a word boundary on the left."""
-    pattern = rf"(?i)(?:{'|'.join(sorted(names, key=len, reverse=True))})\s+\d+:\d+(?:\s*[-–,]\s*\d+)*"
+def references(text: Column, names: tuple[str, ...] = FULL_NAMES, short: tuple[str, ...] = SHORT_NAMES) -> Column:
+    """Distinct references in order of appearance, without case and without a word boundary on the left. Full names come before
+    short ones, in the listed order; white space may stand or lack after a name's number, before the chapter and around the colon."""
+    full = [name.replace("Psalm", "Psalms?").replace("Proverbs", "Proverbs?").replace(" ", r"\s*") for name in names if name != "Psalms"]
+    pattern = rf"(?i)(?:{'|'.join((*full, *short))})\s*\d+\s*:\s*\d+(?:\s*[-,]\s*\d+)*"
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda r: F.regexp_replace(F.btrim(r), r"\s+", " ")))
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from vellum.functions.lexicons import KEEP_UPPER
+
 # Words that stay in lower case inside a heading.
 SMALL_WORDS = ("a", "an", "the", "and", "but", "or", "nor", "for", "yet", "so", "in", "on", "at", "to", "by", "of", "up", "as", "is", "if", "it", "be", "we", "us", "no")
 # Words that may not end a trimmed phrase.
@@ -60,10 +62,11 @@ def html_escape(text: Column) -> Column:
     return text
 
 
-def outside_tags(text: Column, change) -> Column:
+def outside_tags(text: Column, change, tag: str = "<[^>]*>") -> Column:
     """change applied to the stretches between <...> tags; the tags stay."""
-    parts, tags = F.split(text, "<[^>]*>", -1), F.regexp_extract_all(text, F.lit("(<[^>]*>)"), F.lit(1))
-    return F.array_join(F.zip_with(F.transform(parts, change), tags, lambda p, t: F.concat(F.coalesce(p, F.lit("")), F.coalesce(t, F.lit("")))), "")
+    parts, tags = F.split(text, tag, -1), F.regexp_extract_all(text, F.lit(f"({tag})"), F.lit(1))
+    joined = F.array_join(F.zip_with(F.transform(parts, change), tags, lambda p, t: F.concat(F.coalesce(p, F.lit("")), F.coalesce(t, F.lit("")))), "")
+    return F.when(F.contains(text, F.lit("<")), joined).otherwise(change(text))
 
 
 def comma_breaks(text: Column) -> Column:
@@ -98,12 +101,18 @@ def numbered_name(number: Column, title: Column, suffix: str = ".txt") -> Column
     return F.concat(F.format_string("%04d_%s", number, pascal_case(title)), F.lit(suffix))
 
 
-def caps_to_title(text: Column, keep: tuple[str, ...] = ()) -> Column:
-    """Words of two or more ASCII capitals before white space become capitalised, unless kept."""
-    pattern = r"\b[A-Z]{2,}\b(?=\s)"
+def caps_to_title(text: Column, keep: tuple[str, ...] = (), leading: bool = False) -> Column:
+    """Words of two or more ASCII capitals before white space become capitalised, unless kept; leading: only those that open a line."""
+    pattern = r"(?md)^[A-Z]{2,}(?=\s)" if leading else r"(?<![\p{L}\p{N}_])[A-Z]{2,}(?=\s)"
     parts, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
     changed = F.transform(found, lambda w: F.when(w.isin(*keep), w).otherwise(capitalise(w)) if keep else capitalise(w))
-    return F.array_join(F.zip_with(parts, changed, lambda p, w: F.concat(F.coalesce(p, F.lit("")), F.coalesce(w, F.lit("")))), "")
+    fixed = F.array_join(F.zip_with(parts, changed, lambda p, w: F.concat(F.coalesce(p, F.lit("")), F.coalesce(w, F.lit("")))), "")
+    return F.when(F.regexp_like(text, F.lit(pattern)), fixed).otherwise(text)
+
+
+def fix_caps(text: Column, keep: tuple[str, ...] = KEEP_UPPER) -> Column:
+    """Words in capitals that open a line become capitalised, kept ones too; then all others but the kept ones."""
+    return caps_to_title(caps_to_title(text, leading=True), keep)
 
 
 def rejoin_hyphen(html: Column) -> Column:
@@ -155,14 +164,14 @@ PROMOTION = ("PRAY THE HOLY SPIRIT", "Spanish translations", "By the grace of Go
 METADATA = (r"NO\.\s*\d+", r"A\s+SERMON", r"DELIVERED\s+BY", r"AT\s+(THE\s+)?(METROPOLITAN\s+TABERNACLE|NEW\s+PARK\s+STREET|EXETER\s+HALL|SURREY)", r"ON\s+(SUNDAY|MONDAY|TUESDAY|WEDNESDAY|THURSDAY|FRIDAY|SATURDAY|LORD)", r"INTENDED\s+FOR\s+READING")
 
 
-def header_line(line: Column, more: tuple[str, ...] = ()) -> Column:
-    """A page number of up to four digits, or a line that any header pattern stands in; more: patterns of the source at hand."""
-    return F.regexp_like(F.btrim(line), F.lit("(?i)" + "|".join(("^[0-9]{1,4}$", *HEADERS, *more))))
+def header_line(line: Column, patterns: tuple[str, ...] = HEADERS) -> Column:
+    """A page number of up to four digits, or a line that any header pattern stands in. patterns may come from a table (lexicons.rows_of)."""
+    return F.regexp_like(F.btrim(line), F.lit("(?i)" + "|".join((r"^[0-9]{1,4}\s*$", *patterns))))
 
 
-def promo_line(line: Column, more: tuple[str, ...] = ()) -> Column:
-    """Whether any marker stands in the line, in either case; a blank line is none."""
-    return F.exists(F.array(*[F.lit(m.lower()) for m in (*PROMOTION, *more)]), lambda m: F.contains(F.lower(line), m))
+def promo_line(line: Column, markers: tuple[str, ...] = PROMOTION) -> Column:
+    """Whether any marker stands in the line, in either case; a blank line is none. markers may come from a table."""
+    return F.exists(F.array(*[F.lit(m.lower()) for m in markers]), lambda m: F.contains(F.lower(line), m))
 
 
 def metadata_line(line: Column, more: tuple[str, ...] = ()) -> Column:
@@ -170,6 +179,19 @@ def metadata_line(line: Column, more: tuple[str, ...] = ()) -> Column:
     return (F.btrim(line) == "") | F.regexp_like(line, F.lit(r"(?i)^\s*(" + "|".join((*METADATA, *more)) + ")")) | allcaps(line)
 
 
+def strip_title_block(values: Column, more: tuple[str, ...] = ()) -> Column:
+    """Lines without the metadata that opens them: up to the first that opens a quotation or is no metadata, and the blank lines
+    there. Unchanged if nothing but blank lines came before a line that is no metadata."""
+    def step(t: Column, line: Column) -> Column:
+        bare = F.btrim(line, F.lit(" \t\r\n\f\x0b"))
+        quoted = F.regexp_like(bare, F.lit("^[\"“”'‘’]"))
+        goes = ~t["done"] & ~quoted & metadata_line(line, more)
+        return F.struct((t["at"] + goes.cast("int")).alias("at"), (t["done"] | ~goes).alias("done"), (t["found"] | (~t["done"] & (bare != "") & (quoted | goes))).alias("found"))
+
+    start = F.struct(F.lit(0).alias("at"), F.lit(False).alias("done"), F.lit(False).alias("found"))
+    return F.aggregate(values, start, step, lambda t: F.when(t["found"], F.slice(values, t["at"] + 1, F.size(values))).otherwise(values))
+
+
 def without_head(values: Column, is_header, most: int = 2) -> Column:
     """A page's lines without its head: blank lines, up to `most` headers and, after these, page numbers."""
     def step(t: Column, line: Column) -> Column:

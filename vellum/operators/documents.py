@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from vellum.functions import references as R
 from vellum.functions import text as X
 
 # Fixed value: conjunctions that open a sentence weakly.
 WEAK = r"^(And|But|Or|For|If|When|While|So|Yet)\s"
 
+# How a speech service is asked to read.
+VOICE = (("stability", 0.75), ("similarity_boost", 0.85), ("style", 0.15), ("use_speaker_boost", True), ("speed", 0.85))
+
 
 def volume_ranges(spark: SparkSession) -> DataFrame:
     """(lo, hi, volume): 63 disjoint ranges over 1..3563. Volumes hold 57 numbers but for 1 (53), 6 (66) and 63 (24)."""
@@ -35,22 +39,48 @@ def strong_count(sentence: Column, words: tuple[str, ...]) -> Column:
     return F.regexp_count(sentence, F.lit(rf"(?i)\b({'|'.join(words)})\b"))
 
 
-def top_sentences(docs: DataFrame, words: tuple[str, ...], k: int = 8, prefix: int = 30, at_least: int = 2) -> DataFrame:
+def top_sentences(docs: DataFrame, words: tuple[str, ...], k: int = 8, prefix: int = 30, at_least: int = 2, artifacts: tuple[str, ...] = ()) -> DataFrame:
     """The k best sentences of each document: 30 to 120 characters, closed, capitalised, with enough strong words (one more
-    after a weak conjunction); score 10 a strong word, -0.08 a character, 3 for an exclamation mark; of those with an equal prefix the best stays."""
-    s = F.col("sentence")
-    rows = sentence_rows(docs, X.sentences_simple).withColumn("strong", strong_count(s, words))
-    rows = rows.where(F.length(s).between(30, 120) & F.regexp_like(s, F.lit("^[A-Z]")) & F.regexp_like(s, F.lit("[.!?]$")) & (F.col("strong") >= at_least + F.regexp_like(s, F.lit(WEAK)).cast("int")))
-    score = F.col("strong") * 10 - F.length(s) * 0.08 + F.when(F.contains(s, F.lit("!")), 3).otherwise(0)
-    rows = rows.withColumn("score", F.round(score, 6))
-    best = [F.desc("score"), F.asc("pos")]
-    rows = rows.withColumn("copy", F.row_number().over(Window.partitionBy("doc_id", F.left(s, F.lit(prefix))).orderBy(*best))).where("copy = 1")
-    return rows.withColumn("rank", F.row_number().over(Window.partitionBy("doc_id").orderBy(*best))).where(F.col("rank") <= k).select("doc_id", "rank", "pos", "score", "sentence")
+    after a weak conjunction); score 10 a strong word, -0.08 a character, 3 for an exclamation mark; of those with an equal prefix the best stays.
+    Lines in capitals, of a page number or with an artifact are left out first. All within a row: no shuffle, rows that repeat are ranked each."""
+    bare = F.transform(F.split(F.col("text"), "\n", -1), lambda x: F.btrim(x, F.lit(" \t\r\n\f\x0b")))
+    junk = lambda x: (x == "") | (F.regexp_like(x, F.lit(r"\p{Lu}")) & ~F.regexp_like(x, F.lit(r"\p{Ll}"))) | F.regexp_like(x, F.lit("^[0-9]+$"))
+    for mark in artifacts:
+        junk = lambda x, mark=mark, other=junk: other(x) | F.contains(F.lower(x), F.lit(mark))
+    rows = docs.select("doc_id", X.sentences_simple(F.array_join(F.filter(bare, lambda x: ~junk(x)), " ")).alias("s"))
+    sized = F.filter(F.transform("s", lambda x, i: F.when(F.length(x).between(30, 120) & F.regexp_like(x, F.lit("^\\p{Lu}")) & F.regexp_like(x, F.lit("[.!?]$")), F.struct(i.alias("pos"), x.alias("sentence"), strong_count(x, words).alias("strong")))), lambda x: x.isNotNull())
+    rows = rows.select("doc_id", F.filter(sized, lambda x: x["strong"] >= at_least + F.regexp_like(x["sentence"], F.lit(WEAK)).cast("int")).alias("s"))
+    score = lambda x: F.round(x["strong"] * 10 - F.length(x["sentence"]) * 0.08 + F.when(F.contains(x["sentence"], F.lit("!")), 3).otherwise(0), 6)
+    rows = rows.select("doc_id", F.array_sort(F.transform("s", lambda x: F.struct((-score(x)).alias("low"), x["pos"].alias("pos"), x["sentence"].alias("sentence")))).alias("s"))
+    heads = rows.select("doc_id", "s", F.transform("s", lambda x: F.left(x["sentence"], F.lit(prefix))).alias("h"))
+    best = heads.select("doc_id", F.slice(F.filter("s", lambda x, i: F.array_position("h", F.get("h", i)) == i + 1), 1, k).alias("s"))
+    return best.select("doc_id", F.posexplode("s").alias("rank", "x")).select("doc_id", (F.col("rank") + 1).alias("rank"), "x.pos", (-F.col("x.low")).alias("score"), "x.sentence")
+
+
+def first_of_prefix(docs: DataFrame, prefix: int, split=X.sentences) -> DataFrame:
+    """(doc_id, pos, sentence): of a document's sentences with an equal prefix the first. Within a row: no shuffle."""
+    rows = docs.select("doc_id", split(F.col("text")).alias("s"))
+    rows = rows.select("doc_id", "s", F.transform("s", lambda x: F.left(x, F.lit(prefix))).alias("h"))
+    first = F.transform(F.array_distinct("h"), lambda p: F.array_position("h", p).cast("int") - 1)
+    kept = F.transform(first, lambda i: F.struct(i.alias("pos"), F.get("s", i).alias("sentence")))
+    return rows.select("doc_id", F.explode(kept).alias("x")).select("doc_id", "x.pos", "x.sentence")
 
 
 def keep_first(rows: DataFrame, keys: list[Column | str], order: list[Column | str]) -> DataFrame:
     """The first row of each key in the given order."""
-    return rows.withColumn("__r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("__r = 1").drop("__r")
+    (r,) = free_names(rows, "r")
+    return rows.withColumn(r, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col(r) == 1).drop(r)
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores appended until no column of df has it."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def tail_third(docs: DataFrame) -> DataFrame:
@@ -86,19 +116,31 @@ def volume_documents(bookmarks: DataFrame, pages: DataFrame, totals: DataFrame,
 def modal_value(rows: DataFrame, key: str, value: Column, order: str, default: float) -> DataFrame:
     """The most frequent rounded value of each key; of equals the first met, then the smaller."""
     counts = rows.groupBy(key, F.bround(value, 0).alias("v")).agg(F.count("*").alias("n"), F.min(order).alias("first"))
-    best = F.max_by("v", F.struct("n", -F.col("first"), -F.col("v")))
+    best = F.min_by("v", F.struct(-F.col("n"), F.col("first"), F.col("v")))
     return counts.groupBy(key).agg(F.coalesce(best, F.lit(default)).alias("mode"))
 
 
 def upper_median(rows: DataFrame, key: str, value: Column, default: float) -> DataFrame:
-    """The upper median of each key's values."""
-    ranked = rows.where(value.isNotNull()).withColumn("__v", value).withColumn("__r", F.row_number().over(Window.partitionBy(key).orderBy("__v"))).withColumn("__n", F.count("*").over(Window.partitionBy(key)))
-    found = ranked.where(F.col("__r") == F.floor(F.col("__n") / 2) + 1).select(key, F.col("__v").alias("median"))
-    return rows.select(key).distinct().join(found, key, "left").withColumn("median", F.coalesce("median", F.lit(default)))
+    """The upper median of each key's values: one aggregate over counts of values, combined in every task first."""
+    (v,) = free_names(rows, "v")
+    median = F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{v}` DESC)")
+    return rows.withColumn(v, value).groupBy(key).agg(F.coalesce(median, F.lit(default)).alias("median"))
+
+
+def layout_metrics(lines: DataFrame, document: str) -> DataFrame:
+    """(document, margin, spacing): the most frequent left edge, and the upper median of the steps of 0 to 30 points from one line's top to the next's.
 
+    lines: document, page_no, line_no, x0, y0."""
+    order = Window.partitionBy(document).orderBy("page_no", "line_no")
+    gap = F.col("y0") - F.lag("y0").over(order)
+    rows = lines.select(document, "x0", "page_no", "line_no", gap.alias("gap")).withColumn("at", F.struct("page_no", "line_no"))
+    margin = modal_value(rows, document, F.col("x0"), "at", 54.0).withColumnRenamed("mode", "margin")
+    spacing = upper_median(rows, document, F.when((F.col("gap") > 0) & (F.col("gap") < 30), F.col("gap")), 16.0).withColumnRenamed("median", "spacing")
+    return margin.join(spacing, document)
 
-def paragraph_islands(lines: DataFrame, margin: float, spacing: float) -> DataFrame:
-    """Layout lines (doc, line_no, x0, y0, y1, size) with para_id and kind. Breaks between neighbouring lines make islands; a
+
+def paragraph_islands(lines: DataFrame, margin: float | Column, spacing: float | Column) -> DataFrame:
+    """Layout lines (doc, line_no, x0, y0, y1, size) with para_id and kind; margin and spacing may be columns of lines. Breaks between neighbouring lines make islands; a
     first-line indent then splits islands of body text only."""
     w = Window.partitionBy("doc").orderBy("line_no")
     x0 = F.bround("x0", 0)
@@ -112,7 +154,7 @@ def paragraph_islands(lines: DataFrame, margin: float, spacing: float) -> DataFr
     rows = rows.withColumn("kind", kind)
     indent = (F.col("rx") > margin + 10) & (F.col("rx") < margin + 20) & ~F.col("verse") & (F.col("size") >= 13.5) & (F.col("kind") == "body")
     rows = rows.withColumn("cut", F.greatest(F.col("start"), indent.cast("int")))
-    return rows.withColumn("para_id", F.sum("cut").over(w)).select("doc", "line_no", "para_id", "kind")
+    return rows.withColumn("para_id", F.sum("cut").over(w)).select("doc", "line_no", "para_id", "kind", *[c for c in lines.columns if c not in ("doc", "line_no")])
 
 
 def ordered_concat(rows: DataFrame, key: str, order: list[str], value: str, separator: str = "\n") -> DataFrame:
@@ -148,10 +190,36 @@ def layout_lines(lines: DataFrame, document: str, is_header, is_promo, most: int
     return rows.where(~F.col("__last") | (F.col("__p") == 0)).drop("__last", "__h", "__p")
 
 
+def counts_by(rows: DataFrame, key: str, content: str) -> DataFrame:
+    """(key, processed, succeeded): how many documents each key has, and how many of them have content."""
+    return rows.groupBy(key).agg(F.count("*").alias("processed"), F.count_if(F.coalesce(F.col(content) != "", F.lit(False))).alias("succeeded"))
+
+
+def document_files(docs: DataFrame) -> DataFrame:
+    """(file_name, content) of documents (num, title, body): a title line, the number, a blank line and the body."""
+    content = F.concat("title", F.lit("\n"), F.col("num").cast("string"), F.lit("\n\n"), "body", F.lit("\n"))
+    return docs.select(X.numbered_name(F.col("num"), F.col("title")).alias("file_name"), content.alias("content"))
+
+
+def catalogue_entries(files: DataFrame) -> DataFrame:
+    """(num, title, file, scripture, volume) of files (file_name, text) named number_title.txt; others are none."""
+    key = r"^(\d+)_(.+)\.txt$"
+    own = files.where(F.regexp_like("file_name", F.lit(key)))
+    rows = own.select(F.regexp_extract("file_name", key, 1).cast("int").alias("num"), X.first_line(F.col("text")).alias("title"), F.regexp_replace("file_name", r"\.txt$", "").alias("file"), R.first_reference(F.col("text")).alias("scripture"))
+    return assign_volume(rows, "num")
+
+
+def speech_requests(docs: DataFrame, ssml: str, model: str, settings: tuple[tuple[str, object], ...] = VOICE) -> DataFrame:
+    """docs with column request: the JSON request of a speech service, its text without prosody wrappers."""
+    voice = F.struct(*[F.lit(v).alias(k) for k, v in settings])
+    return docs.withColumn("request", F.to_json(F.struct(X.prosody_inner(F.col(ssml)).alias("text"), F.lit(model).alias("model_id"), voice.alias("voice_settings"))))
+
+
 def fallback(left: DataFrame, right: DataFrame, key: str, value: str) -> DataFrame:
     """left with value from right by key where that is given and not empty, else its own, else ''."""
-    other = right.select(key, F.col(value).alias("__other"))
-    return left.join(other, key, "left").withColumn(value, F.coalesce(F.nullif("__other", F.lit("")), F.col(value), F.lit(""))).drop("__other")
+    (o,) = free_names(left, "other")
+    other = right.select(key, F.col(value).alias(o))
+    return left.join(other, key, "left").withColumn(value, F.coalesce(F.nullif(o, F.lit("")), F.col(value), F.lit(""))).drop(o)
 
 
 def pending(items: DataFrame, done: DataFrame, key: str) -> DataFrame:

@@ -7,13 +7,14 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vellum.functions import markup as M
 from vellum.functions import outline as O
 from vellum.functions import references as R
 from vellum.functions import text as X
-from vellum.operators.documents import keep_first
+from vellum.operators.documents import free_names, keep_first, layout_lines, layout_metrics, paragraph_islands
 
-#: Most bytes of a dictionary that is sent to every task.
-DICTIONARY_BYTES = 64 << 20
+#: Most pieces that a broken word is looked up in, and its most characters.
+PIECES, LONGEST = 8, 64
 NONE = "array<struct<numeral:string,text:string,section:string>>"
 
 
@@ -122,7 +123,8 @@ def applications(docs: DataFrame, markers: str = O.APPLICATION, most: int = 4, p
 
 def _first_k(rows: DataFrame, value: str, most: int) -> DataFrame:
     first = keep_first(rows, ["doc_id", F.left(value, F.lit(25))], ["pos"])
-    return first.withColumn("__k", F.row_number().over(Window.partitionBy("doc_id").orderBy("pos"))).where(F.col("__k") <= most).drop("__k")
+    (k,) = free_names(rows, "k")
+    return first.withColumn(k, F.row_number().over(Window.partitionBy("doc_id").orderBy("pos"))).where(F.col(k) <= most).drop(k)
 
 
 def _wrap(batches: Iterator) -> Iterator:
@@ -152,6 +154,11 @@ def _wrap(batches: Iterator) -> Iterator:
         yield rows[["doc_id"]].assign(outline=out)
 
 
+def long_enough(docs: DataFrame, least: int = 3) -> DataFrame:
+    """The documents of at least three lines; others get no outline."""
+    return docs.where(F.size(F.split("text", "\n", -1)) >= least)
+
+
 def render(docs: DataFrame, quotes: DataFrame) -> DataFrame:
     """(doc_id, outline): at most 60 lines of 78 characters. docs: doc_id, title, number, text, body; quotes: doc_id, rank, sentence.
 
@@ -168,44 +175,38 @@ def render(docs: DataFrame, quotes: DataFrame) -> DataFrame:
     return out.mapInPandas(_wrap, out.select("doc_id").schema.add("outline", "string"))
 
 
+def _core(word: Column) -> Column:
+    return F.regexp_replace(word, r"[.,;:!?\"')\]}—–-]+$", "")
+
+
 def join_broken_words(lines: DataFrame, column: str, words: DataFrame) -> DataFrame:
-    """lines with words that one space broke joined again, from the left; words: column word, lower case.
-
-    The dictionary's size is checked before it is sent to the tasks; a larger one than DICTIONARY_BYTES is an error."""
-    size = words.agg(F.coalesce(F.sum(F.octet_length("word") + 64), F.lit(0))).first()[0]
-    if size > DICTIONARY_BYTES:
-        raise ValueError(f"a dictionary of {size} bytes is too large to be sent to every task")
-    known = lines.sparkSession.sparkContext.broadcast(frozenset(r.word for r in words.select("word").distinct().collect()))
-
-    def broken(left: str, right: str) -> bool:
-        core = right.rstrip(".,;:!?\"')]}—–-")
-        if not (left.isalpha() and core.isalpha() and (left + core).lower() in known.value):
-            return False
-        return not (left.lower() in known.value and core.lower() in known.value) or min(len(left), len(core)) <= 3
-
-    def mend(line: str | None) -> str | None:
-        import re
-
-        if line is None:
-            return None
-        pieces = re.split("( +)", line)
-        out, word = [], pieces[0]
-        for gap, following in zip(pieces[1::2], pieces[2::2], strict=True):
-            if gap == " " and word and following and word[-1].islower() and following[0].islower() and broken(word, following):
-                word += following
-            else:
-                out += [word, gap]
-                word = following
-        return "".join([*out, word])
-
-    def run(batches: Iterator) -> Iterator:
-        for rows in batches:
-            yield rows.assign(**{column: rows[column].map(mend)})
-
-    return lines.mapInPandas(run, lines.schema)
-
-
-def layout_roles(lines: DataFrame, is_metadata: Column, margin: float) -> DataFrame:
+    """lines with words that one blank broke joined again, from the left; words: column word, lower case.
+
+    The dictionary stays a table: what stands in the lines (distinct words, and runs of up to PIECES pieces joined) is looked up by one join, and
+    each distinct line meets the hits of its own pieces. The fold over a line is a column expression. A word of more than PIECES pieces or LONGEST characters stays broken."""
+    line, found = free_names(lines, "line_text", "known")
+    pieces = lines.select(F.col(column).alias(line)).distinct().select(line, F.split(line, " ", -1).alias("w"))
+    pieces = pieces.select(line, F.posexplode("w").alias("k", "x"), "w")
+    runs = F.filter(F.transform(F.sequence(F.lit(1), F.lit(PIECES)), lambda n: F.array_join(F.slice("w", F.col("k") + 1, n), "")), lambda s: F.length(s) <= LONGEST)
+    asked = pieces.select(line, F.explode(F.array_distinct(F.transform(F.concat(runs, F.array("x")), lambda s: F.lower(_core(s))))).alias("word")).distinct()
+    hits = asked.join(words.select("word").distinct(), "word", "left_semi").groupBy(line).agg(F.collect_set("word").alias(found))
+    out = lines.join(hits, F.col(column) == F.col(line), "left").withColumn(found, F.coalesce(found, F.array().cast("array<string>")))
+    known = lambda s: F.array_contains(found, F.lower(s))
+    alpha = lambda s: F.regexp_like(s, F.lit(r"^\p{L}+$"))
+
+    def step(done: Column, x: Column) -> Column:
+        last, core = F.try_element_at(done, F.lit(-1)), _core(x)
+        flanked = F.regexp_like(last, F.lit(r"\p{Ll}$")) & F.regexp_like(x, F.lit(r"^\p{Ll}"))
+        broken = alpha(last) & alpha(core) & known(F.concat(last, core)) & (~(known(last) & known(core)) | (F.least(F.length(last), F.length(core)) <= 3))
+        joined = F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(F.concat(last, x)))
+        return F.when((F.size(done) > 0) & F.coalesce(flanked & broken, F.lit(False)), joined).otherwise(F.concat(done, F.array(x)))
+
+    mended = F.array_join(F.aggregate(F.split(column, " ", -1), F.array().cast("array<string>"), step), " ")
+    likely = F.regexp_like(column, F.lit(r"\p{Ll} \p{Ll}"))
+    return out.withColumn(column, F.when(likely, mended).otherwise(F.col(column))).select(*[F.col(f"`{c}`") for c in lines.columns])
+
+
+def layout_roles(lines: DataFrame, is_metadata: Column, margin: float | Column) -> DataFrame:
     """Layout lines (doc, line_no, text, size, x0) with role metadata, scripture or body. A line that opens a quotation starts the
     scripture, which ends at the next line of size 13.5; else the first large line near the margin that is no metadata starts the body."""
     s = O.strip(F.col("text"))
@@ -219,3 +220,21 @@ def layout_roles(lines: DataFrame, is_metadata: Column, margin: float) -> DataFr
     start = F.when(quoted, ends).otherwise(F.coalesce("__b", F.min("line_no").over(whole)))
     role = F.when(no >= F.col("__start"), "body").when(quoted & (no >= F.col("__q")) & (s != ""), "scripture").otherwise("metadata")
     return rows.withColumn("__start", start).withColumn("role", role).drop("__q", "__b", "__start")
+
+
+def layout_html(lines: DataFrame, document: str, is_header=X.header_line, is_promo=X.promo_line, is_metadata=X.metadata_line) -> DataFrame:
+    """(document, html): the page markup of each document's layout lines: the lines of the text, without the metadata that opens them, the opening
+    quotation as a heading, paragraphs by their place on the page. lines: as layout_lines takes them, with x0, y1 and spans of text, italic, bold and size."""
+    kept = layout_lines(lines, document, is_header, is_promo)
+    kept = kept.join(layout_metrics(kept, document), document)
+    number = F.row_number().over(Window.partitionBy(document).orderBy("page_no", "line_no"))
+    rows = kept.select(F.col(document).alias("doc"), number.alias("line_no"), "x0", "y0", "y1", "text", "size", "margin", "spacing", "spans")
+    rows = layout_roles(rows, is_metadata(F.btrim("text")), F.col("margin"))
+    head = rows.where("role = 'scripture'").select("doc", "line_no", F.lit(0).cast("long").alias("para_id"), F.lit("scripture").alias("kind"), "spans")
+    body = paragraph_islands(rows.where("role = 'body'"), F.col("margin"), F.col("spacing")).select("doc", "line_no", "para_id", "kind", "spans")
+    # a group is one paragraph, then one document
+    paragraphs = head.unionByName(body).groupBy("doc", "para_id").agg(F.min("kind").alias("kind"), F.array_sort(F.collect_list(F.struct("line_no", "spans"))).alias("ls"))
+    paragraphs = paragraphs.select("doc", "para_id", "kind", F.transform("ls", lambda x: x["spans"]).alias("ls"))
+    html = paragraphs.select("doc", "para_id", M.paragraph_html(F.col("kind"), F.col("ls")).alias("h"))
+    whole = html.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("para_id", "h"))).alias("ps"))
+    return whole.select(F.col("doc").alias(document), F.concat(F.array_join(F.transform("ps", lambda p: p["h"]), "\n"), F.lit("\n")).alias("html"))
