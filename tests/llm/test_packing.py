@@ -54,9 +54,49 @@ def test_many_shards_stay_valid(spark):
 
 
 def test_sum_of_squares_prefers_the_smaller_sum():
-    # after 600, 600, 700 the gaps are 424 twice and 324; 100 leaves fewest equal gaps when it goes to 424
+    # after 600, 600, 724 the gaps are 424 twice and 300 once: from 424 the squares change by 1 - 4 + 1, from 300 by 1 - 1
+    sequence, offset = P.sum_of_squares(np.array([600, 600, 724, 100]))
+    assert sequence.tolist()[:3] == [0, 1, 2] and sequence[3] in (0, 1) and offset[3] == 600
+
+
+def test_ties_take_the_smallest_gap():
+    # after 600, 600, 700 the gaps are 424 twice and 324 once: either way the sum stays
     sequence, offset = P.sum_of_squares(np.array([600, 600, 700, 100]))
-    assert sequence.tolist() == [0, 1, 2, 2] or offset[3] == 600
+    assert sequence.tolist() == [0, 1, 2, 2] and offset[3] == 700
+
+
+def test_sum_of_squares_against_plain_python():
+    r = np.random.default_rng(3)
+    lengths = r.integers(1, 64, 400)
+    got, offsets = P.sum_of_squares(lengths, 64)
+    level: list[int] = []
+    for i, s in enumerate(lengths.tolist()):
+        def total(k, level=level, s=s):
+            gaps = [64 - x for x in level]
+            gaps[k] -= s
+            return sum(gaps.count(g) ** 2 for g in set(gaps) if 0 < g < 64)
+
+        fit = [k for k, x in enumerate(level) if x + s <= 64 and x < 64]
+        if fit:
+            best = min((total(k), 64 - level[k]) for k in fit)
+            assert (total(int(got[i])), 64 - level[got[i]]) == best and offsets[i] == level[got[i]]
+            level[got[i]] += s
+        else:
+            assert got[i] == len(level) and offsets[i] == 0
+            level.append(s)
+
+
+def test_repeated_rows_are_dealt_apart(spark):
+    df = spark.createDataFrame([(1, "same words here")] * 400, "doc_id long, text string")
+    got = P.pack(P.tokenised_pieces(df), shard_pieces=50).collect()
+    assert len(got) == 400 and len({r.sequence_id >> 32 for r in got}) == 8
+
+
+def test_fast_ids_on_whole_documents(spark):
+    e, t = P.DocumentEncoder(), Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    assert sum(not e.slow(x) for x in texts) > 100
+    assert [np.frombuffer(e.ids(x), "<u4").tolist() for x in texts] == [t.encode(x, add_special_tokens=False).ids for x in texts]
 
 
 def test_cut():

@@ -1,17 +1,18 @@
 """Best-fit packing of tokenised documents by sum of squares.
 
 Each document's ids end with id 2; only documents longer than the capacity are cut, into full pieces with
-the first piece shorter where it does not divide. Full pieces fill a sequence alone. The others are dealt
-by a hash of (doc_id, piece, checksum) into shards of about SHARD_PIECES, and each shard is packed longest
-first: a piece goes where the sum over residual gaps of the squared number of open sequences with that gap
+the first piece shorter where it does not divide. All pieces are dealt
+by a hash of (doc_id, piece, checksum, place in the written table) into shards of about SHARD_PIECES, and each shard is packed longest
+first (so full pieces, which fill a sequence alone, come before the rest): a piece goes where the sum over residual gaps of the squared number of open sequences with that gap
 becomes smallest, and a new sequence opens only if none has room. Longest first keeps this within 0.2 % of
 the lower bound on shards of that size. The number of shards follows the counted pieces, so a shard stays
 of bounded size at any scale.
 
 Cases: a null or empty text is one piece of length 1 (id 2 alone). Rows that repeat are packed each. A text
 that holds a special token's string gets that token's id, as the tokenizer gives it. An empty table gives an
-empty result. Only doc_id and text are read; other columns may have any name. Results do not depend on
-partitioning, but for which of several wholly equal rows lies where.
+empty result. Only doc_id and text are read; other columns may have any name. Very long texts are tokenised whole. Ties: of gaps
+with the same sum the smallest, of sequences with that gap the last that got it, of equal lengths the smaller doc_id, then piece. Pieces do not depend on
+partitioning, which shard a piece goes to does; rows that repeat are dealt apart.
 """
 
 from __future__ import annotations
@@ -135,7 +136,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_
     pieces = keep(pieces)
     n = pieces.count()
     shards = max(1, -(-n // shard_pieces))
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "length"), F.lit(shards)).cast("long"))
+    place = F.monotonically_increasing_id()  # in the written table, so a task that runs again deals alike
+    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "length", place), F.lit(shards)).cast("long"))
     return dealt.groupBy("shard").applyInPandas(_pack(capacity), f"{PIECES}, sequence_id long, offset long")
 
 

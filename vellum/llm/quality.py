@@ -7,7 +7,7 @@ so scoring stays inside the generated code. Only statistics of the text enter a
 
 Cases: null and empty texts get the statistics of the empty text and so a score. With no usable labels, or of
 one class only, the score is the smoothed share of label 1 (0.5 without any). Repeated labels of a doc_id
-count as their mean, 0.5 as 1; null labels are ignored. Rows repeat in the output as in the input. Ties: a score of 0.5 is predicted 1 and kept. An empty table gives an empty result. Very long texts are
+count as their mean, 0.5 as 1; null labels are ignored. Rows that repeat a doc_id train once, by the least statistics. Rows repeat in the output as in the input. Ties: a score of 0.5 is predicted 1 and kept. An empty table gives an empty result. Very long texts are
 read whole. Columns of any other names pass through keep_good unchanged.
 """
 
@@ -201,7 +201,8 @@ def training_marks(labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame
 
 def learn(described: DataFrame, marks: DataFrame, name: str) -> RuleModel:
     """Fit to the statistics (column `name`) of the rows of described whose doc_id is marked; marks: as training_marks gives them."""
-    rows = described.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(name).alias("stats")).join(marks, "doc_id").select("doc_id", "stats", "quality").collect()
+    rows = described.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(name).alias("stats")).join(marks, "doc_id")
+    rows = rows.groupBy("doc_id", "quality").agg(F.min("stats").alias("stats")).collect()  # as many rows as marks
     rows.sort(key=lambda r: (r.doc_id, r.stats))
     if not rows:
         return fit_rules(np.zeros((0, len(STATISTICS))), np.zeros(0))
