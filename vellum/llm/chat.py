@@ -3,12 +3,13 @@
 For every participant of a conversation, the dialogue is rendered with that speaker as the assistant, all others as
 named users, and a mask of the places (code points, end exclusive) of the assistant's words. System turns stay system
 turns and are no participant. Turns are in the order of (turn, name, text). A rendering covers PART_TURNS
-consecutive turn numbers, so a conversation of any length is rendered in parts of bounded size, and no task
-holds a whole conversation that is longer.
+consecutive turn numbers, so a long conversation is rendered in parts, each a group of its own. A part is as large as the rows of its turn
+numbers: it is bounded where they do not repeat, not where one number, or none, stands on very many rows. Participants meet the parts in a plain
+join, whose hot conversations adaptive execution splits.
 
 Cases: a null role is the participant "unknown", a null text is empty, a null turn comes first in a part of its
 own (-1), a null conv_id is a conversation. Repeated rows are rendered each. A part in which a participant is silent
-is still rendered, with an empty mask. Conversations of system turns only give no row. The marker "<|" in texts
+is still rendered, with an empty mask. Conversations of system turns only give no row. An empty table gives an empty result; very long texts are rendered whole. The marker "<|" in texts
 and names is written "< |". Other columns may have any name.
 """
 
