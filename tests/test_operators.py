@@ -31,6 +31,14 @@ def test_spoken_document_with_references_and_names(spark):
     assert got[2].endswith("</p>\n\n\n</prosody>\n</speak>\n") and got[4] is None
 
 
+def test_repaired_speech(spark):
+    docs = spark.createDataFrame([(1, "T\n\nSee Rom. 8:28, 30; A &; then & so, on. End")], "doc_id int, text string")
+    got = M.spoken_documents(docs, compat=False).first().ssml
+    pause = '<break time="400ms"/>'
+    assert f'<s>See <sub alias="Romans chapter 8, verses 28, 30">Rom. 8:28, 30</sub>;{pause} A &amp;;{pause} then &amp; so,{pause} on.</s>\n<break time="750ms"/>\n<s>End</s>' in got
+    assert f"&amp;{pause} so" in M.spoken_documents(docs).first().ssml
+
+
 def test_title_block(spark):
     strip = lambda text: one(spark, text, lambda s: F.array_join(X.strip_title_block(F.split(s, "\n", -1)), "\n"))
     assert strip("THE HEAD\nNO. 3\n\n‘Quote\nNO. 4") == "‘Quote\nNO. 4"

@@ -40,12 +40,26 @@ def title_and_body(text: Column, headers: tuple[str, ...] = HEADER_LINES) -> Col
 _PARAGRAPH, _SENTENCE = "\u0001", "\u0002"
 
 
-def marked_body(body: Column) -> Column:
-    """The body as one string, in which marks stand for the ends of paragraphs and sentences."""
+#: A spoken mark with what it holds, or any tag.
+_WHOLE_MARKS = "<sub[^>]*>[^<]*</sub>|<phoneme[^>]*>[^<]*</phoneme>|<[^>]*>"
+
+
+def marked_body(body: Column, compat: bool = True) -> Column:
+    """The body as one string, in which marks stand for the ends of paragraphs and sentences; without compat no sentence ends inside
+    what a tag marks."""
     flat = F.regexp_replace(F.regexp_replace(body, "[\u0001\u0002]", ""), "\r\n?", "\n")
     flat = F.regexp_replace(F.regexp_replace(flat, r"\n\s*\n", _PARAGRAPH), r"\s+", " ")
     flat = F.regexp_replace(F.regexp_replace(flat, " ?(?:\u0001 ?)+", _PARAGRAPH), "^[\u0001 ]+|[\u0001 ]+$", "")
-    return F.regexp_replace(flat, r'(?<=[.!?])(?:\s*")?\s+(?=[A-Z0-9"“])', _SENTENCE)
+    ends = lambda t: F.regexp_replace(t, r'(?<=[.!?])(?:\s*")?\s+(?=[A-Z0-9"“])', _SENTENCE)
+    return ends(flat) if compat else X.outside_tags(flat, ends, _WHOLE_MARKS)
+
+
+def pauses(marked: Column, compat: bool = True) -> Column:
+    """A pause after each comma, semicolon or colon that a blank follows, outside tags; without compat not inside what a tag marks, nor
+    after the semicolon of an escaped character."""
+    if compat:
+        return X.comma_breaks(marked)
+    return X.outside_tags(marked, lambda p: F.regexp_replace(p, "(?<!&amp(?=;)|&lt(?=;)|&gt(?=;))([,;:]) ", '$1<break time="400ms"/> '), _WHOLE_MARKS)
 
 
 def speech(title: Column, number: Column, marked: Column) -> Column:
@@ -57,16 +71,16 @@ def speech(title: Column, number: Column, marked: Column) -> Column:
     return F.concat(head, numbered, middle, F.lit("\n</prosody>\n</speak>\n"))
 
 
-def spoken_documents(docs: DataFrame, lexicon=PRONUNCIATIONS, books=R.BOOKS, headers: tuple[str, ...] = HEADER_LINES, keep: tuple[str, ...] = KEEP_UPPER) -> DataFrame:
+def spoken_documents(docs: DataFrame, lexicon=PRONUNCIATIONS, books=R.BOOKS, headers: tuple[str, ...] = HEADER_LINES, keep: tuple[str, ...] = KEEP_UPPER, compat: bool = True) -> DataFrame:
     """(doc_id, ssml) of documents (doc_id, text): title and body, capitals of the body, escaping, references, pronunciations, markup.
 
-    Each step is a column of its own, since the next names it more than once. No shuffle."""
+    compat keeps the quirks that results must equal: sentences end and pauses stand inside marks, and after escaped characters. Each step is a column of its own, since the next names it more than once. No shuffle."""
     rows = docs.select("doc_id", title_and_body(F.col("text"), headers).alias("p"))
     rows = rows.select("doc_id", "p.title", "p.number", "p.body")
     rows = rows.withColumn("body", X.caps_to_title(F.col("body"), leading=True)).withColumn("body", X.caps_to_title(F.col("body"), keep))
     for step in (X.xml_escape, lambda s: R.expand_references(s, books), lambda s: pronounce(s, lexicon)):
         rows = rows.withColumn("title", step(F.col("title"))).withColumn("body", step(F.col("body")))
-    rows = rows.withColumn("body", marked_body(F.col("body"))).withColumn("body", X.comma_breaks(F.col("body")))
+    rows = rows.withColumn("body", marked_body(F.col("body"), compat)).withColumn("body", pauses(F.col("body"), compat))
     return rows.select("doc_id", speech(F.col("title"), F.col("number"), F.col("body")).alias("ssml"))
 
 
