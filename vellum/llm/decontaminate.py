@@ -83,7 +83,8 @@ def term_counts(docs: DataFrame, terms: DataFrame, n_terms: int) -> DataFrame:
     """(term, n): in how many texts each term stands; terms: distinct column term, of n_terms rows at most."""
     terms = keep(terms, n_terms)
     size = terms.agg(_bytes(F.col("term"), TERM_BYTES)).first()[0] or 0
-    tokens = docs.select(F.explode(F.array_distinct(terms_of(F.col("text").cast("string")))).alias("term"))
+    # outer, since before an inner explode the optimizer tests the array's size, and makes the array once more for it
+    tokens = docs.select(F.explode_outer(F.array_distinct(terms_of(F.col("text").cast("string")))).alias("term")).where("term != ''")
     return _union([tokens.join(block, "term").groupBy("term").agg(F.count("*").alias("n")) for block in _blocks(terms, "term", size)])
 
 
@@ -125,7 +126,7 @@ def index(docs: DataFrame, anchors: DataFrame, literal_terms: int = LITERAL_TERM
         firsts = F.filter("postings", lambda p: F.shiftright(p, 32).isin([r.hash for r in terms if r.first]))
         return rows.select("doc_id", "text_hash", "n_words", "postings", firsts.alias("firsts"))
     rows = rows.withColumn("row", F.monotonically_increasing_id())
-    tokens = rows.select("row", F.posexplode("w").alias("i", "term"), "lead").select("row", (F.col("i") - F.col("lead")).alias("place"), "term")
+    tokens = rows.select("row", F.posexplode_outer("w").alias("i", "term"), "lead").select("row", (F.col("i") - F.col("lead")).alias("place"), "term")
     hits = _union([tokens.join(block, "term").select("row", posting(F.col("hash"), F.col("place")).alias("p"), "first") for block in _blocks(each, "term", size)])
     # a group is one text
     lists = hits.groupBy("row").agg(F.collect_list("p").alias("postings"), F.collect_list(F.when(F.col("first"), F.col("p"))).alias("firsts"))
@@ -160,7 +161,7 @@ def matches(docs: DataFrame, windows: DataFrame, indexed: DataFrame, anchors: Da
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h"))
     rows = rows.join(maybe_broadcast(asked, (size[0] or 0) + (size[1] or 0), 32), same).select("doc_id", "text_hash", words_of(F.col("text")).alias("w"), "starts")
     stretch = F.transform("starts", lambda s: F.struct(s["window_id"].alias("window_id"), s["start"].alias("start"), F.slice("w", s["start"] + 1, s["length"]).alias("held")))
-    rows = rows.select("doc_id", "text_hash", F.explode(stretch).alias("s")).select("doc_id", "text_hash", "s.window_id", "s.start", "s.held")
+    rows = rows.select("doc_id", "text_hash", F.explode_outer(stretch).alias("s")).select("doc_id", "text_hash", "s.window_id", "s.start", "s.held")
     n_bytes = windows.agg(_bytes(F.array_join("window", " "), WINDOW_BYTES)).first()[0] or 0
     rows = rows.join(maybe_broadcast(windows, n_bytes, 1), "window_id").where(F.col("held") == F.col("window"))
     phrase = keep(rows.select("doc_id", "text_hash", "window_id", "start", F.size("window").alias("length"), F.lit("phrase").alias("kind")).distinct(), size[1] or 0)

@@ -155,7 +155,8 @@ def slot_words(docs: DataFrame, patterns: DataFrame, n_patterns: int) -> DataFra
     words = docs.select(F.array_remove(F.split(F.replace(bare, F.lit("#"), F.lit(" 0 ")), f"{BETWEEN}+"), "").alias("w"))
     blank = F.lit("")
     beside = {"word": F.col("w"), "one": F.concat(F.array(blank), "w"), "two": F.concat(F.array(blank, blank), "w"), "after": F.slice("w", F.lit(2), F.size("w"))}
-    at = words.select(*[c.alias(k) for k, c in beside.items()]).select(F.explode(F.arrays_zip(*beside)).alias("z")).select("z.word", "z.one", "z.two", "z.after")
+    # outer, since before an inner explode the optimizer tests the array's size, and makes the array once more for it
+    at = words.select(*[c.alias(k) for k, c in beside.items()]).select(F.explode_outer(F.arrays_zip(*beside)).alias("z")).select("z.word", "z.one", "z.two", "z.after")
     at = at.where("word != '0' and one not in ('', '0')")
     parts = F.split("pattern", " ")
     wanted = patterns.select("pattern", F.get(parts, F.lit(0)).alias("type"), F.get(parts, F.lit(1)).alias("a"), F.get(parts, F.lit(2)).alias("b"))
