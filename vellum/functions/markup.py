@@ -36,6 +36,21 @@ def title_and_body(text: Column, headers: tuple[str, ...] = HEADER_LINES) -> Col
     return F.struct(F.get(bare, F.lit(0)).alias("title"), number.alias("number"), body.alias("body"))
 
 
+def with_title_and_body(docs: DataFrame, headers: tuple[str, ...] = HEADER_LINES) -> DataFrame:
+    """(doc_id, text, title, number, body) as title_and_body tells them, each step a column of its own, since later ones name it more than once."""
+    ends = F.lit(" \t\r\n\f\x0b")
+    rows = docs.select("doc_id", "text", F.split("text", "\n", -1).alias("raw")).select("doc_id", "text", "raw", F.transform("raw", lambda x: F.btrim(x, ends)).alias("bare"))
+    near = F.transform(F.slice("bare", 2, 4), lambda x, i: F.struct((i + 1).alias("i"), x.alias("s")))
+    rows = rows.select("*", F.get(F.filter(near, lambda x: x["s"] != ""), F.lit(0)).alias("second"))
+    number = F.coalesce(F.nullif(F.regexp_extract("second.s", r"^(\d+)$", 1), F.lit("")), F.nullif(F.regexp_extract("second.s", r"^[Nn][Oo]\.?\s*(\d+)", 1), F.lit("")))
+    rows = rows.select("*", number.alias("number")).select("*", F.when(F.col("number").isNotNull(), F.col("second.i") + 1).otherwise(F.lit(1)).alias("start"))
+    header = lambda s: F.regexp_like(s, F.lit("|".join(f"(?:{p})" for p in headers)))
+    body = F.transform(F.slice("bare", F.col("start") + 1, F.size("raw")), lambda x: ~header(x))
+    rows = rows.select("*", F.array_position(body, F.lit(True)).cast("int").alias("first"))
+    kept = F.when(F.col("first") > 0, F.slice("raw", F.col("start") + F.col("first"), F.size("raw"))).otherwise(F.array().cast("array<string>"))
+    return rows.select("doc_id", "text", F.get("bare", F.lit(0)).alias("title"), "number", F.when(F.col("text").isNotNull(), F.array_join(kept, "\n")).alias("body"))
+
+
 #: Stand for the ends of paragraphs and of sentences while a body is one string.
 _PARAGRAPH, _SENTENCE = "\u0001", "\u0002"
 
@@ -75,8 +90,7 @@ def spoken_documents(docs: DataFrame, lexicon=PRONUNCIATIONS, books=R.BOOKS, hea
     """(doc_id, ssml) of documents (doc_id, text): title and body, capitals of the body, escaping, references, pronunciations, markup.
 
     compat keeps the quirks that results must equal: sentences end and pauses stand inside marks, and after escaped characters. Each step is a column of its own, since the next names it more than once. No shuffle."""
-    rows = docs.select("doc_id", title_and_body(F.col("text"), headers).alias("p"))
-    rows = rows.select("doc_id", "p.title", "p.number", "p.body")
+    rows = with_title_and_body(docs, headers).select("doc_id", "title", "number", "body")
     rows = rows.withColumn("body", X.caps_to_title(F.col("body"), leading=True)).withColumn("body", X.caps_to_title(F.col("body"), keep))
     for step in (X.xml_escape, lambda s: R.expand_references(s, books), lambda s: pronounce(s, lexicon)):
         rows = rows.withColumn("title", step(F.col("title"))).withColumn("body", step(F.col("body")))

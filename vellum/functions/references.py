@@ -61,7 +61,8 @@ def expand_references(text: Column, books: dict[str, str] = BOOKS) -> Column:
         return F.when(book.isNull(), m).otherwise(F.concat(F.lit('<sub alias="'), book, F.lit(" chapter "), chapter, verse, F.lit('">'), m, F.lit("</sub>")))
 
     said = F.array_join(F.zip_with(parts, F.transform(found, spoken), lambda p, s: F.concat(F.coalesce(p, F.lit("")), F.coalesce(s, F.lit("")))), "")
-    return F.when(F.regexp_like(text, F.lit(pattern)), said).otherwise(text)
+    likely = F.regexp_like(text, F.lit(r"(?U)\s\d")) & F.regexp_like(text, F.lit(pattern))  # the first test is cheap
+    return F.when(likely, said).otherwise(text)
 
 
 def first_reference(text: Column, n_lines: int = 16, names: tuple[str, ...] = FULL_NAMES) -> Column:

@@ -32,7 +32,13 @@ def assign_volume(items: DataFrame, number: str, last: int = 63) -> DataFrame:
 
 def sentence_rows(docs: DataFrame, split=X.sentences) -> DataFrame:
     """(doc_id, pos, sentence)."""
-    return docs.select("doc_id", F.posexplode(split(F.col("text"))).alias("pos", "sentence"))
+    return exploded(docs, split(F.col("text")), "sentence")
+
+
+def exploded(docs: DataFrame, values: Column, name: str) -> DataFrame:
+    """(doc_id, pos, name) of an array. An outer explode, since the optimizer puts a test of the array's size, and with it the array's whole
+    computation, once more before an inner one."""
+    return docs.select("doc_id", F.posexplode_outer(values).alias("pos", name)).where("pos is not null")
 
 
 def strong_count(sentence: Column, words: tuple[str, ...]) -> Column:
@@ -54,7 +60,7 @@ def top_sentences(docs: DataFrame, words: tuple[str, ...], k: int = 8, prefix: i
     rows = rows.select("doc_id", F.array_sort(F.transform("s", lambda x: F.struct((-score(x)).alias("low"), x["pos"].alias("pos"), x["sentence"].alias("sentence")))).alias("s"))
     heads = rows.select("doc_id", "s", F.transform("s", lambda x: F.left(x["sentence"], F.lit(prefix))).alias("h"))
     best = heads.select("doc_id", F.slice(F.filter("s", lambda x, i: F.array_position("h", F.get("h", i)) == i + 1), 1, k).alias("s"))
-    return best.select("doc_id", F.posexplode("s").alias("rank", "x")).select("doc_id", (F.col("rank") + 1).alias("rank"), "x.pos", (-F.col("x.low")).alias("score"), "x.sentence")
+    return exploded(best, F.col("s"), "x").withColumnRenamed("pos", "rank").select("doc_id", (F.col("rank") + 1).alias("rank"), "x.pos", (-F.col("x.low")).alias("score"), "x.sentence")
 
 
 def first_of_prefix(docs: DataFrame, prefix: int, split=X.sentences) -> DataFrame:
@@ -63,7 +69,7 @@ def first_of_prefix(docs: DataFrame, prefix: int, split=X.sentences) -> DataFram
     rows = rows.select("doc_id", "s", F.transform("s", lambda x: F.left(x, F.lit(prefix))).alias("h"))
     first = F.transform(F.array_distinct("h"), lambda p: F.array_position("h", p).cast("int") - 1)
     kept = F.transform(first, lambda i: F.struct(i.alias("pos"), F.get("s", i).alias("sentence")))
-    return rows.select("doc_id", F.explode(kept).alias("x")).select("doc_id", "x.pos", "x.sentence")
+    return rows.select("doc_id", F.explode_outer(kept).alias("x")).where("x is not null").select("doc_id", "x.pos", "x.sentence")
 
 
 def keep_first(rows: DataFrame, keys: list[Column | str], order: list[Column | str]) -> DataFrame:
@@ -87,7 +93,7 @@ def tail_third(docs: DataFrame) -> DataFrame:
     """(doc_id, pos, line): the last floor(n/3) lines."""
     ls = X.lines(F.col("text"))
     n = F.size(ls)
-    return docs.select("doc_id", F.posexplode(F.slice(ls, n - F.floor(n / 3).cast("int") + 1, F.floor(n / 3).cast("int"))).alias("pos", "line"))
+    return exploded(docs, F.slice(ls, n - F.floor(n / 3).cast("int") + 1, F.floor(n / 3).cast("int")), "line")
 
 
 def page_ranges(bookmarks: DataFrame, totals: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from vellum.functions import markup as M
 from vellum.functions import outline as O
 from vellum.functions import references as R
 from vellum.functions import text as X
-from vellum.operators.documents import free_names, keep_first, layout_lines, layout_metrics, paragraph_islands
+from vellum.operators.documents import exploded, free_names, keep_first, layout_lines, layout_metrics, paragraph_islands
 
 #: Most pieces that a broken word is looked up in, and its most characters.
 PIECES, LONGEST = 8, 64
@@ -94,15 +94,16 @@ def divisions(docs: DataFrame, promo: str | None = None) -> DataFrame:
     rows = docs.select("doc_id", body.alias("body"), F.split(body, "\n", -1).alias("ls")).withColumn("a", roman_parts(F.col("ls")))
     rows = rows.withColumn("b", F.when(F.size("a") == 0, ordinal_parts(F.col("body"))).otherwise(F.array().cast(NONE)))
     rows = rows.withColumn("c", F.when((F.size("a") == 0) & (F.size("b") == 0), topic_parts(F.col("body"), F.col("ls"), promo)).otherwise(F.array().cast(NONE)))
-    parts = rows.select("doc_id", F.posexplode(F.concat("a", "b", "c")).alias("pos", "p"))
+    parts = exploded(rows, F.concat("a", "b", "c"), "p")
     return parts.select("doc_id", "pos", "p.numeral", O.heading(F.col("p.text"), (promo,) if promo else ()).alias("heading"), F.slice(R.references(F.col("p.section")), 1, 3).alias("refs"), "p.section")
 
 
 def illustrations(docs: DataFrame, most: int = 6, starters: str = O.ILLUSTRATION) -> DataFrame:
     """(doc_id, pos, illustration): what the sentences that open an illustration are about, one for each prefix of 25 characters."""
     rows = docs.select("doc_id", F.split(F.coalesce("body", F.lit("")), "\n", -1).alias("ls"))
-    rows = rows.select("doc_id", "ls", F.posexplode("ls").alias("pos", "line")).withColumn("line", O.strip(F.col("line")))
-    rows = rows.where((F.length("line") >= 30) & F.regexp_like("line", F.lit(starters))).withColumn("t", paragraph_from(F.col("ls"), F.col("pos")))
+    opens = lambda x: (F.length(x) >= 30) & F.regexp_like(x, F.lit(starters))
+    found = F.transform("ls", lambda x, i: F.when(opens(O.strip(x)), F.struct(i.alias("pos"), O.strip(x).alias("line"), paragraph_from(F.col("ls"), i).alias("t"))))
+    rows = rows.select("doc_id", F.explode_outer(F.filter(found, lambda x: x.isNotNull())).alias("x")).where("x is not null").select("doc_id", "x.pos", "x.line", "x.t")
     rows = rows.withColumn("at", F.least(F.regexp_instr("line", F.lit(starters)) - 1, F.length("t") - 1))
     begin = F.length(F.regexp_extract(F.left("t", F.col("at") - 2), r"(?s)^(.+[.!?])", 1))
     end = F.regexp_instr(F.substring(F.col("t"), F.col("at") + 2, F.length("t")), F.lit("[.!?]"))
@@ -116,7 +117,7 @@ def applications(docs: DataFrame, markers: str = O.APPLICATION, most: int = 4, p
     ls = X.lines(F.coalesce("body", F.lit("")))
     third = F.floor(F.size(ls) / 3).cast("int")
     kept = F.filter(F.transform(F.slice(ls, F.size(ls) - third + 1, third), O.strip), lambda s: (s != "") & ~O.is_upper(s) & ~F.regexp_like(s, F.lit("^[0-9]+$")) & (~F.contains(F.lower(s), F.lit(promo)) if promo else F.lit(True)))
-    rows = docs.select("doc_id", F.posexplode(X.sentences_simple(F.array_join(kept, " "))).alias("pos", "s"))
+    rows = exploded(docs, X.sentences_simple(F.array_join(kept, " ")), "s")
     rows = rows.where(F.length("s").between(30, 130) & F.regexp_like("s", F.lit(markers)))
     return _first_k(rows.select("doc_id", "pos", X.cut_with_dots(F.col("s"), 120, 117).alias("application")), "application", most)
 
@@ -186,7 +187,7 @@ def join_broken_words(lines: DataFrame, column: str, words: DataFrame) -> DataFr
     each distinct line meets the hits of its own pieces. The fold over a line is a column expression. A word of more than PIECES pieces or LONGEST characters stays broken."""
     line, found = free_names(lines, "line_text", "known")
     pieces = lines.select(F.col(column).alias(line)).distinct().select(line, F.split(line, " ", -1).alias("w"))
-    pieces = pieces.select(line, F.posexplode("w").alias("k", "x"), "w")
+    pieces = pieces.select(line, F.posexplode_outer("w").alias("k", "x"), "w").where("k is not null")
     runs = F.filter(F.transform(F.sequence(F.lit(1), F.lit(PIECES)), lambda n: F.array_join(F.slice("w", F.col("k") + 1, n), "")), lambda s: F.length(s) <= LONGEST)
     asked = pieces.select(line, F.explode(F.array_distinct(F.transform(F.concat(runs, F.array("x")), lambda s: F.lower(_core(s))))).alias("word")).distinct()
     hits = asked.join(words.select("word").distinct(), "word", "left_semi").groupBy(line).agg(F.collect_set("word").alias(found))

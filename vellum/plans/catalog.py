@@ -52,8 +52,8 @@ def sentence_split_simple(spark, d):
 
 COUNT = r"len(regexp_extract_all(sentence, '(?i)\b(the|of|and|to)\b'))"
 UNTITLED = r"(SELECT doc_id, array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda s: trim(s, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ')), lambda s: s <> '' AND NOT (regexp_matches(s, '\p{Lu}') AND NOT regexp_matches(s, '\p{Ll}')) AND NOT regexp_matches(s, '^[0-9]+$')), ' ') AS text FROM documents)"
-TOP = f"""WITH r AS (SELECT *, {COUNT} AS strong FROM {ROWS.format(SIMPLE.replace("FROM documents", "FROM " + UNTITLED))}),
-g AS (SELECT *, round(strong * 10 - length(sentence) * 0.08 + CASE WHEN contains(sentence, '!') THEN 3 ELSE 0 END, 6) AS score FROM r WHERE length(sentence) BETWEEN 30 AND 120 AND regexp_matches(sentence, '^\p{{Lu}}') AND regexp_matches(sentence, '[.!?]$') AND strong >= CASE WHEN regexp_matches(sentence, '^(And|But|Or|For|If|When|While|So|Yet)\\s') THEN 3 ELSE 2 END),
+TOP = rf"""WITH r AS (SELECT *, {COUNT} AS strong FROM {ROWS.format(SIMPLE.replace("FROM documents", "FROM " + UNTITLED))}),
+g AS (SELECT *, round(strong * 10 - length(sentence) * 0.08 + CASE WHEN contains(sentence, '!') THEN 3 ELSE 0 END, 6) AS score FROM r WHERE length(sentence) BETWEEN 30 AND 120 AND regexp_matches(sentence, '^\p{{Lu}}') AND regexp_matches(sentence, '[.!?]$') AND strong >= CASE WHEN regexp_matches(sentence, '^(And|But|Or|For|If|When|While|So|Yet)\s') THEN 3 ELSE 2 END),
 u AS (SELECT * FROM g QUALIFY row_number() OVER (PARTITION BY doc_id, left(sentence, 30) ORDER BY score DESC, pos) = 1)
 SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, pos) AS INTEGER) AS rank, CAST(pos AS INTEGER) AS pos, CAST(score AS DOUBLE) AS score, sentence FROM u QUALIFY rank <= 8"""
 
@@ -81,7 +81,7 @@ def tail_lines(spark, d):
 
 @query("paragraphs", r"""SELECT doc_id, CAST(unnest(range(len(p))) AS INTEGER) AS pos, unnest(p) AS paragraph FROM (SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(regexp_replace(text, '\r\n?', chr(10), 'g'), '\n\s*\n', chr(1), 'g'), chr(1)), lambda s: trim(regexp_replace(s, '\s+', ' ', 'g'))), lambda s: s <> '') AS p FROM documents)""")
 def paragraphs(spark, d):
-    return _table(spark, d, "documents").select("doc_id", F.posexplode(X.paragraphs(F.col("text"))).alias("pos", "paragraph"))
+    return D.exploded(_table(spark, d, "documents"), X.paragraphs(F.col("text")), "paragraph")
 
 
 @query("xml_escape", "SELECT doc_id, replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS escaped FROM documents")
@@ -94,10 +94,9 @@ def html_escape(spark, d):
     return _table(spark, d, "pages").select("page_id", X.html_escape(F.col("html")).alias("escaped"))
 
 
-@query("comma_breaks", r"""SELECT doc_id, regexp_replace(text, '([,;:]) ', '\1<break time="400ms"/> ', 'g') AS ssml FROM documents WHERE NOT contains(text, '<') AND NOT contains(text, '>')""")
+@query("comma_breaks", r"""SELECT page_id, array_to_string(list_transform(list_zip(list_transform(string_split_regex(html, '<[^>]*>'), lambda p: regexp_replace(p, '([,;:]) ', '\1<break time="400ms"/> ', 'g')), regexp_extract_all(html, '<[^>]*>')), lambda z: z[1] || coalesce(z[2], '')), '') AS ssml FROM pages""")
 def comma_breaks(spark, d):
-    plain = _table(spark, d, "documents").where("NOT contains(text, '<') AND NOT contains(text, '>')")
-    return plain.select("doc_id", X.comma_breaks(F.col("text")).alias("ssml"))
+    return _table(spark, d, "pages").select("page_id", X.comma_breaks(F.col("html")).alias("ssml"))
 
 
 SMALL = ", ".join(f"'{w}'" for w in X.SMALL_WORDS)
@@ -234,8 +233,8 @@ def applications_tail(spark, d):
 
 @query("outline_render")
 def outline_render(spark, d):
-    docs = P.long_enough(_table(spark, d, "documents")).select("doc_id", "text", M.title_and_body(F.col("text")).alias("p"))
-    return P.render(docs.select("doc_id", "text", "p.title", "p.number", "p.body"), top_quotes(spark, d).select("doc_id", "rank", "sentence"))
+    docs = M.with_title_and_body(P.long_enough(_table(spark, d, "documents")))
+    return P.render(docs, top_quotes(spark, d).select("doc_id", "rank", "sentence"))
 
 
 @query("merge_tags", r"""SELECT page_id, regexp_replace(regexp_replace(replace(replace(html, '<b>', '<strong>'), '</b>', '</strong>'), '</em>\s*<em>', '', 'g'), '</strong>\s*<strong>', '', 'g') AS html FROM pages""")

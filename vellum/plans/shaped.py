@@ -248,7 +248,7 @@ g AS (SELECT doc_id, i, line, h, CASE WHEN k % 2 = 0 THEN i - 1 ELSE i END AS g
 SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY g) - 1 AS INT) AS pos, line FROM (SELECT doc_id, g, CASE WHEN count(*) = 1 THEN min(line) ELSE rtrim(arg_min(line, i), '-') || ltrim(arg_max(line, i)) END AS line FROM g GROUP BY doc_id, g)""")
 def dehyphenate(spark, d):
     docs = spark.read.parquet(f"{d}/documents.parquet")
-    return docs.select("doc_id", F.split(F.regexp_replace("text", "([a-z])e ", "$1-\n"), "\n", -1).alias("l")).select("doc_id", F.posexplode(X.dehyphenate(F.col("l"))).alias("pos", "line"))
+    return docs.select("doc_id", F.split(F.regexp_replace("text", "([a-z])e ", "$1-\n"), "\n", -1).alias("l")).transform(lambda x: D.exploded(x, X.dehyphenate(F.col("l")), "line"))
 
 
 # page layouts: a document's lines, from orders
