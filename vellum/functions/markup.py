@@ -62,10 +62,10 @@ _WHOLE_MARKS = "<sub[^>]*>[^<]*</sub>|<phoneme[^>]*>[^<]*</phoneme>|<[^>]*>"
 def marked_body(body: Column, compat: bool = True) -> Column:
     """The body as one string, in which marks stand for the ends of paragraphs and sentences; without compat no sentence ends inside
     what a tag marks."""
-    flat = F.regexp_replace(F.regexp_replace(body, "[\u0001\u0002]", ""), "\r\n?", "\n")
-    flat = F.regexp_replace(F.regexp_replace(flat, r"\n\s*\n", _PARAGRAPH), r"\s+", " ")
+    flat = F.replace(F.replace(F.translate(body, "\u0001\u0002", ""), F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    flat = F.regexp_replace(F.regexp_replace(flat, r"\n\s*\n", _PARAGRAPH), X._UNEVEN, " ")
     flat = F.regexp_replace(F.regexp_replace(flat, " ?(?:\u0001 ?)+", _PARAGRAPH), "^[\u0001 ]+|[\u0001 ]+$", "")
-    ends = lambda t: F.regexp_replace(t, r'(?<=[.!?])(?:\s*")?\s+(?=[A-Z0-9"“])', _SENTENCE)
+    ends = lambda t: F.regexp_replace(t, r'([.!?])(?:\s*")?\s+(?=[A-Z0-9"“])', f"$1{_SENTENCE}")
     return ends(flat) if compat else X.outside_tags(flat, ends, _WHOLE_MARKS)
 
 

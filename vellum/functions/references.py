@@ -77,7 +77,9 @@ def references(text: Column, names: tuple[str, ...] = FULL_NAMES, short: tuple[s
     short ones, in the listed order; white space may stand or lack after a name's number, before the chapter and around the colon."""
     full = [name.replace("Psalm", "Psalms?").replace("Proverbs", "Proverbs?").replace(" ", r"\s*") for name in names if name != "Psalms"]
     pattern = rf"(?i)(?:{'|'.join((*full, *short))})\s*\d+\s*:\s*\d+(?:\s*[-,]\s*\d+)*"
-    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda r: F.regexp_replace(F.btrim(r), r"\s+", " ")))
+    found = F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda r: F.regexp_replace(F.btrim(r), r"\s+", " ")))
+    # the cheap test first: few texts hold two numbers about a colon
+    return F.when(F.regexp_like(text, F.lit(r"\d\s*:\s*\d")), found).when(text.isNotNull(), F.array().cast("array<string>"))
 
 
 def noted_reference(notes: Column) -> Column:

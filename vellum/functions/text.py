@@ -19,8 +19,12 @@ def capitalise(word: Column) -> Column:
     return F.concat(F.when(first == "ß", "Ss").otherwise(F.upper(first)), F.lower(F.substring(word, F.lit(2), F.length(word))))
 
 
+#: White space that is not a single blank: only that needs replacing.
+_UNEVEN = r"[\t\n\x0B\f\r]\s*| \s+"
+
+
 def collapse(text: Column) -> Column:
-    return F.btrim(F.regexp_replace(text, r"\s+", " "))
+    return F.btrim(F.regexp_replace(text, _UNEVEN, " "))
 
 
 def nonempty(values: Column) -> Column:
