@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from vellum.llm import bases
 from vellum.llm.chat import OP7_SQL, op7_chat
 from vellum.llm.decontaminate import OP8_SQL, op8_decontamination
 from vellum.llm.licenses import op3_licenses
@@ -24,8 +25,10 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_pii": op9_pii,
     "op10_quality": op10_quality,
+    **bases.QUERIES,
 }
 ORACLES: dict[str, str] = {
     "op7_chat": OP7_SQL,
     "op8_decontamination": OP8_SQL,
+    **bases.ORACLES,
 }
