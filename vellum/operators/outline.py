@@ -11,7 +11,7 @@ from vellum.functions import markup as M
 from vellum.functions import outline as O
 from vellum.functions import references as R
 from vellum.functions import text as X
-from vellum.operators.documents import exploded, free_names, keep_first, layout_lines, layout_metrics, paragraph_islands
+from vellum.operators.documents import exploded, free_names, layout_lines, layout_metrics, paragraph_islands
 
 #: Most pieces that a broken word is looked up in, and its most characters.
 PIECES, LONGEST = 8, 64
@@ -88,44 +88,68 @@ def paragraph_from(ls: Column, i: Column) -> Column:
     return X.collapse(F.array_join(F.when(blank > 0, F.slice(near, F.lit(1), blank - 1)).otherwise(near), " "))
 
 
-def divisions(docs: DataFrame, promo: str | None = None) -> DataFrame:
-    """(doc_id, pos, numeral, heading, refs, section) of documents (doc_id, body): by Roman numerals, else ordinals, else topic sentences."""
+def with_divisions(docs: DataFrame, promo: str | None = None) -> DataFrame:
+    """docs (doc_id, body and more) with divisions: an array of (numeral, heading, refs, section), by Roman numerals, else ordinals, else topic sentences."""
+    text, ls, a, b, c = free_names(docs, "text_", "ls", "a", "b", "c")
+    none = F.array().cast(NONE)
     body = F.coalesce("body", F.lit(""))
-    rows = docs.select("doc_id", body.alias("body"), F.split(body, "\n", -1).alias("ls")).withColumn("a", roman_parts(F.col("ls")))
-    rows = rows.withColumn("b", F.when(F.size("a") == 0, ordinal_parts(F.col("body"))).otherwise(F.array().cast(NONE)))
-    rows = rows.withColumn("c", F.when((F.size("a") == 0) & (F.size("b") == 0), topic_parts(F.col("body"), F.col("ls"), promo)).otherwise(F.array().cast(NONE)))
-    parts = exploded(rows, F.concat("a", "b", "c"), "p")
-    return parts.select("doc_id", "pos", "p.numeral", O.heading(F.col("p.text"), (promo,) if promo else ()).alias("heading"), F.slice(R.references(F.col("p.section")), 1, 3).alias("refs"), "p.section")
+    rows = docs.withColumn(text, body).withColumn(ls, F.split(text, "\n", -1)).withColumn(a, roman_parts(F.col(ls)))
+    rows = rows.withColumn(b, F.when(F.size(a) == 0, ordinal_parts(F.col(text))).otherwise(none))
+    rows = rows.withColumn(c, F.when((F.size(a) == 0) & (F.size(b) == 0), topic_parts(F.col(text), F.col(ls), promo)).otherwise(none))
+    one = lambda p: F.struct(p["numeral"].alias("numeral"), O.heading(p["text"], (promo,) if promo else ()).alias("heading"), F.slice(R.references(p["section"]), 1, 3).alias("refs"), p["section"].alias("section"))
+    return rows.withColumn("divisions", F.transform(F.concat(a, b, c), one)).drop(text, ls, a, b, c)
 
 
-def illustrations(docs: DataFrame, most: int = 6, starters: str = O.ILLUSTRATION) -> DataFrame:
-    """(doc_id, pos, illustration): what the sentences that open an illustration are about, one for each prefix of 25 characters."""
-    rows = docs.select("doc_id", F.split(F.coalesce("body", F.lit("")), "\n", -1).alias("ls"))
+def divisions(docs: DataFrame, promo: str | None = None) -> DataFrame:
+    """(doc_id, pos, numeral, heading, refs, section) of documents (doc_id, body)."""
+    return exploded(with_divisions(docs.select("doc_id", "body"), promo), F.col("divisions"), "p").select("doc_id", "pos", "p.numeral", "p.heading", "p.refs", "p.section")
+
+
+def _first_of_prefix(found: Column, name: str, most: int) -> Column:
+    """Of structs with an equal prefix of 25 characters in `name` the first, at most `most`; found is a column, not an expression."""
+    heads = F.transform(found, lambda x: F.left(x[name], F.lit(25)))
+    return F.slice(F.transform(F.array_distinct(heads), lambda h: F.get(F.filter(found, lambda x: F.left(x[name], F.lit(25)) == h), F.lit(0))), 1, most)
+
+
+def with_illustrations(docs: DataFrame, most: int = 6, starters: str = O.ILLUSTRATION) -> DataFrame:
+    """docs (body and more) with illustrations: an array of (pos, illustration), what the sentences that open an illustration are about, one for each prefix of 25 characters."""
+    ls, found = free_names(docs, "ls", "found")
     opens = lambda x: (F.length(x) >= 30) & F.regexp_like(x, F.lit(starters))
-    found = F.transform("ls", lambda x, i: F.when(opens(O.strip(x)), F.struct(i.alias("pos"), O.strip(x).alias("line"), paragraph_from(F.col("ls"), i).alias("t"))))
-    rows = rows.select("doc_id", F.explode_outer(F.filter(found, lambda x: x.isNotNull())).alias("x")).where("x is not null").select("doc_id", "x.pos", "x.line", "x.t")
-    rows = rows.withColumn("at", F.least(F.regexp_instr("line", F.lit(starters)) - 1, F.length("t") - 1))
-    begin = F.length(F.regexp_extract(F.left("t", F.col("at") - 2), r"(?s)^(.+[.!?])", 1))
-    end = F.regexp_instr(F.substring(F.col("t"), F.col("at") + 2, F.length("t")), F.lit("[.!?]"))
-    rows = rows.withColumn("begin", begin).withColumn("end", F.when(end > 0, F.col("at") + end + 1).otherwise(F.length("t")))
-    rows = rows.withColumn("illustration", O.concept(O.strip(F.substring(F.col("t"), F.col("begin") + 1, F.col("end") - F.col("begin"))))).where("length(illustration) > 10")
-    return _first_k(rows.select("doc_id", "pos", "illustration"), "illustration", most)
+    lines = F.transform(ls, lambda x, i: F.when(opens(O.strip(x)), F.struct(i.alias("pos"), O.strip(x).alias("line"), paragraph_from(F.col(ls), i).alias("t"))))
+    at = lambda x: F.least(F.regexp_instr(x["line"], F.lit(starters)) - 1, F.length(x["t"]) - 1)
+    marked = F.transform(F.filter(lines, lambda x: x.isNotNull()), lambda x: F.struct(x["pos"].alias("pos"), x["t"].alias("t"), at(x).alias("at")))
 
+    def bounds(x: Column) -> Column:
+        begin = F.length(F.regexp_extract(F.left(x["t"], x["at"] - 2), r"(?s)^(.+[.!?])", 1))
+        end = F.regexp_instr(F.substring(x["t"], x["at"] + 2, F.length(x["t"])), F.lit("[.!?]"))
+        return F.struct(x["pos"].alias("pos"), x["t"].alias("t"), begin.alias("begin"), F.when(end > 0, x["at"] + end + 1).otherwise(F.length(x["t"])).alias("end"))
 
-def applications(docs: DataFrame, markers: str = O.APPLICATION, most: int = 4, promo: str | None = None) -> DataFrame:
-    """(doc_id, pos, application): marked sentences of 30 to 130 characters in the last third of the lines."""
-    ls = X.lines(F.coalesce("body", F.lit("")))
+    sentence = lambda x: F.struct(x["pos"].alias("pos"), O.strip(F.substring(x["t"], x["begin"] + 1, x["end"] - x["begin"])).alias("s"))
+    about = F.transform(F.transform(F.transform(marked, bounds), sentence), lambda x: F.struct(x["pos"].alias("pos"), O.concept(x["s"]).alias("illustration")))
+    rows = docs.withColumn(ls, F.split(F.coalesce("body", F.lit("")), "\n", -1)).withColumn(found, F.filter(about, lambda x: F.length(x["illustration"]) > 10))
+    return rows.withColumn("illustrations", _first_of_prefix(F.col(found), "illustration", most)).drop(ls, found)
+
+
+def illustrations(docs: DataFrame, most: int = 6, starters: str = O.ILLUSTRATION) -> DataFrame:
+    """(doc_id, pos, illustration) of documents (doc_id, body)."""
+    rows = with_illustrations(docs.select("doc_id", "body"), most, starters)
+    return rows.select("doc_id", F.explode_outer("illustrations").alias("x")).where("x is not null").select("doc_id", "x.pos", "x.illustration")
+
+
+def with_applications(docs: DataFrame, markers: str = O.APPLICATION, most: int = 4, promo: str | None = None) -> DataFrame:
+    """docs (body and more) with applications: an array of (pos, application), marked sentences of 30 to 130 characters in the last third of the lines."""
+    ls, found = free_names(docs, "ls", "found")
     third = F.floor(F.size(ls) / 3).cast("int")
     kept = F.filter(F.transform(F.slice(ls, F.size(ls) - third + 1, third), O.strip), lambda s: (s != "") & ~O.is_upper(s) & ~F.regexp_like(s, F.lit("^[0-9]+$")) & (~F.contains(F.lower(s), F.lit(promo)) if promo else F.lit(True)))
-    rows = exploded(docs, X.sentences_simple(F.array_join(kept, " ")), "s")
-    rows = rows.where(F.length("s").between(30, 130) & F.regexp_like("s", F.lit(markers)))
-    return _first_k(rows.select("doc_id", "pos", X.cut_with_dots(F.col("s"), 120, 117).alias("application")), "application", most)
+    marked = F.transform(X.sentences_simple(F.array_join(kept, " ")), lambda s, i: F.when(F.length(s).between(30, 130) & F.regexp_like(s, F.lit(markers)), F.struct(i.alias("pos"), X.cut_with_dots(s, 120, 117).alias("application"))))
+    rows = docs.withColumn(ls, X.lines(F.coalesce("body", F.lit("")))).withColumn(found, F.filter(marked, lambda x: x.isNotNull()))
+    return rows.withColumn("applications", _first_of_prefix(F.col(found), "application", most)).drop(ls, found)
 
 
-def _first_k(rows: DataFrame, value: str, most: int) -> DataFrame:
-    first = keep_first(rows, ["doc_id", F.left(value, F.lit(25))], ["pos"])
-    (k,) = free_names(rows, "k")
-    return first.withColumn(k, F.row_number().over(Window.partitionBy("doc_id").orderBy("pos"))).where(F.col(k) <= most).drop(k)
+def applications(docs: DataFrame, markers: str = O.APPLICATION, most: int = 4, promo: str | None = None) -> DataFrame:
+    """(doc_id, pos, application) of documents (doc_id, body)."""
+    rows = with_applications(docs.select("doc_id", "body"), markers, most, promo)
+    return rows.select("doc_id", F.explode_outer("applications").alias("x")).where("x is not null").select("doc_id", "x.pos", "x.application")
 
 
 def _wrap(batches: Iterator) -> Iterator:
@@ -163,16 +187,16 @@ def long_enough(docs: DataFrame, least: int = 3) -> DataFrame:
 def render(docs: DataFrame, quotes: DataFrame) -> DataFrame:
     """(doc_id, outline): at most 60 lines of 78 characters. docs: doc_id, title, number, text, body; quotes: doc_id, rank, sentence.
 
-    Only the wrapping of lines is Python, over Arrow batches; the parts come as rows and meet by doc_id."""
-    parts = divisions(docs).where("pos < 5").select("doc_id", F.struct("pos", "numeral", "heading", O.subpoints(F.col("section")).alias("points"), F.slice("refs", 1, 2).alias("refs")).alias("v"))
-    grouped = parts.groupBy("doc_id").agg(F.array_sort(F.collect_list("v")).alias("parts"))
-    joined = docs.withColumn("title", X.cut_with_dots(F.coalesce("title", F.lit("")), 78, 75)).withColumn("reference", O.opening_reference(F.col("text"))).withColumn("date_place", X.cut_with_dots(O.date_and_place(F.col("text")), 64, 61)).join(grouped, "doc_id", "left")
-    names = []
-    for rows, order, value, most in ((illustrations(docs, 3), "pos", "illustration", 3), (quotes, "rank", "sentence", 3), (applications(docs, most=2), "pos", "application", 2)):
-        listed = rows.groupBy("doc_id").agg(F.slice(F.array_sort(F.collect_list(F.struct(order, value))), 1, most)[value].alias(f"__{value}"))
-        joined, names = joined.join(listed, "doc_id", "left"), [*names, f"__{value}"]
+    Only the wrapping of lines is Python, over Arrow batches; a document's parts are made within its row, and only the quotes are joined."""
+    rows = with_applications(with_illustrations(with_divisions(docs), 3), most=2)
+    part = lambda p: F.struct(p["numeral"].alias("numeral"), p["heading"].alias("heading"), O.subpoints(p["section"]).alias("points"), F.slice(p["refs"], 1, 2).alias("refs"))
+    rows = rows.withColumn("parts", F.transform(F.slice("divisions", 1, 5), part)).withColumn("title", X.cut_with_dots(F.coalesce("title", F.lit("")), 78, 75))
+    rows = rows.withColumn("reference", O.opening_reference(F.col("text"))).withColumn("date_place", O.date_and_place(F.col("text"))).withColumn("date_place", X.cut_with_dots(F.col("date_place"), 64, 61))
+    listed = quotes.groupBy("doc_id").agg(F.slice(F.array_sort(F.collect_list(F.struct("rank", "sentence"))), 1, 3)["sentence"].alias("quoted"))
     empty = F.array().cast("array<string>")
-    out = joined.select("doc_id", "title", F.coalesce(F.col("number").cast("string"), F.lit("")).alias("number"), F.coalesce("reference", F.lit("")).alias("reference"), F.coalesce("date_place", F.lit("")).alias("date_place"), F.coalesce("parts", F.array().cast(parts.groupBy().agg(F.collect_list("v")).schema[0].dataType)).alias("parts"), F.array(*[F.coalesce(n, empty) for n in names]).alias("notes"))
+    notes = F.array(F.col("illustrations")["illustration"], F.coalesce("quoted", empty), F.col("applications")["application"])
+    blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
+    out = rows.join(listed, "doc_id", "left").select("doc_id", "title", blank("number"), blank("reference"), blank("date_place"), "parts", notes.alias("notes"))
     return out.mapInPandas(_wrap, out.select("doc_id").schema.add("outline", "string"))
 
 
