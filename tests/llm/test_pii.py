@@ -185,6 +185,7 @@ def bootstrap_corpus(seed):
     texts += [f"write to inbox {h} for help" for h in handle[:8]] + [f"our forum alias {h}, active" for h in handle[:10]]
     texts += [f"on page {r.randrange(10**4)} of volume {r.randrange(99)} the desk was old" for _ in range(80)]
     texts += [f"the {phone()} and the {r.randrange(10**6)} by the road" for _ in range(30)] + ["the desk the road the inn the sea the sky"] * 3
+    texts += ["call # our # desk x # 7 before #"] * 3
     texts += [f"sold for {r.randrange(10**5)} to {r.choice(['him', 'her', 'them'])}" for _ in range(60)]
     r.shuffle(texts)
     return texts, set(member), set(handle)

@@ -22,6 +22,8 @@ sort-merge joins whose hot keys adaptive execution splits.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +47,8 @@ MIN_TRUST = 0.75
 MIN_SEEDS = 4
 #: One in so many texts, by a hash, in which the words in the slots of patterns are counted in turn.
 SHARES = (256, 16, 1)
+#: Most patterns that the texts are first searched for as they stand.
+FEW = 64
 #: Estimated bytes of a broadcast row of the graph.
 ROW_BYTES = 128
 
@@ -151,8 +155,13 @@ def slot_words(docs: DataFrame, patterns: DataFrame, n_patterns: int) -> DataFra
     """(pattern, words): in how many distinct words without a digit the slot of a pattern of two words (left) or one (left and right) is
     filled, over all texts of docs; patterns: distinct column pattern."""
     text = _ascii_lower(empty_safe(F.col("text").cast("string")))
-    bare = F.regexp_replace(text, r"(?<![^\x00-\x20])[^0-9@\x00-\x20]*+[0-9@][^\x00-\x20]*+", "#")
-    words = docs.select(F.array_remove(F.split(F.replace(bare, F.lit("#"), F.lit(" 0 ")), f"{BETWEEN}+"), "").alias("w"))
+    if n_patterns <= FEW:  # only texts that hold both words of some pattern
+        pairs = [[w for w in r.pattern.split(" ")[1:] if w != "#"] for r in patterns.collect() if not r.pattern.startswith("s ")]
+        held = [reduce(Column.__and__, [F.contains(text, F.lit(w)) for w in pair]) for pair in pairs]
+        docs = docs.where(reduce(Column.__or__, held, F.lit(False)))
+    bare = F.regexp_replace(text, r"(?<![^\x00-\x20])[^0-9@\x00-\x20]*+[0-9@][^\x00-\x20]*+", " 0 ")
+    bare = F.when(F.regexp_like(text, F.lit("[0-9@]")), bare).otherwise(text)
+    words = docs.select(F.array_remove(F.split(bare, f"{BETWEEN}+"), "").alias("w"))
     blank = F.lit("")
     beside = {"word": F.col("w"), "one": F.concat(F.array(blank), "w"), "two": F.concat(F.array(blank, blank), "w"), "after": F.slice("w", F.lit(2), F.size("w"))}
     # outer, since before an inner explode the optimizer tests the array's size, and makes the array once more for it
