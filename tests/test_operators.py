@@ -185,3 +185,35 @@ def test_short_names_and_spacing(spark, text, refs):
     from vellum.functions import references as R
 
     assert one(spark, text, R.references) == refs
+
+
+def test_outline_is_cut_at_sixty_lines():
+    import pandas as pd
+
+    part = {"numeral": "I", "heading": "A heading " * 9, "points": ["point " * 20] * 3, "refs": ["John 3:4"]}
+
+    def outline(n_parts, notes):
+        rows = pd.DataFrame([{"doc_id": 1, "title": "t", "number": "7", "reference": "", "date_place": "", "parts": [part] * n_parts, "notes": notes}])
+        return next(P._wrap(iter([rows])))["outline"][0].split("\n")[:-1]
+
+    rule = "─" * 55
+    long = [["note " * 30] * 3, ["quote " * 30] * 3, ["use " * 40] * 2]
+    whole = outline(2, long)
+    assert len(whole) < 60 and whole.count(rule) == 2 and "Application:" in whole
+    cut = outline(4, long)  # the notes are cut, and the rule closes
+    assert len(cut) == 60 and cut[-1] == rule and cut.count(rule) == 2 and "Application:" not in cut and "Key Illustrations:" in cut
+    crowded = outline(9, long)  # the divisions alone fill the page
+    assert len(crowded) == 60 and crowded[-1] == rule and crowded.count(rule) == 1
+
+
+def test_json_records_with_tags(spark, tmp_path):
+    (tmp_path / "x.json").write_text('[{"id": "a", "location": null, "tags": ["x", "y"]},\n {"id": "b", "location": "here", "tags": []}]')
+    rows = S.json_records(spark, str(tmp_path / "x.json"))
+    got = rows.select("id", "location", F.explode_outer("tags").alias("tag")).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([("a", None, "x"), ("a", None, "y"), ("b", "here", None)], key=str)
+
+
+def test_clean_text(spark):
+    docs = spark.createDataFrame([(1, "the go spel-\nly go\nend"), (2, None), (2, "")], "doc_id int, text string")
+    got = [tuple(r) for r in P.clean_text(docs, spark.createDataFrame([("gospel",), ("go",), ("the",)], "word string")).collect()]
+    assert sorted(got, key=str) == sorted([(1, "the go spelly go\nend"), (2, ""), (2, "")], key=str)

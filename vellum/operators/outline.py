@@ -231,6 +231,15 @@ def join_broken_words(lines: DataFrame, column: str, words: DataFrame) -> DataFr
     return out.withColumn(column, F.when(likely, mended).otherwise(F.col(column))).select(*[F.col(f"`{c}`") for c in lines.columns])
 
 
+def clean_text(docs: DataFrame, words: DataFrame) -> DataFrame:
+    """(doc_id, text) of documents (doc_id, text): lines that end in a hyphen joined to the next, then each line's broken words."""
+    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), X.dehyphenate(X.lines(F.col("text"))).alias("ls"))
+    lines = rows.select("doc_id", "row", F.posexplode_outer("ls").alias("pos", "line"))
+    mended = join_broken_words(lines, "line", words)
+    # a group is one document
+    return mended.groupBy("doc_id", "row").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "line"))), lambda x: x["line"]), "\n").alias("text")).select("doc_id", "text")
+
+
 def layout_roles(lines: DataFrame, is_metadata: Column, margin: float | Column) -> DataFrame:
     """Layout lines (doc, line_no, text, size, x0) with role metadata, scripture or body. A line that opens a quotation starts the
     scripture, which ends at the next line of size 13.5; else the first large line near the margin that is no metadata starts the body."""

@@ -217,6 +217,13 @@ def divisions_fallback(spark, d):
     return P.divisions(rows(spark, d, TOPIC).select("doc_id", body.alias("body"))).select("doc_id", "pos", "numeral", "heading")
 
 
+@query("divisions_topics", told(f"SELECT doc_id, CAST(0 AS INT) AS pos, 'I' AS numeral, 'Here is a ' || {INIT.format('name')} AS heading, length(name) + 573 AS section_length FROM t", t=TOPIC))
+def divisions_topics(spark, d):
+    body = F.concat(F.repeat(F.lit("a"), F.lit(501)), F.lit("\n\nHere is a "), "name", F.lit(" that stands long enough to count. And another one follows.\n"))
+    parts = P.divisions(rows(spark, d, TOPIC).select("doc_id", body.alias("body")))
+    return parts.select("doc_id", "pos", "numeral", "heading", F.length("section").cast("long").alias("section_length"))
+
+
 @query("division_points", told("SELECT doc_id, 'Alpha ' || name || ' gamma delta.|Second point of ' || kind || ' and all.' AS points FROM t", t=TOPIC))
 def division_points(spark, d):
     section = F.concat(F.lit("head\n1. Alpha "), "name", F.lit(" gamma delta.\n2. Second point of "), "kind", F.lit(" and all.\n3. Short one."))
@@ -239,6 +246,13 @@ def broken_words(spark, d):
     return P.join_broken_words(lines, "line", words)
 
 
+@query("clean_text", told("SELECT p_partkey AS doc_id, 'the ' || CASE WHEN length(w) > n THEN w ELSE w || ' ' END || ', solid ' || w || chr(10) || 'end' AS text FROM b", b=BROKEN))
+def clean_text(spark, d):
+    words = rows(spark, d, "SELECT DISTINCT split_part(p_name, ' ', 2) AS word FROM {part} UNION SELECT 'the' UNION SELECT 'so'")
+    docs = rows(spark, d, f"SELECT p_partkey AS doc_id, 'the ' || substr(w, 1, n) || ' ' || substr(w, n + 1) || ', so-' || chr(10) || ' lid ' || w || chr(10) || 'end' AS text FROM ({BROKEN})")
+    return P.clean_text(docs, words)
+
+
 HYPHENATED = "(SELECT doc_id, string_split(regexp_replace(text, '([a-z])e ', '\\1-' || chr(10), 'g'), chr(10)) AS l FROM documents)"
 
 
