@@ -70,17 +70,17 @@ def components(edges: DataFrame, rows: int | None = None, max_rounds: int = 60)
     Alternating large-star and small-star rounds, each written to the shared folder. Every step is a
     join or a map-side-combined minimum; nothing is collected but three counts a round. Nodes that are
     the smallest of their component appear only as v. Self-edges and repeats are ignored. rows: a bound of the edges, if known.
-    A hub's edges meet in plain sort-merge joins, whose hot keys adaptive execution splits, and in partial aggregates.
     """
     e = keep(edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), rows)
     for _ in range(max_rounds):
         n, distinct_u = e.agg(F.count("*"), F.count_distinct("u")).first()
         if n == distinct_u and not e.join(e.select(F.col("u").alias("v")), "v", "left_semi").take(1):
             return e
+        # the least neighbours are written before they are joined, so that the joins are plain ones, whose hot hubs adaptive execution splits
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-        large = both.join(low, "u").where("v > u and v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = keep(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), 2 * n)
+        large = keep(both.join(low, "u").where("v > u and v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), 2 * n)
+        low = keep(large.groupBy("u").agg(F.min("v").alias("m")), 2 * n)
         small = large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = keep(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), 2 * n)
     raise RuntimeError("components did not settle")
