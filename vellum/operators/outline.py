@@ -187,10 +187,12 @@ def long_enough(docs: DataFrame, least: int = 3) -> DataFrame:
 def render(docs: DataFrame, quotes: DataFrame) -> DataFrame:
     """(doc_id, outline): at most 60 lines of 78 characters. docs: doc_id, title, number, text, body; quotes: doc_id, rank, sentence.
 
-    Only the wrapping of lines is Python, over Arrow batches; a document's parts are made within its row, and only the quotes are joined."""
-    rows = with_applications(with_illustrations(with_divisions(docs), 3), most=2)
-    part = lambda p: F.struct(p["numeral"].alias("numeral"), p["heading"].alias("heading"), O.subpoints(p["section"]).alias("points"), F.slice(p["refs"], 1, 2).alias("refs"))
-    rows = rows.withColumn("parts", F.transform(F.slice("divisions", 1, 5), part)).withColumn("title", X.cut_with_dots(F.coalesce("title", F.lit("")), 78, 75))
+    Only the wrapping of lines is Python, over Arrow batches; illustrations and applications are made within a document's row, divisions and quotes are joined."""
+    rows = with_applications(with_illustrations(docs, 3), most=2).withColumn("title", X.cut_with_dots(F.coalesce("title", F.lit("")), 78, 75))
+    # points are made of rows: their steps name each other more than once, which only compiled code shares
+    point = F.struct("pos", "numeral", "heading", O.subpoints(F.col("section")).alias("points"), F.slice("refs", 1, 2).alias("refs")).alias("v")
+    parts = divisions(docs).where("pos < 5").select("doc_id", point).groupBy("doc_id").agg(F.array_sort(F.collect_list("v")).alias("parts"))
+    rows = rows.join(parts, "doc_id", "left").withColumn("parts", F.coalesce("parts", F.array().cast(parts.schema["parts"].dataType)))
     rows = rows.withColumn("reference", O.opening_reference(F.col("text"))).withColumn("date_place", O.date_and_place(F.col("text"))).withColumn("date_place", X.cut_with_dots(F.col("date_place"), 64, 61))
     listed = quotes.groupBy("doc_id").agg(F.slice(F.array_sort(F.collect_list(F.struct("rank", "sentence"))), 1, 3)["sentence"].alias("quoted"))
     empty = F.array().cast("array<string>")
