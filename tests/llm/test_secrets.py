@@ -147,3 +147,38 @@ def test_one_key_in_a_small_table(spark):
     key = "".join(r.choices(string.ascii_letters + string.digits, k=64))
     docs = spark.createDataFrame([(1, f"use {key} here"), (2, f"see {slug(r)}")], "doc_id long, text string")
     assert {(x.doc_id, s.start, s.end) for x in S.secret_spans(docs).collect() for s in x.spans} == {(1, 4, 68)}
+
+
+def test_natural_strings_hold_every_word_of_every_text(spark):
+    r = random.Random(16)
+    word = lambda: "".join(r.choices(string.ascii_letters, k=r.randrange(1, 12)))
+    text = lambda n: r.choice(["", "é "]) + "".join(word() + r.choice([" ", ", ", "-7 ", "ß\n"]) for _ in range(n))
+    texts = [text(n) for n in (10, 40, 41, 300, 900, 1101, 1102, 2000, 4000)] + [text(r.randrange(20, 1300)) for _ in range(40)]
+    short = [None, "", "12 é", "abcdefghij klmno"]
+    ends = ["abcdefghij klmnop", "abcdefghij klmnop q"]
+    docs = spark.createDataFrame([(t,) for t in short + texts + ends], "text string").coalesce(1)
+    own = [x.value for x in S.natural_strings(docs).collect()][: -S._of_notices(spark).count()]
+    bands = {band(v) for v in own}
+    for t in texts + ends:  # strings come in the order of the texts
+        letters, at = "".join(w.capitalize() for w in re.findall("[A-Za-z]+", t)), 0
+        turns = []
+        while at < len(letters):
+            v = own.pop(0)
+            assert 20 <= len(v) < 120 and re.fullmatch("[A-Za-z]+[0-9]{4}", v)
+            at = min(at, len(letters) - 16)
+            assert letters[at : at + len(v) - 4] == v[:-4]
+            at += len(v) - 4
+            turns.append(len(v) - 4)
+        k = S.LETTERS.index(turns[0]) if len(turns) > 1 else 0
+        assert len(turns) < 2 or turns[:-1] == [S.LETTERS[(k + j) % 100] for j in range(len(turns) - 1)]
+    assert not own and bands == set(S.BANDS)
+
+
+def test_battery_against_plain_formulas(spark):
+    r = random.Random(17)
+    kinds = ["0123456789abcdef", "0123456789ABCDEF", S.ALPHABETS["base32"], S.ALPHABETS["base64"], S.ALPHABETS["base64"] + "-_=", "ab", "aB1"]
+    values = ["".join(r.choices(k, k=n)) for k in kinds for n in (20, 27, 64, 119, 5000)] + ["a1" * 15 + "==", "a" * 40]
+    got = S.battery(spark.createDataFrame([(v,) for v in values], "v string"), F.col("v")).collect()
+    assert len(got) == len(values)
+    for g in got:
+        assert abs(g.t.h - plain_sum(g.v)) < 1e-4 * max(1, plain_sum(g.v)), g.v

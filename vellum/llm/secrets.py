@@ -5,8 +5,8 @@ base 64), and three tests against a uniformly random string of it: chi-squared u
 (Wilson-Hilferty), Wald-Wolfowitz runs about the alphabet's middle, and lag-1 serial correlation. Fisher's method
 combines their p-values; a candidate may count only if that is RANDOM_P or more, so if it is not told from a random string.
 
-That proves little for short strings, so false discoveries are controlled by length. Natural strings of every length band, words of every text at a place given by its hash (and of the licence notices,
-so that no band is without), capitalised and joined with a number as in identifiers, go through the same tests; the cube roots of their Fisher sums are nearly normal. A
+That proves little for short strings, so false discoveries are controlled by length. All words of every text (and of the licence notices, so that no band is without), capitalised, joined, cut one after
+another into strings whose lengths run through the bands, and given a number as in identifiers, are natural strings and go through the same tests; the cube roots of their Fisher sums are nearly normal. A
 candidate's p-value is the chance that a natural string of its band is as random. The Benjamini-Hochberg rule over a band's candidates, at FALSE_SHARE and with Storey's estimate of how many are natural, picks
 those that count: each on its own p-value, so a band is never dropped as a whole. p-values are counted in classes of a tenth of a power of ten, rounded up. Only DataFrame
 functions are used; the bands and classes are tables of bounded size, joined back by broadcast.
@@ -38,8 +38,11 @@ FALSE_SHARE = 0.05
 #: Least spread that natural strings of a band are held to have.
 MIN_SPREAD = 0.3
 BANDS = (20, 22, 24, 26, 28, 30, 32, 34, 36, 38, 40, 42, 44, 46, 48, 52, 56, 64, 80, 96)
-#: Words of a text that a natural string is made of; most classes of p-values.
-WORDS, CLASSES = 40, 300
+#: Letters of the natural strings cut from a text, in turn: 16 to 115, each once, short and long ones mixed. Where each begins in a round, and the letters of a round.
+LETTERS = [16 + 37 * k % 100 for k in range(100)]
+STARTS, ROUND = [sum(LETTERS[:k]) for k in range(100)], sum(LETTERS)
+#: Most classes of p-values.
+CLASSES = 300
 ALPHABETS = {"hex": "0123456789abcdef", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"}
 
 
@@ -65,34 +68,31 @@ def normal_tail(z: Column) -> Column:
 def battery(df: DataFrame, value: Column) -> DataFrame:
     """df with column t, struct(encoding, p_chi, p_runs, p_serial, p, h): the tests of strings of 20 characters or more.
 
-    One fold over the characters of a string gathers all sums; the stages below keep each a column of its own."""
+    Strings are coded with the alphabet's places as characters; the stages below keep each a column of its own."""
     rest = df.columns
-    body = F.regexp_replace(value, "=+$", "")
+    body = F.rtrim(value, F.lit("="))
     df = df.select(*rest, F.when(F.regexp_like(body, F.lit("^(?:[0-9a-f]+|[0-9A-F]+)$")), "hex").when(F.regexp_like(body, F.lit("^[A-Z2-7]+$")), "base32").otherwise("base64").alias("__enc"), body.alias("__body"))
     enc = F.col("__enc")
-    pick = lambda make: F.when(enc == "hex", F.lit(make("hex"))).when(enc == "base32", F.lit(make("base32"))).otherwise(F.lit(make("base64")))
-    same = F.when(enc == "hex", F.lower("__body")).otherwise(F.translate("__body", "-_=", "+/+"))
-    df = df.select(*rest, "__enc", pick(ALPHABETS.get).alias("__abc"), pick(lambda k: float(len(ALPHABETS[k]))).alias("__k"), same.alias("__same"))
-    df = df.select(*rest, "__enc", "__k", "__abc", "__same", F.filter(F.split("__same", ""), lambda c: c != "").alias("__chars"))
-
-    zero = F.lit(0.0)
-    start = F.struct(*[zero.alias(x) for x in ("n", "sum", "squares", "lagged", "high", "runs")], F.lit(-1.0).alias("last"), zero.alias("first"))
-
-    def step(t: Column, c: Column) -> Column:
-        v = F.position(c, F.col("__abc")).cast("double")
-        up, was = v > F.col("__k") / 2, t["last"] > F.col("__k") / 2
-        begun = t["n"] > 0
-        return F.struct(
-            (t["n"] + 1).alias("n"), (t["sum"] + v).alias("sum"), (t["squares"] + v * v).alias("squares"), (t["lagged"] + F.when(begun, v * t["last"]).otherwise(zero)).alias("lagged"),
-            (t["high"] + up.cast("double")).alias("high"), (t["runs"] + F.when(begun & (up == was), zero).otherwise(F.lit(1.0))).alias("runs"), v.alias("last"), F.when(begun, t["first"]).otherwise(v).alias("first"),
-        )
-
-    counted = F.aggregate(F.array_distinct("__chars"), zero, lambda t, c: t + F.pow(F.length("__same") - F.length(F.replace(F.col("__same"), c, F.lit(""))), F.lit(2.0)))
-    df = df.select(*rest, "__enc", "__k", F.aggregate("__chars", start, step).alias("__f"), counted.alias("__counted"))
+    pick = lambda make: F.when(enc == "hex", make("hex")).when(enc == "base32", make("base32")).otherwise(make("base64"))
+    spelt = {name: (abc + {"hex": "ABCDEF", "base32": "", "base64": "-_="}[name], list(range(1, len(abc) + 1)) + {"hex": list(range(11, 17)), "base32": [], "base64": [63, 64, 63]}[name]) for name, abc in ALPHABETS.items()}
+    coded = lambda code: pick(lambda name: F.translate("__body", spelt[name][0], "".join(code(v, len(ALPHABETS[name])) for v in spelt[name][1])))
+    df = df.select(*rest, "__enc", pick(lambda name: F.lit(float(len(ALPHABETS[name])))).alias("__k"), coded(lambda v, _: chr(v)).alias("__codes"), coded(lambda v, k: "h" if v > k / 2 else "l").alias("__ups"))
+    df = df.select(*rest, "__enc", "__k", "__codes", "__ups", F.split("__codes", "").alias("__chars"))
+
+    place = lambda c: F.ascii(c).cast("long")
+    left = lambda text, c: F.octet_length(text) - F.octet_length(F.replace(F.col(text), c, F.lit("")))
+    total = lambda values, of: F.aggregate(values, F.lit(0).cast("long"), lambda t, x: t + of(x))
+    counted = F.aggregate(F.array_distinct("__chars"), F.lit(0.0), lambda t, c: t + F.pow(left("__codes", c), F.lit(2.0)))
+    runs = 1 + (left("__ups", F.lit("hl")) + left("__ups", F.lit("lh"))) / 2
+    df = df.select(*rest, "__enc", "__k", "__codes", left("__ups", F.lit("h")).cast("double").alias("__high"), runs.alias("__runs"), counted.alias("__counted"), F.transform("__chars", place).alias("__v"))
+    v = F.col("__v")
+    lagged = F.zip_with(F.slice(v, F.lit(1), F.greatest(F.size(v) - 1, F.lit(0))), F.slice(v, F.lit(2), F.size(v)), lambda x, y: x * y)
+    sums = {"n": F.size(v), "sum": total(v, lambda x: x), "squares": total(v, lambda x: x * x), "lagged": total(lagged, lambda x: x), "high": F.col("__high"), "runs": F.col("__runs"), "last": place(F.substring("__codes", -1, 1)), "first": place(F.col("__codes"))}
+    df = df.select(*rest, "__enc", "__k", F.struct(*[x.cast("double").alias(name) for name, x in sums.items()]).alias("__f"), "__counted")
     f, k = (lambda x: F.col(f"__f.{x}")), F.col("__k")
     n = F.greatest(f("n"), F.lit(1.0))
     chi, free = k / n * F.col("__counted") - n, k - 1
-    z_chi = (F.cbrt(F.greatest(chi, zero) / free) - (1 - 2 / (9 * free))) / F.sqrt(2 / (9 * free))
+    z_chi = (F.cbrt(F.greatest(chi, F.lit(0.0)) / free) - (1 - 2 / (9 * free))) / F.sqrt(2 / (9 * free))
     mean_runs = 2 * f("high") * (n - f("high")) / n + 1
     spread = (mean_runs - 1) * (mean_runs - 2) / F.greatest(n - 1, F.lit(1.0))
     mean = f("sum") / n
@@ -115,18 +115,24 @@ def band_of(value: Column) -> Column:
     return band
 
 
-def _identifier(letters: Column, length: Column, number: Column) -> Column:
-    """The first letters and a number of four digits, length characters in all; null if the letters are too few."""
-    return F.when(F.length(letters) >= length - 4, F.concat(F.substring(letters, F.lit(1), length - 4), number))
-
-
 def natural_strings(docs: DataFrame) -> DataFrame:
-    """(value): a natural string of every text that has enough words, of a length given by its hash, and some of the licence notices."""
+    """(value): natural strings of all words of every text, and some of the licence notices.
+
+    Each ASCII letter of a text is in a string, if it has the 16 that the shortest takes; only its last 16 may be in two. A text's first length is given by its hash,
+    so that short texts serve all bands. Rounds are cut first, and strings from their bytes, so that no string is looked for from its text's start."""
     text = empty_safe(F.col("text").cast("string"))
-    rows = docs.select(F.split(text, "[^A-Za-z]+").alias("w"), F.xxhash64(text).alias("x"))
-    some = F.slice("w", 1 + F.pmod("x", F.greatest(F.size("w") - WORDS, F.lit(1))).cast("int"), F.lit(WORDS))
-    rows = rows.select(F.replace(F.initcap(F.array_join(some, " ")), F.lit(" "), F.lit("")).alias("letters"), (BANDS[0] + F.pmod(F.shiftright("x", 16), F.lit(100))).cast("int").alias("n"), F.lpad(F.pmod(F.shiftright("x", 32), F.lit(10_000)).cast("string"), 4, "0").alias("number"))
-    found = rows.select(_identifier(F.col("letters"), F.col("n"), F.col("number")).alias("value")).where("value is not null")
+    letters = F.replace(F.initcap(F.regexp_replace(text, "[^A-Za-z]+", " ")), F.lit(" "), F.lit(""))
+    cuts = F.array(*[F.lit(x) for x in STARTS])
+    rows = docs.select(letters.alias("letters"), F.element_at(cuts, (1 + F.pmod(F.xxhash64(text), F.lit(len(LETTERS)))).cast("int")).alias("skipped"))
+    least = min(LETTERS)
+    rounds = F.regexp_extract_all(F.concat(F.repeat(F.lit("_"), F.col("skipped")), "letters"), F.lit(f".{{{ROUND}}}(?=.{{{least}}})|.{{1,{ROUND + least - 1}}}"), F.lit(0))
+    rows = rows.select(F.explode(rounds.cast("array<binary>")).alias("round"))
+    places = F.array(*[F.struct(F.lit(at).alias("at"), F.lit(n).alias("n")) for at, n in zip([*STARTS, ROUND], [*LETTERS, least], strict=True)])
+    rows = rows.select("round", F.octet_length("round").alias("size"), F.explode(places).alias("cut")).where(F.col("cut.at") < F.col("size"))
+    # what is left at the end, if too short for a string, is taken with letters before it
+    part = F.substring(F.col("round"), F.least(F.col("cut.at"), F.col("size") - least) + 1, F.col("cut.n")).cast("string")
+    rows = rows.select(part.alias("part")).where((F.length("part") >= least) & ~F.startswith(F.col("part"), F.lit("_")))
+    found = rows.select(F.concat("part", F.lpad(F.pmod(F.xxhash64("part"), F.lit(10_000)).cast("string"), 4, "0")).alias("value"))
     return found.unionByName(_of_notices(docs.sparkSession))
 
 
