@@ -128,6 +128,24 @@ def test_outlines(spark):
     assert S.flat_outline(df.limit(0)).count() == 0
 
 
+def test_volume_documents_meet_in_stretches(spark):
+    """Starts in any order, ranges that overlap or hold nothing, a total far beyond the pages; against plain Python. The join has a key within the volume."""
+    r = random.Random(4)
+    entries = [(v, k, f"{v * 1000 + k} - Name", r.choice([None, *range(300)])) for v in (1, 2, 3) for k in range(60)] + [(4, 0, "4000 - Alone", 5)]
+    pages = [(v, p, f"Body {v} {p}" if r.random() < 0.9 else "") for v in (1, 2, 3) for p in range(0, 280, v)]
+    want = {}
+    for v in (1, 2, 3, 4):
+        own = [e for e in entries if e[0] == v and e[3] is not None]
+        for e, after in zip(own, [*own[1:], None], strict=True):
+            end = after[3] if after else 2**31 - 1
+            want[int(e[2].split()[0])] = "\n".join(t for w, p, t in pages if w == v and t and e[3] <= p < end)
+    totals = spark.sql("SELECT explode(array(1, 2, 3, 4)) AS volume, 2147483647 AS total")
+    got = D.volume_documents(spark.createDataFrame(entries, "volume int, ord int, title string, page_no int"), spark.createDataFrame(pages, "volume int, page_no int, text string"), totals)
+    assert {x.num: x.body for x in got.collect()} == want
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Join LeftOuter, .*stretch#\d+L? = at#\d+|Join LeftOuter, .*at#\d+L? = stretch#\d+", plan)
+
+
 def test_listing_volumes_and_pages(spark, tmp_path):
     for name in ("b.txt", "a.TXT", "c.md", "volume01.pdf"):
         (tmp_path / name).write_text("x")

@@ -13,6 +13,11 @@ SMALL_WORDS = ("a", "an", "the", "and", "but", "or", "nor", "for", "yet", "so",
 DANGLING = "a|an|the|and|but|or|of|in|on|at|to|by|for|with|from|as|is|are|was|were|that|which|this"
 
 
+def let(value: Column, body) -> Column:
+    """body of value, which is computed once however often body names it: Spark computes what is named twice inside a lambda twice."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def capitalise(word: Column) -> Column:
     """First character upper (a sharp s becomes Ss), the rest lower."""
     first = F.left(word, F.lit(1))
@@ -150,12 +155,15 @@ def dehyphenate(values: Column) -> Column:
 
 def bookmark_numbers(title: Column) -> Column:
     """struct(nums, title) of an outline entry "12, 13 - Title.", or null when it holds no number."""
-    flat = F.regexp_replace(title, "[\r\n]", " ")
     dashed, plain = r"^(\d[\d\s,A-Z]*?)\s*[-–\r]\s*(.+)$", r"^(\d[\d\s,A-Z]*?)\s{1,4}([A-Z\"'].+)$"
-    pick = lambda k: F.coalesce(F.nullif(F.regexp_extract(flat, dashed, k), F.lit("")), F.nullif(F.regexp_extract(flat, plain, k), F.lit("")))
-    numbers = F.transform(F.split(F.replace(pick(1), F.lit("O"), F.lit("0")), ","), lambda p: F.regexp_replace(F.btrim(p), "[A-Z]+$", ""))
-    nums = F.transform(F.filter(numbers, lambda p: F.regexp_like(p, F.lit("^[0-9]+$"))), lambda p: p.cast("int"))
-    return F.when(pick(1).isNotNull() & (F.size(nums) > 0), F.struct(nums.alias("nums"), F.regexp_replace(F.btrim(pick(2)), r"\.+$", "").alias("title")))
+    pick = lambda flat, k: F.coalesce(F.nullif(F.regexp_extract(flat, dashed, k), F.lit("")), F.nullif(F.regexp_extract(flat, plain, k), F.lit("")))
+
+    def entry(flat: Column) -> Column:
+        numbers = F.transform(F.split(F.replace(pick(flat, 1), F.lit("O"), F.lit("0")), ","), lambda p: F.regexp_replace(F.btrim(p), "[A-Z]+$", ""))
+        nums = F.transform(F.filter(numbers, lambda p: F.regexp_like(p, F.lit("^[0-9]+$"))), lambda p: p.cast("int"))
+        return let(nums, lambda nums: F.when(F.size(nums) > 0, F.struct(nums.alias("nums"), F.regexp_replace(F.btrim(pick(flat, 2)), r"\.+$", "").alias("title"))))
+
+    return let(F.regexp_replace(title, "[\r\n]", " "), entry)
 
 
 def allcaps(line: Column) -> Column:

@@ -11,6 +11,9 @@ from vellum.functions import text as X
 # Fixed value: conjunctions that open a sentence weakly.
 WEAK = r"^(And|But|Or|For|If|When|While|So|Yet)\s"
 
+#: Pages of a volume in one stretch, in which entries and pages meet.
+STRETCH = 64
+
 # How a speech service is asked to read.
 VOICE = (("stability", 0.75), ("similarity_boost", 0.85), ("style", 0.15), ("use_speaker_boost", True), ("speed", 0.85))
 
@@ -107,14 +110,20 @@ def volume_documents(bookmarks: DataFrame, pages: DataFrame, totals: DataFrame,
     """(volume, num, title, body): one row for each number of a volume's entries, with the text of the pages that the entry owns.
 
     bookmarks: volume, ord, title, page_no; pages: volume, page_no, text; totals: volume, total. Entries without a page or a number are
-    none; an entry without pages has an empty body. Pages are joined within their volume and shuffled by entry once."""
+    none; an entry without pages has an empty body. Entries and pages meet in stretches of STRETCH pages of a volume, so that a volume's pages are not held
+    against all its entries; the stretches of an entry end with the volume's pages, whatever the total says."""
     entries = bookmarks.where("page_no is not null").select("volume", "ord", F.col("page_no").alias("start_page"), X.bookmark_numbers(F.btrim("title")).alias("b")).where("b is not null")
-    owned = page_ranges(entries, totals)
-    text = pages.where("text != ''").select(F.col("volume").alias("v"), "page_no", F.split("text", "\n", -1).alias("ls"))
-    near = (F.col("v") == F.col("volume")) & (F.col("page_no") >= F.col("start_page")) & (F.col("page_no") < F.col("end_page"))
-    ls = X.without_head(F.col("ls"), is_header)
-    ls = F.when(F.col("page_no") == F.col("end_page") - 1, X.without_promotion(ls, is_promo)).otherwise(ls)
-    rows = owned.join(text, near, "left").withColumn("part", F.struct("page_no", F.array_join(ls, "\n").alias("s")))
+    there = pages.groupBy(F.col("volume").alias("v")).agg(F.min("page_no").alias("least"), F.max("page_no").alias("most"))
+    owned = page_ranges(entries, totals).join(there, F.col("volume") == F.col("v"), "left")
+    stretch = lambda page: F.floor(page / STRETCH)
+    begin, end = F.greatest("start_page", "least"), F.least(F.col("end_page") - 1, "most")
+    # an entry without pages keeps one row
+    owned = owned.select("volume", "ord", "b", "start_page", "end_page", F.explode_outer(F.when(F.col("most").isNotNull() & (F.col("start_page") < F.col("end_page")) & (begin <= end), F.sequence(stretch(begin), stretch(end)))).alias("stretch"))
+    text = pages.where("text != ''").select(F.col("volume").alias("v"), stretch(F.col("page_no")).alias("at"), "page_no", "text")
+    near = (F.col("v") == F.col("volume")) & (F.col("at") == F.col("stretch")) & (F.col("page_no") >= F.col("start_page")) & (F.col("page_no") < F.col("end_page"))
+    rows = owned.join(text, near, "left").withColumn("ls", F.split("text", "\n", -1)).withColumn("ls", X.without_head(F.col("ls"), is_header))
+    ls = F.when(F.col("page_no") == F.col("end_page") - 1, X.without_promotion(F.col("ls"), is_promo)).otherwise(F.col("ls"))
+    rows = rows.withColumn("part", F.struct("page_no", F.array_join(ls, "\n").alias("s")))
     whole = rows.groupBy("volume", "ord", "b").agg(F.array_sort(F.collect_list(F.when(F.col("page_no").isNotNull(), F.col("part")))).alias("parts"))
     return whole.select("volume", F.explode("b.nums").alias("num"), "b.title", F.array_join(F.transform("parts", lambda p: p["s"]), "\n").alias("body"))
 
