@@ -146,6 +146,15 @@ def test_volume_documents_meet_in_stretches(spark):
     assert re.search(r"Join LeftOuter, .*stretch#\d+L? = at#\d+|Join LeftOuter, .*at#\d+L? = stretch#\d+", plan)
 
 
+def test_a_layout_task_is_dealt_a_bounded_number_of_lines(spark, monkeypatch):
+    monkeypatch.setattr(D, "LINES_A_TASK", 10, raising=False)
+    spans = "array(named_struct('text', concat('Body ', id), 'italic', false, 'bold', false, 'size', 14.0D)) AS spans"
+    lines = spark.range(400).selectExpr("id div 4 AS doc", "1 AS page_no", "int(id % 4) AS line_no", "792.0D AS page_height", "54.0D AS x0", "double(id % 4) * 16 AS y0", "double(id % 4) * 16 + 10 AS y1", spans)
+    got = P.layout_html(lines, "doc")
+    assert {x.doc: x.html for x in got.collect()} == {k: f"<p>{' '.join(f'Body {4 * k + i}' for i in range(4))}</p>\n" for k in range(100)}
+    assert got.rdd.getNumPartitions() == 40
+
+
 def test_listing_volumes_and_pages(spark, tmp_path):
     for name in ("b.txt", "a.TXT", "c.md", "volume01.pdf"):
         (tmp_path / name).write_text("x")

@@ -73,9 +73,12 @@ def html_escape(text: Column) -> Column:
 
 def outside_tags(text: Column, change, tag: str = "<[^>]*>") -> Column:
     """change applied to the stretches between <...> tags; the tags stay."""
-    parts, tags = F.split(text, tag, -1), F.regexp_extract_all(text, F.lit(f"({tag})"), F.lit(1))
-    joined = F.array_join(F.zip_with(F.transform(parts, change), tags, lambda p, t: F.concat(F.coalesce(p, F.lit("")), F.coalesce(t, F.lit("")))), "")
-    return F.when(F.contains(text, F.lit("<")), joined).otherwise(change(text))
+    def changed(text: Column) -> Column:
+        parts, tags = F.split(text, tag, -1), F.regexp_extract_all(text, F.lit(f"({tag})"), F.lit(1))
+        joined = F.array_join(F.zip_with(F.transform(parts, change), tags, lambda p, t: F.concat(F.coalesce(p, F.lit("")), F.coalesce(t, F.lit("")))), "")
+        return F.when(F.contains(text, F.lit("<")), joined).otherwise(change(text))
+
+    return let(text, changed)
 
 
 def comma_breaks(text: Column) -> Column:
@@ -115,10 +118,14 @@ def numbered_name(number: Column, title: Column, suffix: str = ".txt") -> Column
 def caps_to_title(text: Column, keep: tuple[str, ...] = (), leading: bool = False) -> Column:
     """Words of two or more ASCII capitals before white space become capitalised, unless kept; leading: only those that open a line."""
     pattern = r"(?md)^[A-Z]{2,}(?=\s)" if leading else r"(?<![\p{L}\p{N}_])[A-Z]{2,}(?=\s)"
-    parts, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
-    changed = F.transform(found, lambda w: F.when(w.isin(*keep), w).otherwise(capitalise(w)) if keep else capitalise(w))
-    fixed = F.array_join(F.zip_with(parts, changed, lambda p, w: F.concat(F.coalesce(p, F.lit("")), F.coalesce(w, F.lit("")))), "")
-    return F.when(F.regexp_like(text, F.lit(pattern)), fixed).otherwise(text)
+
+    def fixed(text: Column) -> Column:
+        parts, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
+        changed = F.transform(found, lambda w: F.when(w.isin(*keep), w).otherwise(capitalise(w)) if keep else capitalise(w))
+        joined = F.array_join(F.zip_with(parts, changed, lambda p, w: F.concat(F.coalesce(p, F.lit("")), F.coalesce(w, F.lit("")))), "")
+        return F.when(F.regexp_like(text, F.lit(pattern)), joined).otherwise(text)
+
+    return let(text, fixed)
 
 
 def fix_caps(text: Column, keep: tuple[str, ...] = KEEP_UPPER) -> Column:

@@ -11,6 +11,8 @@ from vellum.functions import text as X
 # Fixed value: conjunctions that open a sentence weakly.
 WEAK = r"^(And|But|Or|For|If|When|While|So|Yet)\s"
 
+#: Most lines that a task is dealt on average, whatever the number of lines.
+LINES_A_TASK = 100_000
 #: Pages of a volume in one stretch, in which entries and pages meet.
 STRETCH = 64
 
@@ -154,19 +156,17 @@ def layout_metrics(lines: DataFrame, document: str) -> DataFrame:
     return margin.join(spacing, document)
 
 
-def paragraph_islands(lines: DataFrame, margin: float | Column, spacing: float | Column) -> DataFrame:
+def paragraph_islands(lines: DataFrame, margin: float | Column, spacing: float | Column, within: tuple[str, ...] = ("doc",)) -> DataFrame:
     """Layout lines (doc, line_no, x0, y0, y1, size) with para_id and kind; margin and spacing may be columns of lines. Breaks between neighbouring lines make islands; a
-    first-line indent then splits islands of body text only."""
-    w = Window.partitionBy("doc").orderBy("line_no")
+    first-line indent then splits islands of body text only. Lines of equal `within` are neighbours; all is found in one order of them."""
+    w = Window.partitionBy(*within).orderBy("line_no")
     x0 = F.bround("x0", 0)
     rows = lines.withColumn("rx", x0).withColumn("indented", x0 >= margin + 100).withColumn("verse", (x0 >= margin + 100) & (F.col("size") <= 13))
     gap = F.col("y0") - F.lag("y1").over(w)
     turn = (gap < -50) & ((F.col("rx") > margin + 10) | F.col("indented"))
     start = F.lag("y1").over(w).isNull() | (gap > spacing * 1.5) | turn | (F.col("verse") != F.lag("verse").over(w))
-    rows = rows.withColumn("start", start.cast("int")).withColumn("island", F.sum("start").over(w))
-    inside = Window.partitionBy("doc", "island").orderBy("line_no")
-    kind = F.when(F.first("verse").over(inside), "verse").when(F.first("indented").over(inside), "blockquote").otherwise("body")
-    rows = rows.withColumn("kind", kind)
+    kind = F.when(F.col("verse"), "verse").when(F.col("indented"), "blockquote").otherwise("body")
+    rows = rows.withColumn("start", start.cast("int")).withColumn("kind", F.last(F.when(F.col("start") == 1, kind), ignorenulls=True).over(w))
     indent = (F.col("rx") > margin + 10) & (F.col("rx") < margin + 20) & ~F.col("verse") & (F.col("size") >= 13.5) & (F.col("kind") == "body")
     rows = rows.withColumn("cut", F.greatest(F.col("start"), indent.cast("int")))
     return rows.withColumn("para_id", F.sum("cut").over(w)).select("doc", "line_no", "para_id", "kind", *[c for c in lines.columns if c not in ("doc", "line_no")])
@@ -190,9 +190,11 @@ def layout_lines(lines: DataFrame, document: str, is_header, is_promo, most: int
 
     lines: document, page_no, line_no, page_height, y0 and spans of (text, size). Empty spans and blank lines go; so do small print, small
     headers and promotion in the bottom margin, the first `most` headers of a page, and the promotion that ends a document's last page.
-    One shuffle by document; is_header and is_promo map a line's text to a condition."""
+    One shuffle by document, to tasks whose number follows that of the lines, since each task sorts what it is dealt; is_header and is_promo map a line's text to a condition."""
     spans = F.filter("spans", lambda s: s["text"] != "")
     printed = F.filter(spans, lambda s: F.btrim(s["text"]) != "")
+    context = lines.sparkSession.sparkContext
+    lines = lines.repartition(max(context.defaultParallelism, -(-lines.count() // LINES_A_TASK)), document)
     rows = lines.withColumn("__last", F.col("page_no") == F.max("page_no").over(Window.partitionBy(document)))
     rows = rows.withColumns({"spans": spans, "text": F.array_join(F.transform(spans, lambda s: s["text"]), ""), "size": F.array_max(F.transform(printed, lambda s: s["size"]))})
     text = F.btrim("text", F.lit(" \t\r\n\f\x0b"))

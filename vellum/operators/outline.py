@@ -266,10 +266,12 @@ def layout_html(lines: DataFrame, document: str, is_header=X.header_line, is_pro
     number = F.row_number().over(Window.partitionBy(document).orderBy("page_no", "line_no"))
     rows = kept.select(F.col(document).alias("doc"), number.alias("line_no"), "x0", "y0", "y1", "text", "size", "margin", "spacing", "spans")
     rows = layout_roles(rows, is_metadata(F.btrim("text")), F.col("margin"))
-    head = rows.where("role = 'scripture'").select("doc", "line_no", F.lit(0).cast("long").alias("para_id"), F.lit("scripture").alias("kind"), "spans")
-    body = paragraph_islands(rows.where("role = 'body'"), F.col("margin"), F.col("spacing")).select("doc", "line_no", "para_id", "kind", "spans")
+    # scripture and body are marked side by side, so that their lines are made once
+    marked = paragraph_islands(rows.where("role != 'metadata'"), F.col("margin"), F.col("spacing"), ("doc", "role"))
+    head = F.col("role") == "scripture"
+    marked = marked.select("doc", "line_no", F.when(head, F.lit(0)).otherwise(F.col("para_id")).alias("para_id"), F.when(head, "scripture").otherwise(F.col("kind")).alias("kind"), "spans")
     # a group is one paragraph, then one document
-    paragraphs = head.unionByName(body).groupBy("doc", "para_id").agg(F.min("kind").alias("kind"), F.array_sort(F.collect_list(F.struct("line_no", "spans"))).alias("ls"))
+    paragraphs = marked.groupBy("doc", "para_id").agg(F.min("kind").alias("kind"), F.array_sort(F.collect_list(F.struct("line_no", "spans"))).alias("ls"))
     paragraphs = paragraphs.select("doc", "para_id", "kind", F.transform("ls", lambda x: x["spans"]).alias("ls"))
     html = paragraphs.select("doc", "para_id", M.paragraph_html(F.col("kind"), F.col("ls")).alias("h"))
     whole = html.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("para_id", "h"))).alias("ps"))
