@@ -128,6 +128,13 @@ def test_outlines(spark):
     assert S.flat_outline(df.limit(0)).count() == 0
 
 
+def test_no_level_of_an_outline_is_made_twice(spark):
+    df = spark.createDataFrame([(1, k, k - 1 if k else None, k, f"T{k}", k) for k in range(9)], "volume int, id int, parent int, pos int, title string, page_no int")
+    got = S.flat_outline(df)
+    assert [(r.ord, r.level, r.title) for r in got.orderBy("ord").collect()] == [(k, k + 1, f"T{k}") for k in range(9)]
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()  # the levels lie there, written
+
+
 def test_volume_documents_meet_in_stretches(spark):
     """Starts in any order, ranges that overlap or hold nothing, a total far beyond the pages; against plain Python. The join has a key within the volume."""
     r = random.Random(4)

@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vellum.session import ROWS_PER_FILE, keep, shared_folder  # noqa: F401 - for the operators
+
 #: Most bytes of a table that is broadcast; beyond it the plain shuffled join is used.
 BROADCAST_BYTES = 32 << 20
-#: Rows of a small table that go into one file.
-ROWS_PER_FILE = 20_000
 
 
 def ship(module_name: str) -> None:
@@ -20,29 +19,6 @@ def ship(module_name: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module_name])
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder of checkpoints that spark.checkpoint.dir names (all executors share it).
-
-    Only a local session, whose executors are the driver, gets a folder of its own where it names none."""
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder and not context.master.startswith(("local[", "local-cluster[")) and context.master != "local":
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="vellum-"))
-    return context._jsc.sc().getCheckpointDir().get()
-
-
-def keep(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """Cut the lineage: written to the shared folder. rows: a bound of its rows, by which a small table is written in few files.
-
-    Spark removes the files once the table is no longer referred to, where spark.cleaner.referenceTracking.cleanCheckpoints is set."""
-    shared_folder(df.sparkSession)
-    if rows is not None:
-        df = df.coalesce(max(1, -(-rows // ROWS_PER_FILE)))
-    return df.checkpoint(eager=True)
-
-
 def empty_safe(text):
     """Null texts are treated as empty."""
     return F.coalesce(text, F.lit(""))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellum.operators.documents import free_names
+from vellum.session import keep
 
 
 def text_files(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:
@@ -60,15 +61,15 @@ def zero_based(entries: DataFrame) -> DataFrame:
 def flat_outline(nested: DataFrame, most: int = 32) -> DataFrame:
     """(volume, ord, level, title, page_no): a nested outline (volume, id, parent, pos, title, page_no; parent null at the top) depth first, in the order of pos.
 
-    One join a level; an outline of over `most` levels is an error, as it has a circle."""
+    One join a level, each written before the next, so that no level is made twice and none is sent to the driver; an outline of over `most` levels is an error, as it has a circle."""
     path, here = free_names(nested, "path", "here")
-    level = nested.where("parent is null").select("volume", "id", "title", "page_no", F.array("pos").alias(path))
+    level = keep(nested.where("parent is null").select("volume", "id", "title", "page_no", F.array("pos").alias(path)))
     parts = [level]
-    while level.take(1):
+    while not level.isEmpty():
         if len(parts) > most:
             raise ValueError(f"an outline of over {most} levels")
-        above = level.select("volume", F.col("id").alias("parent"), F.col(path).alias(here))
-        level = nested.join(above, ["volume", "parent"]).select("volume", "id", "title", "page_no", F.array_append(here, F.col("pos")).alias(path))
+        above = level.select("volume", F.col("id").alias("parent"), F.col(path).alias(here)).hint("merge")
+        level = keep(nested.join(above, ["volume", "parent"]).select("volume", "id", "title", "page_no", F.array_append(here, F.col("pos")).alias(path)))
         parts.append(level)
     out = parts[0]
     for part in parts[1:]:
