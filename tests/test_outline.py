@@ -99,3 +99,29 @@ def test_escape_ascii(spark):
 
     for text in ("plain", "é—x", "a😀b"):
         assert one(spark, text, O.escape_ascii) == json.dumps(text)[1:-1]
+
+
+def times(spark, make, what):
+    """How often the expression that make gives names what."""
+    return spark.range(1).selectExpr("string(id) AS s").select(make(F.col("s")).alias("v"))._jdf.queryExecution().analyzed().toString().count(what)
+
+
+def test_points_are_searched_once(spark):
+    assert times(spark, O.subpoints, "regexp_extract_all(") == 1
+    assert times(spark, lambda s: O.complete_phrase(s, 75), "regexp_replace(s#") == 1
+
+
+def test_topic_sentences_are_found_once(spark):
+    assert times(spark, lambda s: P.topic_parts(s, F.split(s, "\n", -1)), "aggregate(") == 1
+    assert times(spark, lambda s: P.paragraph_from(F.split(s, "\n", -1), F.lit(0)), "array_position(") == 1
+
+
+def test_roman_marks_are_found_once(spark):
+    assert times(spark, lambda s: P.roman_parts(F.split(s, "\n", -1)), "filter(transform(split(") == 1
+
+
+def test_ordinal_marks_are_found_once(spark):
+    assert times(spark, P.ordinal_parts, "regexp_extract_all(") == 1
+    body = "First, a b. x\nSecondly, c d\nIn the third place, e. y"
+    got = one(spark, body, P.ordinal_parts)
+    assert [(p.numeral, p.text, p.section) for p in got] == [("I", "a b", "First, a b. x\n"), ("II", "c d\nIn the third place, e", "Secondly, c d\n"), ("III", "e", "In the third place, e. y")]

@@ -46,11 +46,11 @@ def is_upper(s: Column) -> Column:
 
 
 def some(s: Column) -> Column:
-    return F.nullif(s, F.lit(""))
+    return X.let(s, lambda s: F.when(s != "", s))
 
 
 def upper_first(s: Column) -> Column:
-    return F.concat(F.upper(F.left(s, F.lit(1))), F.substring(s, F.lit(2), F.length(s)))
+    return X.let(s, lambda s: F.concat(F.upper(F.left(s, F.lit(1))), F.substring(s, F.lit(2), F.length(s))))
 
 
 def title_words(s: Column) -> Column:
@@ -60,27 +60,38 @@ def title_words(s: Column) -> Column:
 
 def complete_phrase(text: Column, n: int = 75) -> Column:
     """The first sentence if it ends within n characters; else what precedes the last clause mark past the middle, or a word boundary."""
-    flat = X.collapse(text)
-    end = F.regexp_instr(F.left(flat, F.lit(n + 5)), F.lit(r"[.!?](?:\s|$)"))
-    cut = F.left(flat, F.lit(n))
-    out = F.when((end > 0) & (end <= n + 1), F.left(flat, end)).when(F.length(flat) <= n, flat)
-    for mark in ("; ", ", ", " -- ", " - "):
-        last = n - F.locate(mark[::-1], F.reverse(cut)) - len(mark) + 1  # characters before the last mark
-        out = out.when((F.locate(mark[::-1], F.reverse(cut)) > 0) & (last > n // 2), strip(F.left(cut, last)))
-    return out.otherwise(cut)
+    def clause(cut: Column) -> Column:
+        def marked(back: Column) -> Column:
+            out = None
+            for mark in ("; ", ", ", " -- ", " - "):
+                at = F.locate(mark[::-1], back)
+                last = n - at - len(mark) + 1  # characters before the last mark
+                hit = (at > 0) & (last > n // 2)
+                out = F.when(hit, strip(F.left(cut, last))) if out is None else out.when(hit, strip(F.left(cut, last)))
+            return out.otherwise(cut)
+
+        return X.let(F.reverse(cut), marked)
+
+    def phrase(flat: Column) -> Column:
+        closed = lambda end: F.when((end > 0) & (end <= n + 1), F.left(flat, end)).when(F.length(flat) <= n, flat).otherwise(X.let(F.left(flat, F.lit(n)), clause))
+        return X.let(F.regexp_instr(F.left(flat, F.lit(n + 5)), F.lit(r"[.!?](?:\s|$)")), closed)
+
+    return X.let(X.collapse(text), phrase)
 
 
 def heading(text: Column, promo: tuple[str, ...] = ()) -> Column:
     """A short heading of a division: its phrase in capitals if it has one, else its topic up to the first clause end."""
     for p in (*promo, *ARTIFACTS):
         text = F.regexp_replace(text, p, "")
-    flat = X.collapse(text)
-    caps = strip(F.regexp_replace(strip(F.regexp_extract(flat, CAPS_PHRASE, 0)), ",+$", ""))
-    topic = F.coalesce(some(strip(F.regexp_replace(flat, TRANSITION, ""))), flat)
-    end = F.regexp_instr(topic, F.lit(CLAUSE_END))
-    topic = F.when(end > 6, strip(F.left(topic, end - 1))).otherwise(topic)
-    topic = F.regexp_replace(F.regexp_replace(topic, r"(?i)^(?:and|but|or|now|then|next|also)[,\s]+", ""), r"[,\s]+$", "")
-    return F.when(F.regexp_like(flat, F.lit(CAPS_PHRASE)), X.phrase_trim(title_words(caps), 58)).otherwise(X.phrase_trim(X.title_case(topic), 58))
+
+    def short(flat: Column) -> Column:
+        caps = strip(F.regexp_replace(strip(F.regexp_extract(flat, CAPS_PHRASE, 0)), ",+$", ""))
+        clause = lambda topic: X.let(F.regexp_instr(topic, F.lit(CLAUSE_END)), lambda end: F.when(end > 6, strip(F.left(topic, end - 1))).otherwise(topic))
+        topic = X.let(F.coalesce(some(strip(F.regexp_replace(flat, TRANSITION, ""))), flat), clause)
+        topic = F.regexp_replace(F.regexp_replace(topic, r"(?i)^(?:and|but|or|now|then|next|also)[,\s]+", ""), r"[,\s]+$", "")
+        return F.when(F.regexp_like(flat, F.lit(CAPS_PHRASE)), X.phrase_trim(title_words(caps), 58)).otherwise(X.phrase_trim(X.title_case(topic), 58))
+
+    return X.let(X.collapse(text), short)
 
 
 def head_lines(text: Column, n: int) -> Column:
@@ -119,7 +130,7 @@ def body_start(text: Column) -> Column:
 
 def distinct_prefix(values: Column, n: int) -> Column:
     """The first of the values that share their first n characters, in order."""
-    return F.filter(values, lambda x, i: ~F.exists(F.slice(values, F.lit(1), i), lambda y: F.left(y, F.lit(n)) == F.left(x, F.lit(n))))
+    return X.let(values, lambda values: F.filter(values, lambda x, i: ~F.exists(F.slice(values, F.lit(1), i), lambda y: F.left(y, F.lit(n)) == F.left(x, F.lit(n)))))
 
 
 def subpoints(section: Column, strong: tuple[str, ...] = STRONG_WORDS, most: int = 3, promo: tuple[str, ...] = ()) -> Column:
@@ -129,13 +140,21 @@ def subpoints(section: Column, strong: tuple[str, ...] = STRONG_WORDS, most: int
         text = F.regexp_replace(text, p, "")
     text = F.regexp_replace(text, "  +", " ")
     mark = r"(?:^|\n)\s*\d+\.\s+(?=[A-Z])"
-    parts, marks = F.split(text, mark, -1), F.regexp_extract_all(text, F.lit(mark), F.lit(0))
-    inter = F.zip_with(F.slice(parts, F.lit(2), F.size(parts)), F.slice(marks, F.lit(2), F.size(marks) + 1), lambda p, m: F.concat(p, F.coalesce(m, F.lit(""))))
-    numbered = F.filter(F.transform(inter, lambda x, i: complete_phrase(F.left(F.array_join(F.slice(inter, i + 1, F.lit(8)), ""), F.lit(1000)), 75)), lambda x: F.length(x) > 15)
-    paragraphs = F.filter(F.transform(F.slice(F.split(text, r"\n\s*\n", -1), F.lit(2), F.length(text) + 1), X.collapse), lambda p: F.length(p) >= 40)
-    first = F.filter(F.transform(paragraphs, lambda p: F.left(p, F.regexp_instr(p, F.lit(r"[.!?]\s")))), lambda s: F.length(s).between(22, 150) & F.regexp_like(s, F.lit(rf"(?i)\b(?:{'|'.join(strong)})\b")))
-    closed = F.transform(first, lambda s: F.when(F.length(s) > 75, complete_phrase(s, 75)).otherwise(s))
-    return F.slice(F.when(F.size(numbered) > 0, numbered).otherwise(distinct_prefix(closed, 25)), 1, most)
+
+    def points(text: Column) -> Column:
+        parts, marks = F.split(text, mark, -1), F.regexp_extract_all(text, F.lit(mark), F.lit(0))
+        rest = lambda values: X.let(values, lambda v: F.slice(v, F.lit(2), F.size(v) + 1))
+        inter = F.zip_with(rest(parts), rest(marks), lambda p, m: F.concat(p, F.coalesce(m, F.lit(""))))
+        near = lambda inter: F.transform(inter, lambda x, i: complete_phrase(F.left(F.array_join(F.slice(inter, i + 1, F.lit(8)), ""), F.lit(1000)), 75))
+        return F.filter(X.let(inter, near), lambda x: F.length(x) > 15)
+
+    def closing(text: Column) -> Column:
+        paragraphs = F.filter(F.transform(F.slice(F.split(text, r"\n\s*\n", -1), F.lit(2), F.length(text) + 1), X.collapse), lambda p: F.length(p) >= 40)
+        first = F.filter(F.transform(paragraphs, lambda p: F.left(p, F.regexp_instr(p, F.lit(r"[.!?]\s")))), lambda s: F.length(s).between(22, 150) & F.regexp_like(s, F.lit(rf"(?i)\b(?:{'|'.join(strong)})\b")))
+        return distinct_prefix(F.transform(first, lambda s: F.when(F.length(s) > 75, complete_phrase(s, 75)).otherwise(s)), 25)
+
+    either = lambda text: X.let(points(text), lambda numbered: F.when(F.size(numbered) > 0, numbered).otherwise(closing(text)))
+    return F.slice(X.let(text, either), 1, most)
 
 
 def trailing_topic(text: Column) -> Column:

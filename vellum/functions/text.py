@@ -95,11 +95,12 @@ def title_case(text: Column) -> Column:
 
 def phrase_trim(text: Column, n: int) -> Column:
     """At most n characters, cut at the last space past the middle, without a dangling word or separators at the end."""
-    cut = F.left(text, F.lit(n))
-    last = n - F.locate(" ", F.reverse(cut))  # characters before the last space
-    shorter = F.when((F.locate(" ", F.reverse(cut)) > 0) & (last > n // 2), F.left(cut, last)).otherwise(cut)
-    bare = F.regexp_replace(shorter, rf"(?i)\s+(?:{DANGLING})\s*$", "")
-    return F.when(F.length(text) <= n, text).otherwise(F.regexp_replace(bare, "[ ,;:-]+$", ""))
+    def shorter(cut: Column) -> Column:
+        last = lambda back: F.when((back > 0) & (n - back > n // 2), F.left(cut, n - back)).otherwise(cut)  # noqa: E731 - back: the last space, from the end
+        return let(F.locate(" ", F.reverse(cut)), last)
+
+    bare = lambda text: F.regexp_replace(let(F.left(text, F.lit(n)), shorter), rf"(?i)\s+(?:{DANGLING})\s*$", "")
+    return let(text, lambda text: F.when(F.length(text) <= n, text).otherwise(F.regexp_replace(bare(text), "[ ,;:-]+$", "")))
 
 
 def cut_with_dots(text: Column, n: int, kept: int) -> Column:

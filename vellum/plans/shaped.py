@@ -25,6 +25,11 @@ def rows(spark, d, sql: str) -> DataFrame:
     return spark.sql(sql.format(**{t: f"parquet.`{d}/{t}.parquet`" for t in TABLES}))
 
 
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """The rows of a table that one file may hold, over all cores: what is made of each costs far more than its move."""
+    return df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def told(sql: str, **inputs: str) -> str:
     """The oracle: sql after the inputs it names."""
     named = ", ".join(f"{name} AS ({text})" for name, text in inputs.items())
@@ -227,7 +232,7 @@ def divisions_topics(spark, d):
 @query("division_points", told("SELECT doc_id, 'Alpha ' || name || ' gamma delta.|Second point of ' || kind || ' and all.' AS points FROM t", t=TOPIC))
 def division_points(spark, d):
     section = F.concat(F.lit("head\n1. Alpha "), "name", F.lit(" gamma delta.\n2. Second point of "), "kind", F.lit(" and all.\n3. Short one."))
-    return rows(spark, d, TOPIC).select("doc_id", F.array_join(O.subpoints(section), "|").alias("points"))
+    return dealt(rows(spark, d, TOPIC), "doc_id").select("doc_id", F.array_join(O.subpoints(section), "|").alias("points"))
 
 
 @query("illustrations", told("SELECT doc_id, CAST(1 AS INT) AS pos, 'A ' || name || ' falls in his field' AS illustration FROM t", t=TOPIC))
