@@ -73,19 +73,19 @@ def topic_parts(body: Column, ls: Column, promo: str | None = None) -> Column:
     at = F.aggregate(F.transform(ls, lambda s, i: F.struct(i.alias("i"), O.strip(s).alias("s"))), begin, step, lambda t: t["at"])
 
     def sentence(i: Column) -> Column:
-        flat = paragraph_from(ls, i)
-        end = F.regexp_instr(flat, F.lit(r"[.!?]\s"))
-        return F.when((end > 0) & (end <= 200), F.left(flat, end)).when(F.length(flat) > 150, O.complete_phrase(flat, 150)).otherwise(flat)
+        first = lambda flat, end: F.when((end > 0) & (end <= 200), F.left(flat, end)).when(F.length(flat) > 150, O.complete_phrase(flat, 150)).otherwise(flat)
+        return X.let(paragraph_from(ls, i), lambda flat: X.let(F.regexp_instr(flat, F.lit(r"[.!?]\s")), lambda end: first(flat, end)))
 
     found = F.slice(F.filter(F.transform(at, sentence), lambda s: F.length(s) > 20), 1, 4)
-    return F.transform(found, lambda s, k: _part(F.element_at(F.array(*map(F.lit, ("I", "II", "III", "IV"))), k + 1), s, F.when(k + 1 == F.size(found), body).otherwise(F.lit(""))))
+    one = lambda s, k, n: _part(F.element_at(F.array(*map(F.lit, ("I", "II", "III", "IV"))), k + 1), s, F.when(k + 1 == n, body).otherwise(F.lit("")))
+    return X.let(found, lambda found: F.transform(found, lambda s, k: one(s, k, F.size(found))))
 
 
 def paragraph_from(ls: Column, i: Column) -> Column:
     """The line at i and up to four more, until a blank one, as one line."""
     near = F.transform(F.slice(ls, i + 1, F.lit(5)), O.strip)
-    blank = F.array_position(near, F.lit("")).cast("int")
-    return X.collapse(F.array_join(F.when(blank > 0, F.slice(near, F.lit(1), blank - 1)).otherwise(near), " "))
+    own = lambda near: X.let(F.array_position(near, F.lit("")).cast("int"), lambda blank: F.when(blank > 0, F.slice(near, F.lit(1), blank - 1)).otherwise(near))
+    return X.collapse(F.array_join(X.let(near, own), " "))
 
 
 def with_divisions(docs: DataFrame, promo: str | None = None) -> DataFrame:

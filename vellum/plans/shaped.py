@@ -225,7 +225,7 @@ def divisions_fallback(spark, d):
 @query("divisions_topics", told(f"SELECT doc_id, CAST(0 AS INT) AS pos, 'I' AS numeral, 'Here is a ' || {INIT.format('name')} AS heading, length(name) + 573 AS section_length FROM t", t=TOPIC))
 def divisions_topics(spark, d):
     body = F.concat(F.repeat(F.lit("a"), F.lit(501)), F.lit("\n\nHere is a "), "name", F.lit(" that stands long enough to count. And another one follows.\n"))
-    parts = P.divisions(rows(spark, d, TOPIC).select("doc_id", body.alias("body")))
+    parts = P.divisions(dealt(rows(spark, d, TOPIC), "doc_id").select("doc_id", body.alias("body")))
     return parts.select("doc_id", "pos", "numeral", "heading", F.length("section").cast("long").alias("section_length"))
 
 
