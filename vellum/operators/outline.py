@@ -30,14 +30,13 @@ def roman_parts(ls: Column) -> Column:
         more = t["open"] & (line != "") & ~F.regexp_like(line, F.lit(r"^\d+\.")) & (O.is_upper(line) | (F.length(t["text"]) < 60))
         return F.struct(F.when(more, F.concat(t["text"], F.lit(" "), line)).otherwise(t["text"]).alias("text"), more.alias("open"))
 
-    def part(i: Column, k: Column) -> Column:
-        line = F.get(ls, i)
+    def part(i: Column, after_it: Column) -> Column:
         after = F.transform(F.split(F.left(F.array_join(F.slice(ls, i + 2, F.lit(4)), "\n"), F.lit(499)), "\n", -1), O.strip)
-        text = F.aggregate(after, F.struct(O.strip(F.regexp_extract(line, O.ROMAN, 2)).alias("text"), F.lit(True).alias("open")), go_on, lambda t: t["text"])
-        section = F.array_join(F.slice(ls, i + 1, F.coalesce(F.get(at, k + 1), F.size(ls)) - i), "\n")
-        return _part(F.regexp_extract(line, O.ROMAN, 1), text, section)
+        text = F.aggregate(after, F.struct(O.strip(F.regexp_extract(F.get(ls, i), O.ROMAN, 2)).alias("text"), F.lit(True).alias("open")), go_on, lambda t: t["text"])
+        section = F.array_join(F.slice(ls, i + 1, F.coalesce(after_it, F.size(ls)) - i), "\n")
+        return _part(F.regexp_extract(F.get(ls, i), O.ROMAN, 1), text, section)
 
-    return F.transform(at, part)
+    return X.let(at, lambda at: F.transform(at, lambda i, k: part(i, F.get(at, k + 1))))
 
 
 def ordinal_parts(body: Column) -> Column:

@@ -213,7 +213,7 @@ INIT = "array_to_string(list_transform(string_split({}, ' '), lambda w: upper(le
 @query("divisions_roman", told(f"SELECT doc_id, CAST(pos AS INT) AS pos, CASE pos WHEN 0 THEN 'I' ELSE 'II' END AS numeral, CASE pos WHEN 0 THEN {INIT.format('name')} ELSE {INIT.format('kind')} || ' Mark 1' END AS heading, CASE pos WHEN 0 THEN one ELSE two END AS refs FROM t, range(2) r(pos)", t=TOPIC))
 def divisions_roman(spark, d):
     body = F.concat(F.lit("x\nI. "), "name", F.lit("\n\nsee "), "one", F.lit(" and "), "one", F.lit(".\nII. "), "kind", F.lit("\n"), "two")
-    return P.divisions(rows(spark, d, TOPIC).select("doc_id", body.alias("body"))).select("doc_id", "pos", "numeral", "heading", F.array_join("refs", "|").alias("refs"))
+    return P.divisions(dealt(rows(spark, d, TOPIC), "doc_id").select("doc_id", body.alias("body"))).select("doc_id", "pos", "numeral", "heading", F.array_join("refs", "|").alias("refs"))
 
 
 @query("divisions_fallback", told(f"SELECT doc_id, CAST(pos AS INT) AS pos, CASE pos WHEN 0 THEN 'I' ELSE 'II' END AS numeral, CASE pos WHEN 0 THEN 'We See ' || {INIT.format('name')} ELSE {INIT.format('kind')} END AS heading FROM t, range(2) r(pos)", t=TOPIC))
