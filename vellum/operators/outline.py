@@ -41,21 +41,27 @@ def roman_parts(ls: Column) -> Column:
 
 def ordinal_parts(body: Column) -> Column:
     """Divisions that open with "First," and the like, up to the next full stop within 200 characters, else 150."""
-    parts, marks = F.split(body, O.ORDINAL, -1), F.regexp_extract_all(body, F.lit(O.ORDINAL), F.lit(0))
-    start = lambda k: F.length(F.array_join(F.slice(parts, F.lit(1), k + 1), "")) + F.length(F.array_join(F.slice(marks, F.lit(1), k), ""))
-
-    def part(mark: Column, k: Column) -> Column:
+    def part(mark: Column, start: Column, end: Column) -> Column:
         numeral = None
         for word, roman in O.ORDINALS:
             hit = F.contains(F.lower(mark), F.lit(word))
             numeral = F.when(hit, roman) if numeral is None else numeral.when(hit, roman)
-        tail = F.substring(body, start(k) + F.length(mark) + 1, F.lit(201))
-        dot = F.locate(".", tail)
-        text = O.strip(F.regexp_replace(O.strip(F.when(dot > 0, F.left(tail, dot - 1)).otherwise(F.left(tail, F.lit(150)))), "^,+", ""))
-        end = F.when(k + 1 < F.size(marks), start(k + 1)).otherwise(F.length(body))
-        return _part(numeral, text, F.substring(body, start(k) + 1, end - start(k)))
-
-    return F.transform(marks, part)
+        tail = F.substring(body, start + F.length(mark) + 1, F.lit(201))
+        closed = lambda tail: X.let(F.locate(".", tail), lambda dot: F.when(dot > 0, F.left(tail, dot - 1)).otherwise(F.left(tail, F.lit(150))))
+        text = O.strip(F.regexp_replace(O.strip(X.let(tail, closed)), "^,+", ""))
+        return _part(numeral, text, F.substring(body, start + 1, end - start))
+
+    def at(parts: Column, marks: Column) -> Column:
+        """Where each mark begins, one running sum."""
+        step = lambda t, x: F.struct((t["n"] + F.length(x["p"]) + F.length(x["m"])).alias("n"), F.array_append(t["at"], t["n"] + F.length(x["p"])).alias("at"))
+        pairs = F.zip_with(F.slice(parts, F.lit(1), F.size(marks)), marks, lambda p, m: F.struct(p.alias("p"), m.alias("m")))
+        return F.aggregate(pairs, F.struct(F.lit(0).alias("n"), F.array().cast("array<int>").alias("at")), step, lambda t: t["at"])
+
+    def all_parts(marks: Column) -> Column:
+        one = lambda starts: F.transform(marks, lambda mark, k: X.let(F.get(starts, k), lambda start: part(mark, start, F.coalesce(F.get(starts, k + 1), F.length(body)))))
+        return X.let(at(F.split(body, O.ORDINAL, -1), marks), one)
+
+    return X.let(F.regexp_extract_all(body, F.lit(O.ORDINAL), F.lit(0)), all_parts)
 
 
 def topic_parts(body: Column, ls: Column, promo: str | None = None) -> Column:

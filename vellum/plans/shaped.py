@@ -219,7 +219,7 @@ def divisions_roman(spark, d):
 @query("divisions_fallback", told(f"SELECT doc_id, CAST(pos AS INT) AS pos, CASE pos WHEN 0 THEN 'I' ELSE 'II' END AS numeral, CASE pos WHEN 0 THEN 'We See ' || {INIT.format('name')} ELSE {INIT.format('kind')} END AS heading FROM t, range(2) r(pos)", t=TOPIC))
 def divisions_fallback(spark, d):
     body = F.concat(F.lit("x\nFirst, we see "), "name", F.lit(". More\nIn the second place, "), "kind")
-    return P.divisions(rows(spark, d, TOPIC).select("doc_id", body.alias("body"))).select("doc_id", "pos", "numeral", "heading")
+    return P.divisions(dealt(rows(spark, d, TOPIC), "doc_id").select("doc_id", body.alias("body"))).select("doc_id", "pos", "numeral", "heading")
 
 
 @query("divisions_topics", told(f"SELECT doc_id, CAST(0 AS INT) AS pos, 'I' AS numeral, 'Here is a ' || {INIT.format('name')} AS heading, length(name) + 573 AS section_length FROM t", t=TOPIC))
