@@ -182,3 +182,19 @@ def test_battery_against_plain_formulas(spark):
     assert len(got) == len(values)
     for g in got:
         assert abs(g.t.h - plain_sum(g.v)) < 1e-4 * max(1, plain_sum(g.v)), g.v
+
+
+def test_the_fixed_formats_alone_test_no_string(spark, monkeypatch):
+    """secret_formats equals op5_secrets in what both tell, and needs neither natural strings nor a shuffle."""
+    from vellum.llm import bases
+
+    sf, columns = "/root/testdata/sf0.001", ("doc_id", "n_assign", "n_access", "n_hex", "base_sha256")
+    want = sorted(tuple(r) for r in S.op5_secrets(spark, sf).select(*columns).collect())
+
+    def fail(*_):
+        raise AssertionError("natural strings are not needed")
+
+    monkeypatch.setattr(S, "natural_levels", fail)
+    got = bases.QUERIES["secret_formats"](spark, sf)
+    assert sorted(tuple(r) for r in got.select(*columns).collect()) == want
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from vellum.llm.licenses import BASE, op3_licenses
 from vellum.llm.pii import op9_pii
-from vellum.llm.secrets import op5_secrets
+from vellum.llm.secrets import secret_formats
 from vellum.llm.urls import RULES, op1_urls
 
 ASCII = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -65,10 +65,6 @@ def _span_sql(kinds: list[tuple[str, str, str]], by_kind: bool) -> str:
     return cte + "SELECT doc_id, " + ", ".join(f"n_{k[0]}" for k in kinds) + f", sha256({line}) AS base_sha256 FROM a"
 
 
-def secret_formats(spark, sf_dir: str) -> DataFrame:
-    return op5_secrets(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256")
-
-
 _NAME = r"(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"']?\x20*[:=]\x20*[\"']?"
 SECRET_SQL = _span_sql([
     ("assign", _NAME + "[A-Za-z0-9+/_.=-]+", f"length(regexp_replace(@V, '^{_NAME.replace(chr(39), chr(39) * 2)}', '')) >= 8"),

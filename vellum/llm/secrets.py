@@ -148,12 +148,28 @@ def natural_levels(docs: DataFrame) -> DataFrame:
     return tested.groupBy("band").agg(F.avg("r").alias("mean"), F.greatest(F.stddev("r"), F.lit(MIN_SPREAD)).alias("spread"))
 
 
+def base_of(text: Column) -> Column:
+    """The spans of the fixed formats as one array of (start, end, rank, kind)."""
+    return F.concat(*[labelled(spans, kind, k) for k, (kind, spans) in enumerate(base_spans(text).items())])
+
+
+def base_columns() -> list[Column]:
+    """What is told of column base: counts and a digest."""
+    return [*[count_of(F.col("base"), k).alias(f"n_{k}") for k in ("assign", "access", "hex")], F.sha2(joined(F.col("base"), False).cast("binary"), 256).alias("base_sha256")]
+
+
+def secret_formats(spark, sf_dir: str) -> DataFrame:
+    """The fixed formats of op5_secrets alone: no row needs another, so no string is tested and nothing shuffled."""
+    text = empty_safe(F.col("text").cast("string"))
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", text.alias("text"))
+    return rows.select("doc_id", base_of(F.col("text")).alias("base")).select("doc_id", *base_columns())
+
+
 def secret_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, base, spans) of every row of docs: arrays of (start, end, rank, kind); spans adds those of kind random."""
     text = empty_safe(F.col("text").cast("string"))
     rows = docs.select("doc_id", text.alias("text"))
-    parts = base_spans(F.col("text"))
-    base = F.concat(*[labelled(spans, kind, k) for k, (kind, spans) in enumerate(parts.items())])
+    base = base_of(F.col("text"))
     rows = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), base.alias("base"), find(F.col("text"), CANDIDATE, F.lit(True)).alias("candidates"))
     mixed = lambda s: F.regexp_like(s["value"], F.lit("[0-9]")) & F.regexp_like(s["value"], F.lit("[A-Za-z]"))
     rows = keep(rows.withColumn("candidates", F.filter("candidates", mixed)))
@@ -180,5 +196,4 @@ def secret_spans(docs: DataFrame) -> DataFrame:
 
 def op5_secrets(spark, sf_dir: str) -> DataFrame:
     found = secret_spans(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    counts = [count_of(F.col("base"), k).alias(f"n_{k}") for k in ("assign", "access", "hex")]
-    return found.select("doc_id", *counts, F.sha2(joined(F.col("base"), False).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans"), False).alias("spans"))
+    return found.select("doc_id", *base_columns(), joined(F.col("spans"), False).alias("spans"))
