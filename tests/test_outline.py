@@ -125,3 +125,7 @@ def test_ordinal_marks_are_found_once(spark):
     body = "First, a b. x\nSecondly, c d\nIn the third place, e. y"
     got = one(spark, body, P.ordinal_parts)
     assert [(p.numeral, p.text, p.section) for p in got] == [("I", "a b", "First, a b. x\n"), ("II", "c d\nIn the third place, e", "Secondly, c d\n"), ("III", "e", "In the third place, e. y")]
+
+
+def test_a_head_is_searched_for_references_once(spark):
+    assert times(spark, O.opening_reference, "regexp_extract_all(") == 1

@@ -115,9 +115,10 @@ def date_and_place(text: Column) -> Column:
 def opening_reference(text: Column) -> Column:
     """The first reference on a line after the one that opens a quotation, among 25; else the first of all; else ''."""
     found = F.transform(head_lines(text, 25), lambda x: F.struct(x.startswith('"').alias("q"), F.coalesce(F.get(R.references(x), F.lit(0)), F.lit("")).alias("ref")))
-    opens = F.array_position(F.transform(found, lambda x: x["q"]), F.lit(True)).cast("int")
     first = lambda a: F.get(F.filter(F.transform(a, lambda x: x["ref"]), lambda r: r != ""), F.lit(0))
-    return F.coalesce(F.when(opens > 0, first(F.slice(found, opens + 1, 25))), first(found), F.lit(""))
+    opens = lambda found: F.array_position(F.transform(found, lambda x: x["q"]), F.lit(True)).cast("int")
+    after = lambda found: X.let(opens(found), lambda at: F.when(at > 0, first(F.slice(found, at + 1, F.lit(25)))))
+    return F.coalesce(X.let(found, lambda found: F.coalesce(after(found), first(found))), F.lit(""))
 
 
 def body_start(text: Column) -> Column:
